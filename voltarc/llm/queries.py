@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op5_bpe_round_trip
 from .langid import op10_language_id
 from .quality import op8_quality_rules
+from .tokens import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_quality_rules": op8_quality_rules,
     "op10_language_id": op10_language_id,
 }
