@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op5_bpe_round_trip
 from .langid import op10_language_id
+from .packing import op2_best_fit_packing
 from .quality import op8_quality_rules
 from .tokens import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_quality_rules": op8_quality_rules,
