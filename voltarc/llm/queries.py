@@ -10,6 +10,7 @@ from .bpe import op5_bpe_round_trip
 from .langid import op10_language_id
 from .packing import op2_best_fit_packing
 from .quality import op8_quality_rules
+from .setjoin import op9_ngram_jaccard_join
 from .tokens import op3_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_quality_rules": op8_quality_rules,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
