@@ -11,12 +11,16 @@ from .langid import op10_language_id
 from .packing import op2_best_fit_packing
 from .quality import op8_quality_rules
 from .setjoin import op9_ngram_jaccard_join
+from .sharding import op6_vector_sharding
 from .tokens import op3_token_counts
+from .warc import op7_warc_derivatives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_vector_sharding": op6_vector_sharding,
+    "op7_warc_derivatives": op7_warc_derivatives,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
