@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op5_bpe_round_trip
 from .langid import op10_language_id
 from .packing import op2_best_fit_packing
+from .pii import op4_pii_surrogates
 from .quality import op8_quality_rules
 from .setjoin import op9_ngram_jaccard_join
 from .sharding import op6_vector_sharding
@@ -18,6 +19,7 @@ from .warc import op7_warc_derivatives
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_vector_sharding": op6_vector_sharding,
     "op7_warc_derivatives": op7_warc_derivatives,
