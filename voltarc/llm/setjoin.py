@@ -25,7 +25,7 @@ neither compared nor returned as a component; an empty table gives an empty resu
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,15 +43,20 @@ CLASS_RATIO = 1.5
 COMBINE = 1 << 20
 #: Members and shingles of a block, or of a chunk of a larger block, in one task.
 BLOCK_MEMBERS = 3000
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 21
 #: First sets of a block over that limit, of which the one with the most links stands for its group.
 PIVOTS = 4
 #: Ways to cut a set into parts; the first leaves out the COMMON commonest shingles that are found COMMON_FROM times or more.
 CUTS = 8
 COMMON = 1 << 18
+#: Bits of the filter that keeps texts without candidates out of the shuffle; an exact join follows it.
+FILTER_BITS = 1 << 24
 COMMON_FROM = 16
 
 
+SetsOf = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each document's distinct shingles, sorted within it, and their number in each document."""
     low = X.ascii_lowered(data)
@@ -102,7 +107,7 @@ class Scheme:
             self.tops.append(int(self.tops[-1] * CLASS_RATIO))
         self.edges = np.array(self.tops, np.int64)
         most = 2 * self.edges * (100 - percent) // (100 + percent)
-        self.spare = 1 + most // 64
+        self.spare = 3 + most // 12  # sets at the lower end of a class have about that many empty parts at most
         self.parts = most + 1 + self.spare
 
     def class_of(self, sizes: np.ndarray) -> np.ndarray:
@@ -166,7 +171,7 @@ def _combined(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([sig[first], pairs[:, 0]]), np.concatenate([key[first], pairs[:, 1]])
 
 
-def with_sets(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
+def with_sets(docs: DataFrame, sets_of: SetsOf) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n_shingles, set_key) of each row, set_key 0 for the empty set; and the commonest shingles.
 
     Shingles are counted over all documents by lossy counting: of every COMBINE shingles of different sets, those found
@@ -187,7 +192,7 @@ def with_sets(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
             key_type = batch.schema.field(0).type
             n, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, _, data, off in X.blocks(X.text_column(batch.column(1))):
-                h, counts = shingle_sets(data, off, width)
+                h, counts = sets_of(data, off)
                 own = set_keys(h, counts)
                 new = np.zeros(own.size, bool)
                 new[np.unique(own, return_index=True)[1]] = True
@@ -213,7 +218,7 @@ def with_sets(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     return both.where("shingle IS NULL").select("doc_id", "n_shingles", "set_key"), np.sort(common.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
-def block_edges(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+def block_edges(docs: DataFrame, sets_of: SetsOf, percent: int, common: np.ndarray) -> DataFrame:
     """Edges (a, b) between set keys whose components are the blocks."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(common)  # at most COMMON hashes
@@ -229,7 +234,7 @@ def block_edges(docs: DataFrame, width: int, percent: int, common: np.ndarray) -
 
         for batch in batches:
             for _, _, data, off in X.blocks(X.text_column(batch.column(0))):
-                h, counts = shingle_sets(data, off, width)
+                h, counts = sets_of(data, off)
                 sig, key = scheme.signatures(h, counts, set_keys(h, counts), shared.value)
                 sigs.append(sig)
                 keys.append(key)
@@ -372,34 +377,40 @@ def _search(percent: int):  # noqa: ANN202
     return run
 
 
-def _with_shingles(texts: DataFrame, width: int, extra: list[str]) -> DataFrame:
-    """(extra, set_key, shingles) for rows (extra, set_key, text); rows whose text has another set go."""
+def _with_shingles(docs: DataFrame, members: DataFrame, sets_of: SetsOf) -> DataFrame:
+    """(block, set_key, shingles) of the members (set_key, doc_id, block), from the text of that document.
+
+    A bit array over the members' doc_ids, at most FILTER_BITS, keeps most other texts from being sent.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = members.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) & 63 AS int))").alias("bits"))
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    array = np.zeros(FILTER_BITS // 64, np.int64)
+    array[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(array)
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(extra)
         for batch in batches:
-            keys = batch.column(n).to_numpy(zero_copy_only=False)
-            for a, b, data, off in X.blocks(X.text_column(batch.column(n + 1))):
-                h, counts = shingle_sets(data, off, width)
-                good = set_keys(h, counts) == keys[a:b]
+            at = batch.column(1).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1))
+            for a, b, data, off in X.blocks(X.text_column(batch.column(2))):
+                h, counts = sets_of(data, off)
                 offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-                out = pa.RecordBatch.from_arrays([*(batch.column(k).slice(a, b - a) for k in range(n + 1)), pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64)))], names=[*extra, "set_key", "shingles"])
-                yield out.filter(pa.array(good))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(set_keys(h, counts)), pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64)))], names=["doc_id", "set_key", "shingles"])
 
-    kinds = dict(texts.dtypes)
-    schema = ", ".join([f"{c} {kinds[c]}" for c in extra] + ["set_key bigint", "shingles array<bigint>"])
-    return texts.select(*extra, "set_key", "text").mapInArrow(built, schema)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", bit.alias("bit"), "text").mapInArrow(built, f"doc_id {kind}, set_key bigint, shingles array<bigint>")
+    return rows.join(members.select("doc_id", "set_key", "block"), ["doc_id", "set_key"]).select("block", "set_key", "shingles")
 
 
-def link_sets(docs: DataFrame, sets: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+def link_sets(docs: DataFrame, sets: DataFrame, sets_of: SetsOf, percent: int, common: np.ndarray) -> DataFrame:
     """(id, root): the component of each set that is linked with another, by set keys."""
-    blocks = settle(components(block_edges(docs, width, percent, common)), "blocks")
+    blocks = settle(components(block_edges(docs, sets_of, percent, common)), "blocks")
     first = sets.where("set_key <> 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
     members = settle(first.join(blocks.select(F.col("id").alias("set_key"), F.col("root").alias("block")), "set_key"), "members")
     chunks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     large = settle(members.groupBy("block").agg(F.count("*").alias("members"), chunks.alias("chunks")).where("chunks > 1"), "large")
-    texts = docs.select("doc_id", "text").join(members.select("doc_id", "set_key", "block"), "doc_id")
-    sets_of = _with_shingles(texts, width, ["block"])
+    sets_of = _with_shingles(docs, members, sets_of)
     split = bool(large.limit(1).count())
     whole = settle(sets_of.join(large, "block", "left"), "shingles") if split else sets_of
     small = whole.where("chunks IS NULL") if split else whole
@@ -448,13 +459,19 @@ def components_of_stars(stars: DataFrame) -> DataFrame:
     return stars.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(stars.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
 
 
-def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, sets_of: SetsOf | None = None) -> DataFrame:
     """(doc_id, n_shingles, set_key, group_key, component_id) of each row.
 
     ``group_key`` is equal for linked documents, null for the empty set; ``component_id`` is the smallest doc_id of the group.
+    ``sets_of`` takes the place of word shingles: from bytes and offsets of texts to sorted hashes and their numbers.
     """
-    sets, common = with_sets(docs, width)
-    linked = settle(link_sets(docs, sets, width, percent, common), "components")
+    if sets_of is None:
+
+        def sets_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return shingle_sets(data, off, width)
+
+    sets, common = with_sets(docs, sets_of)
+    linked = settle(link_sets(docs, sets, sets_of, percent, common), "components")
     grouped = sets.join(linked.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("group_key", F.when(F.col("set_key") != 0, F.coalesce("root", "set_key"))).drop("root")
     lowest = grouped.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("lowest"))
     return grouped.join(lowest, "group_key", "left").select("doc_id", "n_shingles", "set_key", "group_key", F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")).alias("component_id"))
