@@ -13,10 +13,12 @@ from .pii import op4_pii_surrogates
 from .quality import op8_quality_rules
 from .setjoin import op9_ngram_jaccard_join
 from .sharding import op6_vector_sharding
+from .spotsigs import op1_spot_signatures
 from .tokens import op3_token_counts
 from .warc import op7_warc_derivatives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spot_signatures": op1_spot_signatures,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op4_pii_surrogates": op4_pii_surrogates,
