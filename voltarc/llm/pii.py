@@ -20,6 +20,7 @@ doc_id is no hindrance; an empty table gives an empty result; the other columns
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +48,8 @@ _NAME = r"\p{Lu}\p{Ll}+(?:[-'’]\p{Lu}\p{Ll}+)*"
 _TITLE = "(?:" + "|".join(TITLES) + ")"
 _GIVEN = "(?:" + "|".join(n for names in GIVEN.values() for n in names.split()) + ")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
-SECRET = r"(?i:(?<=(?:token|secret|passwd|password|api.?key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\"'\s]{8,256})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
+SECRET = r"(?<=[\"'])(?i:(?<=(?:token|secret|passwd|password|api.?key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\"'\s]{8,256})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
 IPV6 = r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:\d{11,26}|[A-Z]{4}\d{10,20}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -61,6 +62,11 @@ KINDS = (("email", EMAIL), ("secret", SECRET), ("ipv6", IPV6), ("iban", IBAN), (
 PATTERN = "|".join([CARD, *(p for _, p in KINDS)])
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _digits(m: Column) -> Column:
     return F.regexp_replace(m, r"[^0-9]", "")
 
@@ -73,7 +79,7 @@ def luhn_sum(digits: Column) -> Column:
         d = F.substr(digits, n - i + 1, F.lit(1)).cast("int")
         return F.when(i % 2 == 1, d).otherwise(F.when(d > 4, 2 * d - 9).otherwise(2 * d))
 
-    return F.aggregate(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), term), F.lit(0), lambda a, x: a + x)
+    return F.aggregate(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), term), F.lit(0), lambda a, x: a + x)  # at most 19 digits
 
 
 def kind_of(m: Column) -> Column:
@@ -118,70 +124,84 @@ class Surrogates:
             return F.substr(F.lit(letters), self.number(seed, at, len(letters)) + 1, F.lit(1))
 
         def one(i: Column) -> Column:
-            c = F.substr(m, i, F.lit(1))
-            at = F.length(F.regexp_replace(F.substr(m, F.lit(1), i), r"[^0-9A-Za-z]", ""))
+            return let(F.substr(m, i, F.lit(1)), lambda c: F.when((i <= keep) | ~c.rlike("^[0-9A-Za-z]$"), c).otherwise(let(F.length(F.regexp_replace(F.substr(m, F.lit(1), i), r"[^0-9A-Za-z]", "")), lambda at: redrawn_character(c, at))))
+
+        def redrawn_character(c: Column, at: Column) -> Column:
             lower = F.when(hexadecimal, pick("abcdef0123456789", at)).otherwise(pick("abcdefghijklmnopqrstuvwxyz", at))
             digit = F.when(hexadecimal, pick("abcdef0123456789", at)).otherwise(pick("0123456789", at))
             upper_hex = m.rlike("[A-F]")
-            return (
-                F.when(i <= keep, c).when(c.rlike("^[0-9]$"), F.when(hexadecimal & upper_hex, F.upper(digit)).otherwise(digit))
-                .when(c.rlike("^[a-z]$"), lower).when(c.rlike("^[A-Z]$"), F.upper(lower)).otherwise(c)
-            )
+            return F.when(c.rlike("^[0-9]$"), F.when(hexadecimal & upper_hex, F.upper(digit)).otherwise(digit)).when(c.rlike("^[a-z]$"), lower).otherwise(F.upper(lower))
 
         return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(m), F.lit(1))), one), "")
 
     def surname(self, token: Column, attempt: Column) -> Column:
         """A surname of syllables in the token's script; later attempts are longer."""
-        seed = self.seed("surname", F.lower(token), attempt)
 
-        def made(script: str) -> Column:
+        def made(script: str, seed: Column) -> Column:
             parts = F.array(*[F.lit(s) for s in SYLLABLES[script]])
             return F.initcap(F.array_join(F.transform(F.sequence(F.lit(1), attempt + 3), lambda i: F.get(parts, self.number(seed, i, len(SYLLABLES[script])))), ""))
 
-        return F.when(token.rlike(r"\p{IsCyrillic}"), made("cyrillic")).otherwise(made("latin"))
+        return let(self.seed("surname", F.lower(token), attempt), lambda seed: F.when(token.rlike(r"\p{IsCyrillic}"), made("cyrillic", seed)).otherwise(made("latin", seed)))
 
     def token(self, token: Column, attempt: Column) -> Column:
         """A word of a person's name."""
         return F.when(token.rlike(rf"^{_TITLE}\.?$"), token).when(F.element_at(self.given_map, token).isNotNull(), F.element_at(self.given_map, token)).otherwise(self.surname(token, attempt))
 
     def person(self, m: Column, attempt_of) -> Column:  # noqa: ANN001
-        return F.array_join(F.transform(F.split(m, " "), lambda w: self.token(w, attempt_of(F.lit("surname"), F.lower(w)))), " ")
+        return F.array_join(F.transform(F.split(m, " "), lambda w: let(attempt_of(F.lit("surname"), F.lower(w)), lambda attempt: self.token(w, attempt))), " ")
 
     def card(self, m: Column, seed: Column) -> Column:
         """Redrawn digits, the last one such that the check holds."""
-        drawn = self.shaped(m, seed, F.lit(0), F.lit(False))
-        head = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
-        return F.concat(head, F.pmod(10 - luhn_sum(F.concat(_digits(head), F.lit("0"))) % 10, F.lit(10)).cast("string"))
+        head = self.shaped(F.substr(m, F.lit(1), F.length(m) - 1), seed, F.lit(0), F.lit(False))
+        return let(head, lambda h: F.concat(h, F.pmod(10 - luhn_sum(F.concat(_digits(h), F.lit("0"))) % 10, F.lit(10)).cast("string")))
 
     def email(self, m: Column, attempt: Column) -> Column:
         local, domain = F.substring_index(m, "@", 1), F.lower(F.substring_index(m, "@", -1))
-        at = self.seed("domain", domain, F.lit(0))
-        label = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), self.number(at, i, 26) + 1, F.lit(1))), "")
-        made = F.concat(self.shaped(local, self.seed("email", F.lower(m), attempt), F.lit(0), F.lit(False)), F.when(attempt > 0, attempt.cast("string")).otherwise(""), F.lit("@"), label, F.lit(".example."), F.get(F.array(*map(F.lit, ("com", "net", "org"))), self.number(at, F.lit(9), 3)))
+
+        def host(at: Column) -> Column:
+            label = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), self.number(at, i, 26) + 1, F.lit(1))), "")
+            return F.concat(F.lit("@"), label, F.lit(".example."), F.get(F.array(*map(F.lit, ("com", "net", "org"))), self.number(at, F.lit(9), 3)))
+
+        name = let(self.seed("email", F.lower(m), attempt), lambda seed: self.shaped(local, seed, F.lit(0), F.lit(False)))
+        made = F.concat(name, F.when(attempt > 0, attempt.cast("string")).otherwise(""), let(self.seed("domain", domain, F.lit(0)), host))
         return F.when(m.rlike("^[^a-z]+$"), F.upper(made)).otherwise(made)
 
     def entity(self, kind: Column, m: Column, attempt_of) -> Column:  # noqa: ANN001
         """The surrogate of a match of a kind; ``attempt_of(kind, canonical)`` is the number of redraws."""
-        known = canonical(kind, m)
-        attempt = attempt_of(kind, known)
-        seed = self.seed(kind, known, attempt)
         prefix = F.length(F.regexp_extract(m, r"^(?:\+\d{1,3}(?=[ .(-])|[A-Z]{2}(?=\d))", 0))
-        ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (self.number(seed, i, 254) + 1).cast("string")), ".")
         is_hex = kind.eqNullSafe("ipv6") | m.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & kind.eqNullSafe("secret")
-        return (
-            F.when(kind.isNull(), m).when(kind == "person", self.person(m, attempt_of)).when(kind == "email", self.email(m, attempt))
-            .when(kind == "ipv4", ip).when(kind == "card", self.card(m, seed))
-            .otherwise(self.shaped(m, seed, F.when(kind.isin("phone", "iban"), prefix).otherwise(0), is_hex))
-        )
+
+        def drawn(known: Column, attempt: Column) -> Column:
+            return let(self.seed(kind, known, attempt), by_seed)
+
+        def by_seed(seed: Column) -> Column:
+            ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (self.number(seed, i, 254) + 1).cast("string")), ".")
+            shape = let(is_hex, lambda h: let(F.when(kind.isin("phone", "iban"), prefix).otherwise(0), lambda keep: self.shaped(m, seed, keep, h)))
+            return F.when(kind == "ipv4", ip).when(kind == "card", self.card(m, seed)).otherwise(shape)
+
+        def by_known(known: Column) -> Column:
+            return let(attempt_of(kind, known), lambda attempt: F.when(kind == "email", self.email(m, attempt)).otherwise(drawn(known, attempt)))
+
+        return F.when(kind.isNull(), m).when(kind == "person", self.person(m, attempt_of)).otherwise(let(canonical(kind, m), by_known))
+
+
+def may_hold(text: Column) -> Column:
+    """False only for texts without any entity: a cheap look for what every pattern needs."""
+    names = F.array(*[F.lit(n) for n in [*TITLES, *(t + "." for t in TITLES), *(n for x in GIVEN.values() for n in x.split())]])
+    words = F.split(F.regexp_replace(text, r"[^\p{L}.-]+", " "), " ")
+    low = F.lower(text)
+    quoted = (F.contains(text, F.lit('"')) | F.contains(text, F.lit("'"))) & text.rlike("[=:]")
+    return text.rlike("[0-9@]") | quoted & low.rlike("token|secret|passw|api.?key") | F.arrays_overlap(words, names)
 
 
 def find(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    return F.when(may_hold(text), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def entities(docs: DataFrame) -> DataFrame:
     """Distinct (kind, known, shown) of all texts: what is compared, and one way it is written. Surnames stand for persons."""
-    matches = docs.select(F.explode(F.array_distinct(find(F.col("text")))).alias("m")).distinct().withColumn("kind", kind_of(F.col("m"))).where("kind IS NOT NULL")
+    found = settle(docs.select(F.explode(F.array_distinct(find(F.col("text")))).alias("m")).distinct(), "matches")
+    matches = found.withColumn("kind", kind_of(F.col("m"))).where("kind IS NOT NULL")
     words = matches.where("kind = 'person'").select(F.explode(F.split("m", " ")).alias("w")).where(~F.col("w").rlike(rf"^{_TITLE}\.?$") & ~F.col("w").isin([n for x in GIVEN.values() for n in x.split()]))
     both = matches.where("kind <> 'person'").select("kind", canonical(F.col("kind"), F.col("m")).alias("known"), "m").unionByName(words.select(F.lit("surname").alias("kind"), F.lower("w").alias("known"), F.col("w").alias("m")))
     return both.groupBy("kind", "known").agg(F.min("m").alias("shown"))
@@ -189,9 +209,9 @@ def entities(docs: DataFrame) -> DataFrame:
 
 def redrawn(docs: DataFrame, make: Surrogates) -> DataFrame:
     """(kind, known, attempt) of the entities whose first surrogate isn't theirs alone."""
+
     def drawn(kind: Column, shown: Column, attempt: Column) -> Column:
-        made = F.when(kind == "surname", make.surname(shown, attempt)).otherwise(make.entity(kind, shown, lambda *_: attempt))
-        return F.when(kind == "surname", F.lower(made)).otherwise(canonical(kind, made))
+        return F.when(kind == "surname", F.lower(make.surname(shown, attempt))).otherwise(let(make.entity(kind, shown, lambda *_: attempt), lambda made: canonical(kind, made)))
 
     everything = settle(entities(docs), "entities")
     real = everything.select("kind", F.col("known").alias("made"))
@@ -230,7 +250,7 @@ def with_surrogates(docs: DataFrame, key: str | None = None) -> DataFrame:
             return F.lit(0)
 
     between = F.split(F.col("text"), PATTERN, -1)
-    pieces = F.transform(F.arrays_zip(F.transform("_found", lambda m: make.entity(kind_of(m), m, attempt_of)).alias("s"), F.slice(F.col("_between"), 2, F.greatest(F.size("_found"), F.lit(0))).alias("t")), lambda x: F.concat(x["s"], x["t"]))
+    pieces = F.transform(F.arrays_zip(F.transform("_found", lambda m: let(kind_of(m), lambda kind: make.entity(kind, m, attempt_of))).alias("s"), F.slice(F.col("_between"), 2, F.greatest(F.size("_found"), F.lit(0))).alias("t")), lambda x: F.concat(x["s"], x["t"]))
     replaced = F.when(F.size("_found") > 0, F.concat(F.get("_between", F.lit(0)), F.array_join(pieces, ""))).otherwise(F.col("text"))
     counted = F.coalesce(F.size(F.filter("_found", lambda m: kind_of(m).isNotNull())), F.lit(0))
     hit = own.withColumn("_between", F.when(F.size("_found") > 0, between))
