@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle, ship
 from . import _text as X
+from ._chunks import ragged
 from .graph import components
 
 #: Sets up to this size emit single shingles; above it parts are used, in size classes growing by CLASS_RATIO.
@@ -46,6 +47,11 @@ BLOCK_MEMBERS = 3000
 BLOCK_SHINGLES = 1 << 21
 #: First sets of a block over that limit, of which the one with the most links stands for its group.
 PIVOTS = 4
+#: Blocks over that limit whose first sets, PIVOTS each, may be broadcast; with more of them Spark chooses.
+SMALL_BLOCK_LIST = 64
+#: Cost of passing an entry of a long list, and of probing for one more candidate, relative to one call of a probe.
+MERGE_COST = 0.0005
+PROBE_COST = 0.01
 #: Ways to cut a set into parts; the first leaves out the COMMON commonest shingles that are found COMMON_FROM times or more.
 CUTS = 8
 COMMON = 1 << 18
@@ -107,9 +113,23 @@ class Scheme:
             self.tops.append(int(self.tops[-1] * CLASS_RATIO))
         self.edges = np.array(self.tops, np.int64)
         most = 2 * self.edges * (100 - percent) // (100 + percent)
-        self.spare = 3 + most // 12  # sets at the lower end of a class have about that many empty parts at most
+        self.spare = np.array([self._spare(float(d), float(e) * percent / 100 / CLASS_RATIO, float(e)) for d, e in zip(most, self.edges, strict=True)], np.int64)
         self.parts = most + 1 + self.spare
 
+    @staticmethod
+    def _spare(most: float, smallest: float, largest: float) -> int:
+        """Parts to spare for which the fewest signatures are expected, repeated cuts included.
+
+        A set of s shingles has about p exp(-s / p) empty parts of p, and is cut again if they are more than the spare ones.
+        """
+        size = np.linspace(smallest, largest, 9)
+        spare = np.unique(np.geomspace(1, most + 8, 60).astype(np.int64))
+        parts = most + 1 + spare[:, None]
+        empty = parts * np.exp(-size / parts)
+        z = (spare[:, None] + 0.5 - empty) / np.sqrt(empty)
+        again = 1 / (1 + np.exp(np.clip(1.702 * z, -60, 60)))  # about the upper tail of the normal distribution
+        return int(spare[((parts - empty) / np.maximum(1 - again, 1 / CUTS)).mean(1).argmin()])
+
     def class_of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, sizes)
 
@@ -168,7 +188,9 @@ def _combined(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     low = key[np.maximum.accumulate(np.where(first, np.arange(sig.size), 0))] if sig.size else key
     more = np.flatnonzero(key != low)
     pairs = np.unique(np.stack([key[more], low[more]], 1), axis=0)
-    return np.concatenate([sig[first], pairs[:, 0]]), np.concatenate([key[first], pairs[:, 1]])
+    sig, key = sig[first], key[first]
+    order = np.argsort(key, kind="stable")  # equal keys side by side take less room in the shuffle
+    return np.concatenate([sig[order], pairs[:, 0]]), np.concatenate([key[order], pairs[:, 1]])
 
 
 def with_sets(docs: DataFrame, sets_of: SetsOf) -> tuple[DataFrame, np.ndarray]:
@@ -280,9 +302,8 @@ def divide_skip(sets: list[np.ndarray], percent: int, root: np.ndarray | None =
     order = np.argsort(sizes, kind="stable")  # a set is sought among those that are no larger
     flat = np.concatenate([sets[k] for k in order])
     owner = np.repeat(np.arange(m), sizes[order])
-    _, token = np.unique(flat, return_inverse=True)
-    by_token = np.argsort(token, kind="stable")
-    postings = owner[by_token]
+    token = np.unique(flat, return_inverse=True)[1].astype(np.int32)
+    postings = owner.astype(np.int32)[np.argsort(token, kind="stable")]
     df = np.bincount(token)
     begin = np.cumsum(df) - df
     end = np.cumsum(sizes[order])
@@ -305,6 +326,10 @@ def divide_skip(sets: list[np.ndarray], percent: int, root: np.ndarray | None =
             continue
         shared = hits[candidates]
         wanted = -(-percent * (s + size[candidates]) // (100 + percent))
+        entries = int(df[long].sum())
+        if entries * MERGE_COST < long.size * (1 + candidates.size * PROBE_COST):  # so many candidates that one pass over the long lists is cheaper
+            shared = shared + np.bincount(ragged(postings, begin[long], df[long]), minlength=m)[candidates]
+            long = long[:0]
         left = long.size
         for t in long.tolist():
             possible = shared + left >= wanted
@@ -312,9 +337,9 @@ def divide_skip(sets: list[np.ndarray], percent: int, root: np.ndarray | None =
                 candidates, shared, wanted = candidates[possible], shared[possible], wanted[possible]
                 if not candidates.size:
                     break
-            entries = postings[begin[t] : begin[t] + df[t]]
-            at = np.minimum(np.searchsorted(entries, candidates), entries.size - 1)
-            shared = shared + (entries[at] == candidates)
+            entry = postings[begin[t] : begin[t] + df[t]]
+            at = np.minimum(np.searchsorted(entry, candidates), entry.size - 1)
+            shared = shared + (entry[at] == candidates)
             left -= 1
         linked = candidates[shared >= wanted]
         if linked.size:
@@ -410,25 +435,27 @@ def link_sets(docs: DataFrame, sets: DataFrame, sets_of: SetsOf, percent: int, c
     members = settle(first.join(blocks.select(F.col("id").alias("set_key"), F.col("root").alias("block")), "set_key"), "members")
     chunks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     large = settle(members.groupBy("block").agg(F.count("*").alias("members"), chunks.alias("chunks")).where("chunks > 1"), "large")
-    sets_of = _with_shingles(docs, members, sets_of)
-    split = bool(large.limit(1).count())
-    whole = settle(sets_of.join(large, "block", "left"), "shingles") if split else sets_of
-    small = whole.where("chunks IS NULL") if split else whole
-    rows = small.select("block", F.lit(0).alias("task"), "set_key", F.col("set_key").alias("known"), "shingles")
+    blocks_cut = large.count()
+    small = members.join(large, "block", "left_anti") if blocks_cut else members
+    rows = _with_shingles(docs, small, sets_of).select("block", F.lit(0).alias("task"), "set_key", F.col("set_key").alias("known"), "shingles")
     found = settle(rows.repartition("block").sortWithinPartitions("block").mapInArrow(_search(percent), "a bigint, b bigint"), "links")
-    return components_of_stars(found) if not split else components(found.unionByName(large_links(whole.where("chunks IS NOT NULL"), percent)))
+    if not blocks_cut:
+        return components_of_stars(found)
+    of_large = settle(_with_shingles(docs, settle(members.join(large.select("block"), "block", "left_semi"), "members"), sets_of), "shingles")
+    return components(found.unionByName(large_links(of_large, large, percent, blocks_cut <= SMALL_BLOCK_LIST)))
 
 
-def large_links(members: DataFrame, percent: int) -> DataFrame:
-    """Star edges between linked sets of blocks that are cut into chunks: (block, members, chunks, set_key, shingles).
+def large_links(members: DataFrame, large: DataFrame, percent: int, few: bool) -> DataFrame:
+    """Star edges between linked sets of blocks that are cut into chunks: members (block, set_key, shingles), large (block, members, chunks).
 
     Members linked to the best of the block's PIVOTS first sets take it as their known root; the others are strays. Only
     strays are searched, against each other and against every chunk: a huge group of near copies costs a few comparisons a
-    member.
+    member. ``few``: there are no more blocks than SMALL_BLOCK_LIST, so that what there is of each block may be broadcast.
     """
+    sent_to_all = F.broadcast if few else (lambda df: df)
     drawn = members.groupBy("block").agg(F.array(*[F.min(F.struct(F.xxhash64("set_key", F.lit(k)), F.col("set_key").alias("pivot")))["pivot"] for k in range(PIVOTS)]).alias("pivots"))
     keys = drawn.select("block", F.explode(F.array_distinct("pivots")).alias("set_key"))
-    pivots = members.join(keys, ["block", "set_key"]).select("block", F.col("set_key").alias("pivot"), F.col("shingles").alias("pivot_shingles")).dropDuplicates(["block", "pivot"])
+    pivots = settle(members.join(sent_to_all(keys), ["block", "set_key"]).select("block", F.col("set_key").alias("pivot"), F.col("shingles").alias("pivot_shingles")).dropDuplicates(["block", "pivot"]), "pivots")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -437,15 +464,17 @@ def large_links(members: DataFrame, percent: int) -> DataFrame:
             for k in range(batch.num_rows):
                 x, y = (v[o[k] : o[k + 1]] for v, o in sides)
                 linked[k] = (100 + percent) * np.intersect1d(x, y, assume_unique=True).size >= percent * (x.size + y.size)
-            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(3)], names=["block", "set_key", "pivot"]).filter(pa.array(linked))
-
-    met = members.join(pivots, "block").select("block", "set_key", "pivot", "shingles", "pivot_shingles")
-    met = settle(met.mapInArrow(near, "block bigint, set_key bigint, pivot bigint"), "pivots")
-    best = met.groupBy("block", "pivot").agg(F.count("*").alias("n")).groupBy("block").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("best"))
-    known = met.join(best, "block").where("pivot = best").select("set_key", F.col("best").alias("known")).distinct()
-    labelled = settle(members.join(known, "set_key", "left").withColumns({"stray": F.col("known").isNull(), "known": F.coalesce("known", "set_key")}), "labelled")
-    strays = labelled.where("stray").groupBy("block").agg(F.count("*").alias("strays"))
-    sent = labelled.join(strays, "block").withColumn("stray_chunks", F.ceil(F.col("chunks") * F.col("strays") / F.col("members")).cast("int"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(linked)], names=["block", "set_key", "pivot", "shingles", "linked"])
+
+    def met(with_pivots: DataFrame) -> DataFrame:
+        joined = members.join(sent_to_all(with_pivots), "block").select("block", "set_key", "pivot", "shingles", "pivot_shingles")
+        return joined.mapInArrow(near, "block bigint, set_key bigint, pivot bigint, shingles array<bigint>, linked boolean")
+
+    best = met(pivots).where("linked").groupBy("block", "pivot").agg(F.count("*").alias("n")).groupBy("block").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
+    labelled = settle(met(pivots.join(best, ["block", "pivot"], "left_semi")).select("block", "set_key", F.when(F.col("linked"), F.col("pivot")).otherwise(F.col("set_key")).alias("known"), (~F.col("linked")).alias("stray"), "shingles"), "labelled")
+    strays = large.join(labelled.where("stray").groupBy("block").agg(F.count("*").alias("strays")), "block")
+    strays = strays.withColumn("stray_chunks", F.ceil(F.col("chunks") * F.col("strays") / F.col("members")).cast("int")).drop("members", "strays")
+    sent = labelled.join(sent_to_all(strays), "block")
     sent = sent.withColumns({"chunk": F.pmod(F.xxhash64("set_key"), "chunks").cast("int"), "own": F.pmod(F.xxhash64("set_key"), "stray_chunks").cast("int")})
     met_by = "transform(sequence(0, stray_chunks - 1), s -> stray_chunks * chunks + least(own, s) * stray_chunks + greatest(own, s))"
     tasks = F.when(F.col("stray"), F.expr(f"concat(transform(sequence(0, chunks - 1), c -> own * chunks + c), {met_by})")).otherwise(F.expr("transform(sequence(0, stray_chunks - 1), s -> s * chunks + chunk)"))
@@ -473,7 +502,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, sets_
     sets, common = with_sets(docs, sets_of)
     linked = settle(link_sets(docs, sets, sets_of, percent, common), "components")
     grouped = sets.join(linked.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("group_key", F.when(F.col("set_key") != 0, F.coalesce("root", "set_key"))).drop("root")
-    lowest = grouped.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("lowest"))
+    # written first, so that a hot group's rows in the join below can be split
+    lowest = settle(grouped.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("lowest")), "lowest")
     return grouped.join(lowest, "group_key", "left").select("doc_id", "n_shingles", "set_key", "group_key", F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")).alias("component_id"))
 
 
@@ -487,9 +517,10 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without shingles or without doc_id belong to no group and stay.
     """
     grouped = settle(jaccard_components(docs, 5, 80), "grouped")
-    keep = grouped.where("doc_id IS NOT NULL AND (group_key IS NULL OR doc_id = component_id)").groupBy("doc_id").agg(F.count("*").alias("n"))
-    keep = settle(keep, "keep")
-    kept = docs.join(keep.select("doc_id"), "doc_id", "left_semi")
-    if keep.where("n > 1").limit(1).count():  # repeated rows: one of each
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    first = F.col("group_key").isNull() | (F.col("doc_id") == F.col("component_id"))
+    ids = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(first).alias("stays"), F.count("*").alias("n"))
+    ids = settle(ids.where("NOT stays OR n > 1"), "ids")  # fewer than those that stay: most texts need no shuffle if Spark finds them small
+    kept = docs.join(ids.where("NOT stays").select("doc_id"), "doc_id", "left_anti")
+    if ids.where("stays").limit(1).count():  # repeated rows: one of each
+        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    return kept.select(*docs.columns)
