@@ -104,7 +104,7 @@ class DistinctEncoder:
     ``encode`` turns a list of byte strings into a list of id sequences. ``MOST`` chunks are remembered; then it starts anew.
     """
 
-    MOST = 600_000
+    MOST = 250_000
 
     def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]]) -> None:
         self.encode = encode

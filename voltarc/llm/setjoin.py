@@ -41,10 +41,10 @@ from .graph import components
 SMALL = 42
 CLASS_RATIO = 1.5
 #: Signatures that a map task combines at once.
-COMBINE = 1 << 20
+COMBINE = 1 << 19
 #: Members and shingles of a block, or of a chunk of a larger block, in one task.
-BLOCK_MEMBERS = 3000
-BLOCK_SHINGLES = 1 << 21
+BLOCK_MEMBERS = 6000
+BLOCK_SHINGLES = 3 << 20
 #: First sets of a block over that limit, of which the one with the most links stands for its group.
 PIVOTS = 4
 #: Blocks over that limit whose first sets, PIVOTS each, may be broadcast; with more of them Spark chooses.
