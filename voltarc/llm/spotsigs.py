@@ -1,8 +1,9 @@
 """SpotSigs fingerprints: chains of content words after common-word anchors, compared through pruned Jaccard.
 
 Every common word of a text is an anchor; the next CHAIN content words after it, with the anchor, are a spot signature.
-A text's fingerprint is the set of its signatures, written as sorted hexadecimal words. Texts with few anchors get a chain
-at every content word besides, so that lists, headings and other languages have a fingerprint too.
+A text's fingerprint is the set of its signatures, written as sorted hexadecimal words. Every content word of every text
+begins a chain besides, so that lists, headings and other languages have a fingerprint too, and a small edit changes few
+signatures whatever the number of anchors. (``few`` keeps a rule for texts with few anchors only; no query uses it.)
 
 ``near_duplicates`` compares a whole table: fingerprints are dealt by classes of set length, so wide that a similar pair lies
 in the same or in neighbouring ones; inside a class an inverted index yields candidates, and those are dropped as soon as
@@ -28,8 +29,10 @@ from . import _text as X
 from .setjoin import jaccard_components
 
 CHAIN = 2
-#: With fewer signatures from anchors, a text gets chains at every content word too.
+#: Where ``few`` is this, only texts with fewer signatures from anchors get chains at every content word.
 FEW = 12
+#: One rule for all texts.
+ALL = None
 #: Documents in a range of doc_id, and the most ranges; a range is streamed, so its size bounds no memory.
 ROWS_A_RANGE = 4000
 MOST_RANGES = 4000
@@ -56,8 +59,11 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _ANCHOR_HASHES = _hash_words(ANCHORS)
 
 
-def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct 32-bit signatures of each text of a large_string array, and their numbers."""
+def signatures(texts: pa.Array, few: int | None = FEW) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 32-bit signatures of each text of a large_string array, and their numbers.
+
+    Chains at content words go to texts with fewer than ``few`` chains from anchors; to all texts if it is None.
+    """
     found, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for a, b, data, off in X.blocks(texts):
         n = b - a
@@ -69,8 +75,7 @@ def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         after = np.cumsum(~anchor)  # content words up to and with each word
         spots = np.flatnonzero(anchor)
         parts = [_chains(words[spots], doc[spots], after[spots], content, owner)]
-        few = np.bincount(parts[0][1], minlength=n) < FEW
-        every = np.flatnonzero(few[owner])
+        every = np.arange(owner.size) if few is None else np.flatnonzero((np.bincount(parts[0][1], minlength=n) < few)[owner])
         parts.append(_chains(np.full(every.size, 7, np.uint64), owner[every], every, content, owner))
         bare = np.flatnonzero((np.bincount(doc, minlength=n) == 0) & (off[1:] > off[:-1]))
         whole = np.array([int.from_bytes(hashlib.sha256(data[off[k] : off[k + 1]].tobytes()).digest()[:8], "little") for k in bare], np.uint64)
@@ -122,7 +127,7 @@ def likeness(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> float:
 def length_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signature sets of texts given as bytes and offsets, as 64-bit hashes in order."""
     texts = pa.LargeStringArray.from_buffers(off.size - 1, pa.py_buffer(np.ascontiguousarray(off, np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-    sig, counts = signatures(texts)
+    sig, counts = signatures(texts, ALL)
     h = X.mix(sig.astype(np.uint64) + np.uint64(1))
     order = np.lexsort((h, np.repeat(np.arange(counts.size), counts)))
     return h[order], counts
@@ -172,8 +177,8 @@ def _range_of(at: Column, cuts: list[int]) -> Column:
     return F.when(block < 0, 0).otherwise(block * 64 + F.size(F.filter(F.get(tails, block), lambda c: c <= at)))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """One row a document with its fingerprint, its edited text's, and their likenesses."""
+def with_next(docs: DataFrame, few: int | None = FEW) -> DataFrame:
+    """One row a document with its fingerprint, its edited text's, and their likenesses; ``few`` as in ``signatures``."""
     ship(docs.sparkSession)
     spread, ranges = in_ranges(docs)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -191,7 +196,7 @@ def with_next(docs: DataFrame) -> DataFrame:
                 held = rows[-1]
                 pairs = [k for k in range(len(rows) - 1) if not rows[k][1] and rows[k][0] == rows[k + 1][0]]
                 if pairs:
-                    yield _compared([(rows[k][2], rows[k][3]) for k in range(len(rows))], pairs, batch.schema.field(2).type, names)
+                    yield _compared([(rows[k][2], rows[k][3]) for k in range(len(rows))], pairs, batch.schema.field(2).type, names, few)
 
     if not ranges:
         return docs.sparkSession.createDataFrame([], schema)
@@ -200,15 +205,15 @@ def with_next(docs: DataFrame) -> DataFrame:
     return dealt.select("bucket", "follows", "doc_id", "text").mapInArrow(compared, schema)
 
 
-def _compared(rows: list[tuple], pairs: list[int], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
+def _compared(rows: list[tuple], pairs: list[int], kind: pa.DataType, names: list[str], few: int | None) -> pa.RecordBatch:
     texts = [t for _, t in rows]
     edited = []
     for k in pairs:
         n = len(texts[k])
         edited.append(texts[k][: n - n // 4] + texts[k + 1][: n // 4])
-    found, counts = signatures(X.text_column(pa.array(texts, pa.large_string())))
+    found, counts = signatures(X.text_column(pa.array(texts, pa.large_string())), few)
     own, prints = np.split(found, np.cumsum(counts)[:-1]), written(found, counts)
-    found, counts = signatures(X.text_column(pa.array(edited, pa.large_string())))
+    found, counts = signatures(X.text_column(pa.array(edited, pa.large_string())), few)
     other, edited_prints = np.split(found, np.cumsum(counts)[:-1]), written(found, counts)
     columns = [
         pa.array([rows[k][0] for k in pairs], kind), pa.array([len(texts[k]) for k in pairs], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
@@ -218,4 +223,4 @@ def _compared(rows: list[tuple], pairs: list[int], kind: pa.DataType, names: lis
 
 
 def op1_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_next(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return with_next(spark.read.parquet(f"{sf_dir}/documents.parquet"), ALL)
