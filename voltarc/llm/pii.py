@@ -187,11 +187,14 @@ class Surrogates:
 
 def may_hold(text: Column) -> Column:
     """False only for texts without any entity: a cheap look for what every pattern needs."""
-    names = F.array(*[F.lit(n) for n in [*TITLES, *(t + "." for t in TITLES), *(n for x in GIVEN.values() for n in x.split())]])
-    words = F.split(F.regexp_replace(text, r"[^\p{L}.-]+", " "), " ")
-    low = F.lower(text)
+    names = F.array(*[F.lit(n) for n in [*(t for t in TITLES if "-" not in t), *(n for x in GIVEN.values() for n in x.split())]])
+    words = F.split(F.regexp_replace(text, r"[^\p{L}]+", " "), " ")  # a title or given name is a whole run of letters
+    hyphenated = [F.contains(text, F.lit(t)) for t in TITLES if "-" in t]
     quoted = (F.contains(text, F.lit('"')) | F.contains(text, F.lit("'"))) & text.rlike("[=:]")
-    return text.rlike("[0-9@]") | quoted & low.rlike("token|secret|passw|api.?key") | F.arrays_overlap(words, names)
+    found = text.rlike("[0-9@]") | quoted & text.rlike("(?i)token|secret|passw|api.?key") | F.arrays_overlap(words, names)
+    for h in hyphenated:
+        found = found | h
+    return found | text.rlike("[a-f]{32}|[A-F]{32}|:[A-Fa-f]{0,4}:")  # keys and IPv6 addresses without any digit
 
 
 def find(text: Column) -> Column:
