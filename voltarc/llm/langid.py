@@ -34,6 +34,10 @@ HASHES = 3
 UNDETERMINED = "und"
 #: Below this share of the corrected counts the pipeline drops a document.
 MIN_SCORE = 0.30
+#: The pipeline also wants a coverage (corrected count over all n-grams of the document) midway between these quantiles of
+#: a language's own training texts and of the other languages' ones.
+OWN_QUANTILE, OTHER_QUANTILE = 0.02, 0.98
+BINS = 1000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -93,8 +97,8 @@ class Filter:
             out = self.masks[:, s] if out is None else out & self.masks[:, s]
         return out
 
-    def decide(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the language and score of each document of a block."""
+    def known(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Corrected counts (languages, documents) of a block, and the numbers of n-grams."""
         n = off.size - 1
         gram, first = grams(data, off)
         doc = X.doc_of(first, off)
@@ -104,10 +108,15 @@ class Filter:
         one = mask.dtype.type(1)
         counts = np.stack([np.bincount(doc, weights=((mask[i // 64] >> mask.dtype.type(i % 64)) & one), minlength=n) for i in range(len(self.languages))])
         rate = self.false_rate[:, None]
-        real = np.maximum(0.0, (counts - total * rate) / (1 - rate))
+        return np.maximum(0.0, (counts - total * rate) / (1 - rate)), total
+
+    def decide(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the language, score and coverage of each document of a block."""
+        real, total = self.known(data, off)
+        n = total.size
         best, everything = real.argmax(0), real.sum(0)
         top = real.max(0)
-        return np.where(top > 0, best, self.default), np.divide(top, everything, out=np.zeros(n), where=everything > 0)
+        return np.where(top > 0, best, self.default), np.divide(top, everything, out=np.zeros(n), where=everything > 0), np.divide(top, total, out=np.zeros(n), where=total > 0)
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,16 +133,23 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * found.size, pa.string()), pa.array(found), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
 
+def training_texts(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> tuple[DataFrame, dict[str, int]]:
+    """The rows to learn from, and how many each language has before they are drawn; rows without text or lang don't count."""
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return rows, sizes
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, per_language / n))])
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000), sizes
+
+
 def train(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, most: int = GRAMS_PER_LANGUAGE) -> Filter | None:
     """Learn a filter from (doc_id, text, lang); rows without text or lang don't count. None if there are no rows."""
     spark = labelled.sparkSession
     ship(spark)
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    drawn, sizes = training_texts(labelled, per_language)
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, per_language / n))])
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
     counts = drawn.select("lang", "text").mapInArrow(_gram_counts, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     used = {lang: max(1.0, min(per_language, n)) for lang, n in sizes.items()}
     rate = F.col("n") / F.element_at(F.create_map(*[F.lit(x) for pair in sorted(used.items()) for x in pair]), F.col("lang"))
@@ -147,8 +163,43 @@ def train(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, most: int
     return Filter.build(members, default)
 
 
-def predict(df: DataFrame, model: Filter | None, keep: list[str] | None = None, text: str = "text") -> DataFrame:
-    """``keep`` (all columns unless given) of ``df``, with lang_pred and score for the whole text."""
+def least_coverage(labelled: DataFrame, model: Filter) -> np.ndarray:
+    """For each language of a model: the coverage under which a text isn't in it, learned from the training texts."""
+    names = model.languages
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        found = np.zeros((len(names), 2, BINS + 1), np.int64)  # language, own text or not, coverage
+        for batch in batches:
+            langs = np.array(batch.column(0).to_pylist(), object)
+            for a, b, data, off in X.blocks(X.text_column(batch.column(1))):
+                real, total = model.known(data, off)
+                some = total > 0
+                share = np.minimum(BINS, real[:, some] / total[some] * BINS).astype(np.int64)
+                for k, name in enumerate(names):
+                    np.add.at(found[k], ((langs[a:b][some] == name).astype(np.int64), share[k]), 1)
+        at = np.nonzero(found)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in at), pa.array(found[at])], names=["k", "own", "bin", "n"])
+
+    rows = training_texts(labelled)[0].select("lang", "text").mapInArrow(binned, "k bigint, own bigint, bin bigint, n bigint").groupBy("k", "own", "bin").agg(F.sum("n").alias("n")).collect()  # at most 2 x BINS a language
+    found = np.zeros((len(names), 2, BINS + 1))
+    for row in rows:
+        found[row["k"], row["own"], row["bin"]] = row["n"]
+
+    def quantile(n: np.ndarray, q: float) -> float:
+        return float(np.searchsorted(np.cumsum(n), q * n.sum())) / BINS if n.sum() else 0.0
+
+    own = np.array([quantile(x[1], OWN_QUANTILE) for x in found])
+    other = np.array([quantile(x[0], OTHER_QUANTILE) for x in found])
+    return np.minimum(own, (own + other) / 2)
+
+
+def predict(df: DataFrame, model: Filter | None, keep: list[str] | None = None, text: str = "text", least: np.ndarray | None = None) -> DataFrame:
+    """``keep`` (all columns unless given) of ``df``, with lang_pred and score for the whole text.
+
+    With ``least``, the coverage each language wants, texts under that of their language are ``und`` with their score.
+    """
     spark = df.sparkSession
     ship(spark)
     kept = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
@@ -161,11 +212,12 @@ def predict(df: DataFrame, model: Filter | None, keep: list[str] | None = None,
             texts = X.text_column(batch.column(batch.num_columns - 1))
             names, score = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
             for a, b, data, off in X.blocks(texts) if model else ():
-                best, sure = model.decide(data, off)
+                best, sure, share = model.decide(data, off)
                 plain = X.per_doc(((data | 32) >= 97) & ((data | 32) <= 122), off) > 0
                 for k in np.flatnonzero(~plain & (off[1:] > off[:-1])):  # no ASCII letter: look at each character
                     plain[k] = any(map(str.isalpha, texts[a + int(k)].as_py()))
-                names[a:b] = np.where(plain, np.array(model.languages, object)[best], UNDETERMINED)
+                named = plain if least is None else plain & (share >= least[best]) & (share > 0)
+                names[a:b] = np.where(named, np.array(model.languages, object)[best], UNDETERMINED)
                 score[a:b] = np.where(plain, sure, 0.0)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), pa.array(names, pa.string()), pa.array(score)], names=[*kept, "lang_pred", "score"])
 
@@ -183,6 +235,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drops documents without a language, or whose n-grams point to none (score under MIN_SCORE)."""
-    judged = predict(docs, train(docs.where(~held_out())))
+    """Pipeline stage: drops documents without a language, of too little coverage, or with a score under MIN_SCORE."""
+    labelled = docs.where(~held_out())
+    model = train(labelled)
+    judged = predict(docs, model, least=least_coverage(labelled, model) if model else None)
     return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
