@@ -49,7 +49,8 @@ _TITLE = "(?:" + "|".join(TITLES) + ")"
 _GIVEN = "(?:" + "|".join(n for names in GIVEN.values() for n in names.split()) + ")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
-SECRET = r"(?<=[\"'])(?i:(?<=(?:token|secret|passwd|password|api.?key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\"'\s]{8,256})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
+#: The quote before a secret is part of the match, and tells it from other entities (LEAD).
+SECRET = r"[\"'](?i:(?<=(?:token|secret|passwd|password|api.?key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\"'\s]{8,256})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
 IPV6 = r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])"
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:\d{11,26}|[A-Z]{4}\d{10,20}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -58,8 +59,15 @@ CARD = r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d]|-\d)"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 PERSON = rf"(?<![\p{{L}}\d]){_TITLE}\.? (?:{_NAME} ){{0,2}}{_NAME}(?![\p{{L}}\d])|(?<![\p{{L}}\d]){_GIVEN} {_NAME}(?![\p{{L}}\d])"
 KINDS = (("email", EMAIL), ("secret", SECRET), ("ipv6", IPV6), ("iban", IBAN), ("ssn", SSN), ("phone", PHONE), ("ipv4", IPV4), ("person", PERSON))
-#: The group of CARD's separators comes first, so that its number doesn't shift.
-PATTERN = "|".join([CARD, *(p for _, p in KINDS)])
+#: CARD comes last: digits that fail its check must not hide another kind that begins with them. No kind has a group before it.
+PATTERN = "|".join([*(p for _, p in KINDS), CARD])
+#: What a match holds before its entity.
+LEAD = r"^[\"']"
+
+
+def bare(m: Column) -> Column:
+    """A match without its lead."""
+    return F.regexp_replace(m, LEAD, "")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -83,9 +91,14 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def kind_of(m: Column) -> Column:
-    """The type of a match; null if it is no entity."""
+    """The type of a match; null if it is no entity. A failed check leaves a secret a secret."""
+    return let(bare(m), lambda b: _kind(b, F.length(b) < F.length(m)))
+
+
+def _kind(m: Column, led: Column) -> Column:
     card = m.rlike(f"^(?:{CARD})$")
-    out = F.when(card, F.when(luhn_sum(_digits(m)) % 10 == 0, F.lit("card")))
+    good = luhn_sum(_digits(m)) % 10 == 0
+    out = F.when(card & (good | ~led), F.when(good, F.lit("card")))
     for kind, pattern in KINDS:  # secrets are known by what stands before them: the rest
         whole = {"person": r"^[\p{L}.’'-]+(?: [\p{L}.’'-]+)+$"}.get(kind, f"^(?:{pattern})$")
         out = out if kind == "secret" else out.when(m.rlike(whole), F.lit(kind))
@@ -95,7 +108,7 @@ def kind_of(m: Column) -> Column:
 def canonical(kind: Column, m: Column) -> Column:
     """What an entity is known by, however it is written."""
     plain = F.lower(F.regexp_replace(m, r"[^0-9A-Za-z]", ""))
-    return F.when(kind.isin("phone", "card", "ssn", "iban"), plain).when(kind.isin("email", "ipv6"), F.lower(m)).otherwise(m)
+    return F.when(kind.isin("phone", "card", "ssn", "iban"), plain).when(kind.isin("email", "ipv6"), F.lower(bare(m))).otherwise(bare(m))
 
 
 class Surrogates:
@@ -167,9 +180,12 @@ class Surrogates:
         return F.when(m.rlike("^[^a-z]+$"), F.upper(made)).otherwise(made)
 
     def entity(self, kind: Column, m: Column, attempt_of) -> Column:  # noqa: ANN001
-        """The surrogate of a match of a kind; ``attempt_of(kind, canonical)`` is the number of redraws."""
+        """The surrogate of a match of a kind, after its lead; ``attempt_of(kind, canonical)`` is the number of redraws."""
+        return F.concat(F.regexp_extract(m, LEAD, 0), let(bare(m), lambda b: self._entity(kind, b, attempt_of)))
+
+    def _entity(self, kind: Column, m: Column, attempt_of) -> Column:  # noqa: ANN001
         prefix = F.length(F.regexp_extract(m, r"^(?:\+\d{1,3}(?=[ .(-])|[A-Z]{2}(?=\d))", 0))
-        is_hex = kind.eqNullSafe("ipv6") | m.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & kind.eqNullSafe("secret")
+        is_hex = kind.eqNullSafe("ipv6") | m.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & m.rlike("[A-Fa-f]") & kind.eqNullSafe("secret")
 
         def drawn(known: Column, attempt: Column) -> Column:
             return let(self.seed(kind, known, attempt), by_seed)
