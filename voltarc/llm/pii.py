@@ -5,9 +5,11 @@ canonical form, so that the same entity gets the same surrogate everywhere, howe
 
 * e-mail addresses: a local part of the same shape, a domain under a reserved name, the same one for the same domain;
 * phone, card, account and social security numbers: the same separators and country code; a card's check digit stays valid;
-* IP addresses: addresses; secrets: characters of the same classes;
+* IP addresses: addresses, compressed IPv6 ones as their full form; secrets (quoted values of 8 characters, unquoted ones with
+  a digit, keys of 32 hexadecimal digits, tokens with a public prefix, which stays): characters of the same classes;
 * persons, found by a title or by a known given name before a surname: given names are exchanged within gender and script by
-  a keyed cycle, surnames are made from syllables of the same script, titles stay, as do capitals.
+  a keyed cycle, surnames are made from syllables of the same script, titles stay, as do capitals. A surname found so is
+  replaced wherever it stands alone in the same text, unless it is a common word.
 
 Distinct entities keep distinct surrogates: candidates that two entities share, or that are themselves entities of the
 corpus, are found by aggregates over all entities and redrawn in rounds until none is left; the redrawn ones reach the texts
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import settle
+from .spotsigs import ANCHORS
 
 #: The key of the surrogates; a deployment passes its own or sets spark.voltarc.pii.key.
 DEFAULT_KEY = "voltarc-surrogates"
@@ -49,9 +52,21 @@ _TITLE = "(?:" + "|".join(TITLES) + ")"
 _GIVEN = "(?:" + "|".join(n for names in GIVEN.values() for n in names.split()) + ")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
+_KEY = r"(?:token|secret|passwd|password|api.?key)"
+_VALUE = r"[^\s\"',;&<>(){}\[\]]"
+#: Tokens known by their public prefix, which their surrogates keep.
+TOKEN_PREFIX = r"(?:AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|AIza)"
+TOKEN = r"(?<![0-9A-Za-z_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{22,255}|glpat-[A-Za-z0-9_-]{20,64}|xox[abprs]-[A-Za-z0-9-]{10,255}|AIza[0-9A-Za-z_-]{35})(?![0-9A-Za-z])"
+#: A value without quotes has a digit; what stands before it is its lead, as quotes are.
+UNQUOTED = rf"[=:](?i:(?<={_KEY}\s{{0,2}}[=:]))[ \t]{{0,2}}(?![=:])(?={_VALUE}{{0,255}}\d){_VALUE}{{8,256}}(?<![.!?:])"
 #: The quote before a secret is part of the match, and tells it from other entities (LEAD).
-SECRET = r"[\"'](?i:(?<=(?:token|secret|passwd|password|api.?key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\"'\s]{8,256})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
-IPV6 = r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:.])"
+SECRET = r"[\"'](?i:(?<=(?:token|secret|passwd|password|api.?key)[\"']?\s{0,2}[=:]\s{0,2}[\"'])[^\"'\s]{8,256})|(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])" + f"|{UNQUOTED}|{TOKEN}"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+#: Eight groups, or fewer around "::" with a digit somewhere; ::1 alone is no one's.
+IPV6 = (
+    rf"(?<![0-9A-Fa-f:.])(?:{_GROUP}:){{7}}{_GROUP}(?![0-9A-Fa-f:]|\.\d)"
+    rf"|(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?!(?:[0-9A-Fa-f]*:){{8}}[0-9A-Fa-f])(?:{_GROUP}(?::{_GROUP}){{0,6}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?|::{_GROUP}(?::{_GROUP}){{1,5}})(?![0-9A-Za-z:]|\.\d)"
+)
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:\d{11,26}|[A-Z]{4}\d{10,20}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+[2-9]\d{0,2}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d|\.\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)"
@@ -62,7 +77,7 @@ KINDS = (("email", EMAIL), ("secret", SECRET), ("ipv6", IPV6), ("iban", IBAN), (
 #: CARD comes last: digits that fail its check must not hide another kind that begins with them. No kind has a group before it.
 PATTERN = "|".join([*(p for _, p in KINDS), CARD])
 #: What a match holds before its entity.
-LEAD = r"^[\"']"
+LEAD = r"^(?:[\"']|[=:][ \t]{0,2}(?![=:]))"
 
 
 def bare(m: Column) -> Column:
@@ -101,14 +116,26 @@ def _kind(m: Column, led: Column) -> Column:
     out = F.when(card & (good | ~led), F.when(good, F.lit("card")))
     for kind, pattern in KINDS:  # secrets are known by what stands before them: the rest
         whole = {"person": r"^[\p{L}.’'-]+(?: [\p{L}.’'-]+)+$"}.get(kind, f"^(?:{pattern})$")
-        out = out if kind == "secret" else out.when(m.rlike(whole), F.lit(kind))
+        out = out if kind == "secret" else out.when(m.rlike(whole), F.when(~m.rlike("^[0:]+$"), F.lit(kind)) if kind == "ipv6" else F.lit(kind))
     return out.otherwise(F.lit("secret"))
 
 
 def canonical(kind: Column, m: Column) -> Column:
     """What an entity is known by, however it is written."""
     plain = F.lower(F.regexp_replace(m, r"[^0-9A-Za-z]", ""))
-    return F.when(kind.isin("phone", "card", "ssn", "iban"), plain).when(kind.isin("email", "ipv6"), F.lower(bare(m))).otherwise(bare(m))
+    return F.when(kind.isin("phone", "card", "ssn", "iban"), plain).when(kind == "email", F.lower(bare(m))).when(kind == "ipv6", full_ipv6(bare(m))).otherwise(bare(m))
+
+
+def ipv6_sides(m: Column) -> tuple[Column, Column]:
+    """The groups before and after "::"; all are before it if there is none."""
+    sides = F.split(m, "::", -1)
+    return tuple(F.filter(F.split(F.coalesce(F.get(sides, F.lit(k)), F.lit("")), ":"), lambda g: g != "") for k in (0, 1))
+
+
+def full_ipv6(m: Column) -> Column:
+    left, right = ipv6_sides(F.lower(m))
+    groups = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right))), right)
+    return F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), ":")
 
 
 class Surrogates:
@@ -168,6 +195,17 @@ class Surrogates:
         head = self.shaped(F.substr(m, F.lit(1), F.length(m) - 1), seed, F.lit(0), F.lit(False))
         return let(head, lambda h: F.concat(h, F.pmod(10 - luhn_sum(F.concat(_digits(h), F.lit("0"))) % 10, F.lit(10)).cast("string")))
 
+    def ipv6(self, m: Column, seed: Column) -> Column:
+        """Each group by its place in the full address, so that all ways to write it agree; zeros stay."""
+        left, right = ipv6_sides(m)
+
+        def drawn(g: Column, i: Column) -> Column:
+            made = F.lpad(F.lower(F.hex(self.number(seed, i.cast("int"), 65535) + 1)), 4, "0")
+            return F.when(g.rlike("^0+$"), g).when(m.rlike("[A-F]"), F.upper(made)).otherwise(made)
+
+        first = F.array_join(F.transform(left, drawn), ":")
+        return F.when(~F.contains(m, F.lit("::")), first).otherwise(F.concat(first, F.lit("::"), F.array_join(F.transform(right, lambda g, i: drawn(g, 8 - F.size(right) + i)), ":")))
+
     def email(self, m: Column, attempt: Column) -> Column:
         local, domain = F.substring_index(m, "@", 1), F.lower(F.substring_index(m, "@", -1))
 
@@ -185,15 +223,16 @@ class Surrogates:
 
     def _entity(self, kind: Column, m: Column, attempt_of) -> Column:  # noqa: ANN001
         prefix = F.length(F.regexp_extract(m, r"^(?:\+\d{1,3}(?=[ .(-])|[A-Z]{2}(?=\d))", 0))
-        is_hex = kind.eqNullSafe("ipv6") | m.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & m.rlike("[A-Fa-f]") & kind.eqNullSafe("secret")
+        token = F.length(F.regexp_extract(m, f"^{TOKEN_PREFIX}", 0))
+        is_hex = m.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & m.rlike("[A-Fa-f]") & kind.eqNullSafe("secret")
 
         def drawn(known: Column, attempt: Column) -> Column:
             return let(self.seed(kind, known, attempt), by_seed)
 
         def by_seed(seed: Column) -> Column:
             ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (self.number(seed, i, 254) + 1).cast("string")), ".")
-            shape = let(is_hex, lambda h: let(F.when(kind.isin("phone", "iban"), prefix).otherwise(0), lambda keep: self.shaped(m, seed, keep, h)))
-            return F.when(kind == "ipv4", ip).when(kind == "card", self.card(m, seed)).otherwise(shape)
+            shape = let(is_hex, lambda h: let(F.when(kind.isin("phone", "iban"), prefix).when(kind == "secret", token).otherwise(0), lambda keep: self.shaped(m, seed, keep, h)))
+            return F.when(kind == "ipv4", ip).when(kind == "ipv6", self.ipv6(m, seed)).when(kind == "card", self.card(m, seed)).otherwise(shape)
 
         def by_known(known: Column) -> Column:
             return let(attempt_of(kind, known), lambda attempt: F.when(kind == "email", self.email(m, attempt)).otherwise(drawn(known, attempt)))
@@ -210,7 +249,7 @@ def may_hold(text: Column) -> Column:
     found = text.rlike("[0-9@]") | quoted & text.rlike("(?i)token|secret|passw|api.?key") | F.arrays_overlap(words, names)
     for h in hyphenated:
         found = found | h
-    return found | text.rlike("[a-f]{32}|[A-F]{32}|:[A-Fa-f]{0,4}:")  # keys and IPv6 addresses without any digit
+    return found | text.rlike(f"[a-f]{{32}}|[A-F]{{32}}|:[A-Fa-f]{{0,4}}:|{TOKEN_PREFIX}")  # keys, addresses and tokens without any digit
 
 
 def find(text: Column) -> Column:
@@ -269,12 +308,33 @@ def with_surrogates(docs: DataFrame, key: str | None = None) -> DataFrame:
             return F.lit(0)
 
     between = F.split(F.col("text"), PATTERN, -1)
+    own = own.withColumn("_between", F.when(F.size("_found") > 0, between)).withColumn("_names", F.when(F.size("_found") > 0, surnames(F.col("_found"))))
+    alone = F.concat(F.lit(r"(?<![\p{L}\d])(?:"), F.array_join("_names", "|"), F.lit(r")(?![\p{L}\d])"))
+    swaps = F.map_from_arrays("_names", F.transform("_names", lambda w: let(attempt_of(F.lit("surname"), F.lower(w)), lambda attempt: make.surname(w, attempt))))
+    own = own.withColumn("_alone", F.when(F.size("_names") > 0, F.struct(alone.alias("pattern"), swaps.alias("swaps"))))
+
+    def mentions(t: Column) -> Column:
+        """A piece between entities with the surnames in it replaced."""
+        rest = F.split(t, F.col("_alone.pattern"), -1)
+        hits = F.regexp_extract_all(t, F.col("_alone.pattern"), F.lit(0))
+        swapped = let(rest, lambda r: F.concat(F.get(r, F.lit(0)), F.array_join(F.transform(hits, lambda w, i: F.concat(F.element_at(F.col("_alone.swaps"), w), F.get(r, i + 1))), "")))
+        return F.when(F.rlike(t, F.col("_alone.pattern")), swapped).otherwise(t)
+
+    n_alone = F.when(F.col("_alone").isNotNull(), F.size(F.regexp_extract_all(F.array_join("_between", "\n"), F.col("_alone.pattern"), F.lit(0)))).otherwise(0)
+    own = own.withColumns({"_n_alone": n_alone, "_between": F.when(F.col("_alone").isNotNull(), F.transform("_between", mentions)).otherwise(F.col("_between"))})
     pieces = F.transform(F.arrays_zip(F.transform("_found", lambda m: let(kind_of(m), lambda kind: make.entity(kind, m, attempt_of))).alias("s"), F.slice(F.col("_between"), 2, F.greatest(F.size("_found"), F.lit(0))).alias("t")), lambda x: F.concat(x["s"], x["t"]))
     replaced = F.when(F.size("_found") > 0, F.concat(F.get("_between", F.lit(0)), F.array_join(pieces, ""))).otherwise(F.col("text"))
     counted = F.coalesce(F.size(F.filter("_found", lambda m: kind_of(m).isNotNull())), F.lit(0))
-    hit = own.withColumn("_between", F.when(F.size("_found") > 0, between))
     names = [c for c in docs.columns if c != "n_entities"]
-    return hit.select(*[(replaced.alias("text") if c == "text" else F.col(c)) for c in names], F.greatest(counted, F.lit(0)).cast("long").alias("n_entities"))
+    return own.select(*[(replaced.alias("text") if c == "text" else F.col(c)) for c in names], (F.greatest(counted, F.lit(0)) + F.col("_n_alone")).cast("long").alias("n_entities"))
+
+
+def surnames(found: Column) -> Column:
+    """The surnames of the persons among the matches of a text that may stand alone in it, longer ones first."""
+    given = [n for x in GIVEN.values() for n in x.split()]
+    words = F.flatten(F.transform(F.filter(found, lambda m: m.rlike(rf"^(?:{PERSON})$")), lambda m: F.split(m, " ")))
+    alone = F.filter(words, lambda w: ~w.rlike(rf"^{_TITLE}\.?$") & ~w.isin(given) & ~F.lower(w).isin(sorted(set(ANCHORS))) & (F.length(w) > 2))
+    return F.sort_array(F.array_distinct(alone), asc=False)
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
