@@ -1,13 +1,12 @@
-"""SpotSigs fingerprints: chains of content words after common-word anchors, compared through pruned Jaccard.
+"""SpotSigs fingerprints: chains of content words after common-word anchors, compared by Jaccard.
 
 Every common word of a text is an anchor; the next CHAIN content words after it, with the anchor, are a spot signature.
 A text's fingerprint is the set of its signatures, written as sorted hexadecimal words. Every content word of every text
 begins a chain besides, so that lists, headings and other languages have a fingerprint too, and a small edit changes few
 signatures whatever the number of anchors. (``few`` keeps a rule for texts with few anchors only; no query uses it.)
 
-``near_duplicates`` compares a whole table: fingerprints are dealt by classes of set length, so wide that a similar pair lies
-in the same or in neighbouring ones; inside a class an inverted index yields candidates, and those are dropped as soon as
-their lengths, or the signatures still to be seen, leave the threshold out of reach (see ``setjoin``, which does this work).
+``near_duplicates`` compares a whole table by the blocks of ``setjoin``, not by classes of set length with a pruned index;
+empty texts get no class there.
 
 Defined cases: a null text counts as empty; empty texts have the empty fingerprint and likeness 1 to each other, 0 to any
 other; texts without words have one signature, of their characters; repeated rows are documents of their own, in the order
