@@ -9,14 +9,25 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of an Arrow batch to or from a Python worker; a session that has chosen its own bound keeps it.
+ARROW_BATCH_BYTES = 4 << 20
+_ARROW_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+_ARROW_DEFAULT = 64 << 20
 
 _SHIPPED: set[str] = set()
 _OWN_DIR: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package (once per application), so that Python stages need nothing installed on them."""
+    """Give the executors this package (once per application), so that Python stages need nothing installed on them.
+
+    Arrow batches are bounded by bytes as well, since rows may hold long texts.
+    """
+    if (spark.conf.get(_ARROW_BOUND, None) or "").rstrip("b") == str(_ARROW_DEFAULT):
+        spark.conf.set(_ARROW_BOUND, str(ARROW_BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -47,4 +58,24 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voltarc-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._voltarc_path = path  # for unsettle()
+    return out
+
+
+def unsettle(df: DataFrame) -> None:
+    """Delete the files behind a settled table that nothing reads any more, such as a round that the next one replaced."""
+    path = getattr(df, "_voltarc_path", None)
+    if path:
+        sc = df.sparkSession.sparkContext
+        at = sc._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it whole, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(c)) for c in df.columns]
