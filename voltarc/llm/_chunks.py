@@ -9,8 +9,10 @@ is left to the library.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from . import _text as X
 
@@ -98,13 +100,26 @@ def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - before, counts) + np.arange(total)]
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, where each is found, and the place of every value among them; by a hash table, then a short sort."""
+    coded = pa.array(values).dictionary_encode()
+    found, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    some = np.zeros(found.size, np.int64)
+    some[which] = np.arange(which.size)
+    order = np.argsort(found)
+    place = np.empty(found.size, np.int64)
+    place[order] = np.arange(found.size)
+    return found[order], some[order], place[which]
+
+
 class DistinctEncoder:
     """Ids of chunks, each distinct chunk encoded once while the bounded memory of a worker lasts.
 
-    ``encode`` turns a list of byte strings into a list of id sequences. ``MOST`` chunks are remembered; then it starts anew.
+    ``encode`` turns a list of byte strings into a list of id sequences. ``MOST`` chunks are remembered, about 30 bytes
+    each; when they are full, the half that was met in the fewest blocks goes.
     """
 
-    MOST = 250_000
+    MOST = 3 << 18
 
     def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]]) -> None:
         self.encode = encode
@@ -112,33 +127,56 @@ class DistinctEncoder:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.uint32)
+        self.counts = np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.uint16)
         self.ids = np.zeros(0, np.int32)
 
+    def sweep(self) -> None:
+        """Keep the half that was met most often; what was met long ago counts less from now on."""
+        half = self.MOST // 2
+        kept = np.sort(np.argpartition(self.met, self.met.size - half)[self.met.size - half :]) if self.met.size > half else np.arange(self.met.size)
+        counts = self.counts[kept]
+        self.ids = ragged(self.ids, self.starts[kept].astype(np.int64), counts.astype(np.int64))
+        self.starts = (np.cumsum(counts, dtype=np.int64) - counts).astype(np.uint32)
+        self.keys, self.counts, self.met = self.keys[kept], counts, self.met[kept] // 2
+
     def find(self, data: np.ndarray, shown: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Place of each chunk in ``starts`` and ``counts``. ``shown``: the bytes by which chunks are told apart."""
-        hashes, first, which = np.unique(X.span_hashes(shown, starts, ends), return_index=True, return_inverse=True)
-        if self.keys.size + hashes.size > self.MOST:
-            self.forget()
-        at = np.searchsorted(self.keys, hashes)
-        known = np.zeros(hashes.size, bool)
-        inside = at < self.keys.size
-        known[inside] = self.keys[at[inside]] == hashes[inside]
+        hashes, first, which = _distinct(X.span_hashes(shown, starts, ends))
+        if self.keys.size and self.keys.size + hashes.size > self.MOST:
+            self.sweep()
+        at, known = self._known(hashes)
+        self.met[at[known]] += self.met[at[known]] < 65535
         new = np.flatnonzero(~known)
         if new.size:
             whole = shown.tobytes()
             found = self.encode([whole[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for x in found for i in x), np.int32, int(counts.sum()))
+            if self.ids.size + int(counts.sum()) >= 1 << 32:
+                self.forget()
+                return self.find(data, shown, starts, ends)
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
             begin = self.ids.size + np.cumsum(counts) - counts
             self.ids = np.concatenate([self.ids, ids])
-            self.starts = np.insert(self.starts, at[new], begin)
-            self.counts = np.insert(self.counts, at[new], counts)
+            self.starts = np.insert(self.starts, at[new], begin.astype(np.uint32))
+            self.counts = np.insert(self.counts, at[new], counts.astype(np.int32))
+            self.met = np.insert(self.met, at[new], 1)
             self.keys = np.insert(self.keys, at[new], hashes[new])
             at = np.searchsorted(self.keys, hashes)
         return at[which]
 
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, hashes)
+        known = np.zeros(hashes.size, bool)
+        inside = at < self.keys.size
+        known[inside] = self.keys[at[inside]] == hashes[inside]
+        return at, known
+
+    def spelled(self, place: np.ndarray) -> np.ndarray:
+        """The ids of chunks one after another."""
+        return ragged(self.ids, self.starts[place].astype(np.int64), self.counts[place].astype(np.int64))
+
 
 def foldable(data: np.ndarray) -> np.ndarray:
     """ASCII capitals lowered, but not before a character that may combine with them."""
