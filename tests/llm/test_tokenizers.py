@@ -1,6 +1,7 @@
 """Tokenizer operators against the libraries themselves."""
 
 import hashlib
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,43 @@ def test_any_texts_have_the_library_s_ids(texts):
     assert word_counts(texts) == [len(word.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_long_words_have_the_library_s_ids():
+    rng = np.random.default_rng(11)
+    lib = tokens.load(BYTE)
+    for letters in ("ab", "etaoinshrdlu", "aé漢🙂", "x"):
+        for n in (bpe.LONG + 1, 20_000):
+            word = "".join(rng.choice(list(letters), n))
+            assert bpe.encode_texts([word, "short " + word]) == [lib.encode(t, add_special_tokens=False).ids for t in (word, "short " + word)]
+    words = [bytes(rng.choice(list(b"theringaoust"), int(n)).tolist()) for n in rng.integers(1, 60, 200)]
+    v = bpe.encoder(BYTE).v
+    assert [x.tolist() for x in map(lambda w: bpe.merge_long(w, v), words)] == [x.tolist() for x in bpe.merge_words(words, v)]
+    began = time.perf_counter()
+    bpe.encode_texts(["".join(rng.choice(list("etaoinshrdlu"), 200_000))])
+    assert time.perf_counter() - began < 20
+
+
+def test_giant_texts_in_windows(monkeypatch):
+    rng = np.random.default_rng(12)
+    text = "".join(str(rng.choice(["the", "Größe", "don't", "1234", "...", "\n\n", "  ", "x" * 90, "漢字かな", "<|endoftext|>", "é"])) + str(rng.choice([" ", "", "\n"])) for _ in range(3000))
+    lib, word = tokens.load(BYTE), tokens.load(WORD)
+    data, off = X.raw(X.text_column(pa.array([text, "a b"])))
+    e = tokens.WordEncoder(WORD)
+    whole = e.ids(data, off)[0].tolist()
+    starts, ends = X.spans(~X.SEPARATOR[data], off)
+    hashes = X.span_hashes(data, starts, ends)
+    one = X.span_hashes(data, np.array([0]), np.array([data.size]))
+    monkeypatch.setattr(X, "WINDOW_BYTES", 500)
+    monkeypatch.setattr(X, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(bpe, "PART", 7)
+    assert (X.span_hashes(data, starts, ends) == hashes).all() and X.span_hashes(data, np.array([0]), np.array([data.size])) == one
+    assert len(list(X.windows(data, 500))) > 10
+    assert e.ids(data, off)[0].tolist() == whole == word.encode(text, add_special_tokens=False).ids + word.encode("a b", add_special_tokens=False).ids
+    assert bpe.encode_texts([text, "a b"]) == [lib.encode(t, add_special_tokens=False).ids for t in (text, "a b")]
+    assert bpe.decode_ids(bpe.encode_texts([text])) == [text]
+    coder, ids = bpe.encoder(BYTE), np.array(lib.encode(text, add_special_tokens=False).ids)
+    assert b"".join(coder.written(ids)).decode() == ",".join(map(str, ids.tolist()))
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE, PIECE])
 def test_windows_splice_to_the_whole_encoding(path):
     rng = np.random.default_rng(3)

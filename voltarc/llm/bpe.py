@@ -11,8 +11,11 @@ special id, as the library has it; repeated rows are encoded each for itself; an
 
 from __future__ import annotations
 
+import codecs
 import hashlib
+import heapq
 import json
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import quoted, ship
 from . import _chunks as C
 from . import _text as X
 from .tokens import vocabulary
@@ -31,6 +34,10 @@ BYTE_VOCABULARY = "byte_bpe_50k.json"
 #: The public word pattern of byte-level vocabularies of this kind (fixed value).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _NONE = np.int64(1 << 40)
+#: Symbols of a word from which on its merges are queued: a round over all its symbols for each merge would take too long.
+LONG = 2000
+#: Ids that are written or decoded at once.
+PART = 1 << 20
 
 
 def printable_bytes() -> dict[str, int]:
@@ -74,8 +81,12 @@ def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def merge_words(words: list[bytes], v: Vocabulary) -> list[np.ndarray]:
     """Ids of each word, by merge rounds over all words at once."""
-    lengths = np.array([len(w) for w in words], np.int64)
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    long = [k for k, w in enumerate(words) if len(w) > LONG]
+    for k in long:
+        out[k] = merge_long(words[k], v)
+    words = [b"" if len(w) > LONG else w for w in words] if long else words
+    lengths = np.array([len(w) for w in words], np.int64)
     sym = v.byte_id[np.frombuffer(b"".join(words), np.uint8)]
     word = np.repeat(np.arange(len(words)), lengths)
     last = v.pair_keys.size - 1
@@ -106,6 +117,39 @@ def merge_words(words: list[bytes], v: Vocabulary) -> list[np.ndarray]:
     return out
 
 
+def merge_long(word: bytes, v: Vocabulary) -> np.ndarray:
+    """Ids of one long word: its pairs wait in a heap by rank and place, found in the same sorted keys."""
+    sym = v.byte_id[np.frombuffer(word, np.uint8)]
+    key = (sym[:-1] << 32) | sym[1:]
+    at = np.minimum(np.searchsorted(v.pair_keys, key), v.pair_keys.size - 1)
+    known = np.flatnonzero(v.pair_keys[at] == key)
+    queue = [(r, k, a, b) for r, k, a, b in zip(v.pair_rank[at[known]].tolist(), known.tolist(), sym[known].tolist(), sym[known + 1].tolist(), strict=True)]
+    heapq.heapify(queue)
+    sym = sym.tolist()
+    after, before = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
+    keys, last = v.pair_keys, v.pair_keys.size
+
+    def push(left: int, right: int) -> None:
+        pair = (sym[left] << 32) | sym[right]
+        place = bisect_left(keys, pair)
+        if place < last and keys[place] == pair:
+            heapq.heappush(queue, (int(v.pair_rank[place]), left, sym[left], sym[right]))
+
+    while queue:
+        rank, left, a, b = heapq.heappop(queue)
+        right = after[left]
+        if sym[left] != a or right >= len(sym) or sym[right] != b:
+            continue  # one of them has been merged meanwhile
+        sym[left], sym[right] = int(v.rank_id[rank]), -1
+        after[left] = after[right]
+        if after[left] < len(sym):
+            before[after[left]] = left
+            push(left, after[left])
+        if before[left] >= 0:
+            push(before[left], left)
+    return np.array([s for s in sym if s >= 0], np.int64)
+
+
 class Encoder:
     """Ids of texts, block by block."""
 
@@ -134,29 +178,35 @@ class Encoder:
         return out
 
     def ids(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all documents of a block, and the number of each."""
+        """Ids of all documents of a block, and the number of each; a giant document goes window by window."""
+        return X.by_window(self._ids, data, off)
+
+    def _ids(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = C.byte_chunks(data, off, list(self.v.specials))
         place = self.chunks.find(data, data, starts, ends)
-        n = self.chunks.counts[place]
-        counts = np.bincount(X.doc_of(starts, off), weights=n, minlength=off.size - 1).astype(np.int64)
-        return C.ragged(self.chunks.ids, self.chunks.starts[place], n), counts
-
-    def decode(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
-        """The text of each document's ids, as UTF-8; bytes that are none become U+FFFD."""
-        data = C.ragged(self.v.flat, self.v.begin[ids], self.v.length[ids])
-        total = np.append(0, np.cumsum(self.v.length[ids]))
-        end = np.append(0, np.cumsum(counts))
-        for a, b in zip(total[end[:-1]].tolist(), total[end[1:]].tolist(), strict=True):
-            part = data[a:b].tobytes()
-            yield part.decode("utf-8", "replace").encode()
-
-    def written(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
-        """Each document's ids in decimal, joined by commas."""
-        data = C.ragged(self.v.digits, self.v.digits_begin[ids], self.v.digits_length[ids])
-        total = np.append(0, np.cumsum(self.v.digits_length[ids]))
-        end = np.append(0, np.cumsum(counts))
-        for a, b in zip(total[end[:-1]].tolist(), total[end[1:]].tolist(), strict=True):
-            yield data[a : max(a, b - 1)].tobytes()
+        counts = np.bincount(X.doc_of(starts, off), weights=self.chunks.counts[place], minlength=off.size - 1).astype(np.int64)
+        return self.chunks.spelled(place), counts
+
+    def decoded(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The text of some ids in UTF-8, part by part; bytes that are none become U+FFFD."""
+        reader = codecs.getincrementaldecoder("utf-8")("replace")
+        for a in range(0, ids.size, PART):
+            own = ids[a : a + PART]
+            yield reader.decode(C.ragged(self.v.flat, self.v.begin[own], self.v.length[own]).tobytes()).encode()
+        yield reader.decode(b"", True).encode()
+
+    def written(self, ids: np.ndarray) -> Iterator[bytes]:
+        """Ids in decimal, joined by commas, part by part."""
+        for a in range(0, ids.size, PART):
+            own = ids[a : a + PART]
+            yield C.ragged(self.v.digits, self.v.digits_begin[own], self.v.digits_length[own])[: None if a + PART < ids.size else -1].tobytes()
+
+
+def _sha256(parts: Iterator[bytes]) -> str:
+    out = hashlib.sha256()
+    for x in parts:
+        out.update(x)
+    return out.hexdigest()
 
 
 @lru_cache(maxsize=2)
@@ -176,12 +226,13 @@ def round_trip(df: DataFrame, name: str = BYTE_VOCABULARY, key: str = "doc_id",
             for _, _, data, off in X.blocks(X.text_column(batch.column(1)), X.BLOCK_BYTES // 2):
                 ids, counts = e.ids(data, off)
                 n_tokens.append(counts)
-                ids_hex += [hashlib.sha256(x).hexdigest() for x in e.written(ids, counts)]
-                text_hex += [hashlib.sha256(x).hexdigest() for x in e.decode(ids, counts)]
+                for own in np.split(ids, np.cumsum(counts)[:-1]):
+                    ids_hex.append(_sha256(e.written(own)))
+                    text_hex.append(_sha256(e.decoded(own)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *n_tokens])), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())], names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(coded, f"`key` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    return df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).mapInArrow(coded, f"`key` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
 
 
 def encode_texts(texts: list[str | None], name: str = BYTE_VOCABULARY) -> list[list[int]]:
@@ -195,8 +246,7 @@ def encode_texts(texts: list[str | None], name: str = BYTE_VOCABULARY) -> list[l
 
 def decode_ids(ids: list[list[int]], name: str = BYTE_VOCABULARY) -> list[str]:
     e = encoder(vocabulary(name))
-    counts = np.array([len(x) for x in ids], np.int64)
-    return [x.decode() for x in e.decode(np.array([i for x in ids for i in x], np.int64), counts)]
+    return [b"".join(e.decoded(np.array(x, np.int64))).decode() for x in ids]
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ whose mask has that bit; it is corrected for the slice's false-positive rate, an
 
 Defined cases: a null text, and one without a letter, is ``und`` with score 0; without training rows every text is
 ``und``; n-grams that no language has leave the commonest training language with score 0; ties go to the first language
-in alphabetical order; rows are judged each for itself, so repeated rows agree; other columns play no part.
+in alphabetical order; giant texts are read in windows cut at blanks; rows are judged each for itself, so repeated rows agree; other columns play no part.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ..session import settle, ship
+from ..session import quoted, settle, ship
 from . import _text as X
+from .quality import numbered
 
 #: Training texts a language at most, chosen by a hash of doc_id.
 TRAIN_PER_LANGUAGE = 3_000
-#: N-grams a language at most that enter the filter, the commonest first.
+#: N-grams a language at most that enter the filter, the commonest first; of equally common ones all or none.
 GRAMS_PER_LANGUAGE = 30_000
 #: An n-gram belongs to each language whose rate is at least this share of the largest rate of any language.
 RATE_SHARE = 0.34
@@ -99,6 +101,16 @@ class Filter:
 
     def known(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Corrected counts (languages, documents) of a block, and the numbers of n-grams."""
+        if data.size > X.WINDOW_BYTES:  # giant texts by windows that share the blank between them
+            parts = [[self._raw(text[a : b + 1], np.array([0, text[a : b + 1].size])) for a, b in X.windows(text)] for text in (data[x:y] for x, y in zip(off[:-1], off[1:], strict=True))]
+            counts, total = (np.concatenate([sum(p[k] for p in own) for own in parts], axis=-1) for k in (0, 1))
+        else:
+            counts, total = self._raw(data, off)
+        rate = self.false_rate[:, None]
+        return np.maximum(0.0, (counts - total * rate) / (1 - rate)), total
+
+    def _raw(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Popcounts (languages, documents), and the numbers of n-grams."""
         n = off.size - 1
         gram, first = grams(data, off)
         doc = X.doc_of(first, off)
@@ -107,8 +119,7 @@ class Filter:
         mask = self.lookup(distinct)[:, which]
         one = mask.dtype.type(1)
         counts = np.stack([np.bincount(doc, weights=((mask[i // 64] >> mask.dtype.type(i % 64)) & one), minlength=n) for i in range(len(self.languages))])
-        rate = self.false_rate[:, None]
-        return np.maximum(0.0, (counts - total * rate) / (1 - rate)), total
+        return counts, total
 
     def decide(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language, score and coverage of each document of a block."""
@@ -153,16 +164,28 @@ def train(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, most: int
     counts = drawn.select("lang", "text").mapInArrow(_gram_counts, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     used = {lang: max(1.0, min(per_language, n)) for lang, n in sizes.items()}
     rate = F.col("n") / F.element_at(F.create_map(*[F.lit(x) for pair in sorted(used.items()) for x in pair]), F.col("lang"))
-    rated = counts.where("n >= 2").groupBy("gram").agg(F.collect_list(F.struct("lang", rate.alias("rate"))).alias("at")).withColumn("most", F.expr("array_max(transform(at, x -> x.rate))"))
-    member = settle(rated.select("gram", F.explode(F.filter("at", lambda x: x["rate"] >= RATE_SHARE * F.col("most"))).alias("x")).select("gram", "x.lang", "x.rate"), "grams")
-    members = {}
-    for lang in sorted(sizes):
-        top = member.where(F.col("lang") == lang).orderBy(F.desc("rate"), "gram").limit(most).select("gram").toPandas()["gram"].to_numpy()
-        members[lang] = top.astype(np.uint32)
+    rated = counts.where("n >= 2").groupBy("gram").agg(F.collect_list(F.struct("lang", "n", rate.alias("rate"))).alias("at")).withColumn("most", F.expr("array_max(transform(at, x -> x.rate))"))
+    member = settle(rated.select("gram", F.explode(F.filter("at", lambda x: x["rate"] >= RATE_SHARE * F.col("most"))).alias("x")).select("gram", "x.lang", "x.n"), "grams")
+    cut = _least_kept(member.groupBy("lang", "n").agg(F.count("*").alias("grams")).collect(), most)  # at most ``per_language`` counts a language
+    kept = member.where(F.col("n") >= F.element_at(F.create_map(*[F.lit(x) for lang in sorted(sizes) for x in (lang, cut.get(lang, 0))]), F.col("lang"))).select("lang", "gram").toPandas()
+    members = {lang: np.sort(kept["gram"][kept["lang"] == lang].to_numpy()).astype(np.uint32) for lang in sorted(sizes)}
     default = min(sizes, key=lambda k: (-sizes[k], k))
     return Filter.build(members, default)
 
 
+def _least_kept(histogram: list, most: int) -> dict[str, int]:
+    """For each language: in how many texts an n-gram must be found, so that no more than ``most`` are left."""
+    out: dict[str, int] = {}
+    for lang in {r["lang"] for r in histogram}:
+        total = 0
+        for row in sorted((r for r in histogram if r["lang"] == lang), key=lambda r: -r["n"]):
+            total += row["grams"]
+            if total > most:
+                out[lang] = row["n"] + 1
+                break
+    return out
+
+
 def least_coverage(labelled: DataFrame, model: Filter) -> np.ndarray:
     """For each language of a model: the coverage under which a text isn't in it, learned from the training texts."""
     names = model.languages
@@ -200,10 +223,15 @@ def predict(df: DataFrame, model: Filter | None, keep: list[str] | None = None,
 
     With ``least``, the coverage each language wants, texts under that of their language are ``und`` with their score.
     """
-    spark = df.sparkSession
+    there, back = numbered(df, [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")])
+    return _judged(df.select(*there, F.col(quoted(text)).alias("_text")), model, least).select(*back, "lang_pred", "score")
+
+
+def _judged(rows: DataFrame, model: Filter | None, least: np.ndarray | None) -> DataFrame:
+    """``rows`` but for its last column, a text, with that text's lang_pred and score."""
+    spark = rows.sparkSession
     ship(spark)
-    kept = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + ["lang_pred string", "score double"])
+    kept = rows.columns[:-1]
     shared = spark.sparkContext.broadcast(model)  # at most 2**20 slots
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +249,7 @@ def predict(df: DataFrame, model: Filter | None, keep: list[str] | None = None,
                 score[a:b] = np.where(plain, sure, 0.0)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), pa.array(names, pa.string()), pa.array(score)], names=[*kept, "lang_pred", "score"])
 
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_judged")).mapInArrow(judged, schema)
+    return rows.mapInArrow(judged, StructType([*(rows.schema[c] for c in kept), StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def held_out() -> Column:
@@ -229,14 +257,20 @@ def held_out() -> Column:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language of every text, learned from the rows that aren't held out; nulls, ties and repeats as the module states."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs.where(~held_out()))
     return predict(docs.select("doc_id", "text"), model, ["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def keep_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: drops documents without a language, of too little coverage, or with a score under MIN_SCORE."""
+    """Pipeline stage: drops documents without a language, of too little coverage, or with a score under MIN_SCORE.
+
+    Null texts and those without letters go; repeated rows are judged each for itself; without labelled rows nothing is
+    known and all go; columns named lang_pred or score, or with dots, come out as they were; an empty table stays empty.
+    """
     labelled = docs.where(~held_out())
     model = train(labelled)
-    judged = predict(docs, model, least=least_coverage(labelled, model) if model else None)
-    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    there, back = numbered(docs, docs.columns)
+    judged = _judged(docs.select(*there, F.col("text").alias("_text")), model, least_coverage(labelled, model) if model else None)
+    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(*back)

@@ -6,7 +6,8 @@ documents (each rule grown on two thirds of the labelled rows by information gai
 
 Defined cases: a null or empty text has no words and fails the base rule; repeated rows are judged each for itself;
 without labels, or with labels of one kind, the list is empty and the base rule alone decides; an empty table gives an
-empty result; columns of the input that have a statistic's name are replaced in the output of ``with_statistics``.
+empty result; columns of the input that have a statistic's name are replaced in the output of ``with_statistics``; texts of
+any length are measured whole; of tests that gain the same, the first in the order of RATIOS and the lowest threshold win.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import settle, ship
+from ..session import quoted, settle, ship
 from . import _text as X
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_digits", "n_punct", "n_lines", "n_code_points")
@@ -33,8 +35,9 @@ RATIOS = (
     ("digit_share", "n_digits", "word_chars"),
     ("punct_per_word", "n_punct", "n_words"),
 )
-#: Labelled rows that the learner reads at most; chosen by a hash of doc_id.
+#: Labelled documents that the learner reads at most; drawn by a hash of doc_id, of DRAWN values.
 MAX_LABELLED = 20_000
+DRAWN = 1 << 30
 MIN_WORDS = 50
 
 _SYMBOLS = np.zeros(256, bool)
@@ -95,18 +98,28 @@ def statistics(texts: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def with_statistics(df: DataFrame, keep: list[str] | None = None, text: str = "text") -> DataFrame:
-    """``keep`` (all columns unless given) of ``df`` and COUNTS of the whole text."""
-    ship(df.sparkSession)
-    kept = [c for c in (df.columns if keep is None else keep) if c not in COUNTS]
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept] + [f"{c} bigint" for c in COUNTS])
+def numbered(df: DataFrame, names: list[str]) -> tuple[list[Column], list[Column]]:
+    """Columns under the plain names _0, _1 and so on, and these under their own names again, whatever those are."""
+    return [F.col(quoted(c)).alias(f"_{k}") for k, c in enumerate(names)], [F.col(f"_{k}").alias(c) for k, c in enumerate(names)]
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """``rows`` but for its last column, a text, and COUNTS of that; no column may have a name of COUNTS."""
+    ship(rows.sparkSession)
+    kept = rows.columns[:-1]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = statistics(X.text_column(batch.column(batch.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), *(pa.array(found[c]) for c in COUNTS)], names=[*kept, *COUNTS])
 
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_measured")).mapInArrow(measured, schema)
+    return rows.mapInArrow(measured, StructType([*(rows.schema[c] for c in kept), *(StructField(c, LongType()) for c in COUNTS)]))
+
+
+def with_statistics(df: DataFrame, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """``keep`` (all columns unless given) of ``df`` and COUNTS of the whole text."""
+    there, back = numbered(df, [c for c in (df.columns if keep is None else keep) if c not in COUNTS])
+    return _measured(df.select(*there, F.col(quoted(text)).alias("_text"))).select(*back, *COUNTS)
 
 
 def ratio_columns() -> dict[str, Column]:
@@ -208,15 +221,31 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def learn_from(measured: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> list[Rule]:
-    """Rules learned from ``labels`` (doc_id, quality: 1 good, 0 bad) on at most ``max_labelled`` rows that pass the base rule."""
-    names = [n for n, _, _ in RATIOS] + ["n_words"]
+def labelled_texts(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame | None:
+    """(doc_id, text, quality) of about ``most`` labelled documents, drawn by a hash of doc_id before a text is read.
+
+    Of rows with one doc_id the smallest text counts, and its lowest label, so that repeated rows don't weigh more.
+    """
     marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    marks = settle(marks, "labels")
+    n = marks.count()
+    if not n:
+        return None
+    chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(DRAWN)) < F.lit(int(min(1.0, most / n) * DRAWN)))  # about ``most`` rows at any size
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
+
+
+def learn_from(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> list[Rule]:
+    """Rules learned from ``labels`` (doc_id, quality: 1 good, 0 bad) on ``most`` documents that pass the base rule, at most."""
+    drawn = labelled_texts(docs, labels, most)
+    if drawn is None:
+        return []
+    names = [n for n, _, _ in RATIOS] + ["n_words"]
     have = ratio_columns()
     rows = (
-        measured.where(~base_failed()).join(marks, "doc_id")
+        _measured(drawn.select("doc_id", "quality", "text")).where(~base_failed())
         .select("doc_id", "quality", *[have[n].alias(f"f_{n}") for n in names])
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).toPandas()
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).toPandas()
     )
     bad = rows["quality"].to_numpy() == 0
     if not bad.any() or bad.all():
@@ -230,15 +259,18 @@ def judge(measured: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, the base rule and the learned list's verdict; nulls, empty tables and repeats as the module states."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    measured = settle(with_statistics(docs, ["doc_id"]), "statistics")
-    rules = learn_from(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judge(measured, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    rules = learn_from(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judge(with_statistics(docs, ["doc_id"]), rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the rules keep, with the columns they came with."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    measured = settle(with_statistics(docs, ["doc_id"]), "statistics")
-    rules = learn_from(measured, labels)
-    return judge(with_statistics(docs), rules).where("kept").select(*docs.columns)
+    """Pipeline stage: documents that the rules keep, with the columns they came with.
+
+    Null, empty and short texts go, as the base rule says; repeated rows are judged each for itself; columns named like a
+    statistic, a verdict or with dots come out as they were; an empty table stays empty.
+    """
+    rules = learn_from(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+    there, back = numbered(docs, docs.columns)
+    return judge(_measured(docs.select(*there, F.col("text").alias("_text"))), rules).where("kept").select(*back)

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import quoted, ship
 from . import _chunks as C
 from . import _text as X
 
@@ -168,9 +168,12 @@ class WordEncoder:
         return place, doc, np.bincount(doc, weights=self.chunks.counts[place], minlength=off.size - 1).astype(np.int64)
 
     def ids(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all documents of a block, and the number of each document."""
+        """Ids of all documents of a block, and the number of each document; a giant document goes window by window."""
+        return X.by_window(self._ids, data, off)
+
+    def _ids(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place, _, counts = self.block(data, off)
-        return C.ragged(self.chunks.ids, self.chunks.starts[place], self.chunks.counts[place]), counts
+        return self.chunks.spelled(place), counts
 
 
 @lru_cache(maxsize=2)
@@ -209,7 +212,7 @@ def count_tokens(df: DataFrame, name: str = WORD_VOCABULARY, limit: int = 2048,
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(X.raw(texts)[1])), pa.array(n), pa.array(n > limit)], names=["key", "n_bytes", "n_tokens", "over_limit"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(counted, f"`key` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("key", key)
+    return df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).mapInArrow(counted, f"`key` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean").withColumnRenamed("key", key)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
