@@ -26,7 +26,7 @@ CALLS = {
     "quality": "O.statistics(texts)",
     "langid": "O.Filter.build({'en': np.arange(9, dtype=np.uint32)}, 'en').known(data, off)",
     "setjoin": "O.shingle_sets(data, off, 4)",
-    "spotsigs": "O.signatures(texts, O.ALL)",
+    "spotsigs": "O.signatures(texts)",
     "tokens": "O.word_encoder(O.vocabulary(O.WORD_VOCABULARY)).ids(data, off)",
     "bpe": "e = O.encoder(O.vocabulary(O.BYTE_VOCABULARY)); ids = e.ids(data, off)[0]; O._sha256(e.written(ids)); O._sha256(e.decoded(ids))",
 }

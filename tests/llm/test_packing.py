@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -57,7 +58,9 @@ def test_plan_size_doesn_t_grow_with_the_counts():
     assert len(P.plan({x: n * 100_000 for x, n in counts.items()})) < 6 * small
 
 
-def test_pack_documents(spark):
+@pytest.mark.parametrize("block", [256, 2])
+def test_pack_documents(spark, monkeypatch, block):
+    monkeypatch.setattr(P, "BLOCK_PIECES", block)
     rows = [(k, "word " * n, "x") for k, n in enumerate([1, 5, 4095, 4096, 5000, 9000, 100, 100, 100])]
     rows += [(100, None, "x"), (101, "", "x"), (7, "word " * 100, "x"), (None, "one two", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, offset string")

@@ -17,6 +17,9 @@ def test_place_balances_all_dimensions():
     better = S.even_out(units, at, 8)
     load = np.bincount(better, weights=units[:, 0], minlength=8)
     assert load.max() - load.min() <= 2 or load.max() / load.mean() < 1.0005
+    for u in units.T:  # tokens and rows stay balanced
+        load = np.bincount(better, weights=u, minlength=8)
+        assert load.max() / load.mean() < 1.02
 
 
 def test_shard_rows(spark):
@@ -37,5 +40,6 @@ def test_shard_rows(spark):
     assert max(load.values()) / min(load.values()) < 1.02
     hot = (zlib.crc32(("hot " * 50).encode()), 201)
     assert all(len(s) == 1 for k, s in texts.items() if k != hot)  # only the group that no shard should hold is dealt
+    assert all(r.dealt == ((r.text_crc32, r.size) == hot) for r in got)
     assert sorted(map(tuple, S.shard(df.repartition(7)).collect()), key=str) == sorted(map(tuple, got), key=str)
     assert S.shard(df.limit(0)).count() == 0

@@ -1,7 +1,5 @@
 """One fingerprint rule for all texts, whatever their number of anchors."""
 
-import math
-
 from tests.llm.test_spotsigs import jaccard, plain_sets, texts
 
 from voltarc.llm import spotsigs as S
@@ -16,12 +14,11 @@ def near_pair():
     return text, text.replace(" the ", " ", 4)
 
 
-def test_query_has_one_rule(spark, tmp_path, monkeypatch):
+def test_query_has_one_rule(spark, tmp_path):
     rows = [(k, t) for k, t in enumerate([*texts(60, 4), *near_pair(), None, "", "the of"])]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r for r in S.op1_spot_signatures(spark, str(tmp_path)).collect()}
     assert len(got) == len(rows) and got[60].near_next > 0.9
-    monkeypatch.setattr(S, "FEW", math.inf)  # for the plain version only
     for k, t in rows:
         t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
         edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]

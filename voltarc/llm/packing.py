@@ -8,7 +8,8 @@ fullest bin that still takes it. Bins with the same content are planned as one c
 depends on the capacity alone. Every piece then finds its place by its rank among the pieces of its length.
 
 Defined cases: a null or empty text is one piece, its end token; longer documents are cut into pieces of ``capacity``;
-repeated rows are packed each for itself; an empty table gives an empty result; further columns are ignored.
+repeated rows are packed each for itself; pieces of one length are interchangeable, and ties among them go by doc_id; giant
+texts are encoded in windows; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ CAPACITY = 4096
 END_TOKEN = 1
 #: Attempts: lengths over this share of the capacity are rounded up in so many groups; the rest is placed best fit.
 ATTEMPTS = ((1 / 3, 400), (1 / 2, 400), (1 / 3, 1600))
-#: Blocks among which the pieces of one length are dealt before they are ranked.
-SALTS = 64
+#: Pieces of one length are dealt to blocks before they are ranked: of BLOCK_PIECES, or larger ones where a table has more
+#: than MOST_BLOCKS of these.
+BLOCK_PIECES = 256
+MOST_BLOCKS = 100_000
 
 
 @dataclass
@@ -259,29 +262,36 @@ def pieces(df: DataFrame, name: str = WORD_VOCABULARY, capacity: int = CAPACITY)
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to pieces with a ``length``.
 
-    Ranks within a length are counted in SALTS blocks, so that a length which many pieces share isn't one task's; the
-    histogram that reaches the driver has at most capacity * SALTS counts.
+    Ranks within a length are counted in blocks, so that a length which many pieces share isn't one task's. What reaches
+    the driver are the counts of at most ``capacity`` lengths and of at most capacity + MOST_BLOCKS blocks.
     """
     spark = cut.sparkSession
     ship(spark)
-    salted = settle(cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int")), "pieces")
-    found = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).toPandas().sort_values(["length", "salt"])
-    before = np.zeros((capacity + 1, SALTS), np.int64)
-    for x, salt, n in zip(found["length"], found["salt"], found["n"], strict=True):
-        before[x, salt] = n
-    counts = {int(x): int(before[x].sum()) for x in np.flatnonzero(before.sum(1))}
-    before = np.cumsum(before, 1) - before
-    shared = spark.sparkContext.broadcast((before, Places.of(plan(counts, capacity), capacity)))
+    found = settle(cut, "pieces")
+    counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    size = max(BLOCK_PIECES, -(-sum(counts.values()) // MOST_BLOCKS))
+    salts = np.zeros(capacity + 1, np.int64)
+    for x, n in counts.items():
+        salts[x] = -(-n // size)
+    begin = np.append(0, np.cumsum(salts))  # of a length's blocks among all
+    of_length = F.get(F.array(*[F.lit(int(n)) for n in salts]), F.col("length").cast("int"))
+    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.greatest(of_length, F.lit(1))).cast("int"))
+    held = np.zeros(int(begin[-1]), np.int64)
+    for row in salted.groupBy("length", "salt").agg(F.count("*").alias("n")).toLocalIterator():
+        held[begin[row["length"]] + row["salt"]] = row["n"]
+    before = np.cumsum(held) - held
+    before -= np.repeat(before[np.minimum(begin[:-1], max(0, held.size - 1))] if held.size else begin[:-1], salts)
+    shared = spark.sparkContext.broadcast((begin, before, Places.of(plan(counts, capacity), capacity)))
     names = [*cut.columns, "sequence_id", "offset"]
     schema = ", ".join([f"`{c}` {t}" for c, t in cut.dtypes] + ["sequence_id bigint", "`offset` bigint"])
     width = len(cut.columns)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, places = shared.value
-        seen: dict[int, int] = {}  # pieces so far of a (length, salt), which are sorted together
+        begin, before, places = shared.value
+        seen: dict[int, int] = {}  # pieces so far of a block, whose rows are sorted together
         for batch in batches:
             length, salt = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "salt"))
-            key = length * SALTS + salt
+            key = begin[length] + salt
             border = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if key.size else np.zeros(0, np.int64)
             nth = np.arange(key.size) - np.repeat(border, np.diff(np.append(border, key.size)))
             if key.size:
@@ -289,7 +299,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 carried = seen.get(head, 0)
                 nth[: border[1] if border.size > 1 else key.size] += carried
                 seen = {int(key[-1]): int(nth[-1]) + 1}
-            sequence, offset = places.find(length, before[length, salt] + nth)
+            sequence, offset = places.find(length, before[key] + nth)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(width)), pa.array(sequence), pa.array(offset)], names=names)
 
     dealt = salted.repartition("length", "salt").sortWithinPartitions("length", "salt", "doc_id", "piece", "ids_crc32")
@@ -311,9 +321,10 @@ def pack_documents(docs: DataFrame) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places; nulls, ties and repeats as the module states."""
     return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces of all documents that are left."""
+    """Pipeline stage: the packed pieces of all documents that are left; null and empty texts are their end token alone."""
     return pack_documents(docs)

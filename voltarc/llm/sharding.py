@@ -6,7 +6,8 @@ the largest first, to the shard where the dot product of their vector with the r
 units is bounded by the shards alone, so placing them on the driver costs the same at any size.
 
 Defined cases: a null text has size 1 and checksum 0 of no bytes, as the empty one; equal texts share a shard unless
-their group is dealt; repeated rows are rows of one group; an empty table gives an empty result; other columns are ignored.
+their group is dealt, which the result tells; repeated rows are rows of one group; texts of any length are measured whole;
+of shards with equal products the first is taken; tokens are counted as words; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ BUNDLES_PER_SHARD = 512
 ALONE_SHARE = 1 / 64
 DEALT_SHARE = 0.9
 SLICES = 64
+#: Rows of a shard that are numbered in one window, as far as MOST_SLICES windows go; larger ones spill.
+SLICE_ROWS = 250_000
+MOST_SLICES = 8192
 
 
 def place(units: np.ndarray, shards: int) -> np.ndarray:
@@ -39,28 +43,32 @@ def place(units: np.ndarray, shards: int) -> np.ndarray:
 
 
 def even_out(units: np.ndarray, at: np.ndarray, shards: int, passes: int = 400) -> np.ndarray:
-    """Move and swap units between the fullest and the emptiest shard by bytes while that brings them nearer."""
+    """Move or swap units between the fullest and the emptiest shard by bytes, while that brings these nearer.
+
+    Of all exchanges that at least halve the gap, or else of those that narrow it, the one that leaves the gaps in tokens
+    and rows smallest is made.
+    """
     at = at.copy()
-    size = units[:, 0]
+    mean = np.maximum(units.sum(0) / shards, 1)
     for _ in range(passes):
-        load = np.bincount(at, weights=size, minlength=shards)
-        high, low = int(load.argmax()), int(load.argmin())
+        load = np.stack([np.bincount(at, weights=u, minlength=shards) for u in units.T], 1)
+        high, low = int(load[:, 0].argmax()), int(load[:, 0].argmin())
         gap = load[high] - load[low]
-        a, b = np.flatnonzero(at == high), np.flatnonzero(at == low)
-        if gap <= 1 or not a.size:
+        a, b = np.flatnonzero(at == high), np.append(np.flatnonzero(at == low), -1)
+        if gap[0] <= 1 or not a.size:
             break
-        step = np.concatenate([[0], np.sort(size[b])])
-        which = np.concatenate([[-1], b[np.argsort(size[b], kind="stable")]])
-        want = size[a] - gap / 2  # the unit in exchange that halves the gap
-        near = np.clip(np.searchsorted(step, want), 1, step.size - 1) if step.size > 1 else np.zeros(a.size, np.int64)
-        near = np.where((near > 0) & (np.abs(step[near - 1] - want) <= np.abs(step[near] - want)), near - 1, near)
-        gain = np.abs(step[near] - want)
-        k = int(gain.argmin())
-        if gain[k] >= gap / 2:
+        back = np.concatenate([units[b[:-1]], np.zeros((1, units.shape[1]), units.dtype)])
+        after = np.abs(gap - 2 * (units[a][:, None, :] - back[None, :, :]))  # of bytes, tokens and rows, for each exchange
+        good = after[:, :, 0] <= max(gap[0] / 2, 1)
+        if not good.any():
+            good = after[:, :, 0] < gap[0]
+        if not good.any():
             break
-        at[a[k]] = low
-        if which[near[k]] >= 0:
-            at[which[near[k]]] = high
+        cost = np.where(good, (after[:, :, 1:] / mean[1:]).sum(2) + after[:, :, 0] / mean[0], np.inf)
+        i, j = np.unravel_index(int(cost.argmin()), cost.shape)
+        at[a[i]] = low
+        if b[j] >= 0:
+            at[b[j]] = high
     return at
 
 
@@ -81,12 +89,15 @@ def _bundle(shards: int) -> Column:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of each row, under the law ``bytes``."""
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard, dealt) of each row, under the law ``bytes``.
+
+    ``dealt`` marks the rows of a group of equal texts that no shard should hold whole.
+    """
     rows = settle(measured(docs), "measured")
     sums = [F.sum(c).alias(c) for c in ("size", "tokens")] + [F.count("*").alias("rows")]
     whole = rows.agg(*sums).collect()[0]
     if not whole["rows"]:
-        return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.lit(False).alias("dealt"))
     groups = rows.groupBy("group").agg(*sums)
     share = F.greatest(*[F.col(c) * F.lit(shards / max(1, whole[c])) for c in ("size", "tokens", "rows")])
     # at most 3 * shards / ALONE_SHARE groups
@@ -99,29 +110,31 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     vectors = found[["size", "tokens", "rows"]].to_numpy(np.int64)
     found["shard"] = even_out(vectors, place(vectors, shards), shards)
     spark = docs.sparkSession
+    slices = min(MOST_SLICES, max(SLICES, -(-whole["rows"] // (shards * SLICE_ROWS))))
     chosen = F.broadcast(spark.createDataFrame(list(zip(found["unit"].tolist(), found["shard"].tolist(), strict=True)), "unit string, shard int"))
-    placed = united.join(chosen, "unit").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(SLICES)).cast("int"))
-    placed = settle(placed.select("doc_id", "size", "text_crc32", "shard", "part"), "placed")
-    return slotted(placed, shards)
+    placed = united.join(chosen, "unit").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slices)).cast("int"))
+    placed = settle(placed.select("doc_id", "size", "text_crc32", "shard", "part", F.coalesce("dealt", F.lit(False)).alias("dealt")), "placed")
+    return slotted(placed, shards, slices)
 
 
-def slotted(placed: DataFrame, shards: int) -> DataFrame:
-    """Number the rows of each shard from 0 without gaps: ranks in SLICES parts of a shard, moved by the parts before."""
+def slotted(placed: DataFrame, shards: int, slices: int = SLICES) -> DataFrame:
+    """Number the rows of each shard from 0 without gaps: ranks in ``slices`` parts of a shard, moved by the parts before."""
     from pyspark.sql import Window
 
-    counts = {(r["shard"], r["part"]): r["n"] for r in placed.groupBy("shard", "part").agg(F.count("*").alias("n")).collect()}  # at most shards * SLICES
+    counts = {(r["shard"], r["part"]): r["n"] for r in placed.groupBy("shard", "part").agg(F.count("*").alias("n")).collect()}  # at most shards * MOST_SLICES
     before, rows = {}, []
     for s in range(shards):
         at = 0
-        for p in range(SLICES):
+        for p in range(slices):
             before[s, p] = at
             at += counts.get((s, p), 0)
             rows.append((s, p, before[s, p]))
     starts = placed.sparkSession.createDataFrame(rows, "shard int, part int, before long")
     order = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
     ranked = placed.withColumn("nth", F.row_number().over(order)).join(F.broadcast(starts), ["shard", "part"])
-    return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("nth") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("nth") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "dealt")
 
 
 def op6_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; nulls, ties and repeats as the module states."""
     return shard(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -3,13 +3,15 @@
 Every common word of a text is an anchor; the next CHAIN content words after it, with the anchor, are a spot signature.
 A text's fingerprint is the set of its signatures, written as sorted hexadecimal words. Every content word of every text
 begins a chain besides, so that lists, headings and other languages have a fingerprint too, and a small edit changes few
-signatures whatever the number of anchors. (``few`` keeps a rule for texts with few anchors only; no query uses it.)
+signatures whatever the number of anchors.
 
-``near_duplicates`` compares a whole table by the blocks of ``setjoin``, not by classes of set length with a pruned index;
-empty texts get no class there.
+``near_duplicates`` compares a whole table by ``setjoin``: its size classes partition the sets by length, each set meets its
+own class and the next, and inside a block sets are pruned by length and by the signatures that they can still share. Empty
+texts get no class there.
 
 Defined cases: a null text counts as empty; empty texts have the empty fingerprint and likeness 1 to each other, 0 to any
-other; texts without words have one signature, of their characters; repeated rows are documents of their own, in the order
+other; texts without words have one signature, of their characters; texts of any length are fingerprinted whole, and the
+words of a giant one are hashed in windows; repeated rows are documents of their own, in the order
 of doc_id and then text; null doc_ids come first; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -28,13 +30,9 @@ from . import _text as X
 from .setjoin import jaccard_components
 
 CHAIN = 2
-#: Where ``few`` is this, only texts with fewer signatures from anchors get chains at every content word.
-FEW = 12
-#: One rule for all texts.
-ALL = None
-#: Documents in a range of doc_id, and the most ranges; a range is streamed, so its size bounds no memory.
+#: Documents in a range of doc_id, and the most ranges; a range is a task of its own and streamed, so its size bounds no memory.
 ROWS_A_RANGE = 4000
-MOST_RANGES = 4000
+MOST_RANGES = 20_000
 #: Common words of English, French, German and Spanish (fixed values).
 ANCHORS = (
     "a an the of and to in is it that was for on are as with be at by this from or were not have had has will would can could there which "
@@ -58,11 +56,8 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _ANCHOR_HASHES = _hash_words(ANCHORS)
 
 
-def signatures(texts: pa.Array, few: int | None = FEW) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct 32-bit signatures of each text of a large_string array, and their numbers.
-
-    Chains at content words go to texts with fewer than ``few`` chains from anchors; to all texts if it is None.
-    """
+def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 32-bit signatures of each text of a large_string array, and their numbers."""
     found, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for a, b, data, off in X.blocks(texts):
         n = b - a
@@ -74,8 +69,7 @@ def signatures(texts: pa.Array, few: int | None = FEW) -> tuple[np.ndarray, np.n
         after = np.cumsum(~anchor)  # content words up to and with each word
         spots = np.flatnonzero(anchor)
         parts = [_chains(words[spots], doc[spots], after[spots], content, owner)]
-        every = np.arange(owner.size) if few is None else np.flatnonzero((np.bincount(parts[0][1], minlength=n) < few)[owner])
-        parts.append(_chains(np.full(every.size, 7, np.uint64), owner[every], every, content, owner))
+        parts.append(_chains(np.full(owner.size, 7, np.uint64), owner, np.arange(owner.size), content, owner))
         bare = np.flatnonzero((np.bincount(doc, minlength=n) == 0) & (off[1:] > off[:-1]))
         whole = np.array([int.from_bytes(hashlib.sha256(data[off[k] : off[k + 1]].tobytes()).digest()[:8], "little") for k in bare], np.uint64)
         only = np.flatnonzero((np.bincount(owner, minlength=n) == 0) & (np.bincount(doc, minlength=n) > 0))  # common words alone
@@ -126,7 +120,7 @@ def likeness(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> float:
 def length_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signature sets of texts given as bytes and offsets, as 64-bit hashes in order."""
     texts = pa.LargeStringArray.from_buffers(off.size - 1, pa.py_buffer(np.ascontiguousarray(off, np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-    sig, counts = signatures(texts, ALL)
+    sig, counts = signatures(texts)
     h = X.mix(sig.astype(np.uint64) + np.uint64(1))
     order = np.lexsort((h, np.repeat(np.arange(counts.size), counts)))
     return h[order], counts
@@ -176,8 +170,8 @@ def _range_of(at: Column, cuts: list[int]) -> Column:
     return F.when(block < 0, 0).otherwise(block * 64 + F.size(F.filter(F.get(tails, block), lambda c: c <= at)))
 
 
-def with_next(docs: DataFrame, few: int | None = FEW) -> DataFrame:
-    """One row a document with its fingerprint, its edited text's, and their likenesses; ``few`` as in ``signatures``."""
+def with_next(docs: DataFrame) -> DataFrame:
+    """One row a document with its fingerprint, its edited text's, and their likenesses."""
     ship(docs.sparkSession)
     spread, ranges = in_ranges(docs)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -195,24 +189,24 @@ def with_next(docs: DataFrame, few: int | None = FEW) -> DataFrame:
                 held = rows[-1]
                 pairs = [k for k in range(len(rows) - 1) if not rows[k][1] and rows[k][0] == rows[k + 1][0]]
                 if pairs:
-                    yield _compared([(rows[k][2], rows[k][3]) for k in range(len(rows))], pairs, batch.schema.field(2).type, names, few)
+                    yield _compared([(rows[k][2], rows[k][3]) for k in range(len(rows))], pairs, batch.schema.field(2).type, names)
 
     if not ranges:
         return docs.sparkSession.createDataFrame([], schema)
     # the wrapped copies of the first document come last in the last range
-    dealt = spread.repartition(ranges, "bucket").sortWithinPartitions("bucket", "wrapped", "at", "text", "follows")
+    dealt = spread.repartitionById(ranges, F.col("bucket")).sortWithinPartitions("bucket", "wrapped", "at", "text", "follows")
     return dealt.select("bucket", "follows", "doc_id", "text").mapInArrow(compared, schema)
 
 
-def _compared(rows: list[tuple], pairs: list[int], kind: pa.DataType, names: list[str], few: int | None) -> pa.RecordBatch:
+def _compared(rows: list[tuple], pairs: list[int], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
     texts = [t for _, t in rows]
     edited = []
     for k in pairs:
         n = len(texts[k])
         edited.append(texts[k][: n - n // 4] + texts[k + 1][: n // 4])
-    found, counts = signatures(X.text_column(pa.array(texts, pa.large_string())), few)
+    found, counts = signatures(X.text_column(pa.array(texts, pa.large_string())))
     own, prints = np.split(found, np.cumsum(counts)[:-1]), written(found, counts)
-    found, counts = signatures(X.text_column(pa.array(edited, pa.large_string())), few)
+    found, counts = signatures(X.text_column(pa.array(edited, pa.large_string())))
     other, edited_prints = np.split(found, np.cumsum(counts)[:-1]), written(found, counts)
     columns = [
         pa.array([rows[k][0] for k in pairs], kind), pa.array([len(texts[k]) for k in pairs], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
@@ -222,4 +216,5 @@ def _compared(rows: list[tuple], pairs: list[int], kind: pa.DataType, names: lis
 
 
 def op1_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_next(spark.read.parquet(f"{sf_dir}/documents.parquet"), ALL)
+    """Fingerprints of every text and its edited text, and their likenesses; nulls, ties and repeats as the module states."""
+    return with_next(spark.read.parquet(f"{sf_dir}/documents.parquet"))
