@@ -128,12 +128,93 @@ def test_configuration():
         load_config({"anchor": {"soc_empty": 0.97}})
     assert load_config({"soh": {"mad_window": 5}}, {"soh": {"mad_window": 9, "mad_threshold": 2.0}}).get("soh.mad_window") == 5
     assert CFG.get("no.such", 1) == 1 and CFG.rest_current() == pytest.approx(0.8) and CFG.anchor_score("OCV") == 10 and ampere_hours("37Ah") == 37.0
+    for wrong in ({"anchor": {"zero_frac": 0.5}}, {"no_such_table": {}}, {"quality": {"score": {"OVC": 1.0}}}, {"quality": {"severe_flags": ["odd"]}}):
+        with pytest.raises(ValueError):
+            load_config(wrong)
+        with pytest.raises(ValueError):
+            load_config(None, wrong)
+    file = {"anchor": {"current_zero_frac_limit": 0.8, "current_near_zero_a": 2.0}, "selfcheck": {"r_cv_dynamic": 0.1, "r_slope_eps": 0.1, "neg_loopnum_frac": 0.1}, "monitoring": {"channel_anchor_rate_drop_mom": 0.1}, "quality": {"severe_flags": ["contradiction"]}}
+    assert all(load_config(None, file).get(f"{a}.{b}") == v for a, own in file.items() for b, v in own.items())
+    named = load_config({"chemistry": "NMC", "series": 20, "device_filter": "x.csv", "channels": None})
+    assert (named.chemistry, named.series, named.get("channels")) == ("NMC", 20, []) and load_config({"chemistry": {"LTO": {"v_full": 60.0, "v_cutoff": 40.0, "alpha": 0.1}}}).chem_params("LTO")
     validate_curve(*ocv_curve("LFP"))
     with pytest.raises(ValueError, match="fall"):
         validate_curve([0.0, 0.2, 0.5, 0.8, 1.0], [3.0, 3.9, 3.5, 4.0, 4.1])
     assert cli.steps("3-7") == (3, 7) and cli.steps("2") == (2, 2)
 
 
+def test_ocv_tables_of_a_user(spark, raw, labelled, tmp_path):
+    soc, volts = ocv_curve("NMC")
+    lines = ["ocv_v,soc"] + [f"{v},{k}" for k, v in zip(soc, volts, strict=True)][::-1]  # columns and rows in any order
+    (tmp_path / "nmc_21s.csv").write_text("\n".join(lines))
+    own = load_config(found=CFG.found, ocv_dir=str(tmp_path))
+    assert own.ocv_curve() == (soc, volts) and own.ocv_curve("LFP", 24) == ocv_curve("LFP")
+    (tmp_path / "nmc_20s.csv").write_text("soc,ocv_v\n0,3\n0.25,3.3\n0.5,3.6\n0.75,3.5\n1,4.2\n")
+    with pytest.raises(ValueError, match="fall"):
+        own.ocv_curve("NMC", 20)
+    (tmp_path / "lfp.csv").write_text("soc,volts\n0,3\n")
+    with pytest.raises(ValueError, match="ocv_v"):
+        own.ocv_curve("LFP", 16)
+    with pytest.raises(FileNotFoundError):
+        ocv_curve("LTO")
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "nmc_21s.csv").write_text("soc,ocv_v\n" + "".join(f"{k / 10},{3 + 0.12 * k}\n" for k in range(11)))
+    line = load_config(found=CFG.found, ocv_dir=str(tmp_path / "b"))
+    got = anchor.run(clean.run(raw, line), line).where("anchor_type = 'OCV'").select("soc_anchor", "voltage").first()
+    assert got.soc_anchor == pytest.approx(min(0.98, max(0.02, (got.voltage / 21 - 3) / 1.2)))
+
+
+def test_turned_devices_come_as_a_table(spark, raw):
+    turned = raw.select("device_id").distinct().where("device_id % 2 = 0")
+    a, b = clean.run(raw, CFG, turned), clean.run(raw, load_config(found=Found("NMC", 21, "DYNAMIC", "ABSOLUTE", 88.2, 63.0, (11000002,))))
+    assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(b.columns)).collect()))
+    signed = raw.withColumn("current", F.when(F.col("device_id") == 11000002, -F.col("current")).otherwise(F.col("current")))
+    assert [r.device_id for r in profile.reversed_devices(signed.where("hour(ts) % 2 = 0")).collect()] == [11000002]
+
+
+def test_ledger(spark, tmp_path):
+    book = telemetry.Ledger(spark, f"{tmp_path}/progress")
+    assert book.state().count() == 0
+    rows = spark.createDataFrame([("c", 1, "2024-01"), ("c", 1, "2024-01"), ("c", 2, "2024-01")], "channel string, device_id bigint, ym string")
+    book.mark(rows, "s", "open")
+    book.mark(rows.where("device_id = 1"), "s")
+    assert [r.device_id for r in book.done("s").collect()] == [1] and [tuple(r) for r in book.pending("s").collect()] == [("c", 2, "2024-01")]
+    book.mark(spark.range(3, 4).withColumnRenamed("id", "device_id"), "s")
+    assert {(r.channel, r.device_id, r.ym) for r in book.done("s").collect()} == {("c", 1, "2024-01"), ("ALL", 3, "ALL")} and book.done("other").count() == 0
+
+
+def test_models_must_be_known_and_one_a_device(spark, raw):
+    models = raw.select("device_id").distinct().withColumn("model", F.lit("X1"))
+    telemetry.require_models(raw, models)
+    with pytest.raises(ValueError, match="11000003"):
+        telemetry.require_models(raw, models.where("device_id < 11000003"))
+    with pytest.raises(Exception, match="two models of device 11000001"):
+        telemetry.model_map(models.unionByName(spark.createDataFrame([(11000001, "X2")], "device_id bigint, model string"))).collect()
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].count("Exchange hashpartitioning")
+
+
+def test_plans(spark, raw, tmp_path):
+    """What is pruned, and how often rows move."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        telemetry.prepare(raw, f"{tmp_path}/buckets")
+        some = telemetry.scan(spark, f"{tmp_path}/buckets", spark.createDataFrame([(11000001,)], "device_id bigint"))
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "bucket") and some.count() == 1920 and "bucket" not in some.columns
+        raw.withColumn("cap_tier", F.lit(1)).withColumn("capacity_corrected", F.lit(1.0)).withColumn("stat_weight", F.lit(1.0)).withColumn("quality_score", F.lit(1.0)).withColumn("c_nom_bms", F.lit(1.0)).withColumn("ym", F.date_format("ts", "yyyy-MM")).write.partitionBy("ym").parquet(f"{tmp_path}/observation")
+        plan = monthly.aggregate(spark.read.parquet(f"{tmp_path}/observation"), from_month="2024-05")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(ym" in plan
+        df = clean.run(telemetry.dedup(telemetry.coerce(raw).repartition("device_id")), CFG)
+        assert exchanges(anchor.run(df, CFG)) == 1
+        series = spark.read.parquet(f"{tmp_path}/observation").groupBy("channel", "device_id", "ym").agg(F.avg("soc").alias("soh"))
+        assert exchanges(trend.analysis(series, CFG)) <= 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_sources(spark, raw, tmp_path):
     wire = telemetry.to_wire(raw.withColumn("extra", F.lit(1))).withColumn("循环次数", F.lit("x"))
     wire.write.parquet(f"{tmp_path}/raw")
@@ -165,7 +246,13 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
     before = sorted(map(tuple, made["monthly_capacity"].select("device_id", "ym", "capacity_median").collect()))
     Pipeline(spark, CFG, f"{tmp_path}/raw", f"{tmp_path}/out", models).run(1, 5, from_month="2024-06")
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out/monthly_capacity").select("device_id", "ym", "capacity_median").collect())) == before
+    assert {"kpis", "fleet_levels", "model_desc", "model_loop_axis", "model_soh80", "model_age_ticks", "model_loop_ticks", "retire_quarters", "r_drift_verdict", "full_vs_empty"} <= set(made)
+    assert made["fleet_levels"].count() == 1 and made["kpis"].count() == 1 and made["model_desc"].first()["c_nom"] == 40.0
+    report = spark.read.option("header", "true").csv(f"{tmp_path}/out/reports/by_model/model_trend")
+    assert report.where("model = 'X1'").count() == made["model_trend"].count() > 0 and (tmp_path / "out/reports/all/kpis").exists()
+    assert p.ledger.done("step1_5").count() == len(before)
     assert "<td>TEST</td>" in html_table(made["dashboard"], "x")
+    assert "1 of 12 rows" in html_table(spark.range(12), "x", 1) and "rows;" not in html_table(spark.range(12), "x")
     dry = Pipeline(spark, CFG, f"{tmp_path}/raw", f"{tmp_path}/dry", dry_run=True)
     dry.run(1, 8)
     assert not (tmp_path / "dry").exists()
@@ -173,6 +260,17 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
         p.run(5, 9)
 
 
+def test_command_line(spark, raw, tmp_path, monkeypatch):
+    raw.write.parquet(f"{tmp_path}/raw")
+    (tmp_path / "models.csv").write_text("电池id,电池型号\n11000001,X1\n11000002,X1\n11000003,X2\n", encoding="utf-8")
+    (tmp_path / "thresholds.json").write_text('{"soh": {"min_anchors_per_month": 2}}')
+    (tmp_path / "settings.json").write_text('{"chemistry": "NMC", "series": 21, "c_nom_spec": 40.0, "exclude": {"soh_low_ratio": 0.001}}')
+    out = f"{tmp_path}/out"
+    cli.main(["--source", f"{tmp_path}/raw", "--out", out, "--settings", f"{tmp_path}/settings.json", "--thresholds", f"{tmp_path}/thresholds.json", "--models", f"{tmp_path}/models.csv"])
+    assert (tmp_path / "out/buckets/_SUCCESS").exists()  # written by itself
+    assert spark.read.parquet(f"{out}/soh_analysis").select("model").distinct().count() == 2 and spark.read.parquet(f"{out}/reversed_devices").count() == 0
+
+
 def test_streams(spark, raw, tmp_path):
     nominal = spark.createDataFrame(c_nom_rows(), "channel string, device_id bigint, c_nom_bms double")
     whole = scored_anchors(raw, nominal, CFG)

@@ -28,22 +28,28 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--step", type=steps, default=(0, 8))
     p.add_argument("--from-month")
     p.add_argument("--dry-run", action="store_true")
-    p.add_argument("--prep", action="store_true", help="write the raw rows by device bucket first")
+    p.add_argument("--prep", action="store_true", help="only write the raw rows by device bucket; a run does so itself where that isn't done")
+    p.add_argument("--no-prep", action="store_true", help="read the source as it is")
     p.add_argument("--force", action="store_true", help="do so even if that was done")
     p.add_argument("--settings", help="JSON or YAML")
+    p.add_argument("--thresholds", help="JSON or YAML of thresholds under the settings")
+    p.add_argument("--ocv-tables", help="folder of OCV tables, {chemistry}_{series}s.csv with soc and ocv_v")
     p.add_argument("--models", help="CSV of devices and models")
     p.add_argument("--model-params", help="CSV of model parameters")
     a = p.parse_args(args)
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("voltarc").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    cfg = load_config(read_settings(a.settings) if a.settings else None, models=read_model_params(a.model_params) if a.model_params else None)
+    cfg = load_config(read_settings(a.settings) if a.settings else None, read_settings(a.thresholds) if a.thresholds else None, models=read_model_params(a.model_params) if a.model_params else None, ocv_dir=a.ocv_tables)
     source = a.source
-    if a.prep:
+    models = telemetry.read_model_map(spark, a.models) if a.models else None
+    if not a.no_prep:
         prepared = f"{a.out.rstrip('/')}/buckets"
-        if a.force or not telemetry.is_ready(spark, prepared):
-            telemetry.prepare(telemetry.scan(spark, source), prepared, channels=cfg.get("channels"))
-        source = prepared
-    Pipeline(spark, cfg, source, a.out, telemetry.read_model_map(spark, a.models) if a.models else None, a.dry_run).run(*a.step, from_month=a.from_month)
+        if (a.force or not telemetry.is_ready(spark, prepared)) and not a.dry_run:
+            telemetry.prepare(telemetry.scan(spark, source), prepared, models, cfg.get("channels"))
+        source = prepared if telemetry.is_ready(spark, prepared) else source
+    if a.prep:
+        return
+    Pipeline(spark, cfg, source, a.out, models, a.dry_run).run(*a.step, from_month=a.from_month)
 
 
 if __name__ == "__main__":

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import csv
 import json
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
+from functools import lru_cache
 from pathlib import Path
 from typing import Any
 
@@ -22,27 +23,34 @@ DEFAULTS: dict[str, Any] = {
     "filter": {"temp_range": [5.0, 45.0], "temp_normal_range": [15.0, 35.0], "cap_range_ratio": [0.65, 1.10], "cap_anomaly_ratio": [0.50, 1.20], "cap_normal_ratio": [0.75, 1.00]},
     "anchor": {
         "soc_full": 0.95, "soc_swap_full": 0.98, "soc_empty": 0.10, "v_full_ratio": 0.99, "v_cutoff_ratio": 1.05, "full_current_max_a": 5.0, "rest_c_rate": 0.02,
-        "duration_hours": 2.0, "gap_hours": 6.0, "deadband_a": 0.2, "sensor_drift_a": 2.0, "zero_frac": 0.90, "near_zero_a": 1.0,
+        "duration_hours": 2.0, "gap_hours": 6.0, "deadband_a": 0.2, "sensor_drift_a": 2.0, "current_zero_frac_limit": 0.90, "current_near_zero_a": 1.0,
     },
     "quality": {
         "score": {"SWAP_FULL": 20.0, "EMPTY_END": 20.0, "FULL_END": 15.0, "OCV": 10.0, "temp_normal": 5.0, "temp_out": -10.0, "cap_normal": 10.0, "cap_anomaly": -20.0, "v_normal": 10.0, "v_anomaly": -15.0, "contradiction": -15.0, "sensor_drift": -10.0},
-        "tier1_min": 30.0, "tier2_min": 10.0, "weight": {"SWAP_FULL": 1.0, "EMPTY_END": 1.0, "FULL_END": 0.8, "OCV": 0.5}, "tier2_weight": 0.3, "contradiction_ratio": 0.30, "closure_days": 7,
+        "tier1_min": 30.0, "tier2_min": 10.0, "severe_flags": ["out_of_range", "voltage_inconsistent", "anchor_conflict", "contradiction"], "weight": {"SWAP_FULL": 1.0, "EMPTY_END": 1.0, "FULL_END": 0.8, "OCV": 0.5}, "tier2_weight": 0.3, "contradiction_ratio": 0.30, "closure_days": 7,
     },
     "soh": {"mad_window": 7, "mad_threshold": 3.0, "monthly_drop_alert": 0.05, "min_anchors_per_month": 3, "anchor_mad_k": 3.0},
     "exclude": {"soh_low_ratio": 0.90},
     "retirement": {"soh_retire": 0.80, "health_levels": [0.85, 0.75, 0.65], "min_months": 3, "r2_min": 0.6, "ci_z": 1.96},
-    "monitoring": {"device_anchor_rate_min": 0.20, "channel_anchor_rate_min": 0.30, "channel_anchor_rate_mom": 0.30},
-    "selfcheck": {"r_cv": 0.02, "r_slope": 0.0005, "neg_loop": 0.01, "min_anchor_per_month": 3},
+    "monitoring": {"device_anchor_rate_min": 0.20, "channel_anchor_rate_min": 0.30, "channel_anchor_rate_drop_mom": 0.30},
+    "selfcheck": {"r_cv_dynamic": 0.02, "r_slope_eps": 0.0005, "neg_loopnum_frac": 0.01, "min_anchor_per_month": 3},
     "c_nom_spec": 37.0,
     "channels": [],
+    "source_path": None, "data_path": None, "device_filter": None, "model_params_path": None,
 }
 
 
-def merged(base: Mapping[str, Any], over: Mapping[str, Any]) -> dict[str, Any]:
-    """``over`` laid on ``base``, table by table."""
+#: Tables whose keys are names that a user may add to.
+OPEN = ("chemistry",)
+
+
+def merged(base: Mapping[str, Any], over: Mapping[str, Any], at: str = "") -> dict[str, Any]:
+    """``over`` laid on ``base``, table by table; a key that ``base`` doesn't know is an error, since nothing would read it."""
     out = dict(base)
     for k, v in over.items():
-        out[k] = merged(out[k], v) if isinstance(v, Mapping) and isinstance(out.get(k), Mapping) else v
+        if k not in base and at not in OPEN:
+            raise ValueError(f"unknown setting: {at}{'.' if at else ''}{k}")
+        out[k] = merged(out[k], v, f"{at}{'.' if at else ''}{k}") if isinstance(v, Mapping) and isinstance(out.get(k), Mapping) else v
     return out
 
 
@@ -71,6 +79,7 @@ class Found:
     v_cutoff: float | None = None
     reversed_devices: tuple[int, ...] = ()
     current_effectively_missing: bool = False
+    use_time_window: bool = False
 
 
 @dataclass(frozen=True)
@@ -78,6 +87,11 @@ class Config:
     values: Mapping[str, Any] = field(default_factory=lambda: DEFAULTS)
     found: Found = Found()
     models: Mapping[str, ModelParams] = field(default_factory=dict)
+    ocv_dir: str | None = None
+
+    def ocv_curve(self, chemistry: str | None = None, series: int | None = None) -> Curve:
+        """(SOC, cell voltage) of a chemistry, of the user's folder of tables if there is one."""
+        return ocv_curve(chemistry or self.chemistry, series or self.series, self.ocv_dir)
 
     def get(self, path: str, default: Any = None) -> Any:
         """The value at a dotted path."""
@@ -131,13 +145,20 @@ def validate(values: Mapping[str, Any]) -> None:
     need(a["duration_hours"] > 0 and a["gap_hours"] > 0, "anchor: durations must be positive")
     q = values["quality"]
     need(q["tier1_min"] > q["tier2_min"], "quality: tier1_min must be above tier2_min")
+    need(set(q["severe_flags"]) <= {"out_of_range", "voltage_inconsistent", "temp_out", "anchor_conflict", "sensor_drift", "contradiction"}, "quality: severe_flags must be flags")
     need({"SWAP_FULL", "EMPTY_END", "FULL_END", "OCV"} <= set(q["score"]), "quality: a score of each anchor type")
 
 
-def load_config(manual: Mapping[str, Any] | None = None, thresholds: Mapping[str, Any] | None = None, found: Found | None = None, models: Mapping[str, ModelParams] | None = None) -> Config:
-    values = merged(merged(DEFAULTS, thresholds or {}), manual or {})
+def load_config(manual: Mapping[str, Any] | None = None, thresholds: Mapping[str, Any] | None = None, found: Found | None = None, models: Mapping[str, ModelParams] | None = None, ocv_dir: str | None = None) -> Config:
+    """Defaults, then the thresholds, then the manual settings, which may also name the chemistry and the number of cells."""
+    manual = dict(manual or {})
+    own = {k: manual.pop(k) for k, kind in (("chemistry", str), ("series", int)) if isinstance(manual.get(k), kind)}
+    manual = {k: v for k, v in manual.items() if v is not None}
+    values = merged(merged(DEFAULTS, thresholds or {}), manual)
     validate(values)
-    return Config(values, found or Found(), models or {})
+    if own.get("chemistry", "LFP") not in values["chemistry"]:
+        raise ValueError(f"unknown chemistry: {own['chemistry']}")
+    return Config(values, replace(found or Found(), **own), models or {}, ocv_dir)
 
 
 def read_settings(path: str | Path) -> dict[str, Any]:
@@ -174,32 +195,36 @@ def read_model_params(path: str | Path, values: Mapping[str, Any] = DEFAULTS) ->
     return out
 
 
-#: Open-circuit voltage of a cell at SOC 0.00, 0.01, ... 1.00.
-OCV = {
-    "LFP": (
-        "2.8252 2.8287 2.8323 2.8358 2.8394 2.8429 2.8465 2.8501 2.8537 2.8573 2.8610 2.8647 2.8684 2.8721 2.8759 2.8797 2.8836 2.8875 2.8916 2.8957 "
-        "2.8999 2.9042 2.9087 2.9134 2.9182 2.9233 2.9286 2.9343 2.9402 2.9466 2.9535 2.9609 2.9689 2.9776 2.9871 2.9974 3.0087 3.0211 3.0347 3.0496 "
-        "3.0658 3.0834 3.1025 3.1231 3.1451 3.1685 3.1931 3.2189 3.2454 3.2726 3.3000 3.3274 3.3546 3.3811 3.4069 3.4315 3.4549 3.4769 3.4975 3.5166 "
-        "3.5342 3.5504 3.5653 3.5789 3.5913 3.6026 3.6129 3.6224 3.6311 3.6391 3.6465 3.6534 3.6598 3.6657 3.6714 3.6767 3.6818 3.6866 3.6913 3.6958 "
-        "3.7001 3.7043 3.7084 3.7125 3.7164 3.7203 3.7241 3.7279 3.7316 3.7353 3.7390 3.7427 3.7463 3.7499 3.7535 3.7571 3.7606 3.7642 3.7677 3.7713 3.7748"
-    ),
-    "NMC": (
-        "3.1209 3.1258 3.1309 3.1362 3.1416 3.1471 3.1527 3.1586 3.1645 3.1707 3.1770 3.1835 3.1901 3.1970 3.2040 3.2113 3.2187 3.2264 3.2343 3.2424 "
-        "3.2507 3.2592 3.2680 3.2770 3.2863 3.2958 3.3055 3.3155 3.3257 3.3361 3.3468 3.3577 3.3689 3.3803 3.3919 3.4037 3.4158 3.4280 3.4404 3.4531 "
-        "3.4658 3.4788 3.4919 3.5051 3.5184 3.5319 3.5454 3.5590 3.5726 3.5863 3.6000 3.6137 3.6274 3.6410 3.6546 3.6681 3.6816 3.6949 3.7081 3.7212 "
-        "3.7342 3.7469 3.7596 3.7720 3.7842 3.7963 3.8081 3.8197 3.8311 3.8423 3.8532 3.8639 3.8743 3.8845 3.8945 3.9042 3.9137 3.9230 3.9320 3.9408 "
-        "3.9493 3.9576 3.9657 3.9736 3.9813 3.9887 3.9960 4.0030 4.0099 4.0165 4.0230 4.0293 4.0355 4.0414 4.0473 4.0529 4.0584 4.0638 4.0691 4.0742 4.0791"
-    ),
-}
+#: SOC and cell voltage, point by point.
+Curve = tuple[tuple[float, ...], tuple[float, ...]]
+#: Tables of open-circuit voltage: fixed values, one row a point of SOC.
+OCV_DIR = Path(__file__).resolve().parent / "ocv_tables"
 
 
-def ocv_curve(chemistry: str) -> tuple[list[float], list[float]]:
-    """(SOC, voltage) of a chemistry's lookup curve."""
-    volts = [float(v) for v in OCV[chemistry].split()]
-    return [k / 100 for k in range(len(volts))], volts
-
-
-def validate_curve(soc: list[float], volts: list[float]) -> None:
+def read_curve(path: str | Path) -> Curve:
+    """A table with the columns soc and ocv_v (volts of a cell), sorted by soc and checked."""
+    with open(path, encoding="utf-8-sig", newline="") as f:
+        rows = csv.DictReader(f)
+        if not {"soc", "ocv_v"} <= set(rows.fieldnames or ()):
+            raise ValueError(f"{path}: an OCV table needs the columns soc and ocv_v")
+        points = sorted((float(r["soc"]), float(r["ocv_v"])) for r in rows)
+    soc, volts = tuple(p[0] for p in points), tuple(p[1] for p in points)
+    validate_curve(soc, volts)
+    return soc, volts
+
+
+@lru_cache(maxsize=64)
+def ocv_curve(chemistry: str, series: int | None = None, folder: str | None = None) -> Curve:
+    """The curve of a chemistry: of ``folder`` the table of that number of cells, else that of the chemistry, else our own."""
+    name = chemistry.lower()
+    tried = [Path(folder) / f"{name}_{series}s.csv", Path(folder) / f"{name}.csv"] if folder else []
+    for path in [*tried, OCV_DIR / f"{name}.csv"]:
+        if path.exists():
+            return read_curve(path)
+    raise FileNotFoundError(f"no OCV table for {chemistry}: {', '.join(map(str, tried)) or OCV_DIR}")
+
+
+def validate_curve(soc: Sequence[float], volts: Sequence[float]) -> None:
     """A curve that can be inverted: five points or more over [0.02, 0.98], SOC rising, voltage not falling."""
     if len(soc) < 5 or len(soc) != len(volts):
         raise ValueError("an OCV curve needs five points or more")

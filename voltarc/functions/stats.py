@@ -31,15 +31,17 @@ def mad_keep(df: DataFrame, keys: Sequence[str], value: str, k: float, out: str
     return with_median.withColumn("_scale", scale).withColumn(out, (F.col("_n") < 3) | (F.col("_scale") <= TINY) | (F.col("_dev") <= k * F.col("_scale"))).drop("_n", "_med", "_dev", "_scale")
 
 
-def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, ties: Sequence[str] = (), out: str = "weighted_median") -> DataFrame:
+def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str, out: str = "weighted_median") -> DataFrame:
     """Lower weighted median of each group: the first value, in order, at which half the weight is reached.
 
-    Groups whose weight isn't positive take the plain median. ``ties`` orders equal values, so that sums are reproducible.
+    Groups whose weight isn't positive take the plain median. Weights are added up by value before anything is ordered, so
+    that a group is as long as its distinct values.
     """
     g = Window.partitionBy(*keys)
-    run = g.orderBy(value, weight, *ties).rowsBetween(Window.unboundedPreceding, 0)
-    summed = df.where(F.col(value).isNotNull()).withColumns({"_cw": F.sum(weight).over(run), "_tw": F.sum(weight).over(g)})
-    return summed.groupBy(*keys).agg(F.when(F.max("_tw") > 0, F.min(F.when(F.col("_cw") >= F.col("_tw") * 0.5, F.col(value)))).otherwise(F.median(value)).alias(out))
+    held = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.sum(weight).alias("_w"), F.count("*").alias("_n"))
+    summed = held.withColumns({"_cw": F.sum("_w").over(g.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)), "_tw": F.sum("_w").over(g)})
+    plain = F.percentile("_v", F.lit(0.5), F.col("_n"))
+    return summed.groupBy(*keys).agg(F.when(F.max("_tw") > 0, F.min(F.when(F.col("_cw") >= F.col("_tw") * 0.5, F.col("_v")))).otherwise(plain).alias(out))
 
 
 def ols_slope(y: Column, x: Column, least: int) -> Column:

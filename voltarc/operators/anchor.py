@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import Config, ocv_curve
+from ..config import Config
 from ..functions.params import by_model
 from ..functions.series import rest_runs
 from ..functions.stats import finite, interpolated
@@ -25,7 +25,8 @@ def run(df: DataFrame, cfg: Config) -> DataFrame:
     v_cutoff = by_model(df, cfg, lambda p: p.v_cutoff, cfg.v_cutoff())
     series = by_model(df, cfg, lambda p: float(p.series), float(cfg.series))
     rest_a = by_model(df, cfg, lambda p: cfg.rest_current(p.c_nom_spec), cfg.rest_current())
-    chemistry = by_model(df, cfg, lambda p: p.chemistry, cfg.chemistry)
+    curves = list(dict.fromkeys([cfg.ocv_curve(), *(cfg.ocv_curve(p.chemistry, p.series) for p in cfg.models.values())]))
+    curve = by_model(df, cfg, lambda p: curves.index(cfg.ocv_curve(p.chemistry, p.series)), 0)
     soc, v, i = (finite(F.col(c)) for c in ("soc", "voltage", "current"))
     valid = F.coalesce(soc.isNotNull() & v.isNotNull() & i.isNotNull(), F.lit(False))
     timed = rest_runs(df, "device_id", "ts", valid & (F.abs(i) < rest_a), a["gap_hours"] * 3600, a["duration_hours"] * 3600)
@@ -37,9 +38,10 @@ def run(df: DataFrame, cfg: Config) -> DataFrame:
         "_d": F.col("run_end"),
     }
     marked = timed.withColumns({k: F.coalesce(c & valid, F.lit(False)) for k, c in test.items()})
-    curves = {name: ocv_curve(name) for name in ("LFP", "NMC")}
-    of = {name: interpolated(v / series, volts, axis) for name, (axis, volts) in curves.items()}
-    looked_up = F.least(F.greatest(F.when(chemistry == "NMC", of["NMC"]).otherwise(of["LFP"]), F.lit(0.02)), F.lit(0.98))
+    charge = interpolated(v / series, curves[0][1], curves[0][0])
+    for k, (axis, volts) in enumerate(curves[1:], 1):
+        charge = F.when(curve == k, interpolated(v / series, volts, axis)).otherwise(charge)
+    looked_up = F.least(F.greatest(charge, F.lit(0.02)), F.lit(0.98))
     marked = marked.withColumns({
         "anchor_type": F.when(F.col("_b"), "SWAP_FULL").when(F.col("_c"), "EMPTY_END").when(F.col("_a"), "FULL_END").when(F.col("_d"), "OCV").otherwise("NONE"),
         "soc_anchor": F.when(F.col("_d"), looked_up).when(F.col("_a"), F.greatest(soc, F.lit(0.95))).when(F.col("_c"), F.greatest(soc, F.lit(0.02))).when(F.col("_b"), F.lit(1.0)),

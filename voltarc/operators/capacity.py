@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.params import by_model
+from ..session import settle
 
 DEFAULT_C_NOM = 40.0
 
@@ -29,7 +30,9 @@ def run(anchors: DataFrame, c_nom: DataFrame, cfg: Config) -> DataFrame:
     cell_full = by_model(anchors, cfg, lambda p: p.cell_v_full, chem["cell_v_full"])
     lo, hi = cfg.get("filter.cap_range_ratio")
     cold, hot = cfg.get("filter.temp_range")
-    df = with_c_nom(anchors, c_nom, "model" if "model" in anchors.columns and cfg.models else None).where(F.col("anchor_type") != "NONE")
+    # written first: the fallback's median and the join read the anchors, not the telemetry behind them twice
+    only = settle(anchors.where(F.col("anchor_type") != "NONE"), "anchors")
+    df = with_c_nom(only, c_nom, "model" if "model" in anchors.columns and cfg.models else None)
     df = df.withColumn("capacity_raw", F.try_divide("remaining_ah", "soc_anchor"))
     df = df.withColumn("capacity_corrected", F.col("capacity_raw") * (1 + alpha * (t_ref - F.col("temperature"))))
     c, nom, t, cell = F.col("capacity_corrected"), F.col("c_nom_bms"), F.col("temperature"), F.col("voltage") / series

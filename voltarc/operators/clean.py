@@ -9,13 +9,17 @@ from ..config import Config
 from ..functions.series import gap_flag
 
 
-def run(df: DataFrame, cfg: Config) -> DataFrame:
+def run(df: DataFrame, cfg: Config, turned: DataFrame | None = None) -> DataFrame:
     """Raw rows to cleaned rows with invalid_loopnum, invalid_sensor, current_reversed, current_sensor_drift and time_gap.
 
     The zero offset of a device is the mean of its small currents, taken in a window: no join, one exchange on the device
-    that the gap window shares.
+    that the gap window shares. Devices with the wrong sign are those of ``turned`` (device_id), which Spark may broadcast if
+    it is small, and the few of the settings.
     """
     reversed_ = F.col("device_id").isin([int(d) for d in cfg.found.reversed_devices]) if cfg.found.reversed_devices else F.lit(False)
+    if turned is not None:
+        df = df.join(turned.select("device_id").distinct().withColumn("_turned", F.lit(True)), "device_id", "left")
+        reversed_ = reversed_ | F.coalesce("_turned", F.lit(False))
     df = df.where("ts IS NOT NULL").withColumns(
         {c: F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double")) for c in ("loop_count", "voltage", "temperature", "current")}
     )
@@ -32,4 +36,4 @@ def run(df: DataFrame, cfg: Config) -> DataFrame:
         "current_sensor_drift": F.coalesce(F.abs("_offset") > cfg.get("anchor.sensor_drift_a"), F.lit(False)),
         "loop_count": F.coalesce("loop_count", F.lit(0.0)),
     })
-    return gap_flag(df, "device_id", "ts", cfg.get("anchor.gap_hours")).drop("_i", "_offset")
+    return gap_flag(df, "device_id", "ts", cfg.get("anchor.gap_hours")).drop("_i", "_offset", "_turned")

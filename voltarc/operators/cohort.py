@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import Config
+from ..functions.params import by_model
 from ..functions.series import month_index, month_spine, month_text
 from ..functions.stats import nearest_quantile
 
@@ -79,7 +81,7 @@ def fleet(table: DataFrame, line: float = 0.80) -> DataFrame:
 
 
 def level_counts(forecast: DataFrame) -> DataFrame:
-    return forecast.groupBy("channel").pivot("health_level", list(LEVELS)).agg(F.count("*")).na.fill(0)
+    return forecast.groupBy("channel").pivot("health_level", list(LEVELS)).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def retire_months(forecast: DataFrame, table: DataFrame, line: float = 0.80, r2_min: float = 0.6) -> DataFrame:
@@ -134,6 +136,59 @@ def half_way(plan: DataFrame) -> DataFrame:
     return plan.withColumn("_d", F.abs(F.col("cum_retire") - 0.5 * total)).groupBy("model").agg(F.min_by("ym", F.struct("_d", "mi")).alias("half_ym"))
 
 
+def _met(df: DataFrame, x: Column, y: str, targets: Column) -> DataFrame:
+    """(model, target, at): where a model's curve first meets each target, between the points beside it."""
+    w = Window.partitionBy("model").orderBy("_x")
+    steps = df.withColumn("_x", x.cast("double")).where(F.col(y).isNotNull()).withColumns({"_px": F.lag("_x").over(w), "_py": F.lag(y).over(w)}).where(F.col("_py") != F.col(y))
+    hit = steps.withColumn("target", F.explode(targets))
+    hit = hit.where((F.col("_py") - F.col("target")) * (F.col(y) - F.col("target")) <= 0)
+    at = F.col("_px") + (F.col("target") - F.col("_py")) / (F.col(y) - F.col("_py")) * (F.col("_x") - F.col("_px"))
+    return hit.withColumn("_at", at).groupBy("model", "target").agg(F.min_by("_at", "_x").alias("at"))
+
+
+def loop_axis(trend: DataFrame, x: str, loops: str = "loop_median", step: int = 100) -> DataFrame:
+    """(model, loops, x_cross): where a model's loop curve first meets every ``step`` loops; months count as month indexes."""
+    at = month_index(x) if dict(trend.dtypes)[x] == "string" else F.col(x)
+    low, high = F.least("_py", F.col(loops)), F.greatest("_py", F.col(loops))
+    first = F.greatest(F.ceil(low / step), F.lit(1))
+    inside = F.when(F.floor(high / step) >= first, F.sequence(first, F.floor(high / step))).otherwise(F.array().cast("array<bigint>"))  # the steps between two points
+    met = _met(trend, at, loops, F.transform(inside, lambda k: (k * step).cast("double")))
+    return met.select("model", F.col("target").cast("long").alias("loops"), F.col("at").alias("x_cross"))
+
+
+def crossing_80(trend: DataFrame, x: str, line: float = 0.80, loops: str = "loop_median") -> DataFrame:
+    """(model, x_cross, loops_at): where a model's median state of health first meets ``line``, and the loops there."""
+    at = month_index(x) if dict(trend.dtypes)[x] == "string" else F.col(x)
+    met = _met(trend, at, "soh_median", F.array(F.lit(line))).select("model", F.col("at").alias("x_cross"))
+    w = Window.partitionBy("model").orderBy("_x")
+    points = trend.where(F.col(loops).isNotNull()).select("model", at.cast("double").alias("_x"), F.col(loops).cast("double").alias("_l")).withColumns({"_nx": F.lead("_x").over(w), "_nl": F.lead("_l").over(w), "_f": F.row_number().over(w)})
+    c, x0, x1 = F.col("x_cross"), F.col("_x"), F.col("_nx")
+    share = F.coalesce(F.least(F.greatest(F.try_divide(c - x0, x1 - x0), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    inner = met.join(points, "model", "left").where(x0.isNull() | ((x0 <= c) | (F.col("_f") == 1)) & (x1.isNull() | (c < x1)))  # the curve's ends go on level
+    return inner.select("model", "x_cross", (F.col("_l") + share * (F.coalesce("_nl", F.col("_l")) - F.col("_l"))).alias("loops_at"))
+
+
+def ticks(trend: DataFrame, x: str, first: int, step: int, shown: tuple[str, ...]) -> DataFrame:
+    """(model, tick, ...): for every tick within half a step of 1 of a model's points, the values ``shown`` of the nearest point.
+
+    Of two points equally near the lower one counts. Ticks begin at ``first`` or at the model's first point.
+    """
+    at = F.col(x).cast("double")
+    ends = trend.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))  # one row: all models share an axis
+    axis = ends.where("_hi IS NOT NULL").select(F.explode(F.sequence(F.lit(first), F.greatest(F.lit(first), F.col("_hi").cast("int")), F.lit(step))).alias("tick"), "_lo").where(F.col("tick") >= F.col("_lo") - 0.5)
+    own = trend.groupBy("model").agg(F.min(x).alias("_a"), F.max(x).alias("_b"))
+    wanted = axis.join(own, (F.col("tick") >= F.col("_a") - 0.5) & (F.col("tick") <= F.col("_b") + 0.5)).select("model", "tick")
+    near = wanted.join(trend.select("model", at.alias("_x"), *shown), "model").groupBy("model", "tick")
+    found = near.agg(F.min_by(F.struct(*shown), F.struct(F.abs(F.col("_x") - F.col("tick")), F.col("_x"))).alias("_s"))
+    return found.select("model", F.col("tick").cast("long").alias("tick"), *[F.col(f"_s.{c}").alias(c) for c in shown])
+
+
+def described(models: DataFrame, cfg: Config) -> DataFrame:
+    """(model, description, c_nom): chemistry and cells of a model in words, and its capacity; the fleet's if it has no sheet."""
+    text = by_model(models, cfg, lambda p: f"{'铁锂' if p.chemistry == 'LFP' else '三元'} {p.series}S", "")
+    return models.select("model", text.alias("description"), by_model(models, cfg, lambda p: float(p.c_nom_spec), float(cfg.get("c_nom_spec") or 37.0)).alias("c_nom"))
+
+
 def loop_cap(bins: DataFrame, share: float = 0.98, least: int = 800) -> DataFrame:
     """Per model the end of the loop axis that ``share`` of the devices stay within, in steps of 50."""
     w = Window.partitionBy("model").orderBy("loop_bin").rowsBetween(Window.unboundedPreceding, 0)

@@ -31,7 +31,8 @@ def weighted_median_of(value: str) -> Column:
 
 def aggregate(scored: DataFrame, least: int = 3, k: float = 3.0, from_month: str | None = None, keys: Sequence[str] = KEYS) -> DataFrame:
     """(channel, device_id, ym, ...) from scored anchors of tier 1 and 2. ``from_month`` prunes rows before they are grouped."""
-    df = scored.where((F.col("cap_tier") <= 2) & F.col("capacity_corrected").isNotNull()).withColumn("ym", F.date_format("ts", "yyyy-MM"))
+    df = scored if "ym" in scored.columns else scored.withColumn("ym", F.date_format("ts", "yyyy-MM"))  # a partition column prunes files
+    df = df.where((F.col("cap_tier") <= 2) & F.col("capacity_corrected").isNotNull())
     df = df.where(F.col("ym") >= from_month) if from_month else df
     if "model" not in df.columns:
         df = df.withColumn("model", F.lit("unknown"))

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config, Found
+from ..functions.params import by_model
 from ..functions.series import seconds
-from ..functions.stats import binned_mode, nearest_quantile
+from ..functions.stats import nearest_quantile
 
 SERIES = (16, 17, 20, 21, 24, 25)
 FLEET_SERIES = {"LFP": (24, 25), "NMC": (20, 21)}
@@ -92,11 +93,19 @@ def near_zero_current(df: DataFrame, amperes: float = 1.0) -> DataFrame:
 
 
 def c_nom(df: DataFrame, width: float = 0.5) -> DataFrame:
-    """(channel, device_id, c_nom_bms, n_rows, t0, t1): the commonest bin of R, and the device's span."""
+    """(channel, device_id, c_nom_bms, n_rows, t0, t1): the commonest bin of R, the lowest of equals, and the device's span; one scan.
+
+    Devices without a usable R don't come.
+    """
     keys = ["channel", "device_id"]
     r = F.when((F.col("soc") > 0.05) & (F.col("remaining_ah") > 0), F.col("remaining_ah") / F.col("soc"))
-    mode = binned_mode(df, keys, r, width).withColumnRenamed("mode", "c_nom_bms")
-    return mode.join(df.groupBy(*keys).agg(F.min("ts").alias("t0"), F.max("ts").alias("t1")), keys, "left")
+    bins = df.withColumn("_bin", F.floor(r / width) * width).groupBy(*keys, "_bin").agg(F.count("*").alias("_n"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+    used = F.col("_bin").isNotNull()
+    d = bins.groupBy(*keys).agg(
+        (F.max_by("_bin", F.when(used, F.struct(F.col("_n"), -F.col("_bin")))) + width / 2).alias("c_nom_bms"), F.sum(F.when(used, F.col("_n"))).alias("n_rows"),
+        F.min("t0").alias("t0"), F.max("t1").alias("t1"),
+    )
+    return d.where("c_nom_bms IS NOT NULL")
 
 
 def anchor_density(df: DataFrame, cfg: Config) -> DataFrame:
@@ -108,16 +117,46 @@ def anchor_density(df: DataFrame, cfg: Config) -> DataFrame:
 
 
 def verify_models(df: DataFrame, models: DataFrame, cfg: Config) -> DataFrame:
-    """(model, vmax, vmin, chemistry, series): what the voltages of each model's devices say, to be held against its sheet."""
+    """(model, vmax, vmin, chemistry, series): what the voltages of each model's devices say."""
     m = voltage_range(df.join(models, "device_id"), "model")
     best = infer_series(F.col("vmax"), F.col("vmin"), cfg)
     return m.withColumn("_b", best).select("model", "vmax", "vmin", F.col("_b.chemistry").alias("chemistry"), F.col("_b.series").alias("series"))
 
 
+def against_sheet(df: DataFrame, models: DataFrame, cfg: Config, least: int = 50) -> DataFrame:
+    """(model, chemistry, series, slope_per_cell, sheet_chemistry, sheet_series, ok): measured in mid-charge at small currents.
+
+    The chemistry goes by the median device's slope per declared cell, the series by the median highest and the nearest
+    5 % quantile of the devices' lowest voltages. Models that the sheet lacks have no declared values and aren't ok.
+    """
+    flat = df.where(F.col("soc").between(0.2, 0.8) & (F.abs("current") < 1)).join(models.select("device_id", "model"), "device_id")
+    y, x = F.col("voltage"), F.col("soc")
+    d = flat.groupBy("model", "device_id").agg(F.max("voltage").alias("vmax"), F.min("voltage").alias("vmin"), F.when(F.count("*") >= least, F.regr_slope(y, x)).alias("slope"))
+    m = d.groupBy("model").agg(F.median("vmax").alias("vmax"), nearest_quantile(F.col("vmin"), 0.05).alias("vmin"), F.coalesce(F.median("slope"), F.lit(0.0)).alias("slope"))
+    own = {k: by_model(m, cfg, lambda p, k=k: getattr(p, k), None) for k in ("chemistry", "series")}
+    m = m.withColumns({"sheet_chemistry": own["chemistry"].cast("string"), "sheet_series": own["series"].cast("int")})
+    per_cell = F.col("slope") / F.coalesce(F.col("sheet_series"), F.lit(1))
+    m = m.withColumns({"slope_per_cell": F.round(per_cell, 4), "chemistry": F.when(per_cell < PLATFORM_SLOPE, "LFP").otherwise("NMC")})
+    of = {name: infer_series(F.col("vmax"), F.col("vmin"), cfg, {name: SERIES})["series"] for name in FLEET_SERIES}
+    m = m.withColumn("series", F.when(F.col("chemistry") == "LFP", of["LFP"]).otherwise(of["NMC"]))
+    ok = F.coalesce((F.col("chemistry") == F.col("sheet_chemistry")) & (F.col("series") == F.col("sheet_series")), F.lit(False))
+    return m.select("model", "chemistry", "series", "slope_per_cell", "sheet_chemistry", "sheet_series", ok.alias("ok"))
+
+
+def reversed_devices(df: DataFrame) -> DataFrame:
+    """(device_id): devices whose current has the wrong sign."""
+    return current_sign(df).where("reversed").select("device_id")
+
+
+def use_time_window(df: DataFrame, cfg: Config) -> bool:
+    """Whether loop counts fall back so often that months must be grouped by time alone."""
+    return negative_loops(df).first()["frac_negative"] > cfg.get("selfcheck.neg_loopnum_frac")
+
+
 def decide(df: DataFrame, cfg: Config) -> Found:
-    """The one-row conclusions that later steps need."""
+    """The one-row conclusions that later steps need; ``reversed_devices`` is a table of its own."""
     r = r_summary(r_stats(df)).first()
-    dynamic = r["cv_median"] >= cfg.get("selfcheck.r_cv") or abs(r["slope_median"]) > cfg.get("selfcheck.r_slope")
+    dynamic = r["cv_median"] >= cfg.get("selfcheck.r_cv_dynamic") or abs(r["slope_median"]) > cfg.get("selfcheck.r_slope_eps")
     ranges = voltage_range(df, "device_id").agg(F.median("vmax").alias("vmax"), nearest_quantile(F.col("vmin"), 0.05).alias("vmin")).first()
     slope = platform_slope(df, 1.0).agg(F.median("slope").alias("s")).first()["s"]
     chemistry, series = cfg.found.chemistry, cfg.found.series
@@ -128,7 +167,6 @@ def decide(df: DataFrame, cfg: Config) -> Found:
         series = df.sparkSession.range(1).select(infer_series(F.lit(ranges["vmax"]), F.lit(ranges["vmin"]), cfg, own)["series"].alias("s")).first()["s"]
     density = anchor_density(df, cfg).first()["density"]
     route = "ABSOLUTE" if dynamic or density >= cfg.get("selfcheck.min_anchor_per_month") else "L2_TREND"
-    turned = tuple(x["device_id"] for x in current_sign(df).where("reversed").select("device_id").toLocalIterator())
-    missing = (near_zero_current(df).first()["frac_near_zero"] or 0.0) > cfg.get("anchor.zero_frac")
+    missing = (near_zero_current(df, cfg.get("anchor.current_near_zero_a")).first()["frac_near_zero"] or 0.0) > cfg.get("anchor.current_zero_frac_limit")
     p = cfg.chem_params(chemistry)
-    return Found(chemistry, series, "DYNAMIC" if dynamic else "CONSTANT", route, p["v_full"], p["v_cutoff"], turned, missing)
+    return Found(chemistry, series, "DYNAMIC" if dynamic else "CONSTANT", route, p["v_full"], p["v_cutoff"], cfg.found.reversed_devices, missing, use_time_window(df, cfg))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def run(points: DataFrame, cfg: Config) -> DataFrame:
         "f_sensor_drift": F.coalesce(F.array_contains("flags", "sensor_drift"), F.lit(False)),
         "f_contradiction": contradiction(c, F.col("_p"), F.col("_n"), q["contradiction_ratio"]),
     }).drop("_p", "_n")
-    df = df.withColumn("severe", F.col("f_out_of_range") | F.col("f_voltage_inconsistent") | F.col("f_anchor_conflict") | F.col("f_contradiction"))
+    df = df.withColumn("severe", reduce(lambda a, b: a | b, [F.col(f"f_{k}") for k in q["severe_flags"]], F.lit(False)))
     score = (
         by_kind(s)
         + F.when((t >= ncold) & (t <= nhot), s["temp_normal"]).when((t < cold) | (t > hot), s["temp_out"]).otherwise(0.0)

@@ -37,8 +37,19 @@ def decay(soh: DataFrame) -> DataFrame:
 
 
 def analysis(soh: DataFrame, cfg: Config) -> DataFrame:
-    kept = without(soh, exclusions(soh, cfg.get("exclude.soh_low_ratio")))
-    return kept.join(decay(kept), KEYS, "left")
+    """The months of devices that aren't excluded, with their decay: windows over one exchange, no table is read twice.
+
+    A device without a key is excluded as any other is, and has no decay, as a join on its key would give none.
+    """
+    g = Window.partitionBy(*KEYS)
+    y, x = F.col("soh"), month_index("ym").cast("double")
+    n, sxx, sxy, syy = (f.over(g) for f in (F.regr_count(y, x), F.regr_sxx(y, x), F.regr_sxy(y, x), F.regr_syy(y, x)))
+    df = soh.withColumns({"_n": F.count("*").over(g), "_max": F.max("soh").over(g), "_c": n, "_sxx": sxx, "_sxy": sxy, "_syy": syy, "_m": F.regr_slope(y, x).over(g)})
+    df = df.where(~((F.col("_n") >= 2) & (F.col("_max") < cfg.get("exclude.soh_low_ratio"))) | F.col("_max").isNull())
+    known = (F.col("_c") >= 3) & F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
+    r2 = F.when(F.col("_syy") > 0, F.coalesce(1 - (F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))) / F.col("_syy"), F.lit(0.0)))
+    df = df.withColumns({"decay_rate_pct_month": F.when(known, F.round(F.col("_m") * 100, 4)), "r_squared": F.when(known, F.round(r2, 4))})
+    return df.withColumn("decay_rate_pct_year", F.col("decay_rate_pct_month") * 12).drop("_n", "_max", "_c", "_sxx", "_sxy", "_syy", "_m")
 
 
 def drop_alerts(table: DataFrame, drop: float = 0.05) -> DataFrame:
@@ -80,7 +91,8 @@ def dashboard(scored: DataFrame, table: DataFrame) -> DataFrame:
 
 def consistency(table: DataFrame, least_months: int = 4, lagging_below: float = 0.3) -> DataFrame:
     """(channel, device_id, corr_with_group, lagging): each device's months against its channel's mean curve."""
-    mean = table.withColumn("_mean", F.avg("soh").over(Window.partitionBy("channel", "ym")))
+    curve = table.groupBy("channel", "ym").agg(F.avg("soh").alias("_mean"))  # partial sums: a month of a channel isn't one task's
+    mean = table.join(curve, ["channel", "ym"])
     months = table.groupBy("channel").agg(F.countDistinct("ym").alias("_months")).where(F.col("_months") >= least_months)
     r = mean.join(months, "channel", "left_semi").groupBy(*KEYS).agg(guarded_corr(F.col("soh"), F.col("_mean"), 4).alias("_r"))
     return r.select(*KEYS, F.round("_r", 4).alias("corr_with_group"), F.coalesce(F.col("_r") < lagging_below, F.lit(False)).alias("lagging"))

@@ -11,7 +11,7 @@ _W = "OVER (PARTITION BY device_id ORDER BY ts)"
 
 def _interp(v: str) -> str:
     """Inverse lookup of the NMC curve in SQL."""
-    xs, ys = f"{_VOLTS}::DOUBLE[]", f"{_AXIS}::DOUBLE[]"
+    xs, ys = f"{list(_VOLTS)}::DOUBLE[]", f"{list(_AXIS)}::DOUBLE[]"
     k = f"len(list_filter({xs}, lambda x: x <= {v}))"
     return f"(CASE WHEN {k} = 0 THEN {_AXIS[0]} WHEN {k} >= {len(_AXIS)} THEN {_AXIS[-1]} ELSE ({ys})[{k}] + ({v} - ({xs})[{k}]) * (({ys})[{k} + 1] - ({ys})[{k}]) / (({xs})[{k} + 1] - ({xs})[{k}]) END)"
 
@@ -81,9 +81,11 @@ CTES: dict[str, str] = {
         CASE WHEN count(*) >= 3 AND regr_syy(soh, mi) > 0 THEN round(coalesce(regr_r2(soh, mi), 0), 4) END AS r2 FROM kept GROUP BY ALL""",
     "az": "SELECT kept.*, dm, r2, dm * 12 AS dy, loop_median + 5 - device_id % 10 + device_id % 10 AS loop_max FROM kept JOIN dc USING (channel, device_id)",
     "f1": """SELECT channel, device_id, arg_max(soh, ym) AS soh_latest, max(ym) AS ye, max(mi) AS me, any_value(model) AS model, arg_max(loop_max, ym) AS loops, count(*) AS n, regr_slope(soh, mi) AS m,
-        avg(mi) AS x, avg(soh) AS y, CASE WHEN regr_syy(soh, mi) > 0 THEN coalesce(regr_r2(soh, mi), 0) ELSE 0 END AS r2 FROM az GROUP BY ALL""",
+        avg(mi) AS x, avg(soh) AS y, regr_syy(soh, mi) - coalesce(regr_slope(soh, mi), 0) * regr_sxy(soh, mi) AS ss, CASE WHEN regr_syy(soh, mi) > 0 THEN coalesce(regr_r2(soh, mi), 0) ELSE 0 END AS r2 FROM az GROUP BY ALL""",
     "fc": """SELECT *, CASE WHEN soh_latest >= 0.85 THEN '健康' WHEN soh_latest >= 0.75 THEN '关注' WHEN soh_latest >= 0.65 THEN '预警' ELSE '退役' END AS health_level,
         CASE WHEN n >= 3 AND m < -1e-12 THEN CAST(round_even(x + (0.8 - y) / m, 0) AS BIGINT) END AS pm, CASE WHEN n >= 3 THEN round(r2, 4) END AS rr FROM f1""",
+    "ci": """SELECT *, CASE WHEN pm IS NOT NULL THEN CAST(round_even(x + (0.8 + sp - y) / m, 0) AS BIGINT) END AS cl, CASE WHEN pm IS NOT NULL THEN CAST(round_even(x + (0.8 - sp - y) / m, 0) AS BIGINT) END AS ch
+        FROM (SELECT *, 1.96::DOUBLE * sqrt(greatest(ss, 0) / greatest(n - 2, 1)) AS sp FROM fc)""",
     "rt": "SELECT model, median(dy) AS rate FROM az GROUP BY ALL",
     "al": "SELECT median(dy) AS rate FROM az",
     "rm": """SELECT model, channel, device_id, CASE WHEN rr >= 0.6 AND pm IS NOT NULL THEN pm WHEN soh_latest <= 0.8 THEN me
@@ -93,10 +95,24 @@ CTES: dict[str, str] = {
     "s2": "SELECT sp.model, sp.mi, count(inw.retire_mi) AS new_retire FROM sp LEFT JOIN inw ON inw.model = sp.model AND inw.retire_mi = sp.mi GROUP BY ALL",
     "sd": "SELECT *, ((mi - 1) // 12) || '-' || lpad(((mi - 1) % 12 + 1)::VARCHAR, 2, '0') AS ym, sum(new_retire) OVER (PARTITION BY model ORDER BY mi ROWS UNBOUNDED PRECEDING)::BIGINT AS cum_retire FROM s2",
     "ag": "SELECT *, min(mi) OVER (PARTITION BY device_id) AS birth, mi - min(mi) OVER (PARTITION BY device_id) AS age_month, CAST(floor(loop_median / 25) AS BIGINT) AS loop_bin FROM az",
+    "tm": "SELECT model, mi, median(loop_median) AS l FROM az GROUP BY model, mi",
+    "ta": f"SELECT model, age_month AS x, median(soh) AS y, median(loop_median) AS l, {_nearest('loop_median', 0.25)} AS loop_p25, {_nearest('loop_median', 0.75)} AS loop_p75, {_nearest('birth', 0.25)} AS birth_p25, {_nearest('birth', 0.75)} AS birth_p75 FROM ag GROUP BY model, age_month",
+    "tl": f"SELECT model, loop_bin * 25 AS x, {_nearest('age_month', 0.25)} AS age_p25, {_nearest('age_month', 0.75)} AS age_p75, {_nearest('birth', 0.25)} AS birth_p25, {_nearest('birth', 0.75)} AS birth_p75 FROM ag GROUP BY model, loop_bin",
     "st": "SELECT model, health_level, device_id, loops, soh_latest AS soh FROM fc",
 }
 
 
+def _month(mi: str) -> str:
+    return f"(({mi} - 1) // 12) || '-' || lpad((({mi} - 1) % 12 + 1)::VARCHAR, 2, '0')"
+
+
+def _ticks(t: str, first: int, step: int, shown: str) -> str:
+    """Nearest points of the table ``t`` (model, x, ...) to ticks."""
+    return f"""WITH k AS (SELECT unnest(generate_series({first}, (SELECT greatest({first}, max(x)) FROM {t}), {step})) AS tick), o AS (SELECT model, min(x) AS a, max(x) AS b FROM {t} GROUP BY model),
+        n AS (SELECT model, tick, {shown}, row_number() OVER (PARTITION BY model, tick ORDER BY abs(x - tick), x) AS r FROM k JOIN o ON tick >= (SELECT min(x) FROM {t}) - 0.5 AND tick BETWEEN a - 0.5 AND b + 0.5 JOIN {t} USING (model))
+        SELECT model, tick, {shown} FROM n WHERE r = 1"""
+
+
 def _uses(text: str, known: list[str]) -> list[str]:
     import re
 
@@ -175,13 +191,15 @@ _RAW: dict[str, str] = {
     "full_vs_empty": """F1 SELECT device_id, round(fm, 9) AS full_median, round(em, 9) AS empty_median, round(fm / em - 1, 9) AS ratio, CASE WHEN abs(fm / em - 1) < 0.05 THEN 'ok' WHEN fm / em > 1 THEN 'full_high' ELSE 'empty_high' END AS verdict
         FROM fe WHERE (SELECT count(*) FROM fe) >= 3""",
     "r_drift": "R2 SELECT device_id, round(regr_slope(capacity_raw, x), 9) AS slope FROM rx GROUP BY device_id HAVING count(*) >= 4 AND regr_slope(capacity_raw, x) IS NOT NULL",
-    "retire_forecast": "SELECT channel, device_id, round(soh_latest, 9) AS soh_latest, health_level, CASE WHEN pm IS NOT NULL THEN ((pm - 1) // 12) || '-' || lpad(((pm - 1) % 12 + 1)::VARCHAR, 2, '0') END AS predicted_retire_month, rr AS r_squared FROM fc",
+    "retire_forecast": f"""SELECT channel, device_id, round(soh_latest, 9) AS soh_latest, health_level, CASE WHEN pm IS NOT NULL THEN {_month('pm')} END AS predicted_retire_month, rr AS r_squared,
+        CASE WHEN pm IS NOT NULL THEN {_month('cl')} END AS retire_ci_low, CASE WHEN pm IS NOT NULL THEN {_month('ch')} END AS retire_ci_high,
+        CASE WHEN n < 3 THEN '数据不足' WHEN NOT coalesce(m < -1e-12, false) THEN CASE WHEN r2 >= 0.6 THEN '无衰退趋势' ELSE '无衰退趋势（R²低）' END WHEN r2 < 0.6 THEN 'R²=' || round(r2, 3)::VARCHAR || '<0.6，仅供参考' ELSE '' END AS note FROM ci""",
     "cohort_months": f"SELECT model, ym, {_SOH}, median(loop_median) AS loop_median, max(loop_max) AS loop_max FROM az GROUP BY model, ym",
-    "cohort_decay": f"""E1 SELECT model, round(median(dy), 2) AS decay_pct_year_median, round({_nearest('dy', 0.25)}, 2) AS decay_pct_year_p25, round({_nearest('dy', 0.75)}, 2) AS decay_pct_year_p75,
-        any_value(dc_) AS device_count, round(any_value(s), 2) AS soh_start, round(any_value(l), 2) AS soh_latest FROM az JOIN en USING (model) GROUP BY model""",
+    "cohort_decay": f"""E1 SELECT model, round(median(dy), 9) + 0 AS decay_pct_year_median, round({_nearest('dy', 0.25)}, 9) + 0 AS decay_pct_year_p25, round({_nearest('dy', 0.75)}, 9) + 0 AS decay_pct_year_p75,
+        any_value(dc_) AS device_count, round(any_value(s), 9) AS soh_start, round(any_value(l), 9) AS soh_latest FROM az JOIN en USING (model) GROUP BY model""",
     "cohort_age": f"""SELECT model, age_month, {_SOH}, {_nearest('birth', 0.25)} AS birth_p25, {_nearest('birth', 0.75)} AS birth_p75, median(loop_median) AS loop_median, {_nearest('loop_median', 0.25)} AS loop_p25, {_nearest('loop_median', 0.75)} AS loop_p75 FROM ag GROUP BY model, age_month""",
     "cohort_loops": f"""SELECT model, loop_bin, {_SOH}, {_nearest('age_month', 0.25)} AS age_p25, {_nearest('age_month', 0.75)} AS age_p75, {_nearest('birth', 0.25)} AS birth_p25, {_nearest('birth', 0.75)} AS birth_p75, loop_bin * 25 AS loop_from, (loop_bin + 1) * 25 AS loop_to FROM ag GROUP BY model, loop_bin""",
-    "cohort_stages": f"SELECT model, health_level, count(DISTINCT device_id) AS device_count, median(loops) AS loops_median, {_nearest('loops', 0.10)} AS loops_p10, {_nearest('loops', 0.90)} AS loops_p90, round(median(soh), 9) AS soh_median FROM st GROUP BY model, health_level",
+    "cohort_stages": f"SELECT model, health_level, count(DISTINCT device_id) AS device_count, median(loops) AS loops_median, {_nearest('loops', 0.10)} AS loops_p10, {_nearest('loops', 0.90)} AS loops_p90, round(median(soh), 9) AS soh_median, CASE health_level WHEN '健康' THEN 0 WHEN '关注' THEN 1 WHEN '预警' THEN 2 WHEN '退役' THEN 3 ELSE 4 END AS stage_order FROM st GROUP BY model, health_level",
     "fleet_figures": f"L1 SELECT model, count(*) AS devices, min(e) AS first_month, min(s) AS data_from, {_QUARTILES}, count(*) FILTER (WHERE soh < 0.8) AS below_line, median(l) AS loop_median FROM la GROUP BY model",
     "retire_schedule": "SELECT model, mi, new_retire, ym, cum_retire FROM sd",
     "schedule_quarters": """Q1 SELECT model, quarter, new_retire, sum(new_retire) OVER (PARTITION BY model ORDER BY quarter ROWS UNBOUNDED PRECEDING)::BIGINT AS cum_retire FROM qq""",
@@ -196,6 +214,31 @@ _RAW: dict[str, str] = {
     "ocv_interp": f"SELECT event_id, round({_interp('(3.0::DOUBLE + value / 250.0::DOUBLE)')}, 9) AS soc FROM events",
     "sample_mod": "SELECT c_custkey, c_name FROM customer WHERE c_custkey % 25 = 0",
     "bucket_counts": "SELECT (c_custkey % 32)::INT AS bucket, count(*) AS n FROM customer GROUP BY ALL",
+    "cleaned_nulls": f"""WITH e AS (SELECT * EXCLUDE (voltage, temperature, current, loop_count), CASE WHEN event_id % 11 > 0 THEN voltage END AS voltage, CASE WHEN event_id % 17 > 0 THEN temperature END AS temperature,
+            CASE WHEN event_id % 7 > 0 THEN CASE WHEN device_id IN (3, 5, 7, 9) THEN -current ELSE current END END AS cur, CASE WHEN event_id % 19 > 0 THEN loop_count END AS loops FROM (SELECT * FROM t) WHERE event_id % 13 > 0),
+        o AS (SELECT *, avg(CASE WHEN abs(cur) <= 1 THEN cur END) OVER (PARTITION BY device_id) AS o FROM e)
+        SELECT event_id, coalesce(loops, 0) AS loop_count, voltage, temperature, round(cur - coalesce(o, 0), 9) + 0 AS current, loops IS NULL AS invalid_loopnum, voltage IS NULL OR temperature IS NULL OR cur IS NULL AS invalid_sensor,
+        device_id IN (3, 5, 7, 9) AS current_reversed, coalesce(abs(o) > 2, false) AS current_sensor_drift, coalesce(sec - lag(sec) {_W} > 21600, true) AS time_gap FROM o""",
+    "model_check": f"""WITH d AS (SELECT c_mktsegment AS model, device_id, max(voltage) AS vmax, min(voltage) AS vmin, CASE WHEN count(*) >= 3 THEN regr_slope(voltage, soc) END AS slope FROM (SELECT * FROM t) JOIN customer ON device_id = c_custkey WHERE soc BETWEEN 0.2 AND 0.8 AND abs(current) < 1 GROUP BY ALL),
+        m AS (SELECT model, median(vmax) AS vmax, {_nearest('vmin', 0.05)} AS vmin, coalesce(median(slope), 0) / CASE model WHEN 'BUILDING' THEN 24 ELSE 1 END AS pc FROM d GROUP BY model),
+        c AS (SELECT *, CASE WHEN pc < 0.35 THEN 'LFP' ELSE 'NMC' END AS chemistry FROM m),
+        o AS (SELECT * FROM (VALUES ('LFP', 3.65::DOUBLE, 2.6::DOUBLE), ('NMC', 4.2::DOUBLE, 3.0::DOUBLE)) a(chemistry, vf, vc) CROSS JOIN (SELECT unnest([16, 17, 20, 21, 24, 25]) AS series)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY abs(vmax / series - vf) + abs(vmin / series - vc), series) AS k FROM c JOIN o USING (chemistry))
+        SELECT model, chemistry, series, round(pc, 4) + 0 AS slope_per_cell, CASE WHEN model = 'BUILDING' THEN 'LFP' END AS sheet_chemistry, CASE WHEN model = 'BUILDING' THEN 24 END AS sheet_series, model = 'BUILDING' AND chemistry = 'LFP' AND series = 24 AS ok FROM r WHERE k = 1""",
+    "level_counts": "SELECT channel, " + ", ".join(f"count(*) FILTER (WHERE health_level = '{x}') AS \"{x}\"" for x in ("健康", "关注", "预警", "退役", "unknown")) + " FROM fc GROUP BY channel",
+    "kpis": f"""L1 SELECT (SELECT coalesce(sum(new_retire), 0)::BIGINT FROM s2 WHERE mi < {TODAY} + 12) AS next_12, (SELECT coalesce(sum(new_retire), 0)::BIGINT FROM s2) AS window_total,
+        (SELECT round(sum(q * n) / sum(n), 9) FROM (SELECT median(soh) AS q, count(*) AS n FROM la GROUP BY model)) AS soh_mean""",
+    "drift_verdict": """R2 SELECT count(*) AS devices, round(avg((s >= 0)::INT), 9) AS nonneg_share, CASE WHEN avg((s >= 0)::INT) > 0.7 THEN 'absolute_untrusted' ELSE 'ok' END AS verdict
+        FROM (SELECT regr_slope(capacity_raw, x) AS s FROM rx GROUP BY device_id HAVING count(*) >= 4 AND regr_slope(capacity_raw, x) IS NOT NULL)""",
+    "loop_axis": """WITH e AS (SELECT model, mi::DOUBLE AS x, l, lag(mi::DOUBLE) OVER w AS px, lag(l) OVER w AS pl FROM tm WINDOW w AS (PARTITION BY model ORDER BY mi)), k AS (SELECT unnest(generate_series(100, 5000, 100)) AS h)
+        SELECT model, h AS loops, round(arg_min(px + (h - pl) / (l - pl) * (x - px), x), 9) AS x_cross FROM e JOIN k ON pl <> l AND (pl - h) * (l - h) <= 0 GROUP BY model, h""",
+    "model_crossing_80": """WITH e AS (SELECT model, x::DOUBLE AS x, y, lag(x::DOUBLE) OVER w AS px, lag(y) OVER w AS py FROM ta WINDOW w AS (PARTITION BY model ORDER BY x)),
+        c AS (SELECT model, arg_min(px + (0.97 - py) / (y - py) * (x - px), x) AS xc FROM e WHERE py <> y AND (py - 0.97) * (y - 0.97) <= 0 GROUP BY model),
+        p AS (SELECT model, x::DOUBLE AS x, l, lead(x::DOUBLE) OVER w AS nx, lead(l) OVER w AS nl, row_number() OVER w AS f FROM ta WINDOW w AS (PARTITION BY model ORDER BY x))
+        SELECT model, round(xc, 9) AS x_cross, round(l + coalesce(least(greatest((xc - x) / (nx - x), 0), 1), 0) * (coalesce(nl, l) - l), 9) AS loops_at FROM c JOIN p USING (model) WHERE (x <= xc OR f = 1) AND (nx IS NULL OR xc < nx)""",
+    "age_ticks": _ticks("ta", 0, 2, "loop_p25, loop_p75, birth_p25, birth_p75"),
+    "loop_ticks": _ticks("tl", 50, 50, "age_p25, age_p75, birth_p25, birth_p75"),
+    "model_descriptions": "SELECT DISTINCT model, CASE model WHEN 'm0' THEN '铁锂 24S' WHEN 'm2' THEN '三元 21S' ELSE '' END AS description, CASE model WHEN 'm0' THEN 40.0 WHEN 'm2' THEN 36.5 ELSE 37.0 END::DOUBLE AS c_nom FROM mm",
     "dedup_events": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
 }
 

@@ -20,12 +20,15 @@ from ..sources import telemetry
 log = logging.getLogger("voltarc")
 
 
-def scored_anchors(raw: DataFrame, c_nom: DataFrame, cfg: Config, models: DataFrame | None = None) -> DataFrame:
-    """Raw rows to scored anchors: deduplicated, cleaned, labelled, measured and judged."""
-    df = telemetry.dedup(telemetry.coerce(raw))
+def scored_anchors(raw: DataFrame, c_nom: DataFrame, cfg: Config, models: DataFrame | None = None, turned: DataFrame | None = None) -> DataFrame:
+    """Raw rows to scored anchors: deduplicated, cleaned, labelled, measured and judged.
+
+    Rows are dealt by device once; deduplication and every window of a device use that exchange.
+    """
+    df = telemetry.dedup(telemetry.coerce(raw).repartition("device_id"))
     if models is not None:
-        df = df.join(models.groupBy("device_id").agg(F.min("model").alias("model")), "device_id", "left").withColumn("model", F.coalesce("model", F.lit("unknown")))
-    return quality.run(capacity.run(anchor.run(clean.run(df, cfg), cfg), c_nom, cfg), cfg)
+        df = df.join(models, "device_id", "left")
+    return quality.run(capacity.run(anchor.run(clean.run(df, cfg, turned), cfg), c_nom, cfg), cfg)
 
 
 def monthly_table(scored: DataFrame, cfg: Config, from_month: str | None = None) -> DataFrame:
@@ -36,7 +39,10 @@ class Pipeline:
     """Steps 0 to 8 over one output folder."""
 
     def __init__(self, spark: SparkSession, cfg: Config, source: str, out: str, models: DataFrame | None = None, dry_run: bool = False) -> None:
-        self.spark, self.cfg, self.source, self.out, self.models, self.dry_run = spark, cfg, source, out.rstrip("/"), models, dry_run
+        self.spark, self.cfg, self.source, self.out, self.dry_run = spark, cfg, source, out.rstrip("/"), dry_run
+        self.models = None if models is None else telemetry.model_map(models)
+        self.turned: DataFrame | None = None
+        self.ledger = telemetry.Ledger(spark, self.path("progress"))
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -57,9 +63,15 @@ class Pipeline:
         """Step 0, on about one device in 25 (all of them if that leaves none)."""
         raw = self.raw()
         part = telemetry.sampled(raw)
-        found = profile.decide(part if part.limit(1).count() else raw, self.cfg)
+        part = part if part.limit(1).count() else raw
+        found = profile.decide(part, self.cfg)
         self.cfg = replace(self.cfg, found=found)
         log.info("profile: %s", json.dumps(asdict(found)))
+        self.turned = self.keep(profile.reversed_devices(part), "reversed_devices")
+        if self.models is not None and self.cfg.models:
+            checked = self.keep(profile.against_sheet(part, self.models, self.cfg), "model_check")
+            for r in checked.where("NOT ok").collect():  # a row a model
+                log.warning("model %s measures as %s/%s, its sheet says %s/%s; the sheet counts", r["model"], r["chemistry"], r["series"], r["sheet_chemistry"], r["sheet_series"])
         if not self.dry_run:
             self.spark.createDataFrame([(json.dumps(asdict(found)),)], "value string").coalesce(1).write.mode("overwrite").text(self.path("profile"))
         return self.cfg
@@ -67,7 +79,9 @@ class Pipeline:
     def anchors(self, from_month: str | None = None) -> DataFrame:
         """Steps 1 to 4. With ``from_month`` only those months' partitions are replaced."""
         raw = self.raw()
-        scored = scored_anchors(raw, profile.c_nom(raw).select("channel", "device_id", "c_nom_bms"), self.cfg, self.models).withColumn("ym", F.date_format("ts", "yyyy-MM"))
+        if self.models is not None:
+            telemetry.require_models(raw, self.models)
+        scored = scored_anchors(raw, profile.c_nom(raw).select("channel", "device_id", "c_nom_bms"), self.cfg, self.models, self.turned).withColumn("ym", F.date_format("ts", "yyyy-MM"))
         scored = scored.where(F.col("ym") >= from_month) if from_month else scored
         return self.keep(scored.repartition("ym", F.pmod(F.xxhash64("device_id"), F.lit(16))), "observation", ("ym",), dynamic=bool(from_month))
 
@@ -86,6 +100,8 @@ class Pipeline:
         if first <= 5 <= last:
             made["observation"] = self.anchors(from_month)
             made["monthly_capacity"] = self.months(made["observation"], from_month)
+            if not self.dry_run:
+                self.ledger.mark(made["monthly_capacity"], "step1_5")
         scored = made.get("observation") or (self.spark.read.parquet(self.path("observation")) if last >= 6 else None)
         if last >= 6:
             table = made.get("monthly_capacity") or self.spark.read.parquet(self.path("monthly_capacity"))
@@ -97,27 +113,46 @@ class Pipeline:
             made["soh_alert"] = self.keep(trend.alerts(made["soh_analysis"], scored, self.cfg), "soh_alert")
             made["dashboard"] = self.keep(trend.dashboard(scored, made["soh_analysis"]), "dashboard")
             made["group_consistency"] = self.keep(trend.consistency(made["soh_analysis"]), "group_consistency")
+            made["full_vs_empty"] = self.keep(trend.full_vs_empty(scored), "full_vs_empty")
+            made["r_drift"] = self.keep(trend.r_drift(scored), "r_drift")
+            made["r_drift_verdict"] = self.keep(trend.r_drift_verdict(made["r_drift"]), "r_drift_verdict")
         if last >= 8:
             made["retirement_forecast"] = self.keep(retirement.forecast(made["soh_analysis"], self.cfg), "retirement_forecast")
             made |= self.reports(made["soh_analysis"], made["retirement_forecast"])
         return made
 
     def reports(self, table: DataFrame, forecast: DataFrame) -> dict[str, DataFrame]:
-        """The tables behind the cohort and schedule reports."""
-        months = cohort.retire_months(forecast, table)
+        """The tables behind the cohort and schedule reports, and as CSV files, of all models and of each."""
+        months = self.keep(cohort.retire_months(forecast, table), "retire_months")
         latest = table.agg(F.max("ym").alias("ym")).first()["ym"]
-        made = {"model_trend": cohort.by_month(table), "model_decay_stats": cohort.decay_stats(table), "model_age_trend": cohort.by_age(table), "model_loop_trend": cohort.by_loops(table), "model_stage_loops": cohort.by_stage(table, forecast), "fleet": cohort.fleet(table)}
+        made = {name: self.keep(df, name) for name, df in (
+            ("model_trend", cohort.by_month(table)), ("model_decay_stats", cohort.decay_stats(table)), ("model_age_trend", cohort.by_age(table)), ("model_loop_trend", cohort.by_loops(table)),
+            ("model_stage_loops", cohort.by_stage(table, forecast)), ("fleet", cohort.fleet(table)), ("fleet_levels", cohort.level_counts(forecast)), ("model_desc", cohort.described(table.select("model").distinct(), self.cfg)),
+        )}
+        made["model_loop_axis"] = self.keep(cohort.loop_axis(made["model_trend"], "ym"), "model_loop_axis")
+        made["model_soh80"] = self.keep(cohort.crossing_80(made["model_age_trend"], "age_month"), "model_soh80")
+        made["model_age_ticks"] = self.keep(cohort.ticks(made["model_age_trend"], "age_month", 0, 2, ("loop_p25", "loop_p75", "birth_p25", "birth_p75")), "model_age_ticks")
+        made["model_loop_ticks"] = self.keep(cohort.ticks(made["model_loop_trend"], "loop_from", 50, 50, ("age_p25", "age_p75", "birth_p25", "birth_p75")), "model_loop_ticks")
         if latest:
             today = int(latest[:4]) * 12 + int(latest[5:])
-            made["retire_schedule"] = cohort.schedule(months, today)
-            made["retire_outside"] = cohort.outside(months, today)
-        return {name: self.keep(df, name) for name, df in made.items()}
+            made["retire_schedule"] = self.keep(cohort.schedule(months, today), "retire_schedule")
+            made["retire_outside"] = self.keep(cohort.outside(months, today), "retire_outside")
+            made["retire_quarters"] = self.keep(cohort.by_quarter(made["retire_schedule"]), "retire_quarters")
+            made["kpis"] = self.keep(cohort.kpis(made["retire_schedule"], made["fleet"], today), "kpis")
+        if not self.dry_run:
+            for name, df in made.items():
+                telemetry.write_csv(df, self.path(f"reports/all/{name}"))
+                if name.startswith("model_") and name != "model_desc":
+                    telemetry.write_csv(df, self.path(f"reports/by_model/{name}"), ("model",))
+        return made
 
 
 def html_table(df: DataFrame, title: str, most: int = 10_000) -> str:
-    """A small report table as a page; rows beyond ``most`` belong in a file."""
+    """A report table as a page. Of a longer one the page shows ``most`` rows, and says how many there are and that a file has them."""
     import html
 
     rows = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in df.limit(most).toLocalIterator())
     head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><table><tr>{head}</tr>{rows}</table>"
+    total = df.count()
+    more = f"<p>{most} of {total} rows; the table's files have all of them</p>" if total > most else ""
+    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><table><tr>{head}</tr>{rows}</table>{more}"

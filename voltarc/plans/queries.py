@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config, Found, load_config, ocv_curve
+from ..config import Config, Found, ModelParams, load_config, ocv_curve
 from ..functions import series, stats
 from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, trend, validation
+from ..session import settle
 from ..sources import telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,10 @@ TELEMETRY_COLUMNS = {
     "temperature": "cast((event_id * 17) % 60 - 5 as double)", "remaining_ah": "((event_id * 37) % 101) / {hundred} * (36 + user_id % 5) + ((event_id * 11) % 20) / {ten}",
 }
 CONFIG: Config = load_config(found=Found("NMC", 21, "DYNAMIC", "ABSOLUTE", 88.2, 63.0, (7, 9)))
+#: The same with sheets of two models and of a market segment.
+SHEETS: Config = load_config(found=CONFIG.found, models={
+    "m0": ModelParams("m0", "LFP", 24, 40.0, 87.6, 62.4, 3.65), "m2": ModelParams("m2", "NMC", 21, 36.5, 88.2, 63.0, 4.2), "BUILDING": ModelParams("BUILDING", "LFP", 24, 40.0, 87.6, 62.4, 3.65),
+})
 TODAY = 2001 * 12 + 1
 
 
@@ -78,13 +83,19 @@ def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trend.analysis(smoothed(spark, sf_dir), CONFIG)
 
 
+def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analysed months as a table, for queries that read them more than once."""
+    return settle(analysed(spark, sf_dir), "analysed")
+
+
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retirement.forecast(analysed(spark, sf_dir), CONFIG)
 
 
 def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table_ = analysed(spark, sf_dir)
-    return cohort.schedule(cohort.retire_months(retirement.forecast(table_, CONFIG), table_), TODAY)
+    table_ = settled(spark, sf_dir)
+    months_ = settle(cohort.retire_months(retirement.forecast(table_, CONFIG), table_), "retire-months")
+    return cohort.schedule(months_, TODAY)
 
 
 def monthly_weighted_median(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +110,7 @@ def monthly_weighted_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weighted_median_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     df = li.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return rounded(stats.weighted_median(df, ["p_brand"], "l_extendedprice", "l_quantity", ["l_orderkey", "l_linenumber"], "price"))
+    return rounded(stats.weighted_median(df, ["p_brand"], "l_extendedprice", "l_quantity", "price"))
 
 
 def gap_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +118,21 @@ def gap_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(clean.run(rows(spark, sf_dir), CONFIG), "event_id", "loop_count", "voltage", "temperature", "current", "invalid_loopnum", "invalid_sensor", "current_reversed", "current_sensor_drift", "time_gap")
+    return rounded(clean.run(rows(spark, sf_dir), CONFIG), *CLEANED)
+
+
+CLEANED = ("event_id", "loop_count", "voltage", "temperature", "current", "invalid_loopnum", "invalid_sensor", "current_reversed", "current_sensor_drift", "time_gap")
+
+
+def cleaned_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 and P6 on rows with missing times and sensors and with text for numbers; turned devices come as a table."""
+    e, k = rows(spark, sf_dir), F.col("event_id")
+    e = e.withColumns({
+        "ts": F.when(k % 13 > 0, F.col("ts")), "voltage": F.when(k % 11 > 0, F.col("voltage")), "temperature": F.when(k % 17 > 0, F.col("temperature").cast("string")).otherwise("n/a"),
+        "current": F.when(k % 7 > 0, F.col("current")).when(k % 2 == 0, F.lit(float("nan"))), "loop_count": F.when(k % 19 > 0, F.col("loop_count").cast("string")).otherwise("?"),
+    })
+    turned = spark.createDataFrame([(3,), (5,), (5,)], "device_id bigint")
+    return rounded(clean.run(e, CONFIG, turned), *CLEANED)
 
 
 def rest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +200,12 @@ def series_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.verify_models(rows(spark, sf_dir), models, CONFIG))
 
 
+def model_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C20: measured chemistry and series of each model against its sheet."""
+    models = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("device_id"), F.col("c_mktsegment").alias("model"))
+    return rounded(profile.against_sheet(rows(spark, sf_dir), models, SHEETS, 3))
+
+
 def rolling_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = series.rolling_mad(months(spark, sf_dir), soh.KEYS, "ym", "capacity_median", 7, 3.0)
     return rounded(df, "device_id", "ym", "is_spike", "cleaned")
@@ -226,7 +257,7 @@ def r_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retire_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(forecast(spark, sf_dir), "channel", "device_id", "soh_latest", "health_level", "predicted_retire_month", "r_squared")
+    return rounded(forecast(spark, sf_dir))
 
 
 def cohort_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,8 +265,7 @@ def cohort_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cohort_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = cohort.decay_stats(analysed(spark, sf_dir))
-    return df.select(*[F.round(c, 2).alias(c) if k == "double" else F.col(c) for c, k in df.dtypes])
+    return rounded(cohort.decay_stats(settled(spark, sf_dir)))
 
 
 def cohort_age(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,8 +277,8 @@ def cohort_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cohort_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = analysed(spark, sf_dir)
-    return rounded(cohort.by_stage(t, retirement.forecast(t, CONFIG)))
+    t = settled(spark, sf_dir)
+    return rounded(cohort.by_stage(t, retirement.forecast(t, CONFIG)).withColumn("stage_order", cohort.stage_order(F.col("health_level"))))
 
 
 def fleet_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,15 +294,57 @@ def schedule_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule_milestones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = plan(spark, sf_dir)
+    p = settle(plan(spark, sf_dir), "plan")
     return cohort.peak_month(p).join(cohort.half_way(p), "model")
 
 
 def retire_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = analysed(spark, sf_dir)
+    t = settled(spark, sf_dir)
     return cohort.outside(cohort.retire_months(retirement.forecast(t, CONFIG), t), TODAY)
 
 
+def level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices of each channel at each health level."""
+    return cohort.level_counts(forecast(spark, sf_dir))
+
+
+def kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures at a report's head."""
+    t = settled(spark, sf_dir)
+    months_ = cohort.retire_months(retirement.forecast(t, CONFIG), t)
+    return rounded(cohort.kpis(cohort.schedule(settle(months_, "retire-months"), TODAY), cohort.fleet(t), TODAY))
+
+
+def drift_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether absolute capacities can be trusted."""
+    return rounded(trend.r_drift_verdict(trend.r_drift(scored(spark, sf_dir))))
+
+
+def loop_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each model's loop curve meets the hundreds."""
+    return rounded(cohort.loop_axis(cohort.by_month(analysed(spark, sf_dir)), "ym"))
+
+
+def model_crossing_80(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age and loops at which a model's median state of health meets the line, here 0.97 of it."""
+    return rounded(cohort.crossing_80(settle(cohort.by_age(analysed(spark, sf_dir)), "ages"), "age_month", 0.97))
+
+
+def age_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values beside every second month of age."""
+    return rounded(cohort.ticks(settle(cohort.by_age(analysed(spark, sf_dir)), "ages"), "age_month", 0, 2, ("loop_p25", "loop_p75", "birth_p25", "birth_p75")))
+
+
+def loop_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values beside every fifty loops."""
+    return rounded(cohort.ticks(settle(cohort.by_loops(analysed(spark, sf_dir)), "bins"), "loop_from", 50, 50, ("age_p25", "age_p75", "birth_p25", "birth_p75")))
+
+
+def model_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model in words."""
+    return cohort.described(months(spark, sf_dir).select("model").distinct(), SHEETS)
+
+
 def loop_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.loop_cap(cohort.by_loops(analysed(spark, sf_dir)), least=100)
 
@@ -310,7 +382,9 @@ def sample_mod(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").groupBy(F.pmod("c_custkey", F.lit(32)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+    """Rows of each bucket that raw rows are written to."""
+    devices = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("device_id"))
+    return telemetry.with_bucket(devices).groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,5 +398,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     mode_bin, r_statistics, gap_quantiles, sign_and_zero, profile_figures, nominal_capacity, platform_slopes, series_inference, rolling_mad, pava_monthly, leading_trim, soh_series,
     excluded_devices, ols_decay, soh_drop_alerts, anchor_rate_alerts, channel_dashboard, group_consistency, full_vs_empty, r_drift, retire_forecast, cohort_months, cohort_decay,
     cohort_age, cohort_loops, cohort_stages, fleet_figures, retire_schedule, schedule_quarters, schedule_milestones, retire_outside, loop_caps, crossing_80, worst_mom_drop,
-    null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events,
+    null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events, cleaned_nulls, model_check, level_counts, kpis, drift_verdict, loop_axis, model_crossing_80,
+    age_ticks, loop_ticks, model_descriptions,
 )}

@@ -20,10 +20,22 @@ class SchemaError(ValueError):
     """A required column is missing."""
 
 
+def _status(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, wherever it lies; none if it isn't one."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) and fs.getFileStatus(at).isDirectory() else []
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files below ``path``; nanosecond timestamps come as numbers and are turned by ``coerce``."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+    """Parquet files below ``path``, in folders of any depth; nanosecond timestamps come as numbers and are turned by ``coerce``.
+
+    Folders written by ``prepare`` keep their ``bucket`` column, so that a filter on it prunes files.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")  # files with nanoseconds can't be read otherwise
+    bucketed = any(n.startswith("bucket=") for n in _status(spark, path))
+    reader = spark.read if bucketed else spark.read.option("recursiveFileLookup", "true")
+    return reader.parquet(path)
 
 
 def from_wire(df: DataFrame) -> DataFrame:
@@ -57,12 +69,25 @@ def coerce(df: DataFrame, declared: Mapping[str, str] | None = None) -> DataFram
     return df.select(*extra, *[(_cast(df, n, t) if n in df.columns else F.lit(None).cast(t)).alias(n) for n, t in declared.items()])
 
 
+def of_devices(df: DataFrame, devices: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of ``devices`` (device_id); of bucketed files those of other buckets aren't read."""
+    wanted = devices.select("device_id").distinct()
+    if "bucket" not in df.columns:
+        return df.join(wanted, "device_id", "left_semi")
+    held = [r["bucket"] for r in wanted.select(_bucket(buckets)).distinct().collect()]  # at most ``buckets`` numbers
+    return df.where(F.col("bucket").isin(held)).join(wanted, "device_id", "left_semi")
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod("device_id", F.lit(buckets)).cast("int").alias("bucket")
+
+
 def scan(spark: SparkSession, path: str, devices: DataFrame | None = None) -> DataFrame:
     """Raw rows of a file or folder, names checked, types coerced, kept to ``devices`` (device_id) if given. No deduplication."""
     df = from_wire(read_parquet(spark, path))
     require(df)
     df = coerce(df)
-    return df if devices is None else df.join(devices.select("device_id").distinct(), "device_id", "left_semi")
+    return (df if devices is None else of_devices(df, devices)).drop("bucket")
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = ("device_id", "ts")) -> DataFrame:
@@ -84,9 +109,14 @@ def whitelisted(df: DataFrame, channels: Sequence[str]) -> DataFrame:
 def prepare(df: DataFrame, path: str, devices: DataFrame | None = None, channels: Sequence[str] = (), buckets: int = BUCKETS) -> None:
     """Filter and write raw rows by device bucket, so that later reads of some devices prune the rest."""
     kept = whitelisted(df if devices is None else df.join(devices.select("device_id").distinct(), "device_id", "left_semi"), channels)
-    bucketed = kept.withColumn("bucket", F.pmod("device_id", F.lit(buckets)).cast("int"))
-    # two salts a bucket and task keep a large device from making one huge file
-    bucketed.repartition("bucket", F.pmod(F.xxhash64("device_id"), F.lit(8))).write.mode("overwrite").partitionBy("bucket").option("maxRecordsPerFile", 5_000_000).parquet(path)
+    # eight salts a bucket keep a large device from making one huge file
+    dealt = with_bucket(kept, buckets).repartition("bucket", F.pmod(F.xxhash64("device_id"), F.lit(8)))
+    dealt.write.mode("overwrite").partitionBy("bucket").option("maxRecordsPerFile", 5_000_000).parquet(path)
+
+
+def with_bucket(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Adds the bucket that a device's rows are written to."""
+    return df.select("*", _bucket(buckets))
 
 
 def is_ready(spark: SparkSession, path: str) -> bool:
@@ -104,19 +134,35 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = (), fmt: str
 
 
 def read_dir(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
-    reader = spark.read.format(fmt).option("header", "true")
+    """All files of a folder and of the folders in it."""
+    reader = spark.read.format(fmt).option("header", "true").option("recursiveFileLookup", "true")
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A small report table as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """A small report table as CSV with a header: one file, or one for each value of ``by`` in a folder of its own."""
+    if by:
+        df.repartition(*by).write.mode("overwrite").option("header", "true").partitionBy(*by).csv(path)
+    else:
+        df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+
+
+def model_map(df: DataFrame) -> DataFrame:
+    """(device_id, model), each device once; a device with two models is an error."""
+    devices = df.where("device_id IS NOT NULL AND model IS NOT NULL").groupBy("device_id").agg(F.min("model").alias("model"), F.max("model").alias("_other"))
+    return devices.select("device_id", F.when(F.col("model") == F.col("_other"), F.col("model")).otherwise(F.raise_error(F.concat(F.lit("two models of device "), F.col("device_id").cast("string")))).alias("model"))
 
 
 def read_model_map(spark: SparkSession, path: str) -> DataFrame:
-    """(device_id, model), each device once: a device with two models keeps the alphabetically first."""
     raw = spark.read.schema("`电池id` bigint, `电池型号` string").option("header", "true").option("enforceSchema", "false").csv(path)
-    return raw.select(F.col("电池id").alias("device_id"), F.col("电池型号").alias("model")).groupBy("device_id").agg(F.min("model").alias("model"))
+    return model_map(raw.select(F.col("电池id").alias("device_id"), F.col("电池型号").alias("model")))
+
+
+def require_models(df: DataFrame, models: DataFrame, shown: int = 20) -> None:
+    """An error that names some of the devices without a model, if there are any."""
+    missing = df.select("device_id").distinct().join(models, "device_id", "left_anti").limit(shown).collect()
+    if missing:
+        raise ValueError(f"devices without a model: {', '.join(sorted(str(r['device_id']) for r in missing))}")
 
 
 def read_c_nom(spark: SparkSession, path: str) -> DataFrame:
@@ -124,6 +170,35 @@ def read_c_nom(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("channel string, device_id bigint, c_nom_bms double").option("header", "true").csv(path)
 
 
+class Ledger:
+    """What is done, by (step, channel, device_id, ym): an append-only table of marks, of which the latest counts."""
+
+    SCHEMA = "step string, channel string, device_id bigint, ym string, status string, marked_at timestamp"
+    KEYS = ("step", "channel", "device_id", "ym")
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def mark(self, rows: DataFrame, step: str, status: str = "done") -> None:
+        """Append a mark for each distinct (channel, device_id, ym) of ``rows``; what it lacks counts as ALL."""
+        have = {c: F.col(c).cast(t) if c in rows.columns else F.lit("ALL" if t == "string" else None).cast(t) for c, t in (("channel", "string"), ("device_id", "bigint"), ("ym", "string"))}
+        marks = rows.select(*[x.alias(c) for c, x in have.items()]).distinct()
+        marks.select(F.lit(step).alias("step"), *have, F.lit(status).alias("status"), F.current_timestamp().alias("marked_at")).write.mode("append").parquet(self.path)
+
+    def state(self) -> DataFrame:
+        """(step, channel, device_id, ym, status), one row a key."""
+        if not _status(self.spark, self.path):
+            return self.spark.createDataFrame([], self.SCHEMA).drop("marked_at")
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path).groupBy(*self.KEYS).agg(F.max_by("status", "marked_at").alias("status"))
+
+    def done(self, step: str) -> DataFrame:
+        return self.state().where((F.col("step") == step) & (F.col("status") == "done"))
+
+    def pending(self, step: str) -> DataFrame:
+        """(channel, device_id, ym) with another mark than done."""
+        return self.state().where((F.col("step") == step) & (F.col("status") != "done")).select("channel", "device_id", "ym")
+
+
 def pending(devices: DataFrame, progress: DataFrame, step: str) -> DataFrame:
     """Devices without a ``done`` row of a step in the progress table (step, device_id, status)."""
     done = progress.where((F.col("step") == step) & (F.col("status") == "done"))
