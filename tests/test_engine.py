@@ -196,6 +196,25 @@ def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].count("Exchange hashpartitioning")
 
 
+def test_intermediate_tables(spark, monkeypatch):
+    from voltarc import session
+
+    table = session.settle(spark.range(5), "t")
+    assert table.count() == 5
+    session.unsettle(table)
+    with pytest.raises(Exception, match="(?i)file|path"):
+        table.where("id > 1").count()
+    session.unsettle(spark.range(3))  # not settled: nothing to delete
+    assert session.quoted("a.b`c") == "`a.b``c`" and spark.range(1).withColumnRenamed("id", "a.b").select(*session.all_columns(spark.range(1).withColumnRenamed("id", "a.b"))).columns == ["a.b"]
+    for master, good in (("local[4]", True), ("local", True), ("local-cluster[2,1,512]", False), ("yarn", False)):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        if good:
+            assert session.shared_dir(spark).startswith("file:")
+        else:
+            with pytest.raises(RuntimeError, match="checkpoint"):
+                session.shared_dir(spark)
+
+
 def test_plans(spark, raw, tmp_path):
     """What is pruned, and how often rows move."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of an Arrow batch to or from a Python worker; a session that has chosen its own bound keeps it.
-ARROW_BATCH_BYTES = 4 << 20
+ARROW_BATCH_BYTES = 2 << 20
 _ARROW_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
 _ARROW_DEFAULT = 64 << 20
 
@@ -43,13 +46,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; one of our own only where none is set, as in tests."""
+    """The folder that spark.checkpoint.dir names. Without one a session in one process, as in tests, gets its own; a cluster gets an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
-        _OWN_DIR[app] = "file://" + tempfile.mkdtemp(prefix="voltarc-")
+        own = tempfile.mkdtemp(prefix="voltarc-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN_DIR[app] = "file://" + own
     return _OWN_DIR[app]
 
 
