@@ -1,5 +1,7 @@
 """Stages on seeded telemetry, end to end runs, configuration and sources."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,7 +198,7 @@ def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].count("Exchange hashpartitioning")
 
 
-def test_intermediate_tables(spark, monkeypatch):
+def test_intermediate_tables(spark):
     from voltarc import session
 
     table = session.settle(spark.range(5), "t")
@@ -206,13 +208,14 @@ def test_intermediate_tables(spark, monkeypatch):
         table.where("id > 1").count()
     session.unsettle(spark.range(3))  # not settled: nothing to delete
     assert session.quoted("a.b`c") == "`a.b``c`" and spark.range(1).withColumnRenamed("id", "a.b").select(*session.all_columns(spark.range(1).withColumnRenamed("id", "a.b"))).columns == ["a.b"]
-    for master, good in (("local[4]", True), ("local", True), ("local-cluster[2,1,512]", False), ("yarn", False)):
-        monkeypatch.setattr(spark.sparkContext, "master", master)
+    for master, named, good in (("local[4]", None, True), ("local", None, True), ("local-cluster[2,1,512]", None, False), ("yarn", None, False), ("yarn", "hdfs://x/y/", True)):
+        conf = SimpleNamespace(get=lambda *_, named=named: named)
+        other = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda conf=conf: conf, master=master, applicationId="test"))
         if good:
-            assert session.shared_dir(spark).startswith("file:")
+            assert session.shared_dir(other).startswith("hdfs://x/y" if named else "file:/")
         else:
             with pytest.raises(RuntimeError, match="checkpoint"):
-                session.shared_dir(spark)
+                session.shared_dir(other)
 
 
 def test_plans(spark, raw, tmp_path):
