@@ -76,7 +76,8 @@ def test_components_equal_brute_force(spark, monkeypatch, width, percent, member
     df = spark.createDataFrame([(a, b, "x") for a, b in rows], "doc_id long, text string, n_shingles string").repartition(5)
     got = S.jaccard_components(df, width, percent).collect()
     assert len(got) == len(rows)
-    want = sorted(brute(rows, width, percent)[r] + (r[0],) for r in [(a, b) for a, b in rows] if r[0] is not None)
+    plain = brute(rows, width, percent)
+    want = sorted((*plain[r], r[0]) for r in rows if r[0] is not None)
     assert sorted((r.n_shingles, r.component_id, r.doc_id) for r in got if r.doc_id is not None) == want
     assert [r.component_id for r in got if r.doc_id is None] == [None]
 
@@ -138,3 +139,38 @@ def test_short_texts_are_one_shingle():
     h, counts = S.shingle_sets(data, off, 4)
     assert counts.tolist() == [1, 1, 1, 1, 0, 2, 1]
     assert h[1] == h[2] and len({h[0], h[1], h[3], h[6]}) == 4
+
+
+def test_stage_judges_repeated_ids_by_their_texts(spark):
+    words = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcd"]
+    rows = [(1, words[0]), (1, words[1]), (1, words[2]), (1, words[1] + " tail"), (2, words[1]), (3, words[3]), (3, words[3]), (3, None), (3, ""), (4, words[3] + " x")]
+    df = spark.createDataFrame([(a, b, 7, "y") for a, b in rows], "doc_id long, text string, mark int, `a.b` string")
+    got = S.keep_one(spark, df, "")
+    assert got.columns == df.columns
+    found = [(r["doc_id"], r["text"], r["mark"], r["a.b"]) for r in got.collect()]
+    assert all(x[2:] == (7, "y") for x in found)
+    texts = [x[:2] for x in found]
+    assert sorted(map(str, texts)) == sorted(map(str, [(1, words[0]), (1, words[2]), *[x for x in texts if x in ((1, words[1]), (1, words[1] + " tail"))], (3, words[3]), (3, None), (3, "")]))
+    assert sum(t in ((1, words[1]), (1, words[1] + " tail")) for t in texts) == 1  # one of a group's two texts
+
+
+@pytest.mark.parametrize("members", [3000, 3])
+def test_repeated_rows_of_one_id_make_one_set(spark, monkeypatch, members):
+    monkeypatch.setattr(S, "BLOCK_MEMBERS", members)
+    base = [f"w{k}" for k in range(80)]
+    rows = [(9, " ".join(base))] * 40 + [(k, " ".join([*base[: 79 - k % 3], f"z{k}"])) for k in range(8)] + [(9, "another text of this id " * 4)] * 3
+    got = S.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = brute(rows, 4, 85)
+    by_size = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got)
+    assert by_size == sorted((d, *want[d, t]) for d, t in rows)
+
+
+def test_components_of_paths_and_hubs(spark):
+    from voltarc.llm.graph import components
+
+    rng = random.Random(4)
+    path = rng.sample(range(1000), 400)
+    edges = [(a, b) for a, b in zip(path, path[1:], strict=False)] + [(5000, k) for k in range(5001, 5400)] + [(7000, 7000)]
+    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[k] for k in path} == {min(path)} and {got[k] for k in range(5000, 5400)} == {5000} and 7000 not in got and len(got) == 800
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import settle, ship
+from ..session import all_columns, settle, ship, unsettle
 from . import _text as X
 from ._chunks import ragged
 from .graph import components
@@ -43,11 +43,11 @@ CLASS_RATIO = 1.5
 #: Signatures that a map task combines at once.
 COMBINE = 1 << 19
 #: Members and shingles of a block, or of a chunk of a larger block, in one task.
-BLOCK_MEMBERS = 6000
-BLOCK_SHINGLES = 3 << 20
+BLOCK_MEMBERS = 3000
+BLOCK_SHINGLES = 1 << 20
 #: First sets of a block over that limit, of which the one with the most links stands for its group.
 PIVOTS = 4
-#: Blocks over that limit whose first sets, PIVOTS each, may be broadcast; with more of them Spark chooses.
+#: Tables of one row a block with at most so many rows may be broadcast; beyond that Spark chooses.
 SMALL_BLOCK_LIST = 64
 #: Cost of passing an entry of a long list, and of probing for one more candidate, relative to one call of a probe.
 MERGE_COST = 0.0005
@@ -55,8 +55,10 @@ PROBE_COST = 0.01
 #: Ways to cut a set into parts; the first leaves out the COMMON commonest shingles that are found COMMON_FROM times or more.
 CUTS = 8
 COMMON = 1 << 18
-#: Bits of the filter that keeps texts without candidates out of the shuffle; an exact join follows it.
-FILTER_BITS = 1 << 24
+#: Bits of the filter that keeps texts without candidates out of the shuffle: so many a candidate, and at most so many in
+#: all; beyond that more texts pass. An exact join follows it.
+FILTER_BITS_EACH = 16
+FILTER_BITS = 1 << 26
 COMMON_FROM = 16
 
 
@@ -134,7 +136,7 @@ class Scheme:
         return np.searchsorted(self.edges, sizes)
 
     def signatures(self, h: np.ndarray, counts: np.ndarray, keys: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(odd 64-bit signature, key of its set) of all sets of a block; ``common``: the commonest shingles, sorted."""
+        """(odd signature, key of its set) of all sets of a block; ``common``: the commonest shingles, sorted."""
         own, up = self.class_of(counts), self.class_of(counts * 100 // self.percent)
         rare = np.ones(h.size, bool)
         if common.size and h.size:
@@ -176,7 +178,7 @@ class Scheme:
                         out_key.append(np.full(gone.size, keys[which[k]]))
                 use = np.zeros(counts.size, bool)
                 use[which[lacking]] = True
-        sig = np.concatenate([np.zeros(0, np.uint64), *out_sig]) | np.uint64(1)
+        sig = (np.concatenate([np.zeros(0, np.uint64), *out_sig]) >> np.uint64(8)) | np.uint64(1)  # 56 bits: a byte less for each in the shuffle
         return sig.view(np.int64), np.concatenate([np.zeros(0, np.int64), *out_key])
 
 
@@ -194,26 +196,27 @@ def _combined(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def with_sets(docs: DataFrame, sets_of: SetsOf) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, set_key) of each row, set_key 0 for the empty set; and the commonest shingles.
+    """(doc_id, mark, n_shingles, set_key) of each row, a hash of its text as its mark and set_key 0 for the empty set; and the commonest shingles.
 
     Shingles are counted over all documents by lossy counting: of every COMBINE shingles of different sets, those found
-    more than once are sent on. The COMMON commonest of them change the order of the search, never its result.
+    more than once are sent on. The commonest of them, at most COMMON, change the order of the search, never its result.
     """
     ship(docs.sparkSession)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
         pool, pooled, seen = [], 0, set()
 
         def counted() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(pool), return_counts=True)
             found, n = found[n > 1].view(np.int64), n[n > 1]
             none = pa.nulls(found.size, pa.int64())
-            return pa.RecordBatch.from_arrays([none.cast(key_type), none, none, pa.array(found), pa.array(n)], names=names)
+            return pa.RecordBatch.from_arrays([none.cast(key_type), none, none, none, pa.array(found), pa.array(n)], names=names)
 
         for batch in batches:
             key_type = batch.schema.field(0).type
             n, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for _, _, data, off in X.blocks(X.text_column(batch.column(1))):
+            for _, _, data, off in X.blocks(X.text_column(batch.column(2))):
                 h, counts = sets_of(data, off)
                 own = set_keys(h, counts)
                 new = np.zeros(own.size, bool)
@@ -229,15 +232,27 @@ def with_sets(docs: DataFrame, sets_of: SetsOf) -> tuple[DataFrame, np.ndarray]:
                 keys.append(own)
             n, keys = np.concatenate(n), np.concatenate(keys)
             none = pa.nulls(n.size, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(keys), none, none], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(keys), none, none], names=names)
         if pooled:
             yield counted()
 
-    names = ["doc_id", "n_shingles", "set_key", "shingle", "n"]
+    names = ["doc_id", "mark", "n_shingles", "set_key", "shingle", "n"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    both = settle(docs.select("doc_id", "text").mapInArrow(keyed, f"doc_id {kind}, n_shingles bigint, set_key bigint, shingle bigint, n bigint"), "sets")
-    common = both.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "shingle").limit(COMMON)
-    return both.where("shingle IS NULL").select("doc_id", "n_shingles", "set_key"), np.sort(common.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+    both = settle(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(keyed, f"doc_id {kind}, mark bigint, n_shingles bigint, set_key bigint, shingle bigint, n bigint"), "sets")
+    counted = settle(both.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM), "common")
+    step = F.floor(F.log2("n") * 16)
+    common = counted.where(step > F.lit(_step_above(counted.groupBy(step.alias("at")).agg(F.count("*").alias("rows")).collect(), COMMON)))
+    return both.where("shingle IS NULL").select("doc_id", "mark", "n_shingles", "set_key"), np.sort(common.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
+def _step_above(histogram: list, most: int) -> int:
+    """The step above which a histogram of (at, rows) holds no more than ``most`` rows."""
+    total = 0
+    for row in sorted(histogram, key=lambda r: -r["at"]):
+        total += row["rows"]
+        if total > most:
+            return row["at"]
+    return -1
 
 
 def block_edges(docs: DataFrame, sets_of: SetsOf, percent: int, common: np.ndarray) -> DataFrame:
@@ -246,6 +261,7 @@ def block_edges(docs: DataFrame, sets_of: SetsOf, percent: int, common: np.ndarr
     shared = docs.sparkSession.sparkContext.broadcast(common)  # at most COMMON hashes
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
         scheme, sigs, keys, held = Scheme(percent), [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -363,13 +379,21 @@ def merge_short(lists: list[np.ndarray], low: int, high: int, m: int) -> np.ndar
     return out
 
 
-def _search(percent: int):  # noqa: ANN202
+def _sets_of_texts(texts: pa.Array, keys: np.ndarray, sets_of: SetsOf) -> list[np.ndarray | None]:
+    """The set of each text; None where it isn't the one of that key, since another row has the same doc_id."""
+    out: list[np.ndarray | None] = []
+    for a, b, data, off in X.blocks(X.text_column(texts)):
+        h, counts = sets_of(data, off)
+        end = np.cumsum(counts)
+        same = set_keys(h, counts) == keys[a:b]
+        out += [h[e - n : e].copy() if ok else None for e, n, ok in zip(end.tolist(), counts.tolist(), same.tolist(), strict=True)]
+    return out
+
+
+def _search(percent: int, sets_of: SetsOf):  # noqa: ANN202
     """Runs divide_skip on each (block, task) of rows sorted by it; edges from each set to the first of its component."""
 
-    def solved(rows: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]) -> pa.RecordBatch:
-        keys = np.concatenate([r[0] for r in rows])
-        known = np.concatenate([r[1] for r in rows])
-        sets = [s for r in rows for s in r[2]]
+    def solved(keys: np.ndarray, known: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
         _, once = np.unique(keys, return_index=True)
         keys, known, sets = keys[once], known[once], [sets[k] for k in once]
         _, root = np.unique(known, return_inverse=True)
@@ -382,105 +406,126 @@ def _search(percent: int):  # noqa: ANN202
         return pa.RecordBatch.from_arrays([pa.array(keys[more]), pa.array(low[more])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        X.begin()
+        now, keys, known, sets = None, [], [], []
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if len(keys) > 1:
+                yield solved(np.array(keys, np.int64), np.array(known, np.int64), sets)
+            for x in (keys, known, sets):
+                x.clear()
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            block, task, keys, known = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            shingles = batch.column(4)
-            flat, at = shingles.values.to_numpy(zero_copy_only=False).view(np.uint64), shingles.offsets.to_numpy()
+            block, task, key, root = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            found = _sets_of_texts(batch.column(4), key, sets_of)
             border = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (task[1:] != task[:-1])))
             for a, b in zip(border.tolist(), [*border[1:].tolist(), block.size], strict=True):
-                if now != (block[a], task[a]) and rows:
-                    yield solved(rows)
-                    rows = []
+                if now != (block[a], task[a]):
+                    yield from ended()
                 now = (block[a], task[a])
-                rows.append((keys[a:b].copy(), known[a:b].copy(), [flat[at[k] : at[k + 1]].copy() for k in range(a, b)]))
-        if rows:
-            yield solved(rows)
+                for k in range(a, b):
+                    if found[k] is not None and (not keys or keys[-1] != key[k]):  # repeated rows of a doc_id come one after another
+                        keys.append(int(key[k]))
+                        known.append(int(root[k]))
+                        sets.append(found[k])
+        yield from ended()
 
     return run
 
 
-def _with_shingles(docs: DataFrame, members: DataFrame, sets_of: SetsOf) -> DataFrame:
-    """(block, set_key, shingles) of the members (set_key, doc_id, block), from the text of that document.
+def _with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(block, set_key, n, chunks, text) of the members (set_key, doc_id, n, block, chunks).
 
-    A bit array over the members' doc_ids, at most FILTER_BITS, keeps most other texts from being sent.
+    A bit array over the members' doc_ids, joined by its words, keeps most other texts from being sent. Where a doc_id
+    repeats, a member meets all its texts; the search leaves those out that have another key.
     """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = members.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {FILTER_BITS}) & 63 AS int))").alias("bits"))
-    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    array = np.zeros(FILTER_BITS // 64, np.int64)
-    array[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(array)
-
-    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(1).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1))
-            for a, b, data, off in X.blocks(X.text_column(batch.column(2))):
-                h, counts = sets_of(data, off)
-                offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(set_keys(h, counts)), pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64)))], names=["doc_id", "set_key", "shingles"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.where("doc_id IS NOT NULL").select("doc_id", bit.alias("bit"), "text").mapInArrow(built, f"doc_id {kind}, set_key bigint, shingles array<bigint>")
-    return rows.join(members.select("doc_id", "set_key", "block"), ["doc_id", "set_key"]).select("block", "set_key", "shingles")
+    wanted = members.count() * FILTER_BITS_EACH
+    bits = min(FILTER_BITS, 1 << max(16, wanted.bit_length()))
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    at = (F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    words = members.select(*at).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", *at)
+    rows = rows.join(F.broadcast(words), "word").where(F.expr("shiftright(bits, bit) & 1 = 1"))  # at most FILTER_BITS / 64 words
+    return rows.select("doc_id", "text").join(members.select("doc_id", "set_key", "n", "block", "chunks"), "doc_id").select("block", "set_key", "n", "chunks", "text")
 
 
 def link_sets(docs: DataFrame, sets: DataFrame, sets_of: SetsOf, percent: int, common: np.ndarray) -> DataFrame:
     """(id, root): the component of each set that is linked with another, by set keys."""
     blocks = settle(components(block_edges(docs, sets_of, percent, common)), "blocks")
     first = sets.where("set_key <> 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
-    members = settle(first.join(blocks.select(F.col("id").alias("set_key"), F.col("root").alias("block")), "set_key"), "members")
+    inside = settle(first.join(blocks.select(F.col("id").alias("set_key"), F.col("root").alias("block")), "set_key"), "members")
     chunks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    large = settle(members.groupBy("block").agg(F.count("*").alias("members"), chunks.alias("chunks")).where("chunks > 1"), "large")
+    large = settle(inside.groupBy("block").agg(F.count("*").alias("members"), chunks.alias("chunks")).where("chunks > 1"), "large")
     blocks_cut = large.count()
-    small = members.join(large, "block", "left_anti") if blocks_cut else members
-    rows = _with_shingles(docs, small, sets_of).select("block", F.lit(0).alias("task"), "set_key", F.col("set_key").alias("known"), "shingles")
-    found = settle(rows.repartition("block").sortWithinPartitions("block").mapInArrow(_search(percent), "a bigint, b bigint"), "links")
+    sent_to_all = F.broadcast if blocks_cut <= SMALL_BLOCK_LIST else (lambda df: df)
+    small = inside.join(sent_to_all(large), "block", "left_anti") if blocks_cut else inside
+    rows = _with_texts(docs, small.withColumn("chunks", F.lit(1))).select("block", F.lit(0).alias("task"), "set_key", F.col("set_key").alias("known"), "text")
+    found = settle(rows.repartition("block").sortWithinPartitions("block", "set_key").mapInArrow(_search(percent, sets_of), "a bigint, b bigint"), "links")
     if not blocks_cut:
         return components_of_stars(found)
-    of_large = settle(_with_shingles(docs, settle(members.join(large.select("block"), "block", "left_semi"), "members"), sets_of), "shingles")
-    return components(found.unionByName(large_links(of_large, large, percent, blocks_cut <= SMALL_BLOCK_LIST)))
+    cut = settle(inside.join(sent_to_all(large), "block").select("set_key", "doc_id", "n", "block", "chunks"), "members")
+    return components(found.unionByName(large_links(_with_texts(docs, cut), cut, sets_of, percent, blocks_cut)))
 
 
-def large_links(members: DataFrame, large: DataFrame, percent: int, few: bool) -> DataFrame:
-    """Star edges between linked sets of blocks that are cut into chunks: members (block, set_key, shingles), large (block, members, chunks).
+def large_links(texts: DataFrame, members: DataFrame, sets_of: SetsOf, percent: int, n_blocks: int) -> DataFrame:
+    """Star edges between linked sets of blocks that are cut into chunks: texts (block, set_key, n, chunks, text) of members.
 
     Members linked to the best of the block's PIVOTS first sets take it as their known root; the others are strays. Only
     strays are searched, against each other and against every chunk: a huge group of near copies costs a few comparisons a
-    member. ``few``: there are no more blocks than SMALL_BLOCK_LIST, so that what there is of each block may be broadcast.
+    member. Pivots are copied to each chunk of their block, and meet the members there; no side is broadcast.
     """
-    sent_to_all = F.broadcast if few else (lambda df: df)
-    drawn = members.groupBy("block").agg(F.array(*[F.min(F.struct(F.xxhash64("set_key", F.lit(k)), F.col("set_key").alias("pivot")))["pivot"] for k in range(PIVOTS)]).alias("pivots"))
-    keys = drawn.select("block", F.explode(F.array_distinct("pivots")).alias("set_key"))
-    pivots = settle(members.join(sent_to_all(keys), ["block", "set_key"]).select("block", F.col("set_key").alias("pivot"), F.col("shingles").alias("pivot_shingles")).dropDuplicates(["block", "pivot"]), "pivots")
+    drawn = members.groupBy("block", "chunks").agg(F.array(*[F.min(F.struct(F.xxhash64("set_key", F.lit(k)), F.col("set_key").alias("pivot")))["pivot"] for k in range(PIVOTS)]).alias("pivots"))
+    drawn = settle(drawn.select("block", "chunks", F.explode(F.array_distinct("pivots")).alias("set_key")), "drawn")
+    dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("set_key"), "chunks").cast("int")).select("block", "chunk", "chunks", "set_key", "text")
+    small = n_blocks <= SMALL_BLOCK_LIST  # then the few rows (block, set_key) of the pivots may go to all
+    dealt = settle(dealt, "dealt")
+    pivots = dealt.join((F.broadcast if small else (lambda df: df))(drawn.select("block", "set_key")), ["block", "set_key"], "left_semi")
+    pivots = pivots.select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "chunks", "set_key", "text")
+    both = pivots.withColumn("member", F.lit(False)).unionByName(dealt.withColumn("member", F.lit(True)))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
+        now, pivots, last = None, {}, None
         for batch in batches:
-            sides = [(batch.column(k).values.to_numpy(zero_copy_only=False), batch.column(k).offsets.to_numpy()) for k in (3, 4)]
-            linked = np.zeros(batch.num_rows, bool)
+            block, chunk, key = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3))
+            member = batch.column(5).to_numpy(zero_copy_only=False)
+            found = _sets_of_texts(batch.column(4), key, sets_of)
+            out, row = [], []
             for k in range(batch.num_rows):
-                x, y = (v[o[k] : o[k + 1]] for v, o in sides)
-                linked[k] = (100 + percent) * np.intersect1d(x, y, assume_unique=True).size >= percent * (x.size + y.size)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(linked)], names=["block", "set_key", "pivot", "shingles", "linked"])
-
-    def met(with_pivots: DataFrame) -> DataFrame:
-        joined = members.join(sent_to_all(with_pivots), "block").select("block", "set_key", "pivot", "shingles", "pivot_shingles")
-        return joined.mapInArrow(near, "block bigint, set_key bigint, pivot bigint, shingles array<bigint>, linked boolean")
-
-    best = met(pivots).where("linked").groupBy("block", "pivot").agg(F.count("*").alias("n")).groupBy("block").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
-    labelled = settle(met(pivots.join(best, ["block", "pivot"], "left_semi")).select("block", "set_key", F.when(F.col("linked"), F.col("pivot")).otherwise(F.col("set_key")).alias("known"), (~F.col("linked")).alias("stray"), "shingles"), "labelled")
-    strays = large.join(labelled.where("stray").groupBy("block").agg(F.count("*").alias("strays")), "block")
-    strays = strays.withColumn("stray_chunks", F.ceil(F.col("chunks") * F.col("strays") / F.col("members")).cast("int")).drop("members", "strays")
-    sent = labelled.join(sent_to_all(strays), "block")
-    sent = sent.withColumns({"chunk": F.pmod(F.xxhash64("set_key"), "chunks").cast("int"), "own": F.pmod(F.xxhash64("set_key"), "stray_chunks").cast("int")})
+                if now != (block[k], chunk[k]):
+                    now, pivots, last = (block[k], chunk[k]), {}, None
+                if found[k] is None or last == key[k]:  # another text of a doc_id that repeats, or the same one again
+                    continue
+                if not member[k]:
+                    pivots[int(key[k])] = found[k]
+                    continue
+                last = key[k]
+                row.append(k)
+                out.append([p for p, s in pivots.items() if (100 + percent) * np.intersect1d(s, found[k], assume_unique=True).size >= percent * (s.size + found[k].size)])
+            kept = batch.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in range(5)), pa.array(out, pa.list_(pa.int64()))], names=["block", "chunk", "chunks", "set_key", "text", "near"])
+
+    sorted_rows = both.select("block", "chunk", "set_key", "chunks", "text", "member").select("block", "chunk", "chunks", "set_key", "text", "member")
+    sorted_rows = sorted_rows.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "member", "set_key")
+    met = settle(sorted_rows.mapInArrow(near, "block bigint, chunk int, chunks int, set_key bigint, text string, near array<bigint>"), "met")
+    unsettle(dealt)
+    best = met.select("block", F.explode("near").alias("pivot")).groupBy("block", "pivot").agg(F.count("*").alias("n")).groupBy("block").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
+    sizes = met.groupBy("block", "chunks").agg(F.count("*").alias("members"))
+    told = settle(sizes.join(best, "block", "left"), "best")
+    linked = F.coalesce(F.array_contains("near", F.col("pivot")), F.lit(False))
+    labelled = met.join((F.broadcast if small else (lambda df: df))(told.select("block", "pivot", "members")), "block").select("block", "chunk", "chunks", "members", "set_key", "text", F.when(linked, F.col("pivot")).otherwise(F.col("set_key")).alias("known"), (~linked).alias("stray"))
+    strays = settle(labelled.where("stray").groupBy("block").agg(F.count("*").alias("strays")), "strays")
+    sent = labelled.join((F.broadcast if small else (lambda df: df))(strays), "block")  # without strays, the block is one group already
+    sent = sent.withColumn("stray_chunks", F.ceil(F.col("chunks") * F.col("strays") / F.col("members")).cast("int")).withColumn("own", F.pmod(F.xxhash64("set_key"), "stray_chunks").cast("int"))
     met_by = "transform(sequence(0, stray_chunks - 1), s -> stray_chunks * chunks + least(own, s) * stray_chunks + greatest(own, s))"
     tasks = F.when(F.col("stray"), F.expr(f"concat(transform(sequence(0, chunks - 1), c -> own * chunks + c), {met_by})")).otherwise(F.expr("transform(sequence(0, stray_chunks - 1), s -> s * chunks + chunk)"))
-    rows = sent.select("block", F.explode(tasks).alias("task"), "set_key", "known", "shingles")
-    found = rows.repartition("block", "task").sortWithinPartitions("block", "task").mapInArrow(_search(percent), "a bigint, b bigint")
-    return found.unionByName(labelled.where("NOT stray").select(F.col("set_key").alias("a"), F.col("known").alias("b")))
+    rows = sent.select("block", F.explode(tasks).alias("task"), "set_key", "known", "text")
+    found = settle(rows.repartition("block", "task").sortWithinPartitions("block", "task", "set_key").mapInArrow(_search(percent, sets_of), "a bigint, b bigint"), "links")
+    stars = settle(labelled.where("NOT stray").select(F.col("set_key").alias("a"), F.col("known").alias("b")), "stars")
+    unsettle(met)
+    return found.unionByName(stars)
 
 
 def components_of_stars(stars: DataFrame) -> DataFrame:
@@ -489,7 +534,7 @@ def components_of_stars(stars: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, sets_of: SetsOf | None = None) -> DataFrame:
-    """(doc_id, n_shingles, set_key, group_key, component_id) of each row.
+    """(doc_id, mark, n_shingles, set_key, group_key, component_id) of each row.
 
     ``group_key`` is equal for linked documents, null for the empty set; ``component_id`` is the smallest doc_id of the group.
     ``sets_of`` takes the place of word shingles: from bytes and offsets of texts to sorted hashes and their numbers.
@@ -504,23 +549,33 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85, sets_
     grouped = sets.join(linked.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("group_key", F.when(F.col("set_key") != 0, F.coalesce("root", "set_key"))).drop("root")
     # written first, so that a hot group's rows in the join below can be split
     lowest = settle(grouped.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min("doc_id").alias("lowest")), "lowest")
-    return grouped.join(lowest, "group_key", "left").select("doc_id", "n_shingles", "set_key", "group_key", F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")).alias("component_id"))
+    return grouped.join(lowest, "group_key", "left").select("doc_id", "mark", "n_shingles", "set_key", "group_key", F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id")).alias("component_id"))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 4-word shingles at 85 percent; nulls, ties and repeats as the module states."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the first document of each group of five-word shingle sets with a Jaccard similarity of 0.8 or more.
 
-    Rows without shingles or without doc_id belong to no group and stay.
+    Rows without shingles or without doc_id belong to no group and stay. Where a doc_id repeats, each row is judged by its
+    own text: of equal rows of a group one stays, of different texts in one group that with the lowest hash, and texts of
+    different groups all stay that are their groups' first. An empty table stays empty; all columns stay as they came.
     """
-    grouped = settle(jaccard_components(docs, 5, 80), "grouped")
+    grouped = settle(jaccard_components(docs, 5, 80).select("doc_id", "mark", "group_key", "component_id"), "grouped")
     first = F.col("group_key").isNull() | (F.col("doc_id") == F.col("component_id"))
     ids = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(first).alias("stays"), F.count("*").alias("n"))
     ids = settle(ids.where("NOT stays OR n > 1"), "ids")  # fewer than those that stay: most texts need no shuffle if Spark finds them small
-    kept = docs.join(ids.where("NOT stays").select("doc_id"), "doc_id", "left_anti")
-    if ids.where("stays").limit(1).count():  # repeated rows: one of each
-        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
-    return kept.select(*docs.columns)
+    kept = docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*all_columns(docs))
+    repeated = ids.where("stays AND n > 1").select("doc_id")
+    if not repeated.limit(1).count():
+        return kept
+    own = grouped.join(repeated, "doc_id", "left_semi")
+    lone = own.where("group_key IS NULL").select("doc_id", "mark").distinct()
+    lead = own.where("group_key IS NOT NULL AND doc_id = component_id").groupBy("doc_id", "group_key").agg(F.min("mark").alias("mark")).select("doc_id", "mark")
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.struct(*all_columns(docs)).alias("row"))
+    once = marked.join(lead, ["doc_id", "mark"], "left_semi").groupBy("doc_id", "mark").agg(F.first("row").alias("row"))
+    rest = once.select("row").unionByName(marked.join(lone, ["doc_id", "mark"], "left_semi").select("row"))
+    return kept.unionByName(rest.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
