@@ -119,7 +119,7 @@ class DistinctEncoder:
     each; when they are full, the half that was met in the fewest blocks goes.
     """
 
-    MOST = 3 << 18
+    MOST = 1 << 19
 
     def __init__(self, encode: Callable[[list[bytes]], list[Sequence[int]]]) -> None:
         self.encode = encode

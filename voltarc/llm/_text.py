@@ -5,14 +5,17 @@ A block is the UTF-8 bytes of some whole documents back to back with their offse
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Longer runs of bytes are worked on in windows, so that no array of wide numbers is as long as a giant text.
-WINDOW_BYTES = 4 * BLOCK_BYTES
+WINDOW_BYTES = 8 * BLOCK_BYTES
 
 _rng = np.random.default_rng(0x5EED)
 _BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -27,6 +30,25 @@ _PLAIN = np.zeros(256, bool)
 _PLAIN[48:58] = _PLAIN[65:91] = _PLAIN[97:123] = True
 
 
+#: What operators keep in a worker between tasks: a name, and what lets go of it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def held(name: str, let_go: Callable[[], None]) -> None:
+    _HELD[name] = let_go
+
+
+def begin(name: str = "") -> None:
+    """At the start of a task of an operator: let go of what others have left in this worker, which Spark uses again."""
+    left = [k for k in _HELD if k != name]
+    for k in left:
+        _HELD.pop(k)()
+    if left:
+        gc.collect()
+        with contextlib.suppress(AttributeError, OSError):  # only the GNU library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_column(values: pa.Array | pa.ChunkedArray) -> pa.Array:
     """One large_string array without nulls; a null text counts as empty."""
     if isinstance(values, pa.ChunkedArray):

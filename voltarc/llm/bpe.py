@@ -210,16 +210,23 @@ def _sha256(parts: Iterator[bytes]) -> str:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def encoder(path: str) -> Encoder:
+    """The encoder that this worker keeps, with what it remembers, until another operator's task begins."""
+    X.held("bpe", _encoder.cache_clear)
+    return _encoder(path)
+
+
 def round_trip(df: DataFrame, name: str = BYTE_VOCABULARY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of each row."""
     ship(df.sparkSession)
     path = vocabulary(name)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin("bpe")
         e = encoder(path)
         for batch in batches:
             n_tokens, ids_hex, text_hex = [], [], []

@@ -132,6 +132,7 @@ class Filter:
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each language: in how many documents an n-gram is found."""
+    X.begin()
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), object)
         for a, b, data, off in X.blocks(X.text_column(batch.column(1))):
@@ -192,6 +193,7 @@ def least_coverage(labelled: DataFrame, model: Filter) -> np.ndarray:
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
         model = shared.value
         found = np.zeros((len(names), 2, BINS + 1), np.int64)  # language, own text or not, coverage
         for batch in batches:
@@ -235,6 +237,7 @@ def _judged(rows: DataFrame, model: Filter | None, least: np.ndarray | None) ->
     shared = spark.sparkContext.broadcast(model)  # at most 2**20 slots
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
         model = shared.value
         for batch in batches:
             texts = X.text_column(batch.column(batch.num_columns - 1))

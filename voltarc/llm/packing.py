@@ -235,6 +235,7 @@ def pieces(df: DataFrame, name: str = WORD_VOCABULARY, capacity: int = CAPACITY)
     path = vocabulary(name)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin("tokens")
         encoder = word_encoder(path)
         for batch in batches:
             for first, _, data, off in X.blocks(X.text_column(batch.column(1))):

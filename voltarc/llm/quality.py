@@ -109,6 +109,7 @@ def _measured(rows: DataFrame) -> DataFrame:
     kept = rows.columns[:-1]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
         for batch in batches:
             found = statistics(X.text_column(batch.column(batch.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), *(pa.array(found[c]) for c in COUNTS)], names=[*kept, *COUNTS])

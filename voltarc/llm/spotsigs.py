@@ -179,6 +179,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     schema = f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
         held = None  # (bucket, doc_id, text) of the last row, whose successor is still to come
         for whole in batches:
             for at in range(0, whole.num_rows, 512):

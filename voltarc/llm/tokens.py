@@ -177,10 +177,22 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
+def _word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _let_go() -> None:
+    _word_encoder.cache_clear()
+    library.cache_clear()
+    load.cache_clear()
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder that this worker keeps, with what it remembers, until another operator's task begins."""
+    X.held("tokens", _let_go)
+    return _word_encoder(path)
+
+
 def counts(texts: pa.Array, path: str, huge: int = HUGE) -> np.ndarray:
     """Tokens of each text of a large_string array."""
     out = np.zeros(len(texts), np.int64)
@@ -206,6 +218,7 @@ def count_tokens(df: DataFrame, name: str = WORD_VOCABULARY, limit: int = 2048,
     path = vocabulary(name)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin("tokens")
         for batch in batches:
             texts = X.text_column(batch.column(1))
             n = counts(texts, path, huge)
