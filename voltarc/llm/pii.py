@@ -101,9 +101,10 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+[2-9]\d{0,2}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d|\.\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)"
 CARD = r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d]|-\d)"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
+#: Every title and given name begins with a capital or with this letter: other words are passed at once.
 PERSON = (
-    rf"(?<![\p{{L}}\d])(?:{_TITLE}\.? (?:{_NAME} ){{0,2}}{_ANY_NAME}|{_GIVEN} {_ANY_NAME}"
-    rf"|{_UPPER_TITLE}\.? (?:{_UPPER_NAME} ){{0,2}}{_UPPER_NAME}|{_UPPER_GIVEN} {_UPPER_NAME})(?![\p{{L}}\d])"
+    rf"(?<![\p{{L}}\d])(?=[\p{{Lu}}г])(?:{_TITLE}\.? (?:{_NAME} ){{0,2}}{_ANY_NAME}|{_GIVEN} {_ANY_NAME}"
+    rf"|(?=\p{{Lu}}{{2}})(?:{_UPPER_TITLE}\.? (?:{_UPPER_NAME} ){{0,2}}{_UPPER_NAME}|{_UPPER_GIVEN} {_UPPER_NAME}))(?![\p{{L}}\d])"
 )
 KINDS = (("email", EMAIL), ("secret", SECRET), ("ipv6", IPV6), ("iban", IBAN), ("ssn", SSN), ("phone", PHONE), ("ipv4", IPV4), ("person", PERSON))
 #: CARD comes last: digits that fail its check must not hide another kind that begins with them. No kind has a group before it.
