@@ -12,7 +12,7 @@ from voltarc.llm.packing import pack_stage
 from voltarc.llm.pii import mask_stage
 from voltarc.llm.quality import keep_good
 from voltarc.llm.setjoin import keep_one
-from voltarc.session import settle, unsettle
+from voltarc.session import scope, settle, unsettle
 
 STAGES = [
     ("quality rules", keep_good),
@@ -29,6 +29,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        replaced, docs = docs, settle(stage(spark, docs, sf_dir), f"stage-{k}")
+        with scope() as kept:  # nothing of a stage stays but its result
+            replaced, docs = docs, settle(stage(spark, docs, sf_dir), f"stage-{k}")
+            kept.append(docs)
         unsettle(replaced)  # the next stage reads what this one has written
     return docs

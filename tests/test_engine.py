@@ -207,6 +207,15 @@ def test_intermediate_tables(spark):
     with pytest.raises(Exception, match="(?i)file|path"):
         table.where("id > 1").count()
     session.unsettle(spark.range(3))  # not settled: nothing to delete
+    with session.scope() as kept:
+        inner = session.settle(spark.range(4), "inner")
+        kept.append(session.settle(inner.where("id > 1"), "outer"))
+    assert kept[0].count() == 2 and set(session._SETTLED) & {inner._voltarc_path, kept[0]._voltarc_path} == {kept[0]._voltarc_path}
+    with pytest.raises(ZeroDivisionError), session.scope() as failed:
+        failed.append(session.settle(spark.range(4), "failed"))
+        1 / 0
+    assert failed[0]._voltarc_path not in session._SETTLED
+    session.unsettle(kept[0])
     assert session.quoted("a.b`c") == "`a.b``c`" and spark.range(1).withColumnRenamed("id", "a.b").select(*session.all_columns(spark.range(1).withColumnRenamed("id", "a.b"))).columns == ["a.b"]
     for master, named, good in (("local[4]", None, True), ("local", None, True), ("local-cluster[2,1,512]", None, False), ("yarn", None, False), ("yarn", "hdfs://x/y/", True)):
         conf = SimpleNamespace(get=lambda *_, named=named: named)

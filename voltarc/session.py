@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import io
 import os
 import re
@@ -10,6 +11,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,10 +62,32 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[app]
 
 
+#: Settled tables by path, with what deletes them; the innermost scope's are the last ones.
+_SETTLED: dict[str, tuple] = {}
+
+
+@atexit.register
+def _delete_all() -> None:
+    """At the end of the driver nothing that it settled stays behind."""
+    for path in list(_SETTLED):
+        _delete(path)
+
+
+def _delete(path: str) -> None:
+    files, at = _SETTLED.pop(path)
+    with contextlib.suppress(Exception):  # a session that is gone can't delete; what it left lies in its application's folder
+        files.delete(at, True)
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut, lost executors cost nothing before it."""
+    """Write ``df`` once to the shared folder and read it back: lineage is cut, lost executors cost nothing before it.
+
+    Tables lie in a folder of the application, and are deleted by ``unsettle``, at the end of a ``scope`` or with the driver.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voltarc-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/voltarc-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _SETTLED[path] = (at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._voltarc_path = path  # for unsettle()
@@ -73,10 +97,22 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
 def unsettle(df: DataFrame) -> None:
     """Delete the files behind a settled table that nothing reads any more, such as a round that the next one replaced."""
     path = getattr(df, "_voltarc_path", None)
-    if path:
-        sc = df.sparkSession.sparkContext
-        at = sc._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _SETTLED:
+        _delete(path)
+
+
+@contextlib.contextmanager
+def scope() -> Iterator[list[DataFrame]]:
+    """Tables settled inside are deleted at its end, in failures too, but for those that are appended to the list it gives."""
+    before, kept = set(_SETTLED), []
+    done = False
+    try:
+        yield kept
+        done = True
+    finally:
+        stay = {df._voltarc_path for df in kept} if done else set()
+        for path in [p for p in _SETTLED if p not in before and p not in stay]:
+            _delete(path)
 
 
 def quoted(name: str) -> str:
