@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op5_bpe_round_trip
+from .codes import op11_vector_codes
+from .interactions import op13_filter_audit
 from .langid import op10_language_id
+from .mixing import op12_source_schedule
+from .oracle import SQL
 from .packing import op2_best_fit_packing
 from .pii import op4_pii_surrogates
 from .quality import op8_quality_rules
@@ -28,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_schedule": op12_source_schedule,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
