@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from .config import load_config, read_model_params, read_settings
 from .plans.pipeline import Pipeline
-from .sources import telemetry
+from .sources import layout, telemetry
 
 
 def steps(text: str) -> tuple[int, int]:
@@ -44,9 +44,11 @@ def main(args: list[str] | None = None) -> None:
     models = telemetry.read_model_map(spark, a.models) if a.models else None
     if not a.no_prep:
         prepared = f"{a.out.rstrip('/')}/buckets"
-        if (a.force or not telemetry.is_ready(spark, prepared)) and not a.dry_run:
-            telemetry.prepare(telemetry.scan(spark, source), prepared, models, cfg.get("channels"))
-        source = prepared if telemetry.is_ready(spark, prepared) else source
+        if (a.force or not layout.is_bucketed(spark, prepared)) and not a.dry_run:
+            layout.prepare(telemetry.whitelisted(telemetry.scan(spark, source), cfg.get("channels")), prepared, models, layout.bucket_count(spark, source))
+        elif a.from_month and not a.dry_run:
+            layout.replace_months(telemetry.whitelisted(telemetry.scan(spark, source, models), cfg.get("channels")), prepared, a.from_month)
+        source = prepared if layout.is_bucketed(spark, prepared) else source
     if a.prep:
         return
     Pipeline(spark, cfg, source, a.out, models, a.dry_run).run(*a.step, from_month=a.from_month)

@@ -27,28 +27,30 @@ def month_text(index: Column) -> Column:
     return F.format_string("%d-%02d", F.floor(i / 12).cast("int"), (F.pmod(i, F.lit(12)) + 1).cast("int"))
 
 
-def gap_flag(df: DataFrame, device: str, ts: str, hours: float, out: str = "time_gap") -> DataFrame:
-    """True at a device's first row and after more than ``hours`` without one."""
-    w = Window.partitionBy(device).orderBy(ts)
-    return df.withColumn(out, F.coalesce(seconds(ts) - F.lag(seconds(ts)).over(w) > hours * 3600, F.lit(True)))
+def gap_flag(df: DataFrame, device: str, ts: str, hours: float, out: str = "time_gap", before: Column | None = None) -> DataFrame:
+    """True at a device's first row and after more than ``hours`` without one; ``before`` is the second of a row ahead of the first."""
+    last = F.lag(seconds(ts)).over(Window.partitionBy(device).orderBy(ts))
+    return df.withColumn(out, F.coalesce(seconds(ts) - (last if before is None else F.coalesce(last, before)) > hours * 3600, F.lit(True)))
 
 
-def rest_runs(df: DataFrame, device: str, ts: str, rest: Column, gap_s: float, min_s: float) -> DataFrame:
+def rest_runs(df: DataFrame, device: str, ts: str, rest: Column, gap_s: float, min_s: float, before: Column | None = None, since: Column | None = None) -> DataFrame:
     """Gaps and islands: adds is_rest, rest_s (seconds since the run began) and run_end (last row of a long run).
 
     A row after a longer gap is no rest row itself and so can't begin a run; a device's first row is exempt. One exchange
-    on the device serves all windows.
+    on the device serves all windows. If rows ahead of these have been left out, ``before`` is the second of the last one and
+    ``since`` that in which its run began, null if it is no rest row.
     """
     w = Window.partitionBy(device).orderBy(ts)
-    t = F.col("_t")
-    base = df.withColumn("_t", seconds(ts)).withColumn("_dt", t - F.lag(t).over(w))
+    t, last = F.col("_t"), F.lag("_t").over(w)
+    base = df.withColumn("_t", seconds(ts)).withColumn("_dt", t - (last if before is None else F.coalesce(last, before)))
+    base = base.withColumn("_own", t if since is None else F.when(last.isNull(), F.coalesce(since, t)).otherwise(t))
     base = base.withColumn("is_rest", F.coalesce(rest, F.lit(False)) & F.coalesce(F.col("_dt") <= gap_s, F.lit(True)))
     starts = (F.col("is_rest") & ~F.coalesce(F.lag("is_rest").over(w), F.lit(False))).cast("int")
     runs = base.withColumn("_start", starts).withColumn("_run", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    began = F.min(F.when(F.col("is_rest"), t)).over(Window.partitionBy(device, "_run"))
+    began = F.min(F.when(F.col("is_rest"), F.col("_own"))).over(Window.partitionBy(device, "_run"))
     timed = runs.withColumn("rest_s", F.when(F.col("is_rest"), t - began).otherwise(F.lit(0)).cast("long"))
     ends = (F.col("rest_s") >= min_s) & F.col("is_rest") & ~F.coalesce(F.lead("is_rest").over(w), F.lit(False))
-    return timed.withColumn("run_end", ends).drop("_t", "_dt", "_start", "_run")
+    return timed.withColumn("run_end", ends).drop("_t", "_dt", "_own", "_start", "_run")
 
 
 def rolling_mad(df: DataFrame, keys: Sequence[str], order: str, value: str, window: int, k: float, eligible: Column | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ def run(df: DataFrame, cfg: Config) -> DataFrame:
     """Adds anchor_type (SWAP_FULL, EMPTY_END, FULL_END, OCV or NONE), soc_anchor (null without) and flags.
 
     The type goes by B, C, A, D; the state of charge by D, A, C, B: a full or empty end that is also the end of a long rest
-    keeps its type and takes the voltage's state of charge.
+    keeps its type and takes the voltage's state of charge. Rows cleaned with a state count what that knows of earlier ones.
     """
     a = cfg.get("anchor")
     v_full = by_model(df, cfg, lambda p: p.v_full, cfg.v_full())
@@ -29,8 +29,13 @@ def run(df: DataFrame, cfg: Config) -> DataFrame:
     curve = by_model(df, cfg, lambda p: curves.index(cfg.ocv_curve(p.chemistry, p.series)), 0)
     soc, v, i = (finite(F.col(c)) for c in ("soc", "voltage", "current"))
     valid = F.coalesce(soc.isNotNull() & v.isNotNull() & i.isNotNull(), F.lit(False))
-    timed = rest_runs(df, "device_id", "ts", valid & (F.abs(i) < rest_a), a["gap_hours"] * 3600, a["duration_hours"] * 3600)
-    before = F.lag("current").over(Window.partitionBy("device_id").orderBy("ts"))
+    w, ahead = Window.partitionBy("device_id").orderBy("ts"), {}
+    before = F.lag("current").over(w)
+    if "_before_sec" in df.columns:
+        long = F.filter("_before_resting", lambda x: (F.abs(x["high"]) < rest_a) & (F.abs(x["low"]) < rest_a))
+        ahead = {"before": F.col("_before_sec"), "since": F.array_min(F.transform(long, lambda x: x["since"]))}
+        before = F.when(F.lag(F.lit(1)).over(w).isNull(), F.col("_before_current")).otherwise(before)
+    timed = rest_runs(df, "device_id", "ts", valid & (F.abs(i) < rest_a), a["gap_hours"] * 3600, a["duration_hours"] * 3600, **ahead)
     test = {
         "_a": (soc > a["soc_full"]) & (v > v_full * a["v_full_ratio"]) & (i > 0) & (i < a["full_current_max_a"]),
         "_b": (before > a["full_current_max_a"]) & ~F.isnan(before) & (F.abs(i) < rest_a) & (soc >= a["soc_swap_full"]) & (v < v_full * a["v_full_ratio"]),
@@ -50,4 +55,4 @@ def run(df: DataFrame, cfg: Config) -> DataFrame:
             F.when(F.col("invalid_loopnum"), "invalid_loopnum"), F.when(F.col("invalid_sensor"), "invalid_sensor"),
         )),
     })
-    return marked.drop(*test, "is_rest", "rest_s", "run_end", *_DONE)
+    return marked.drop(*test, "is_rest", "rest_s", "run_end", "_before_sec", "_before_current", "_before_resting", *_DONE)

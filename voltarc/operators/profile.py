@@ -92,22 +92,31 @@ def near_zero_current(df: DataFrame, amperes: float = 1.0) -> DataFrame:
     return df.agg(F.avg((F.abs("current") < amperes).cast("double")).alias("frac_near_zero"))
 
 
-def c_nom(df: DataFrame, width: float = 0.5) -> DataFrame:
-    """(channel, device_id, c_nom_bms, n_rows, t0, t1): the commonest bin of R, the lowest of equals, and the device's span; one scan.
-
-    Devices without a usable R don't come.
-    """
-    keys = ["channel", "device_id"]
+def r_bins(df: DataFrame, width: float = 0.5) -> DataFrame:
+    """(channel, device_id, bin, n, t0, t1): rows of each bin of R (null without a usable R) and their span; sums of them are those of all rows."""
     r = F.when((F.col("soc") > 0.05) & (F.col("remaining_ah") > 0), F.col("remaining_ah") / F.col("soc"))
-    bins = df.withColumn("_bin", F.floor(r / width) * width).groupBy(*keys, "_bin").agg(F.count("*").alias("_n"), F.min("ts").alias("t0"), F.max("ts").alias("t1"))
-    used = F.col("_bin").isNotNull()
-    d = bins.groupBy(*keys).agg(
-        (F.max_by("_bin", F.when(used, F.struct(F.col("_n"), -F.col("_bin")))) + width / 2).alias("c_nom_bms"), F.sum(F.when(used, F.col("_n"))).alias("n_rows"),
+    return merged_bins(df.select("channel", "device_id", (F.floor(r / width) * width).alias("bin"), F.lit(1).alias("n"), F.col("ts").alias("t0"), F.col("ts").alias("t1")))
+
+
+def merged_bins(bins: DataFrame) -> DataFrame:
+    return bins.groupBy("channel", "device_id", "bin").agg(F.sum("n").alias("n"), F.min("t0").alias("t0"), F.max("t1").alias("t1"))
+
+
+def nominal(bins: DataFrame, width: float = 0.5) -> DataFrame:
+    """(channel, device_id, c_nom_bms, n_rows, t0, t1) from bins of R: the commonest one, the lowest of equals, and the device's span."""
+    used = F.col("bin").isNotNull()
+    d = bins.groupBy("channel", "device_id").agg(
+        (F.max_by("bin", F.when(used, F.struct(F.col("n"), -F.col("bin")))) + width / 2).alias("c_nom_bms"), F.sum(F.when(used, F.col("n"))).alias("n_rows"),
         F.min("t0").alias("t0"), F.max("t1").alias("t1"),
     )
     return d.where("c_nom_bms IS NOT NULL")
 
 
+def c_nom(df: DataFrame, width: float = 0.5) -> DataFrame:
+    """(channel, device_id, c_nom_bms, n_rows, t0, t1) of raw rows; one scan. Devices without a usable R don't come."""
+    return nominal(r_bins(df, width), width)
+
+
 def anchor_density(df: DataFrame, cfg: Config) -> DataFrame:
     """Mean number of anchor candidates over the device months that have any."""
     soc, v, i, a = F.col("soc"), F.col("voltage"), F.col("current"), cfg.get("anchor")

@@ -26,15 +26,19 @@ def contradiction(c: Column, before: Column, after: Column, ratio: float) -> Col
     return F.coalesce(F.coalesce(F.abs(c - before) > F.abs(before) * ratio, F.lit(False)) | F.coalesce(F.abs(c - after) > F.abs(after) * ratio, F.lit(False)), F.lit(False))
 
 
-def run(points: DataFrame, cfg: Config) -> DataFrame:
+def run(points: DataFrame, cfg: Config, earlier: DataFrame | None = None) -> DataFrame:
     """Adds f_* flags, severe, quality_score, cap_tier and stat_weight.
 
+    ``earlier`` holds a device's last anchors before these (see ``state``): neighbours that are judged no more.
+
     A severe point can still be tier 2; tier 1 needs another anchor of the device, of any type, within the closure days.
     """
     q, s = cfg.get("quality"), cfg.get("quality.score")
     (lo, hi), (nlo, nhi) = cfg.get("filter.cap_anomaly_ratio"), cfg.get("filter.cap_normal_ratio")
     (cold, hot), (ncold, nhot) = cfg.get("filter.temp_range"), cfg.get("filter.temp_normal_range")
     c, nom, t = F.col("capacity_corrected"), F.col("c_nom_bms"), F.col("temperature")
+    if earlier is not None:
+        points = points.withColumn("_judged", F.lit(True)).unionByName(earlier.withColumn("_judged", F.lit(False)), allowMissingColumns=True)
     df = with_neighbours(points).withColumns({
         "f_out_of_range": F.coalesce((c < nom * lo) | (c > nom * hi), F.lit(False)),
         "f_voltage_inconsistent": F.coalesce("v_inconsistent", F.lit(False)),
@@ -56,6 +60,7 @@ def run(points: DataFrame, cfg: Config) -> DataFrame:
     day = F.unix_date(F.to_date("ts"))
     near = [F.coalesce(F.abs(day - x(day).over(w)) <= q["closure_days"], F.lit(False)) for x in (F.lag, F.lead)]
     df = df.withColumns({"quality_score": score.cast("double"), "_closed": near[0] | near[1]})
+    df = df if earlier is None else df.where("_judged").drop("_judged")
     first = (F.col("quality_score") >= q["tier1_min"]) & ~F.col("severe")
     df = df.withColumn("cap_tier", F.when(first & F.col("_closed"), 1).when(F.col("quality_score") >= q["tier2_min"], 2).otherwise(3)).drop("_closed")
     return df.withColumn("stat_weight", by_kind(q["weight"]) * F.when(F.col("cap_tier") == 1, 1.0).when(F.col("cap_tier") == 2, q["tier2_weight"]).otherwise(0.0))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..config import ocv_curve
-from .queries import TODAY, _columns
+from .queries import SECOND_CUT, TODAY, _columns
 
 _AXIS, _VOLTS = ocv_curve("NMC")
 _W = "OVER (PARTITION BY device_id ORDER BY ts)"
@@ -240,6 +240,11 @@ _RAW: dict[str, str] = {
     "loop_ticks": _ticks("tl", 50, 50, "age_p25, age_p75, birth_p25, birth_p75"),
     "model_descriptions": "SELECT DISTINCT model, CASE model WHEN 'm0' THEN '铁锂 24S' WHEN 'm2' THEN '三元 21S' ELSE '' END AS description, CASE model WHEN 'm0' THEN 40.0 WHEN 'm2' THEN 36.5 ELSE 37.0 END::DOUBLE AS c_nom FROM mm",
     "dedup_events": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
+    "bucketed_dedup": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
+    "bucketed_runs": "SELECT device_id, c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE is_rest) AS resting, sum(rest_s)::BIGINT AS rest_s, count(*) FILTER (WHERE run_end) AS ends FROM rr JOIN customer ON device_id = c_custkey GROUP BY ALL",
+    "device_rows": "SELECT user_id, event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 100 = 7)",
+    "incremental_anchors": f"""SELECT event_id, anchor_type, round(soc_anchor, 9) AS soc_anchor, CASE WHEN conflict AND drift THEN 'anchor_conflict,sensor_drift' WHEN conflict THEN 'anchor_conflict' WHEN drift THEN 'sensor_drift' ELSE '' END AS flags,
+        round(c_nom_bms, 9) AS c_nom_bms, round(capacity_corrected, 9) AS capacity_corrected FROM ca WHERE ts >= TIMESTAMP '{SECOND_CUT}'""",
 }
 
 #: Expressions that single queries need besides; a query names its first by a short mark.

@@ -6,6 +6,7 @@ so a run that is repeated, or begins at a later month, leaves the same tables.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 from dataclasses import asdict, replace
@@ -14,21 +15,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, trend
-from ..sources import telemetry
+from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, state, trend
+from ..sources import layout, telemetry
 
 log = logging.getLogger("voltarc")
 
 
-def scored_anchors(raw: DataFrame, c_nom: DataFrame, cfg: Config, models: DataFrame | None = None, turned: DataFrame | None = None) -> DataFrame:
+def scored_anchors(
+    raw: DataFrame, c_nom: DataFrame, cfg: Config, models: DataFrame | None = None, turned: DataFrame | None = None,
+    dealt: bool = False, devices: DataFrame | None = None, earlier: DataFrame | None = None,
+) -> DataFrame:
     """Raw rows to scored anchors: deduplicated, cleaned, labelled, measured and judged.
 
-    Rows are dealt by device once; deduplication and every window of a device use that exchange.
+    Rows are dealt by device once, unless they come ``dealt``, from a bucketed table; deduplication and every window of a
+    device use that. ``devices`` is the state after earlier rows and ``earlier`` the last anchors before these.
     """
-    df = telemetry.dedup(telemetry.coerce(raw).repartition("device_id"))
-    if models is not None:
-        df = df.join(models, "device_id", "left")
-    return quality.run(capacity.run(anchor.run(clean.run(df, cfg, turned), cfg), c_nom, cfg), cfg)
+    return quality.run(capacity.run(anchor.run(clean.run(with_models(raw, models, dealt), cfg, turned, devices), cfg), c_nom, cfg), cfg, earlier)
+
+
+def with_models(raw: DataFrame, models: DataFrame | None, dealt: bool) -> DataFrame:
+    """Deduplicated rows with their devices' models."""
+    df = telemetry.coerce(raw)
+    df = telemetry.dedup(df if dealt else df.repartition("device_id"))
+    return df if models is None else df.join(models, "device_id", "left")
+
+
+def month_before(ym: str) -> str:
+    year, month = int(ym[:4]), int(ym[5:])
+    return f"{year - (month == 1):04d}-{12 if month == 1 else month - 1:02d}"
 
 
 def monthly_table(scored: DataFrame, cfg: Config, from_month: str | None = None) -> DataFrame:
@@ -38,7 +52,9 @@ def monthly_table(scored: DataFrame, cfg: Config, from_month: str | None = None)
 class Pipeline:
     """Steps 0 to 8 over one output folder."""
 
-    def __init__(self, spark: SparkSession, cfg: Config, source: str, out: str, models: DataFrame | None = None, dry_run: bool = False) -> None:
+    def __init__(self, spark: SparkSession, cfg: Config, source: str, out: str, models: DataFrame | None = None, dry_run: bool = False, only_known: bool = False) -> None:
+        """``only_known``: devices that ``models`` lacks aren't read; else they are an error."""
+        self.only_known = only_known and models is not None
         self.spark, self.cfg, self.source, self.out, self.dry_run = spark, cfg, source, out.rstrip("/"), dry_run
         self.models = None if models is None else telemetry.model_map(models)
         self.turned: DataFrame | None = None
@@ -55,10 +71,43 @@ class Pipeline:
         telemetry.write_partitioned(df, self.path(name), by, dynamic=dynamic)
         return self.spark.read.parquet(self.path(name))
 
-    def raw(self) -> DataFrame:
-        df = telemetry.scan(self.spark, self.source)
+    def raw(self, after_month: str | None = None) -> DataFrame:
+        df = telemetry.scan(self.spark, self.source, self.models, after_month) if self.only_known else telemetry.scan(self.spark, self.source, after_month=after_month)
         return telemetry.whitelisted(df, self.cfg.get("channels"))
 
+    @property
+    def dealt(self) -> bool:
+        return layout.is_bucketed(self.spark, self.source)
+
+    def state_path(self, name: str = "") -> str:
+        """States depend on what they were made with: other thresholds or model sheets have a folder of their own."""
+        used = json.dumps([self.cfg.get("anchor"), list(self.cfg.get("channels")), self.cfg.rest_current(), sorted((k, self.cfg.rest_current(p.c_nom_spec)) for k, p in self.cfg.models.items()), self.only_known], sort_keys=True, default=str)
+        return self.path(f"state-{hashlib.sha256(used.encode()).hexdigest()[:12]}/{name}")
+
+    def state_before(self, month: str) -> tuple[str, dict[str, DataFrame]] | None:
+        """The latest state of a month before ``month``, and that month."""
+        have = [n.partition("=")[2] for n in telemetry.names_in(self.spark, self.state_path("anchors")) if n.startswith("through=")]
+        through = max((n for n in have if n < month and telemetry.is_ready(self.spark, self.state_path(f"anchors/through={n}"))), default=None)
+        return None if through is None else (through, {name: self.spark.read.parquet(self.state_path(f"{name}/through={through}")) for name in ("devices", "bins", "anchors")})
+
+    def remember(self, rows: DataFrame, scored: DataFrame, known: dict[str, DataFrame]) -> None:
+        """The states before and after the last month of ``rows``, from which a run from that month or the next can go on."""
+        last = rows.agg(F.date_format(F.max("ts"), "yyyy-MM").alias("ym")).first()["ym"]
+        if last is None:
+            return
+        ym, has = F.date_format("ts", "yyyy-MM"), dict(known)
+        for through, part in ((month_before(last), ym < last), (last, ym == last)):
+            some, made = rows.where(part), scored.where(part)
+            bins = profile.r_bins(some)
+            now = {
+                "devices": state.after(with_models(some, self.models, self.dealt), self.cfg, self.turned, has.get("devices")),
+                "bins": profile.merged_bins(bins.unionByName(has["bins"]) if has else bins),
+                "anchors": state.last_anchors(made, has.get("anchors")),  # the last one to be complete
+            }
+            for name, df in now.items():
+                telemetry.write_partitioned(df, self.state_path(f"{name}/through={through}"))
+            has = {name: self.spark.read.parquet(self.state_path(f"{name}/through={through}")) for name in now}
+
     def profile(self) -> Config:
         """Step 0, on about one device in 25 (all of them if that leaves none)."""
         raw = self.raw()
@@ -77,13 +126,22 @@ class Pipeline:
         return self.cfg
 
     def anchors(self, from_month: str | None = None) -> DataFrame:
-        """Steps 1 to 4. With ``from_month`` only those months' partitions are replaced."""
-        raw = self.raw()
+        """Steps 1 to 4. With ``from_month`` only those months' partitions are replaced, and only later rows are read than a
+        state covers that an earlier run has left; without one, all are, since offsets and nominal capacity need them."""
+        before = self.state_before(from_month) if from_month else None
+        through, known = before or (None, {})
+        log.info("anchors: rows after %s", through or "the beginning")
+        raw = self.raw(through)
         if self.models is not None:
             telemetry.require_models(raw, self.models)
-        scored = scored_anchors(raw, profile.c_nom(raw).select("channel", "device_id", "c_nom_bms"), self.cfg, self.models, self.turned).withColumn("ym", F.date_format("ts", "yyyy-MM"))
-        scored = scored.where(F.col("ym") >= from_month) if from_month else scored
-        return self.keep(scored.repartition("ym", F.pmod(F.xxhash64("device_id"), F.lit(16))), "observation", ("ym",), dynamic=bool(from_month))
+        bins = profile.r_bins(raw)
+        nominal = profile.nominal(profile.merged_bins(bins.unionByName(known["bins"])) if known else bins).select("channel", "device_id", "c_nom_bms")
+        scored = scored_anchors(raw, nominal, self.cfg, self.models, self.turned, self.dealt, known.get("devices"), known.get("anchors")).withColumn("ym", F.date_format("ts", "yyyy-MM"))
+        replaced = scored.where(F.col("ym") >= from_month) if from_month else scored
+        kept = self.keep(replaced.repartition("ym", F.pmod(F.xxhash64("device_id"), F.lit(16))), "observation", ("ym",), dynamic=bool(from_month))
+        if not self.dry_run:
+            self.remember(raw, kept.where(F.col("ym") > through) if through else kept, known)
+        return kept
 
     def months(self, scored: DataFrame, from_month: str | None = None) -> DataFrame:
         """Step 5."""

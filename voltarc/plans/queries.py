@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..config import Config, Found, ModelParams, load_config, ocv_curve
 from ..functions import series, stats
-from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, trend, validation
-from ..session import settle
-from ..sources import telemetry
+from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, state, trend, validation
+from ..session import settle, settled_path
+from ..sources import layout, telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -393,11 +393,53 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.dedup(e, ["user_id", "event_type"])
 
 
+def bucketed(df: DataFrame, key: str, order: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as a bucketed table in the shared folder, for queries that read it more than once or want nothing shuffled."""
+    return layout.write_bucketed(df, settled_path(df.sparkSession, "bucketed"), key, order, 8, by)
+
+
+def bucketed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in buckets of their users, deduplicated as they lie; a window without an exchange."""
+    e = bucketed(table(spark, sf_dir, "events"), "user_id", ("event_type", "event_id"))
+    return telemetry.dedup(e.select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"])
+
+
+def bucketed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned rest rows of the users that are customers, from two bucketed tables; neither side is shuffled."""
+    e = bucketed(rows(spark, sf_dir), "device_id", ("ts",))
+    known = bucketed(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("device_id"), F.col("c_nationkey").alias("nation")), "device_id", ())
+    runs = series.rest_runs(clean.run(e, CONFIG), "device_id", "ts", F.abs("current") < CONFIG.rest_current(), 21600, 7200)
+    return runs.join(known.hint("merge"), "device_id").groupBy("device_id", "nation").agg(F.count("*").alias("n"), F.count_if("is_rest").alias("resting"), F.sum("rest_s").alias("rest_s"), F.count_if("run_end").alias("ends"))
+
+
+def device_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of one user in a hundred, told to the scan of a bucketed table with Bloom filters and page bounds."""
+    e = bucketed(table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd")), "user_id", ("ts",), ("day",))
+    users = table(spark, sf_dir, "customer").where("c_custkey % 100 = 7").select(F.col("c_custkey").alias("user_id"))
+    return layout.of_keys(e, users, "user_id").select("user_id", "event_id", "event_type", "value", "day")
+
+
+#: Where the events are cut in two, and in three.
+CUT, SECOND_CUT = "2024-01-12 09:30:00", "2024-01-20 00:00:00"
+
+
+def incremental_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors of the last events from the state of the devices after two earlier spans, equal to those of a run over all."""
+    e = bucketed(rows(spark, sf_dir), "device_id", ("ts",))
+    old, middle, new = e.where(F.col("ts") < CUT), e.where((F.col("ts") >= CUT) & (F.col("ts") < SECOND_CUT)), e.where(F.col("ts") >= SECOND_CUT)
+    first = settle(state.after(old, CONFIG), "devices")
+    known = settle(state.after(middle, CONFIG, state=first), "devices")
+    bins = settle(profile.merged_bins(profile.r_bins(old).unionByName(profile.r_bins(middle))), "bins")
+    nominal = profile.nominal(profile.merged_bins(bins.unionByName(profile.r_bins(new)))).select("channel", "device_id", "c_nom_bms")
+    found = capacity.run(anchor.run(clean.run(new, CONFIG, state=known), CONFIG), nominal, CONFIG)
+    return rounded(found.withColumn("flags", F.array_join("flags", ",")), "event_id", "anchor_type", "soc_anchor", "flags", "c_nom_bms", "capacity_corrected")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     monthly_weighted_median, weighted_median_by_brand, gap_flags, cleaned, rest_runs, anchor_classify, capacity_points, score_tier_weight, plot_points, monthly_capacity,
     mode_bin, r_statistics, gap_quantiles, sign_and_zero, profile_figures, nominal_capacity, platform_slopes, series_inference, rolling_mad, pava_monthly, leading_trim, soh_series,
     excluded_devices, ols_decay, soh_drop_alerts, anchor_rate_alerts, channel_dashboard, group_consistency, full_vs_empty, r_drift, retire_forecast, cohort_months, cohort_decay,
     cohort_age, cohort_loops, cohort_stages, fleet_figures, retire_schedule, schedule_quarters, schedule_milestones, retire_outside, loop_caps, crossing_80, worst_mom_drop,
     null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events, cleaned_nulls, model_check, level_counts, kpis, drift_verdict, loop_axis, model_crossing_80,
-    age_ticks, loop_ticks, model_descriptions,
+    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors,
 )}

@@ -79,17 +79,22 @@ def _delete(path: str) -> None:
         files.delete(at, True)
 
 
+def settled_path(spark: SparkSession, name: str) -> str:
+    """A new place in the application's part of the shared folder, whose files go as those of a settled table do."""
+    path = f"{shared_dir(spark)}/voltarc-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _SETTLED[path] = (at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
+    return path
+
+
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage is cut, lost executors cost nothing before it.
 
     Tables lie in a folder of the application, and are deleted by ``unsettle``, at the end of a ``scope`` or with the driver.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voltarc-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    _SETTLED[path] = (at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
+    path = settled_path(df.sparkSession, name)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._voltarc_path = path  # for unsettle()
     return out
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import layout
+
 #: Wire name, name used inside, type.
 WIRE = (
     ("表名", "source_table", "string"), ("电池id", "device_id", "bigint"), ("渠道号", "channel", "string"), ("循环次数", "loop_count", "double"), ("剩余容量", "remaining_ah", "double"),
@@ -20,7 +22,7 @@ class SchemaError(ValueError):
     """A required column is missing."""
 
 
-def _status(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, wherever it lies; none if it isn't one."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -33,7 +35,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     Folders written by ``prepare`` keep their ``bucket`` column, so that a filter on it prunes files.
     """
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")  # files with nanoseconds can't be read otherwise
-    bucketed = any(n.startswith("bucket=") for n in _status(spark, path))
+    bucketed = any(n.startswith("bucket=") for n in names_in(spark, path))
     reader = spark.read if bucketed else spark.read.option("recursiveFileLookup", "true")
     return reader.parquet(path)
 
@@ -82,12 +84,21 @@ def _bucket(buckets: int) -> Column:
     return F.pmod("device_id", F.lit(buckets)).cast("int").alias("bucket")
 
 
-def scan(spark: SparkSession, path: str, devices: DataFrame | None = None) -> DataFrame:
-    """Raw rows of a file or folder, names checked, types coerced, kept to ``devices`` (device_id) if given. No deduplication."""
-    df = from_wire(read_parquet(spark, path))
+def scan(spark: SparkSession, path: str, devices: DataFrame | None = None, after_month: str | None = None) -> DataFrame:
+    """Raw rows of a file or folder, names checked, types coerced, kept to ``devices`` (device_id) if given. No deduplication.
+
+    With ``after_month``, only rows with a later time; a table that ``layout.prepare`` has left is pruned by months, buckets
+    and ids, and read in its buckets.
+    """
+    bucketed = layout.is_bucketed(spark, path)
+    df = layout.open_bucketed(spark, path) if bucketed else from_wire(read_parquet(spark, path))
+    if bucketed:
+        df = df if after_month is None else df.where(F.col("ym") > after_month)
+        df = (df if devices is None else layout.of_keys(df, devices)).drop("ym")
     require(df)
     df = coerce(df)
-    return (df if devices is None else of_devices(df, devices)).drop("bucket")
+    df = df if bucketed or devices is None else of_devices(df, devices)
+    return (df if after_month is None else df.where(F.date_format("ts", "yyyy-MM") > after_month)).drop("bucket")
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = ("device_id", "ts")) -> DataFrame:
@@ -187,7 +198,7 @@ class Ledger:
 
     def state(self) -> DataFrame:
         """(step, channel, device_id, ym, status), one row a key."""
-        if not _status(self.spark, self.path):
+        if not names_in(self.spark, self.path):
             return self.spark.createDataFrame([], self.SCHEMA).drop("marked_at")
         return self.spark.read.schema(self.SCHEMA).parquet(self.path).groupBy(*self.KEYS).agg(F.max_by("status", "marked_at").alias("status"))
 
