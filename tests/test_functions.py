@@ -93,3 +93,31 @@ def test_trim_crossing_and_mode(spark):
     assert [(r.k, r.x_cross) for r in series.crossing(line, ["k"], "x", "y", 0.8).collect()] == [("a", pytest.approx(1.5))]
     bins = spark.createDataFrame([("a", v) for v in (1.1, 1.2, 3.6, 3.7, 9.0)] + [("b", None)], "k string, v double")
     assert [tuple(r) for r in stats.binned_mode(bins, ["k"], F.col("v"), 0.5).collect()] == [("a", 1.25, 5)]
+
+
+def test_quantiles_by_counting(spark):
+    """Ranks found by counting equal those of sorted values; large and small groups, ties, signs, extremes, nulls."""
+    import random
+    import statistics
+
+    from voltarc.functions import ranks
+
+    rng = random.Random(4)
+    pick = [0.0, -0.0, 1.5, -2.25, float("inf"), -1e300]
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([*pick, rng.gauss(0, 1), rng.gauss(0, 1e-300)]), rng.randrange(10)) for _ in range(1500)] + [("c", None, 3), ("d", 1.0, None)]
+    df = spark.createDataFrame(rows, "k string, v double, i int")
+    wants = {"m": ("v", None), "p10": ("v", 0.1), "p90": ("i", 0.9), "im": ("i", None), "p0": ("v", 0.0), "p100": ("v", 1.0)}
+    got = {r.k: r for r in ranks.quantiles(df, ["k"], wants).collect()}
+    for k in (None, "a", "b", "c", "d"):
+        v, i = (sorted(r[c] for r in rows if r[0] == k and r[c] is not None) for c in (1, 2))
+        near = [x and x[int((len(x) - 1) * q + 0.5)] if x else None for x, q in ((v, 0.1), (i, 0.9), (v, 0.0), (v, 1.0))]
+        assert (got[k].m, got[k].im, got[k].p10, got[k].p90, got[k].p0, got[k].p100) == (statistics.median(v) if v else None, statistics.median(i) if i else None, *near)
+    both = ranks.aggregate(df, ["k"], wants, F.count("*").alias("n"), most=3)  # some groups are counted, some held
+    one = ranks.aggregate(df, ["k"], wants, F.count("*").alias("n"))
+    assert both.columns == one.columns
+    same = [sorted(str([x + 0.0 if isinstance(x, float) else x for x in r]) for r in df_.collect()) for df_ in (both, one)]  # a zero has no sign here
+    assert same[0] == same[1]
+    assert ranks.aggregate(df, [], {"m": ("i", None)}, most=3).collect() == ranks.aggregate(df, [], {"m": ("i", None)}).collect()
+    assert ranks.aggregate(df.limit(0), ["k"], wants).collect() == []
+    plan = ranks.quantiles(df, ["k"], wants)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan.lower() for x in ("collect_list", "percentile", "median"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions import ranks
 from ..functions.params import by_model
 from ..session import settle
 
@@ -17,7 +18,7 @@ def with_c_nom(df: DataFrame, c_nom: DataFrame, model: str | None = None) -> Dat
     joined = df.join(c_nom.groupBy("channel", "device_id").agg(F.min("c_nom_bms").alias("c_nom_bms")), ["channel", "device_id"], "left")
     known = joined.where((F.col("soc_anchor") > 0) & F.col("c_nom_bms").isNotNull())
     keys = [model] if model else []
-    medians = known.groupBy(*keys).agg(F.median("c_nom_bms").alias("_c"))
+    medians = ranks.aggregate(known, keys, {"_c": ("c_nom_bms", None)})
     joined = joined.join(medians, keys, "left") if keys else joined.crossJoin(F.broadcast(medians))  # one row
     return joined.withColumn("c_nom_bms", F.coalesce("c_nom_bms", F.nullif("_c", F.lit(0.0)), F.lit(DEFAULT_C_NOM))).drop("_c")
 

@@ -6,34 +6,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions import ranks
 from ..functions.params import by_model
 from ..functions.series import month_index, month_spine, month_text
-from ..functions.stats import nearest_quantile
 
 WINDOW_MONTHS = 72
 #: Order of the health levels in reports.
 LEVELS = {"健康": 0, "关注": 1, "预警": 2, "退役": 3, "unknown": 4}
 
 
-def _soh(*more: Column) -> list[Column]:
-    return [F.median("soh").alias("soh_median"), nearest_quantile(F.col("soh"), 0.10).alias("soh_p10"), nearest_quantile(F.col("soh"), 0.90).alias("soh_p90"), F.countDistinct("device_id").alias("device_count"), *more]
+#: Quantiles of the state of health that most cohorts have, and how many devices they hold.
+SOH = {"soh_median": ("soh", None), "soh_p10": ("soh", 0.10), "soh_p90": ("soh", 0.90)}
 
 
-def _capacity() -> Column:
-    return (F.median("soh") * F.median("c_nom_soh")).alias("capacity_ah")
+def _devices() -> Column:
+    return F.countDistinct("device_id").alias("device_count")
+
+
+def _capacity(df: DataFrame) -> DataFrame:
+    """capacity_ah instead of the median nominal capacity."""
+    return df.withColumn("capacity_ah", F.col("soh_median") * F.col("_c_nom")).drop("_c_nom")
 
 
 def by_month(table: DataFrame) -> DataFrame:
-    return table.groupBy("model", "ym").agg(*_soh(_capacity(), F.median("loop_median").alias("loop_median"), F.max("loop_max").alias("loop_max")))
+    wants = SOH | {"_c_nom": ("c_nom_soh", None), "loop_median": ("loop_median", None)}
+    return _capacity(ranks.aggregate(table, ["model", "ym"], wants, _devices(), F.max("loop_max").alias("loop_max"), needs=["device_id", "loop_max"]))
 
 
 def decay_stats(table: DataFrame) -> DataFrame:
     """Quartiles of the decay over device months (so that longer series weigh more), and medians of first and last months."""
     ends = table.groupBy("model", "channel", "device_id").agg(F.min_by("soh", "ym").alias("_a"), F.max_by("soh", "ym").alias("_b"))
-    ends = ends.groupBy("model").agg(F.countDistinct("device_id").alias("device_count"), F.median("_a").alias("soh_start"), F.median("_b").alias("soh_latest"))
-    c = F.col("decay_rate_pct_year")
-    rates = table.groupBy("model").agg(F.median(c).alias("decay_pct_year_median"), nearest_quantile(c, 0.25).alias("decay_pct_year_p25"), nearest_quantile(c, 0.75).alias("decay_pct_year_p75"))
-    return rates.join(ends, "model")
+    ends = ranks.aggregate(ends, ["model"], {"soh_start": ("_a", None), "soh_latest": ("_b", None)}, _devices(), needs=["device_id"])
+    c = "decay_rate_pct_year"
+    return ranks.aggregate(table, ["model"], {"decay_pct_year_median": (c, None), "decay_pct_year_p25": (c, 0.25), "decay_pct_year_p75": (c, 0.75)}).join(ends, "model")
 
 
 def with_age(table: DataFrame) -> DataFrame:
@@ -42,29 +47,23 @@ def with_age(table: DataFrame) -> DataFrame:
 
 
 def by_age(table: DataFrame) -> DataFrame:
-    loops, birth = F.col("loop_median"), F.col("birth")
-    return with_age(table).groupBy("model", "age_month").agg(*_soh(
-        _capacity(), nearest_quantile(birth, 0.25).alias("birth_p25"), nearest_quantile(birth, 0.75).alias("birth_p75"),
-        F.median(loops).alias("loop_median"), nearest_quantile(loops, 0.25).alias("loop_p25"), nearest_quantile(loops, 0.75).alias("loop_p75"),
-    ))
+    loops = "loop_median"
+    wants = SOH | {"_c_nom": ("c_nom_soh", None), "birth_p25": ("birth", 0.25), "birth_p75": ("birth", 0.75), "loop_median": (loops, None), "loop_p25": (loops, 0.25), "loop_p75": (loops, 0.75)}
+    return _capacity(ranks.aggregate(with_age(table), ["model", "age_month"], wants, _devices(), needs=["device_id"]))
 
 
 def by_loops(table: DataFrame, width: int = 25) -> DataFrame:
-    age, birth = F.col("age_month"), F.col("birth")
+    wants = SOH | {"_c_nom": ("c_nom_soh", None), "age_p25": ("age_month", 0.25), "age_p75": ("age_month", 0.75), "birth_p25": ("birth", 0.25), "birth_p75": ("birth", 0.75)}
     binned = with_age(table).where("loop_median IS NOT NULL").withColumn("loop_bin", F.floor(F.col("loop_median") / width).cast("long"))
-    grouped = binned.groupBy("model", "loop_bin").agg(*_soh(
-        _capacity(), nearest_quantile(age, 0.25).alias("age_p25"), nearest_quantile(age, 0.75).alias("age_p75"), nearest_quantile(birth, 0.25).alias("birth_p25"), nearest_quantile(birth, 0.75).alias("birth_p75"),
-    ))
+    grouped = _capacity(ranks.aggregate(binned, ["model", "loop_bin"], wants, _devices(), needs=["device_id"]))
     return grouped.withColumns({"loop_from": F.col("loop_bin") * width, "loop_to": (F.col("loop_bin") + 1) * width})
 
 
 def by_stage(table: DataFrame, forecast: DataFrame) -> DataFrame:
     last = table.groupBy("model", "channel", "device_id").agg(F.max_by("loop_max", "ym").alias("loops"), F.max_by("soh", "ym").alias("soh"))
     staged = last.join(forecast.select("channel", "device_id", "health_level"), ["channel", "device_id"])
-    loops = F.col("loops")
-    return staged.groupBy("model", "health_level").agg(
-        F.countDistinct("device_id").alias("device_count"), F.median(loops).alias("loops_median"), nearest_quantile(loops, 0.10).alias("loops_p10"), nearest_quantile(loops, 0.90).alias("loops_p90"), F.median("soh").alias("soh_median"),
-    )
+    wants = {"loops_median": ("loops", None), "loops_p10": ("loops", 0.10), "loops_p90": ("loops", 0.90), "soh_median": ("soh", None)}
+    return ranks.aggregate(staged, ["model", "health_level"], wants, _devices(), needs=["device_id"])
 
 
 def stage_order(level: Column) -> Column:
@@ -77,7 +76,8 @@ def stage_order(level: Column) -> Column:
 def fleet(table: DataFrame, line: float = 0.80) -> DataFrame:
     """One row a model; first_month is the earliest of its devices' last months, data_from its earliest month at all."""
     last = table.groupBy("model", "channel", "device_id").agg(F.max("ym").alias("_e"), F.min("ym").alias("_s"), F.max_by("soh", "ym").alias("soh"), F.max_by("loop_median", "ym").alias("_l"))
-    return last.groupBy("model").agg(F.count("*").alias("devices"), F.min("_e").alias("first_month"), F.min("_s").alias("data_from"), F.median("soh").alias("soh_median"), nearest_quantile(F.col("soh"), 0.10).alias("soh_p10"), nearest_quantile(F.col("soh"), 0.90).alias("soh_p90"), F.count_if(F.col("soh") < line).alias("below_line"), F.median("_l").alias("loop_median"))
+    figures = [F.count("*").alias("devices"), F.min("_e").alias("first_month"), F.min("_s").alias("data_from"), F.count_if(F.col("soh") < line).alias("below_line")]
+    return ranks.aggregate(last, ["model"], SOH | {"loop_median": ("_l", None)}, *figures, needs=["_e", "_s", "soh"])
 
 
 def level_counts(forecast: DataFrame) -> DataFrame:
@@ -88,8 +88,8 @@ def retire_months(forecast: DataFrame, table: DataFrame, line: float = 0.80, r2_
     """(model, channel, device_id, retire_mi): the trusted forecast, or the model's decay carried on from the last month."""
     keys = ["channel", "device_id"]
     last = table.groupBy(*keys).agg(F.max_by("model", "ym").alias("model"), F.max("ym").alias("_e"), F.max_by("soh", "ym").alias("_soh"))
-    rates = table.groupBy("model").agg(F.median("decay_rate_pct_year").alias("_rate"))
-    everyone = table.agg(F.median("decay_rate_pct_year").alias("_all"))
+    rates = ranks.aggregate(table, ["model"], {"_rate": ("decay_rate_pct_year", None)})
+    everyone = ranks.aggregate(table, [], {"_all": ("decay_rate_pct_year", None)})
     d = forecast.join(last, keys).join(rates, "model", "left").crossJoin(F.broadcast(everyone))  # one row is broadcast
     monthly = F.greatest(F.abs(F.coalesce(F.nullif("_rate", F.lit(0.0)), F.col("_all"))) / 1200, F.lit(1e-6))
     guess = F.when(F.col("_soh") <= line, month_index("_e")).otherwise(month_index("_e") + F.rint((F.col("_soh") - line) / monthly))
