@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import mad_keep
+from ..functions.stats import MAD_SCALE, TINY, mad_keep
 
 KEYS = ("channel", "device_id", "ym")
 
@@ -44,3 +44,21 @@ def aggregate(scored: DataFrame, least: int = 3, k: float = 3.0, from_month: str
         F.median(F.try_divide("remaining_ah", "c_nom_bms")).alias("soh_bms"),
         F.median("loop_count").alias("loop_median"), F.max("loop_count").alias("loop_max"), F.min("model").alias("model"),
     ).withColumns({"year": F.substring("ym", 1, 4).cast("long"), "month": F.substring("ym", 6, 2).cast("long")})
+
+
+def from_weights(weights: DataFrame, keys: Sequence[str] = ("device_id", "ym"), k: float = 3.0, least: int = 3) -> DataFrame:
+    """(keys, capacity_median, capacity_count, value_mean) from rows (keys, value, w, n), n rows of a value with weight w each.
+
+    The same months as from the rows themselves: medians and deviations count each value as often as it came, so that parts
+    of a month can be counted apart and put together.
+    """
+    g = Window.partitionBy(*keys)
+    half = F.lit(0.5)  # percentile() counts a value n times, as F.median does rows
+    by = weights.groupBy(*keys, "value", "w").agg(F.sum("n").alias("n")).withColumns({"_med": F.percentile("value", half, F.col("n")).over(g), "_all": F.sum("n").over(g)})
+    by = by.withColumn("_dev", F.abs(F.col("value") - F.col("_med"))).withColumn("_scale", F.percentile("_dev", half, F.col("n")).over(g) * MAD_SCALE)
+    kept = by.where((F.col("_all") < 3) | (F.col("_scale") <= TINY) | (F.col("_dev") <= k * F.col("_scale")))
+    kept = kept.withColumn("_kept", F.sum("n").over(g)).where(F.col("_kept") >= least)
+    run = g.orderBy("value", "w").rowsBetween(Window.unboundedPreceding, 0)
+    kept = kept.withColumns({"_cw": F.sum(F.col("w") * F.col("n")).over(run), "_tw": F.sum(F.col("w") * F.col("n")).over(g)})
+    weighted = F.when(F.max("_tw") > 0, F.min(F.when(F.col("_cw") >= F.col("_tw") * 0.5, F.col("value")))).otherwise(F.percentile("value", half, F.col("n")))
+    return kept.groupBy(*keys).agg(weighted.alias("capacity_median"), F.sum("n").alias("capacity_count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("value_mean"))

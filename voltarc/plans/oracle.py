@@ -134,13 +134,15 @@ _QUARTILES = f"round(median(soh), 9) AS soh_median, round({_nearest('soh', 0.10)
 _SOH = f"{_QUARTILES}, count(DISTINCT device_id) AS device_count, round(median(soh) * median(37.0::DOUBLE), 9) AS capacity_ah"
 
 
-_RAW: dict[str, str] = {
-    "monthly_weighted_median": """WITH b AS (SELECT user_id AS device_id, strftime(ts, '%Y-%m') AS ym, value AS v, event_id, CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.75 WHEN 'error' THEN 0.75 ELSE 0.5 END::DOUBLE AS w FROM events),
+_RAW_MONTHS = """WITH b AS (SELECT user_id AS device_id, strftime(ts, '%Y-%m') AS ym, value AS v, event_id, CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.75 WHEN 'error' THEN 0.75 ELSE 0.5 END::DOUBLE AS w FROM events),
         c AS (SELECT *, median(v) OVER g AS md, count(*) OVER g AS n FROM b WINDOW g AS (PARTITION BY device_id, ym)),
         d AS (SELECT *, 1.4826 * median(abs(v - md)) OVER (PARTITION BY device_id, ym) AS s FROM c),
         e AS (SELECT * FROM d WHERE n < 3 OR s <= 1e-12 OR abs(v - md) <= 3 * s),
         f AS (SELECT *, count(*) OVER (PARTITION BY device_id, ym) AS k, sum(w) OVER (PARTITION BY device_id, ym ORDER BY v, w, event_id ROWS UNBOUNDED PRECEDING) AS cw, sum(w) OVER (PARTITION BY device_id, ym) AS tw FROM e)
-        SELECT device_id, ym, round(min(CASE WHEN cw >= tw * 0.5 THEN v END), 9) AS capacity_median, count(*) AS capacity_count, round(avg(v), 9) AS value_mean FROM f WHERE k >= 3 GROUP BY ALL""",
+        SELECT device_id, ym, round(min(CASE WHEN cw >= tw * 0.5 THEN v END), 9) AS capacity_median, count(*) AS capacity_count, round(avg(v), 9) AS value_mean FROM f WHERE k >= 3 GROUP BY ALL"""
+
+_RAW: dict[str, str] = {
+    "monthly_weighted_median": _RAW_MONTHS,
     "weighted_median_by_brand": """WITH a AS (SELECT p_brand, l_extendedprice AS v, sum(l_quantity) OVER (PARTITION BY p_brand ORDER BY l_extendedprice, l_quantity, l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING) AS cw, sum(l_quantity) OVER (PARTITION BY p_brand) AS tw
         FROM lineitem JOIN part ON l_partkey = p_partkey) SELECT p_brand, round(min(CASE WHEN cw >= tw * 0.5 THEN v END), 9) AS price FROM a GROUP BY ALL""",
     "gap_flags": "SELECT event_id, time_gap FROM cl",
@@ -241,6 +243,7 @@ _RAW: dict[str, str] = {
     "model_descriptions": "SELECT DISTINCT model, CASE model WHEN 'm0' THEN '铁锂 24S' WHEN 'm2' THEN '三元 21S' ELSE '' END AS description, CASE model WHEN 'm0' THEN 40.0 WHEN 'm2' THEN 36.5 ELSE 37.0 END::DOUBLE AS c_nom FROM mm",
     "dedup_events": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
     "bucketed_dedup": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
+    "monthly_from_weights": _RAW_MONTHS,
     "bucketed_runs": "SELECT device_id, c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE is_rest) AS resting, sum(rest_s)::BIGINT AS rest_s, count(*) FILTER (WHERE run_end) AS ends FROM rr JOIN customer ON device_id = c_custkey GROUP BY ALL",
     "device_rows": "SELECT user_id, event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 100 = 7)",
     "incremental_anchors": f"""SELECT event_id, anchor_type, round(soc_anchor, 9) AS soc_anchor, CASE WHEN conflict AND drift THEN 'anchor_conflict,sensor_drift' WHEN conflict THEN 'anchor_conflict' WHEN drift THEN 'sensor_drift' ELSE '' END AS flags,

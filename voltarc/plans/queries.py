@@ -16,6 +16,7 @@ from ..functions import series, stats
 from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, state, trend, validation
 from ..session import settle, settled_path
 from ..sources import layout, telemetry
+from ..streaming import late
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,14 @@ def monthly_weighted_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(kept.groupBy(*keys).agg(monthly.weighted_median_of("value").alias("capacity_median"), F.count("*").alias("capacity_count"), F.avg("value").alias("value_mean")))
 
 
+def monthly_from_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A15 to A18, D1 from weights by value of each day, as a stream leaves them: the same months as from the rows."""
+    weight = F.when(F.col("event_type") == "purchase", 1.0).when(F.col("event_type").isin("signup", "error"), 0.75).otherwise(0.5)
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("device_id"), "ts", "value", "event_id", weight.alias("w"))
+    twice = e.unionByName(e.where("event_id % 10 = 0"))  # some rows are delivered again
+    return rounded(monthly.from_weights(late.daily_weights(twice, "value", "w", key=("device_id", "event_id"))))
+
+
 def weighted_median_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     df = li.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
@@ -441,5 +450,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     excluded_devices, ols_decay, soh_drop_alerts, anchor_rate_alerts, channel_dashboard, group_consistency, full_vs_empty, r_drift, retire_forecast, cohort_months, cohort_decay,
     cohort_age, cohort_loops, cohort_stages, fleet_figures, retire_schedule, schedule_quarters, schedule_milestones, retire_outside, loop_caps, crossing_80, worst_mom_drop,
     null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events, cleaned_nulls, model_check, level_counts, kpis, drift_verdict, loop_axis, model_crossing_80,
-    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors,
+    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors, monthly_from_weights,
 )}
