@@ -244,6 +244,8 @@ _RAW: dict[str, str] = {
     "dedup_events": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
     "bucketed_dedup": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
     "monthly_from_weights": _RAW_MONTHS,
+    "mixed_schemas": """SELECT device_id, count(*) AS n, round(sum(voltage), 9) AS voltage, round(sum(current), 9) AS current, count(CASE WHEN event_id % 3 > 0 THEN temperature END) AS temperatures,
+        strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last, max(loop_count) AS loops FROM t GROUP BY device_id""",
     "bucketed_runs": "SELECT device_id, c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE is_rest) AS resting, sum(rest_s)::BIGINT AS rest_s, count(*) FILTER (WHERE run_end) AS ends FROM rr JOIN customer ON device_id = c_custkey GROUP BY ALL",
     "device_rows": "SELECT user_id, event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_custkey % 100 = 7)",
     "incremental_anchors": f"""SELECT event_id, anchor_type, round(soc_anchor, 9) AS soc_anchor, CASE WHEN conflict AND drift THEN 'anchor_conflict,sensor_drift' WHEN conflict THEN 'anchor_conflict' WHEN drift THEN 'sensor_drift' ELSE '' END AS flags,

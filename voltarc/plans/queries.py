@@ -428,6 +428,16 @@ def device_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.of_keys(e, users, "user_id").select("user_id", "event_id", "event_type", "value", "day")
 
 
+def mixed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry written in two schemas, one of them with text for numbers and times, read as one table."""
+    e, path = rows(spark, sf_dir), settled_path(spark, "mixed")
+    told = e.withColumns({c: F.col(c).cast("string") for c in ("voltage", "current", "ts", "loop_count")}).drop("temperature")
+    e.where("event_id % 3 > 0").write.parquet(f"{path}/first")
+    told.where("event_id % 3 = 0").write.parquet(f"{path}/second")
+    df = telemetry.read_mixed(spark, path)
+    return rounded(df.groupBy("device_id").agg(F.count("*").alias("n"), F.sum("voltage").alias("voltage"), F.sum("current").alias("current"), F.count("temperature").alias("temperatures"), F.max(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("last"), F.max("loop_count").alias("loops")))
+
+
 #: Where the events are cut in two, and in three.
 CUT, SECOND_CUT = "2024-01-12 09:30:00", "2024-01-20 00:00:00"
 
@@ -450,5 +460,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     excluded_devices, ols_decay, soh_drop_alerts, anchor_rate_alerts, channel_dashboard, group_consistency, full_vs_empty, r_drift, retire_forecast, cohort_months, cohort_decay,
     cohort_age, cohort_loops, cohort_stages, fleet_figures, retire_schedule, schedule_quarters, schedule_milestones, retire_outside, loop_caps, crossing_80, worst_mom_drop,
     null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events, cleaned_nulls, model_check, level_counts, kpis, drift_verdict, loop_axis, model_crossing_80,
-    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors, monthly_from_weights,
+    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors, monthly_from_weights, mixed_schemas,
 )}

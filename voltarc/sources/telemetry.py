@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,15 +30,66 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) and fs.getFileStatus(at).isDirectory() else []
 
 
+NANOS = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def _or_nanos(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
+    """Files with nanoseconds can be read as numbers only, which is a setting of the session; it is touched where they are met."""
+    try:
+        return read()
+    except Exception as e:
+        if "NANOS" not in str(e):
+            raise
+    spark.conf.set(NANOS, "true")
+    return read()
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files below ``path``, in folders of any depth; nanosecond timestamps come as numbers and are turned by ``coerce``.
+    """Parquet files of one schema below ``path``, in folders of any depth; nanosecond timestamps come as numbers and are turned by ``coerce``.
 
     Folders written by ``prepare`` keep their ``bucket`` column, so that a filter on it prunes files.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")  # files with nanoseconds can't be read otherwise
     bucketed = any(n.startswith("bucket=") for n in names_in(spark, path))
-    reader = spark.read if bucketed else spark.read.option("recursiveFileLookup", "true")
-    return reader.parquet(path)
+    return _or_nanos(spark, lambda: (spark.read if bucketed else spark.read.option("recursiveFileLookup", "true")).parquet(path))
+
+
+def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """``files`` by the schemas that can be read together, each with their merged schema.
+
+    Footers are read and merged on the executors; files that don't merge are halved until they do. Feeds change their types
+    from some day on, so in the order of their names few halves are needed.
+    """
+    try:
+        return [(_or_nanos(spark, lambda: spark.read.option("mergeSchema", "true").parquet(*files)).schema, list(files))]
+    except Exception as e:
+        if len(files) == 1 or "MERGE" not in str(e).upper():
+            raise
+    half, out = len(files) // 2, []
+    for schema, own in [*schema_groups(spark, files[:half]), *schema_groups(spark, files[half:])]:
+        for k, (known, held) in enumerate(out):
+            kinds = {f.name: f.dataType for f in known}
+            if all(kinds.get(f.name, f.dataType) == f.dataType for f in schema):
+                out[k] = (T.StructType([*known, *(f for f in schema if f.name not in kinds)]), held + own)
+                break
+        else:
+            out.append((schema, own))
+    return out
+
+
+def read_mixed(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all Parquet files below ``path``, whatever types their columns have: each kind is read by its own schema, coerced to
+    the declared types and put together. Other columns are kept; as text where their types differ."""
+    files = sorted(spark.read.schema("_ int").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path).inputFiles())
+    if not files:
+        return coerce(from_wire(read_parquet(spark, path)))
+    parts = [coerce(from_wire(spark.read.schema(schema).parquet(*own))) for schema, own in schema_groups(spark, files)]
+    kinds: dict[str, set[str]] = {}
+    for p in parts:
+        for name, kind in p.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    odd = {name for name, k in kinds.items() if len(k) > 1}
+    parts = [p.withColumns({c: F.col(f"`{c}`").cast("string") for c in odd if c in p.columns}) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def from_wire(df: DataFrame) -> DataFrame:
@@ -84,6 +136,13 @@ def _bucket(buckets: int) -> Column:
     return F.pmod("device_id", F.lit(buckets)).cast("int").alias("bucket")
 
 
+def _feed(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of files as they come; one that ``prepare`` wrote has one schema, and buckets to be pruned."""
+    if any(n.startswith("bucket=") for n in names_in(spark, path)):
+        return from_wire(read_parquet(spark, path))
+    return read_mixed(spark, path)
+
+
 def scan(spark: SparkSession, path: str, devices: DataFrame | None = None, after_month: str | None = None) -> DataFrame:
     """Raw rows of a file or folder, names checked, types coerced, kept to ``devices`` (device_id) if given. No deduplication.
 
@@ -91,7 +150,7 @@ def scan(spark: SparkSession, path: str, devices: DataFrame | None = None, after
     and ids, and read in its buckets.
     """
     bucketed = layout.is_bucketed(spark, path)
-    df = layout.open_bucketed(spark, path) if bucketed else from_wire(read_parquet(spark, path))
+    df = layout.open_bucketed(spark, path) if bucketed else _feed(spark, path)
     if bucketed:
         df = df if after_month is None else df.where(F.col("ym") > after_month)
         df = (df if devices is None else layout.of_keys(df, devices)).drop("ym")
