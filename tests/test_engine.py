@@ -1,5 +1,7 @@
 """Stages on seeded telemetry, end to end runs, configuration and sources."""
 
+import json
+from dataclasses import asdict
 from types import SimpleNamespace
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.fixtures import COLUMNS, c_nom_rows, raw_rows
 from voltarc import cli
-from voltarc.config import Found, ampere_hours, load_config, ocv_curve, validate_curve
+from voltarc.config import Found, ampere_hours, found_of, load_config, ocv_curve, validate_curve
 from voltarc.operators import anchor, capacity, clean, monthly, profile, quality, retirement, soh, trend, validation
 from voltarc.plans.pipeline import Pipeline, html_table, scored_anchors
 from voltarc.sources import telemetry
@@ -116,6 +118,16 @@ def flat_r(spark, fall=0.0):
     return spark.createDataFrame(rows, COLUMNS)
 
 
+def test_profile_says_when_it_has_too_few_rows(spark):
+    few = flat_r(spark).where("device_id = 11000000").limit(10)
+    found = profile.decide(few, load_config())
+    assert found.unsure == ("r_mode", "chemistry", "route") and found_of(json.loads(json.dumps(asdict(found)))) == found
+    assert profile.decide(flat_r(spark), CFG, 2).unsure == () and profile.decide(few.limit(0), load_config()).unsure == ("r_mode", "chemistry", "route", "current_effectively_missing")
+    rows = spark.createDataFrame([(88.0, 62.0), (70.0, 48.0), (91.0, 66.0)], "a double, b double")
+    for r in rows.withColumn("s", profile.infer_series(F.col("a"), F.col("b"), CFG, profile.FLEET_SERIES)["series"]).collect():
+        assert profile.nearest_series(r.a, r.b, CFG, profile.FLEET_SERIES) == r.s
+
+
 def test_profile_routes(spark):
     constant = profile.decide(telemetry.sampled(flat_r(spark)), CFG)
     assert (constant.r_mode, constant.route) == ("CONSTANT", "L2_TREND")
@@ -298,7 +310,17 @@ def test_command_line(spark, raw, tmp_path, monkeypatch):
     (tmp_path / "settings.json").write_text('{"chemistry": "NMC", "series": 21, "c_nom_spec": 40.0, "exclude": {"soh_low_ratio": 0.001}}')
     out = f"{tmp_path}/out"
     cli.main(["--source", f"{tmp_path}/raw", "--out", out, "--settings", f"{tmp_path}/settings.json", "--thresholds", f"{tmp_path}/thresholds.json", "--models", f"{tmp_path}/models.csv"])
-    assert (tmp_path / "out/buckets/_SUCCESS").exists()  # written by itself
+    assert (tmp_path / "out/buckets/_layout/_SUCCESS").exists()  # written by itself
+    from voltarc.config import read_settings
+
+    assert read_settings(tmp_path / "out/profile/settings.json") == {"chemistry": "NMC", "series": 21}
+    later = Pipeline(spark, load_config(), f"{out}/buckets", out)
+    later.recall()
+    assert later.cfg.chemistry == "NMC" and later.cfg.found.unsure == () and later.turned.count() == 0
+    assert Pipeline(spark, CFG, out, f"{tmp_path}/none").recall() is None
+    assert "<table>" in (tmp_path / "out/pages/dashboard.html").read_text() and (tmp_path / "out/pages/lagging_devices.html").exists()
+    assert spark.read.parquet(f"{out}/device_charts").where("shown > 120 OR shown > n").count() == 0 and spark.read.parquet(f"{out}/profile/devices").count() > 0
+    assert {"model_loop_cap", "model_milestones", "model_scales", "model_chart_age"} <= {p.name for p in (tmp_path / "out/reports/all").iterdir()}
     assert spark.read.parquet(f"{out}/soh_analysis").select("model").distinct().count() == 2 and spark.read.parquet(f"{out}/reversed_devices").count() == 0
 
 

@@ -80,6 +80,18 @@ class Found:
     reversed_devices: tuple[int, ...] = ()
     current_effectively_missing: bool = False
     use_time_window: bool = False
+    #: conclusions that rest on too few rows, so that a default or a guess stands in their place
+    unsure: tuple[str, ...] = ()
+
+    def settings(self) -> dict[str, Any]:
+        """What a settings file would say, for ``read_settings`` and for a user to correct."""
+        return {k: v for k, v in (("chemistry", self.chemistry), ("series", self.series)) if v is not None}
+
+
+def found_of(told: Mapping[str, Any]) -> Found:
+    """What ``asdict`` of a Found has written as JSON."""
+    lists = {k: tuple(told[k]) for k in ("reversed_devices", "unsure") if k in told}
+    return Found(**{**told, **lists})
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,3 +123,37 @@ def crossing(df: DataFrame, keys: Sequence[str], x: str, y: str, line: float, st
 def month_spine(df: DataFrame, key: str, first: Column, last: Column) -> DataFrame:
     """(key, mi) for every month index from ``first`` to the key's ``last``."""
     return df.groupBy(key).agg(first.alias("_a"), last.alias("_b")).where("_b >= _a").select(key, F.explode(F.sequence("_a", "_b")).alias("mi"))
+
+
+def thinned(points: Column, most: int) -> Column:
+    """At most ``most`` points of an array of (x, y) in order, for a chart: its ends, and of each stretch between the highest and
+    the lowest y and the point that makes the largest triangle with what was taken last and the next stretch's mean.
+
+    Stretches hold equal numbers of points. Highest and lowest points of the whole array always stay; the first of equals is
+    taken. Shorter arrays stay as they are; points without y should be left out before.
+    """
+    n, parts = F.size(points), max(1, (most - 2) // 3)
+    cut = lambda k: (F.lit(1) + F.floor((n - 2) * k / parts)).cast("int")
+    stretch = lambda k: F.slice(points, cut(k) + 1, F.greatest(cut(k + 1) - cut(k), F.lit(0)))
+
+    def mean(a: Column, of: str) -> Column:
+        return F.aggregate(a, F.lit(0.0), lambda s, p: s + p[of]) / F.size(a)
+
+    def step(taken: Column, k: Column) -> Column:
+        own, last = stretch(k), F.element_at(taken, -1)
+        ahead = F.when(k + 1 < parts, stretch(k + 1)).otherwise(F.slice(points, n, 1))
+        ahead = F.when(F.size(ahead) > 0, ahead).otherwise(F.slice(points, n, 1))
+        x2, y2 = mean(ahead, "x"), mean(ahead, "y")
+
+        def best(key: Callable[[Column], Column]) -> Column:
+            # max of structs: the largest key, then the smallest x
+            return F.aggregate(own, F.struct(F.lit(None).cast("double").alias("v"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y")),
+                               lambda b, p: F.when(b["v"].isNull() | (key(p) > b["v"]), F.struct(key(p).alias("v"), p["x"].alias("x"), p["y"].alias("y"))).otherwise(b))
+
+        area = best(lambda p: F.abs((last["x"] - x2) * (p["y"] - last["y"]) - (last["x"] - p["x"]) * (y2 - last["y"])))
+        found = F.array(area, best(lambda p: p["y"]), best(lambda p: -p["y"]))
+        chosen = F.array_sort(F.array_distinct(F.transform(F.filter(found, lambda b: b["v"].isNotNull()), lambda b: F.struct(b["x"].alias("x"), b["y"].alias("y")))))
+        return F.concat(taken, chosen)
+
+    inner = F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.slice(points, 1, 1), step)
+    return F.when(n <= most, points).otherwise(F.concat(inner, F.slice(points, n, 1)))

@@ -162,20 +162,36 @@ def use_time_window(df: DataFrame, cfg: Config) -> bool:
     return negative_loops(df).first()["frac_negative"] > cfg.get("selfcheck.neg_loopnum_frac")
 
 
-def decide(df: DataFrame, cfg: Config) -> Found:
-    """The one-row conclusions that later steps need; ``reversed_devices`` is a table of its own."""
+#: Under so many devices with enough rows a conclusion of the profile is unsure.
+LEAST_DEVICES = 3
+
+
+def decide(df: DataFrame, cfg: Config, least: int = LEAST_DEVICES) -> Found:
+    """The one-row conclusions that later steps need; ``reversed_devices`` is a table of its own.
+
+    A conclusion that fewer than ``least`` devices with enough rows speak for is named in ``unsure``: the mode of R, chemistry
+    and series, the route, and whether the current is missing. ``df`` is read several times, so it should be a table.
+    """
     r = r_summary(r_stats(df)).first()
     dynamic = r["cv_median"] >= cfg.get("selfcheck.r_cv_dynamic") or abs(r["slope_median"]) > cfg.get("selfcheck.r_slope_eps")
-    ranges = voltage_range(df, "device_id").agg(F.median("vmax").alias("vmax"), nearest_quantile(F.col("vmin"), 0.05).alias("vmin")).first()
-    slope = platform_slope(df, 1.0).agg(F.median("slope").alias("s")).first()["s"]
+    ranges = voltage_range(df, "device_id").agg(F.median("vmax").alias("vmax"), nearest_quantile(F.col("vmin"), 0.05).alias("vmin"), F.count("vmax").alias("n")).first()
+    slope = platform_slope(df, 1.0).agg(F.median("slope").alias("s"), F.count("*").alias("n")).first()
     chemistry, series = cfg.found.chemistry, cfg.found.series
+    told = chemistry is not None
     if ranges["vmax"] is not None and chemistry is None:
-        guess = df.sparkSession.range(1).select(infer_series(F.lit(ranges["vmax"]), F.lit(ranges["vmin"]), cfg, FLEET_SERIES)["series"].alias("s")).first()["s"]
-        chemistry = "LFP" if (slope or 0.0) / guess < PLATFORM_SLOPE else "NMC"
-        own = {chemistry: FLEET_SERIES[chemistry]}
-        series = df.sparkSession.range(1).select(infer_series(F.lit(ranges["vmax"]), F.lit(ranges["vmin"]), cfg, own)["series"].alias("s")).first()["s"]
+        at = (ranges["vmax"], ranges["vmin"])
+        chemistry = "LFP" if (slope["s"] or 0.0) / nearest_series(*at, cfg, FLEET_SERIES) < PLATFORM_SLOPE else "NMC"
+        series = nearest_series(*at, cfg, {chemistry: FLEET_SERIES[chemistry]})
     density = anchor_density(df, cfg).first()["density"]
     route = "ABSOLUTE" if dynamic or density >= cfg.get("selfcheck.min_anchor_per_month") else "L2_TREND"
-    missing = (near_zero_current(df, cfg.get("anchor.current_near_zero_a")).first()["frac_near_zero"] or 0.0) > cfg.get("anchor.current_zero_frac_limit")
+    zero = near_zero_current(df, cfg.get("anchor.current_near_zero_a")).first()["frac_near_zero"]
+    missing = (zero or 0.0) > cfg.get("anchor.current_zero_frac_limit")
     p = cfg.chem_params(chemistry)
-    return Found(chemistry, series, "DYNAMIC" if dynamic else "CONSTANT", route, p["v_full"], p["v_cutoff"], cfg.found.reversed_devices, missing, use_time_window(df, cfg))
+    unsure = [name for name, bad in (("r_mode", r["devices"] < least), ("chemistry", not told and min(slope["n"], ranges["n"]) < least), ("route", r["devices"] < least and density == 0.0), ("current_effectively_missing", zero is None)) if bad]
+    return Found(chemistry, series, "DYNAMIC" if dynamic else "CONSTANT", route, p["v_full"], p["v_cutoff"], cfg.found.reversed_devices, missing, use_time_window(df, cfg), tuple(unsure))
+
+
+def nearest_series(vmax: float, vmin: float, cfg: Config, candidates: dict[str, tuple[int, ...]]) -> int:
+    """``infer_series`` of one pair of numbers."""
+    options = [(abs(vmax / s - p["cell_v_full"]) + abs(vmin / s - p["cell_v_cutoff"]), k, s) for k, (name, of) in enumerate((n, o) for n, o in candidates.items()) for p in [cfg.chem_params(name)] for s in of]
+    return min(options, key=lambda x: x[:2])[2]

@@ -134,6 +134,15 @@ _QUARTILES = f"round(median(soh), 9) AS soh_median, round({_nearest('soh', 0.10)
 _SOH = f"{_QUARTILES}, count(DISTINCT device_id) AS device_count, round(median(soh) * median(37.0::DOUBLE), 9) AS capacity_ah"
 
 
+_AXES = (("mi", "a1", "b1", "s1"), ("capacity_median", "a2", "b2", "s2"), ("loop_max", "a3", "b3", "s3"))
+
+
+def _step(lo: str, hi: str) -> str:
+    """The smallest of 1, 2, 5 times a power of ten that isn't under a sixth of the span."""
+    raw = f"(CASE WHEN {hi} > {lo} THEN {hi} - {lo} ELSE greatest(abs({hi}), 1) END / 6)"
+    return f"list_min(list_filter(flatten(list_transform(range(-9, 12), lambda e: [10.0::DOUBLE ** e, 2 * 10.0::DOUBLE ** e, 5 * 10.0::DOUBLE ** e])), lambda x: x >= {raw} * (1 - 1e-12)))"
+
+
 _RAW_MONTHS = """WITH b AS (SELECT user_id AS device_id, strftime(ts, '%Y-%m') AS ym, value AS v, event_id, CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 0.75 WHEN 'error' THEN 0.75 ELSE 0.5 END::DOUBLE AS w FROM events),
         c AS (SELECT *, median(v) OVER g AS md, count(*) OVER g AS n FROM b WINDOW g AS (PARTITION BY device_id, ym)),
         d AS (SELECT *, 1.4826 * median(abs(v - md)) OVER (PARTITION BY device_id, ym) AS s FROM c),
@@ -244,6 +253,10 @@ _RAW: dict[str, str] = {
     "dedup_events": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
     "bucketed_dedup": "SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id, event_type",
     "monthly_from_weights": _RAW_MONTHS,
+    "chart_scales": f"""SELECT model, {', '.join(f"round(floor({lo} / {st}) * {st}, 9) + 0.0 AS {c}_low, round(ceil({hi} / {st}) * {st}, 9) + 0.0 AS {c}_high, round({st}, 9) AS {c}_step" for c, lo, hi, st in _AXES)}
+        FROM (SELECT model, {', '.join(f"{_step(lo, hi)} AS {st}, {lo}, {hi}" for _, lo, hi, st in _AXES)} FROM (SELECT model, min(mi)::DOUBLE AS a1, max(mi)::DOUBLE AS b1, min(cap) AS a2, max(cap) AS b2, min(loop_median + 5) AS a3, max(loop_median + 5) AS b3 FROM mm GROUP BY model))""",
+    "chart_curves": """SELECT channel, device_id, count(*)::INT AS n, true AS bounded, round(max(cap), 9) AS highest, round(min(cap), 9) AS lowest, min(mi)::DOUBLE AS x0, round(arg_min(cap, mi), 9) AS y0, max(mi)::DOUBLE AS x1, round(arg_max(cap, mi), 9) AS y1
+        FROM mm GROUP BY channel, device_id""",
     "mixed_schemas": """SELECT device_id, count(*) AS n, round(sum(voltage), 9) AS voltage, round(sum(current), 9) AS current, count(CASE WHEN event_id % 3 > 0 THEN temperature END) AS temperatures,
         strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last, max(loop_count) AS loops FROM t GROUP BY device_id""",
     "bucketed_runs": "SELECT device_id, c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE is_rest) AS resting, sum(rest_s)::BIGINT AS rest_s, count(*) FILTER (WHERE run_end) AS ends FROM rr JOIN customer ON device_id = c_custkey GROUP BY ALL",

@@ -14,8 +14,10 @@ from dataclasses import asdict, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config
-from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, state, trend
+from ..config import Config, found_of
+from ..functions.series import month_index
+from ..operators import anchor, capacity, charts, clean, cohort, monthly, profile, quality, retirement, soh, state, trend
+from ..session import settle, unsettle
 from ..sources import layout, telemetry
 
 log = logging.getLogger("voltarc")
@@ -109,22 +111,46 @@ class Pipeline:
             has = {name: self.spark.read.parquet(self.state_path(f"{name}/through={through}")) for name in now}
 
     def profile(self) -> Config:
-        """Step 0, on about one device in 25 (all of them if that leaves none)."""
+        """Step 0, on about one device in 25 (all of them if that leaves none), which is read once.
+
+        Leaves ``profile/settings.json``, which a user may correct and give as settings, ``profile/found.json``, which later
+        steps read if they run alone, and ``profile/devices``, what each device of the sample shows.
+        """
         raw = self.raw()
-        part = telemetry.sampled(raw)
-        part = part if part.limit(1).count() else raw
+        part = settle(telemetry.sampled(raw), "sample")
+        if not part.limit(1).count():
+            unsettle(part)
+            part = settle(raw, "sample")
         found = profile.decide(part, self.cfg)
         self.cfg = replace(self.cfg, found=found)
         log.info("profile: %s", json.dumps(asdict(found)))
+        if found.unsure:
+            log.warning("profile: too few rows to decide %s; check profile/settings.json", ", ".join(found.unsure))
         self.turned = self.keep(profile.reversed_devices(part), "reversed_devices")
         if self.models is not None and self.cfg.models:
             checked = self.keep(profile.against_sheet(part, self.models, self.cfg), "model_check")
             for r in checked.where("NOT ok").collect():  # a row a model
                 log.warning("model %s measures as %s/%s, its sheet says %s/%s; the sheet counts", r["model"], r["chemistry"], r["series"], r["sheet_chemistry"], r["sheet_series"])
         if not self.dry_run:
-            self.spark.createDataFrame([(json.dumps(asdict(found)),)], "value string").coalesce(1).write.mode("overwrite").text(self.path("profile"))
+            telemetry.write_text(self.spark, self.path("profile/settings.json"), json.dumps(found.settings(), indent=2))
+            telemetry.write_text(self.spark, self.path("profile/found.json"), json.dumps(asdict(found), indent=2))
+            shown = profile.voltage_range(part, "device_id").join(profile.r_stats(part), "device_id", "left").join(profile.current_sign(part), "device_id", "left")
+            self.keep(shown, "profile/devices")
+        unsettle(part)
         return self.cfg
 
+    def recall(self) -> None:
+        """What an earlier step 0 has found, for a run that begins after it; what the settings say stays."""
+        told = telemetry.read_text(self.spark, self.path("profile/found.json"))
+        if told is None:
+            return
+        own, found = self.cfg.found, found_of(json.loads(told))
+        if own.chemistry is not None and (own.chemistry, own.series) != (found.chemistry, found.series):
+            found = replace(found, chemistry=own.chemistry, series=own.series, v_full=own.v_full, v_cutoff=own.v_cutoff)
+        self.cfg = replace(self.cfg, found=replace(found, reversed_devices=own.reversed_devices or found.reversed_devices))
+        if self.turned is None and telemetry.is_ready(self.spark, self.path("reversed_devices")):
+            self.turned = self.spark.read.parquet(self.path("reversed_devices"))
+
     def anchors(self, from_month: str | None = None) -> DataFrame:
         """Steps 1 to 4. With ``from_month`` only those months' partitions are replaced, and only later rows are read than a
         state covers that an earlier run has left; without one, all are, since offsets and nominal capacity need them."""
@@ -155,6 +181,8 @@ class Pipeline:
         if first == 0 and self.profile().found.route != "ABSOLUTE":
             log.info("route %s: no absolute capacities, later steps are skipped", self.cfg.found.route)
             return made
+        if first > 0:
+            self.recall()
         if first <= 5 <= last:
             made["observation"] = self.anchors(from_month)
             made["monthly_capacity"] = self.months(made["observation"], from_month)
@@ -172,6 +200,9 @@ class Pipeline:
             made["dashboard"] = self.keep(trend.dashboard(scored, made["soh_analysis"]), "dashboard")
             made["group_consistency"] = self.keep(trend.consistency(made["soh_analysis"]), "group_consistency")
             made["full_vs_empty"] = self.keep(trend.full_vs_empty(scored), "full_vs_empty")
+            if not self.dry_run:
+                self.page(made["dashboard"], "dashboard", "channel")
+                self.page(made["group_consistency"].where("lagging"), "lagging_devices", "channel", "device_id")
             made["r_drift"] = self.keep(trend.r_drift(scored), "r_drift")
             made["r_drift_verdict"] = self.keep(trend.r_drift_verdict(made["r_drift"]), "r_drift_verdict")
         if last >= 8:
@@ -187,6 +218,12 @@ class Pipeline:
             ("model_trend", cohort.by_month(table)), ("model_decay_stats", cohort.decay_stats(table)), ("model_age_trend", cohort.by_age(table)), ("model_loop_trend", cohort.by_loops(table)),
             ("model_stage_loops", cohort.by_stage(table, forecast)), ("fleet", cohort.fleet(table)), ("fleet_levels", cohort.level_counts(forecast)), ("model_desc", cohort.described(table.select("model").distinct(), self.cfg)),
         )}
+        made["model_loop_cap"] = self.keep(cohort.loop_cap(made["model_loop_trend"]), "model_loop_cap")
+        made["model_chart_age"] = self.keep(charts.bands(made["model_age_trend"], "model", F.col("age_month"), "soh_median", "soh_p10", "soh_p90"), "model_chart_age")
+        made["model_chart_loops"] = self.keep(charts.bands(made["model_loop_trend"], "model", F.col("loop_from"), "soh_median", "soh_p10", "soh_p90"), "model_chart_loops")
+        made["model_scales"] = self.keep(charts.scales(made["model_age_trend"], ["model"], ["age_month", "soh_p10", "soh_p90", "loop_p75"]), "model_scales")
+        devices = charts.curves(table, ["model", *soh.KEYS], month_index("ym"), F.col("soh"))
+        self.keep(devices, "device_charts")  # a row a device: no report file
         made["model_loop_axis"] = self.keep(cohort.loop_axis(made["model_trend"], "ym"), "model_loop_axis")
         made["model_soh80"] = self.keep(cohort.crossing_80(made["model_age_trend"], "age_month"), "model_soh80")
         made["model_age_ticks"] = self.keep(cohort.ticks(made["model_age_trend"], "age_month", 0, 2, ("loop_p25", "loop_p75", "birth_p25", "birth_p75")), "model_age_ticks")
@@ -196,14 +233,20 @@ class Pipeline:
             made["retire_schedule"] = self.keep(cohort.schedule(months, today), "retire_schedule")
             made["retire_outside"] = self.keep(cohort.outside(months, today), "retire_outside")
             made["retire_quarters"] = self.keep(cohort.by_quarter(made["retire_schedule"]), "retire_quarters")
+            made["model_milestones"] = self.keep(cohort.peak_month(made["retire_schedule"]).join(cohort.half_way(made["retire_schedule"]), "model"), "model_milestones")
             made["kpis"] = self.keep(cohort.kpis(made["retire_schedule"], made["fleet"], today), "kpis")
         if not self.dry_run:
             for name, df in made.items():
-                telemetry.write_csv(df, self.path(f"reports/all/{name}"))
+                flat = df.withColumn("points", F.to_json("points")) if "points" in df.columns else df
+                telemetry.write_csv(flat, self.path(f"reports/all/{name}"))
                 if name.startswith("model_") and name != "model_desc":
-                    telemetry.write_csv(df, self.path(f"reports/by_model/{name}"), ("model",))
+                    telemetry.write_csv(flat, self.path(f"reports/by_model/{name}"), ("model",))
         return made
 
+    def page(self, df: DataFrame, name: str, *order: str) -> None:
+        """A table as a page of its own, in this order."""
+        telemetry.write_text(self.spark, self.path(f"pages/{name}.html"), html_table(df.orderBy(*order), name.replace("_", " ")))
+
 
 def html_table(df: DataFrame, title: str, most: int = 10_000) -> str:
     """A report table as a page. Of a longer one the page shows ``most`` rows, and says how many there are and that a file has them."""

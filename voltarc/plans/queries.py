@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config, Found, ModelParams, load_config, ocv_curve
 from ..functions import series, stats
-from ..operators import anchor, capacity, clean, cohort, monthly, profile, quality, retirement, soh, state, trend, validation
+from ..operators import anchor, capacity, charts, clean, cohort, monthly, profile, quality, retirement, soh, state, trend, validation
 from ..session import settle, settled_path
 from ..sources import layout, telemetry
 from ..streaming import late
@@ -438,6 +438,20 @@ def mixed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(df.groupBy("device_id").agg(F.count("*").alias("n"), F.sum("voltage").alias("voltage"), F.sum("current").alias("current"), F.count("temperature").alias("temperatures"), F.max(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("last"), F.max("loop_count").alias("loops")))
 
 
+def chart_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The axes of each model's page, over its devices' months."""
+    m = months(spark, sf_dir).withColumn("mi", series.month_index("ym"))
+    return rounded(charts.scales(m, ["model"], ["mi", "capacity_median", "loop_max"]))
+
+
+def chart_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each device's curve with at most 14 points, which hold its ends and its extremes."""
+    m = months(spark, sf_dir)
+    c = charts.curves(m, ["channel", "device_id"], series.month_index("ym"), F.col("capacity_median"), 14)
+    ys, first, last = F.transform("points", lambda p: p["y"]), F.element_at("points", 1), F.element_at("points", -1)
+    return rounded(c.select("channel", "device_id", "n", (F.col("shown") <= F.least("n", F.lit(14))).alias("bounded"), F.array_max(ys).alias("highest"), F.array_min(ys).alias("lowest"), first["x"].alias("x0"), first["y"].alias("y0"), last["x"].alias("x1"), last["y"].alias("y1")))
+
+
 #: Where the events are cut in two, and in three.
 CUT, SECOND_CUT = "2024-01-12 09:30:00", "2024-01-20 00:00:00"
 
@@ -460,5 +474,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     excluded_devices, ols_decay, soh_drop_alerts, anchor_rate_alerts, channel_dashboard, group_consistency, full_vs_empty, r_drift, retire_forecast, cohort_months, cohort_decay,
     cohort_age, cohort_loops, cohort_stages, fleet_figures, retire_schedule, schedule_quarters, schedule_milestones, retire_outside, loop_caps, crossing_80, worst_mom_drop,
     null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events, cleaned_nulls, model_check, level_counts, kpis, drift_verdict, loop_axis, model_crossing_80,
-    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors, monthly_from_weights, mixed_schemas,
+    age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors, monthly_from_weights, mixed_schemas, chart_scales, chart_curves,
 )}

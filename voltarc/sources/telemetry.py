@@ -217,6 +217,24 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
         df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of text, wherever it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What ``write_text`` wrote; None if it isn't there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
 def model_map(df: DataFrame) -> DataFrame:
     """(device_id, model), each device once; a device with two models is an error."""
     devices = df.where("device_id IS NOT NULL AND model IS NOT NULL").groupBy("device_id").agg(F.min("model").alias("model"), F.max("model").alias("_other"))
