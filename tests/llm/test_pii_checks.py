@@ -31,3 +31,21 @@ def test_failed_checks_fall_through(spark):
     assert m and m[1] == m[2] != "a.b@c.com" and ".example." in m[1]
     m = re.fullmatch(r"password: '(\w+)' and token=\"(\w+)\"", got[8].text)
     assert m and m[1] == m[2] != "hunter2hunter"
+
+
+def test_no_list_of_entities_stays_behind(spark):
+    """Entities beside their surrogates are deleted as soon as collisions have been settled, in failures too."""
+    import pytest
+
+    from voltarc import session
+    from voltarc.llm import pii
+
+    docs = spark.createDataFrame([(k, f"write to some.one{k}@mail.example.org or {k}") for k in range(40)], "doc_id long, text string")
+    before = set(session._SETTLED)
+    masked = pii.with_surrogates(docs, "k").collect()
+    left = [p for p in session._SETTLED if p not in before]
+    assert all("some.one" not in r.text for r in masked) and not [p for p in left if any(f"/{n}-" in p for n in ("matches", "entities", "surrogates", "again"))]
+    broken = docs.withColumn("text", pii.F.raise_error(pii.F.lit("unreadable")).cast("string"))
+    with pytest.raises(Exception, match="unreadable"):
+        pii.with_surrogates(broken, "k").collect()
+    assert set(session._SETTLED) <= before | set(left)

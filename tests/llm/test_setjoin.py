@@ -174,3 +174,21 @@ def test_components_of_paths_and_hubs(spark):
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[k] for k in path} == {min(path)} and {got[k] for k in range(5000, 5400)} == {5000} and 7000 not in got and len(got) == 800
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    """Beyond any broadcast by size, only rows that the bit array over the dropped ids names meet an exchange."""
+    rows = [(k, f"text {k}", k % 3) for k in range(400)] + [(None, "nobody", 1), (7, "again", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_word` int").repartition(3)
+    ids = spark.createDataFrame([(k,) for k in range(0, 400, 7)], "doc_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = S.without_ids(docs, ids)
+        assert sorted(map(str, got.collect())) == sorted(str(r) for r in docs.collect() if r.doc_id is None or r.doc_id % 7)
+        stays = got._jdf.queryExecution().optimizedPlan().children()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        first = plan[plan.index("Union") :].split("SortMergeJoin")[0]
+        assert stays.size() >= 1 and "BroadcastHashJoin" in first and "Exchange hashpartitioning(doc_id" not in first and "SortMergeJoin" in plan
+        assert S.without_ids(docs, ids.limit(0)).count() == len(rows) and S.without_ids(docs.limit(0), ids).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

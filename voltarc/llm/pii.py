@@ -36,7 +36,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import quoted, settle, unsettle
+from ..session import quoted, scope, settle, unsettle
 from .spotsigs import ANCHORS
 
 #: Redraws after which surrogates get longer, and after which something else must be wrong.
@@ -375,7 +375,13 @@ def entities(docs: DataFrame) -> DataFrame:
 
 
 def redrawn(docs: DataFrame, make: Surrogates) -> DataFrame:
-    """(kind, known, attempt) of the entities whose first surrogate isn't theirs alone."""
+    """(kind, known, attempt) of the entities whose first surrogate isn't theirs alone; the list of all entities goes at once."""
+    with scope() as kept:
+        kept.append(settle(_redrawn(docs, make), "redrawn"))
+    return kept[0]
+
+
+def _redrawn(docs: DataFrame, make: Surrogates) -> DataFrame:
 
     def drawn(kind: Column, known: Column, shown: Column, attempt: Column) -> Column:
         """What must differ. Domains differ already, so addresses are compared by mailbox and their own domain."""
@@ -432,6 +438,7 @@ def _replaced(docs: DataFrame, key: str | None) -> DataFrame:
         def attempt_of(kind: Column, known: Column) -> Column:
             return F.coalesce(F.element_at("again", F.concat_ws("|", kind, known)), F.lit(0))
     else:
+        unsettle(again)
 
         def attempt_of(kind: Column, known: Column) -> Column:
             return F.lit(0)

@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import all_columns, settle, ship, unsettle
@@ -441,14 +441,31 @@ def _with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     A bit array over the members' doc_ids, joined by its words, keeps most other texts from being sent. Where a doc_id
     repeats, a member meets all its texts; the search leaves those out that have another key.
     """
-    wanted = members.count() * FILTER_BITS_EACH
+    words, word, hit = id_bits(members)
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", word)
+    rows = rows.join(F.broadcast(words), "_word").where(hit)
+    return rows.select("doc_id", "text").join(members.select("doc_id", "set_key", "n", "block", "chunks"), "doc_id").select("block", "set_key", "n", "chunks", "text")
+
+
+def id_bits(ids: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """A bit array over doc_ids as a table of words, at most FILTER_BITS / 64 of them; the word of a row, and whether its bit
+    is set once it has met the words (false where it met none)."""
+    wanted = ids.count() * FILTER_BITS_EACH
     bits = min(FILTER_BITS, 1 << max(16, wanted.bit_length()))
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    at = (F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-    words = members.select(*at).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", *at)
-    rows = rows.join(F.broadcast(words), "word").where(F.expr("shiftright(bits, bit) & 1 = 1"))  # at most FILTER_BITS / 64 words
-    return rows.select("doc_id", "text").join(members.select("doc_id", "set_key", "n", "block", "chunks"), "doc_id").select("block", "set_key", "n", "chunks", "text")
+    word, at = F.shiftright(bit, 6).alias("_word"), bit.bitwiseAND(F.lit(63)).cast("int")
+    words = ids.select(word, at.alias("_bit")).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    return words, word, F.call_function("shiftright", F.coalesce("_bits", F.lit(0).cast("long")), at).bitwiseAND(F.lit(1)) == 1
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``ids`` (doc_id). Rows whose id isn't in a bit array over them pass as they lie; only the
+    others, few more than those that go, are dealt out for the exact comparison."""
+    words, word, hit = id_bits(ids)
+    marked = docs.select("doc_id", F.struct(*all_columns(docs)).alias("_row"), word).join(F.broadcast(words), "_word", "left")
+    stay = marked.where(~hit).select("_row")
+    asked = marked.where(hit).select("doc_id", "_row").join(ids.select("doc_id"), "doc_id", "left_anti").select("_row")
+    return stay.unionByName(asked).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def link_sets(docs: DataFrame, sets: DataFrame, sets_of: SetsOf, percent: int, common: np.ndarray) -> DataFrame:
@@ -567,8 +584,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     grouped = settle(jaccard_components(docs, 5, 80).select("doc_id", "mark", "group_key", "component_id"), "grouped")
     first = F.col("group_key").isNull() | (F.col("doc_id") == F.col("component_id"))
     ids = grouped.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(first).alias("stays"), F.count("*").alias("n"))
-    ids = settle(ids.where("NOT stays OR n > 1"), "ids")  # fewer than those that stay: most texts need no shuffle if Spark finds them small
-    kept = docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*all_columns(docs))
+    ids = settle(ids.where("NOT stays OR n > 1"), "ids")
+    kept = without_ids(docs, ids)
     repeated = ids.where("stays AND n > 1").select("doc_id")
     if not repeated.limit(1).count():
         return kept
