@@ -21,6 +21,7 @@ def table(n, ts=None, voltage=None, **more):
 
 @pytest.fixture
 def folder(tmp_path):
+    tmp_path = tmp_path / "a feed"
     for k, t in enumerate((
         table(2), table(3, note=pa.array(["x"] * 3)), table(2, ts=pa.array([T] * 2, pa.timestamp("ns"))), table(3, voltage=pa.array(["70.5", "bad", None])), table(1, voltage=pa.array([70], pa.int32()), note=pa.array([7])),
         table(2, ts=pa.array([str(T)] * 2)), table(2), table(0), table(2).drop_columns(["temperature"]),
@@ -38,7 +39,7 @@ def test_files_of_several_schemas_are_one_table(spark, folder):
         rows = got.collect()
         assert len(rows) == 17 and {r.ts for r in rows} == {T} and sorted(str(r.voltage) for r in rows) == ["70.0", *["70.5"] * 14, "None", "None"]
         assert sorted(str(r.note) for r in rows if r.note) == ["7", "x", "x", "x"] and sum(r.temperature is None for r in rows) == 2
-        files = sorted(spark.read.schema("_ int").option("recursiveFileLookup", "true").parquet(folder).inputFiles())
+        files = sorted(f"{folder}/day={k}/part.parquet" for k in range(9))
         groups = telemetry.schema_groups(spark, files)
         assert sorted(f for _, own in groups for f in own) == files and len(groups) == 6  # an empty file has types of its own
     finally:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -79,7 +80,7 @@ def schema_groups(spark: SparkSession, files: Sequence[str]) -> list[tuple[T.Str
 def read_mixed(spark: SparkSession, path: str) -> DataFrame:
     """Rows of all Parquet files below ``path``, whatever types their columns have: each kind is read by its own schema, coerced to
     the declared types and put together. Other columns are kept; as text where their types differ."""
-    files = sorted(spark.read.schema("_ int").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path).inputFiles())
+    files = sorted(unquote(f) for f in spark.read.schema("_ int").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path).inputFiles())
     if not files:
         return coerce(from_wire(read_parquet(spark, path)))
     parts = [coerce(from_wire(spark.read.schema(schema).parquet(*own))) for schema, own in schema_groups(spark, files)]
