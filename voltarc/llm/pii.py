@@ -5,14 +5,15 @@ canonical form, so that the same entity gets the same surrogate everywhere, howe
 
 * e-mail addresses: a local part of the same shape, a domain under a reserved name, the same one for the same domain;
 * phone, card, account and social security numbers: the same separators and country code, and the digits counted from the
-  right, so that a number with and without its country code agree; check digits of cards and accounts stay valid;
+  right, so that a number with and without its country code agree; national numbers keep their first two digits, and 00 is read
+  as +; check digits of cards and accounts stay valid;
 * IP addresses: addresses, compressed IPv6 ones as their full form; secrets (quoted values of 8 characters, unquoted ones with
   a digit, keys of 32 hexadecimal digits, tokens with a public prefix, which stays): characters of the same classes, however
   long they are;
 * persons, found by a title or by a known given name before a surname, in capitals too: known given names are exchanged within
   gender and script by a keyed cycle, unknown ones after a title are made with an ending of its gender, surnames are made from
-  syllables of the same script, titles stay, as do capitals. A name found so is replaced wherever it stands alone in the same
-  text, unless it is a common word.
+  syllables of the same script, initials are redrawn, titles and particles stay, as do capitals. A name found so, given or
+  family, is replaced wherever it stands alone in the same text, unless it is a common word.
 
 Distinct entities keep distinct surrogates: candidates that two entities share, or that are themselves entities of the
 corpus, are found by aggregates over all entities and redrawn in rounds until none is left; the redrawn ones reach the texts
@@ -64,15 +65,22 @@ TITLES = [t for own in TITLES_OF.values() for t in own]
 #: Endings of made given names.
 ENDINGS = {"latin-f": "ina", "latin-m": "ino", "cyrillic-f": "ина", "cyrillic-m": "ан"}
 #: Country calling codes of the numbering plan: one and two digits as listed, all others three (fixed value).
-CALLING_CODE = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+CALLING_CODE = r"^(?:\+|00(?=[1-9]\d))(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 SYLLABLES = {
     "latin": "bar ben bol cor dal den dor fen gar gol hal hen jor kel kor lan lem lin mar mel mon nor pel ran rin sol tam ter val wen".split(),
     "cyrillic": "бар бел вол гор дан дол жар зел кар кол лан лев мар мир нов пол рад сол тар тор".split(),
 }
 
-_NAME = r"\p{Lu}\p{Ll}+(?:[-'’]\p{Lu}\p{Ll}+)*"
-_UPPER_NAME = r"\p{Lu}{3,}(?:[-'’]\p{Lu}+)*"
-_ANY_NAME = f"(?:{_NAME}|{_UPPER_NAME})"
+#: Words between a given name or title and a surname, the second kind only after one of the first (fixed values).
+PARTICLES, AFTER_PARTICLE = "von van de del della di da du dos zu zur".split(), "der den dem la las los".split()
+
+#: One capital inside a part of a name, as in McDonald, and one before its apostrophe, as in O'Brien.
+_PART = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:\p{Lu}\p{Ll}+)?"
+_NAME = f"{_PART}(?:[-'’]{_PART})*"
+_UPPER_NAME = r"(?:\p{Lu}['’])?\p{Lu}{3,}(?:[-'’]\p{Lu}+)*"
+_PARTICLE = f"(?:(?:{'|'.join(PARTICLES)}) (?:(?:{'|'.join(AFTER_PARTICLE)}) )?)?"
+_ANY_NAME = f"{_PARTICLE}(?:{_NAME}|{_UPPER_NAME})"
+INITIAL = r"\p{Lu}\."
 LISTED = [n for names in GIVEN.values() for n in names.split()]
 _TITLE = "(?:" + "|".join(TITLES) + ")"
 _UPPER_TITLE = "(?:" + "|".join(CAPITAL_TITLES) + ")"
@@ -80,7 +88,9 @@ _ANY_TITLE = f"(?:{_TITLE}|{_UPPER_TITLE})"
 _GIVEN = "(?:" + "|".join(LISTED) + ")"
 _UPPER_GIVEN = "(?:" + "|".join(n.upper() for n in LISTED) + ")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"
+#: Letters of the scripts that part words by blanks: others would draw their neighbours into an address.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏΑ-ωЀ-ӿ"
+EMAIL = rf"(?<![{_LETTER}0-9._%+-])[{_LETTER}0-9][{_LETTER}0-9._%+-]{{0,63}}@[{_LETTER}0-9-]{{1,63}}(?:\.[{_LETTER}0-9-]{{1,63}}){{0,8}}\.[{_LETTER}]{{2,24}}"
 _KEY = r"(?:token|secret|passwd|password|api.?key)"
 _VALUE = r"[^\s\"',;&<>(){}\[\]]"
 #: Tokens known by their public prefix, which their surrogates keep.
@@ -98,12 +108,16 @@ IPV6 = (
 )
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?:\d{11,26}|[A-Z]{4}\d{10,20}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+[2-9]\d{0,2}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d|\.\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)"
-CARD = r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d]|-\d)"
+#: Numbers of a national plan: mobile ones parted after four digits, and five pairs that aren't part of a longer list.
+NATIONAL = r"(?<![\d+.,-])01[5-7]\d[ /-]\d{3,4}[ -]?\d{4,5}(?!\d|[.-]\d)|(?<![\d+.,-])(?<!\d )0[1-9](?:(?: \d{2}){4}|(?:\.\d{2}){4})(?!\d|[ .-]\d)"
+#: Numbers with 00 for +: with a separator after the country code, or whole ones of a European code.
+ABROAD = r"(?<![\d+.,-])00(?:[1-9]\d{1,2}[ -]\d{2,4}(?:[ -]?\d{2,4}){1,4}|(?:3[0-469]|4[013-9])\d{9,11})(?!\d|[.-]\d)"
+PHONE = r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+[2-9]\d{0,2}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d|\.\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)" + f"|{NATIONAL}|{ABROAD}"
+CARD = r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|3[47]\d{2}(?: \d{6} \d{5}|-\d{6}-\d{5})|(?!00)\d{13,19})(?![\d]|-\d)"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 #: Every title and given name begins with a capital or with this letter: other words are passed at once.
 PERSON = (
-    rf"(?<![\p{{L}}\d])(?=[\p{{Lu}}г])(?:{_TITLE}\.? (?:{_NAME} ){{0,2}}{_ANY_NAME}|{_GIVEN} {_ANY_NAME}"
+    rf"(?<![\p{{L}}\d])(?=[\p{{Lu}}г])(?:{_TITLE}\.? (?:(?:{_NAME}|{INITIAL}) ){{0,2}}{_ANY_NAME}|{_GIVEN} (?:{INITIAL} ){{0,2}}{_ANY_NAME}"
     rf"|(?=\p{{Lu}}{{2}})(?:{_UPPER_TITLE}\.? (?:{_UPPER_NAME} ){{0,2}}{_UPPER_NAME}|{_UPPER_GIVEN} {_UPPER_NAME}))(?![\p{{L}}\d])"
 )
 KINDS = (("email", EMAIL), ("secret", SECRET), ("ipv6", IPV6), ("iban", IBAN), ("ssn", SSN), ("phone", PHONE), ("ipv4", IPV4), ("person", PERSON))
@@ -156,8 +170,10 @@ def _kind(m: Column, led: Column) -> Column:
 def canonical(kind: Column, m: Column) -> Column:
     """What an entity is known by, however it is written."""
     plain = F.lower(F.regexp_replace(m, r"[^0-9A-Za-z]", ""))
-    national = (kind == "phone") & ~F.startswith(m, F.lit("+"))  # such numbers are those of one plan
-    return F.when(national, F.concat(F.lit("1"), plain)).when(kind.isin("phone", "card", "ssn", "iban"), plain).when(kind == "email", F.lower(bare(m))).when(kind == "ipv6", full_ipv6(bare(m))).otherwise(bare(m))
+    phone = kind == "phone"
+    one_plan = phone & ~F.startswith(m, F.lit("+"))  # ten digits are those of one plan
+    abroad, national = phone & m.rlike(f"^(?:{ABROAD})$"), phone & m.rlike(f"^(?:{NATIONAL})$")
+    return F.when(abroad, F.substr(plain, F.lit(3))).when(one_plan & ~national, F.concat(F.lit("1"), plain)).when(kind.isin("phone", "card", "ssn", "iban"), plain).when(kind == "email", F.lower(bare(m))).when(kind == "ipv6", full_ipv6(bare(m))).otherwise(bare(m))
 
 
 def ipv6_sides(m: Column) -> tuple[Column, Column]:
@@ -186,13 +202,13 @@ def is_title(w: Column) -> Column:
 
 
 def name_parts(m: Column) -> Column:
-    """(w, role) of each word of a person's match: title, listed (given name), given-f, given-m (after a title) or surname."""
+    """(w, role) of each word of a person's match: title, particle, initial, listed (given name), given-f, given-m (after a title) or surname."""
     words = F.split(m, " ")
     first = F.upper(F.regexp_replace(F.get(words, F.lit(0)), r"\.$", ""))
     gender = F.when(first.isin([t.upper() for t in TITLES_OF["f"]]), "f").when(first.isin([t.upper() for t in TITLES_OF["m"]]), "m")
 
     def part(w: Column, i: Column) -> Column:
-        role = F.when(is_title(w), "title").when(F.initcap(F.lower(w)).isin(LISTED), "listed").when((i < F.size(words) - 1) & gender.isNotNull(), F.concat(F.lit("given-"), gender)).otherwise("surname")
+        role = F.when(is_title(w), "title").when(w.isin(PARTICLES + AFTER_PARTICLE), "particle").when(w.rlike(f"^{INITIAL}$"), "initial").when(F.initcap(F.lower(w)).isin(LISTED), "listed").when((i < F.size(words) - 1) & gender.isNotNull(), F.concat(F.lit("given-"), gender)).otherwise("surname")
         return F.struct(w.alias("w"), role.alias("role"))
 
     return F.transform(words, part)
@@ -200,7 +216,7 @@ def name_parts(m: Column) -> Column:
 
 def made_parts(m: Column) -> Column:
     """The words of a person's match that get a made name."""
-    return F.filter(name_parts(m), lambda p: ~p["role"].isin("title", "listed"))
+    return F.filter(name_parts(m), lambda p: ~p["role"].isin("title", "particle", "initial", "listed"))
 
 
 def domain_of(m: Column) -> Column:
@@ -262,11 +278,17 @@ class Surrogates:
         name = let(self.seed(role, F.lower(w), attempt), lambda seed: F.when(w.rlike(r"\p{IsCyrillic}"), made("cyrillic", seed)).otherwise(made("latin", seed)))
         return F.when(w.rlike(r"^\P{Ll}{2,}$"), F.upper(name)).otherwise(name)
 
+    def letter(self, w: Column, letters: str) -> Column:
+        """Another letter for an initial."""
+        others = F.replace(F.lit(letters), F.substr(w, F.lit(1), F.lit(1)), F.lit(""))
+        return F.substr(others, self.number(self.seed("initial", w, F.lit(0)), F.lit(1), len(letters) - 1) + 1, F.lit(1))
+
     def word(self, w: Column, role: Column, attempt_of) -> Column:  # noqa: ANN001
         """A word of a person's name."""
         listed = F.element_at(self.given_map, F.initcap(F.lower(w)))
         made = let(attempt_of(role, F.lower(w)), lambda attempt: self.made_name(w, role, attempt))
-        return F.when(role == "title", w).when(role == "listed", F.when(w.rlike(r"^\P{Ll}{2,}$"), F.upper(listed)).otherwise(listed)).otherwise(made)
+        letter = F.when(w.rlike(r"^\p{IsCyrillic}"), self.letter(w, "АБВГДЕЖЗИКЛМНОПРСТ")).otherwise(self.letter(w, "ABCDEFGHIJKLMNOPRSTVW"))
+        return F.when(role.isin("title", "particle"), w).when(role == "initial", F.concat(letter, F.lit("."))).when(role == "listed", F.when(w.rlike(r"^\P{Ll}{2,}$"), F.upper(listed)).otherwise(listed)).otherwise(made)
 
     def person(self, m: Column, attempt_of) -> Column:  # noqa: ANN001
         return F.array_join(F.transform(name_parts(m), lambda p: self.word(p["w"], p["role"], attempt_of)), " ")
@@ -287,12 +309,12 @@ class Surrogates:
         return let(self.shaped(m, seed, F.lit(4), F.lit(False)), checked)
 
     def ipv6(self, m: Column, seed: Column) -> Column:
-        """Each group by its place in the full address, so that all ways to write it agree; zeros stay."""
+        """Each group by its place in the full address, so that all ways to write it agree; zeros and the link-local prefix stay."""
         left, right = ipv6_sides(m)
 
         def drawn(g: Column, i: Column) -> Column:
             made = F.lpad(F.lower(F.hex(self.number(seed, i.cast("int"), 65535) + 1)), 4, "0")
-            return F.when(g.rlike("^0+$"), g).when(m.rlike("[A-F]"), F.upper(made)).otherwise(made)
+            return F.when(g.rlike("^0+$") | (i == 0) & (F.lower(g) == "fe80"), g).when(m.rlike("[A-F]"), F.upper(made)).otherwise(made)
 
         first = F.array_join(F.transform(left, drawn), ":")
         return F.when(~F.contains(m, F.lit("::")), first).otherwise(F.concat(first, F.lit("::"), F.array_join(F.transform(right, lambda g, i: drawn(g, 8 - F.size(right) + i)), ":")))
@@ -305,8 +327,9 @@ class Surrogates:
         return let(self.seed("domain", domain, attempt), made)
 
     def mailbox(self, m: Column, attempt: Column) -> Column:
-        """The local part of an address."""
-        name = let(self.seed("email", F.lower(m), attempt), lambda seed: self.shaped(F.substring_index(m, "@", 1), seed, F.lit(0), F.lit(False)))
+        """The local part of an address, in plain letters."""
+        local = F.regexp_replace(F.substring_index(m, "@", 1), r"[^\x00-\x7F]", "x")
+        name = let(self.seed("email", F.lower(m), attempt), lambda seed: self.shaped(local, seed, F.lit(0), F.lit(False)))
         return F.concat(name, F.when(attempt > 0, attempt.cast("string")).otherwise(""))
 
     def email(self, m: Column, attempt: Column, host_attempt: Column) -> Column:
@@ -329,7 +352,7 @@ class Surrogates:
                 return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: (self.number(seed, i, 254) + 1).cast("string")), ".")
 
             longer = F.concat(m, F.repeat(F.lit("0"), wider))
-            keep = F.when(kind == "phone", F.length(F.regexp_extract(m, CALLING_CODE, 0))).when(kind == "secret", token).otherwise(0)
+            keep = F.when((kind == "phone") & m.rlike(f"^(?:{NATIONAL})$"), 2).when(kind == "phone", F.length(F.regexp_extract(m, CALLING_CODE, 0))).when(kind == "secret", token).otherwise(0)
             shape = let(is_hex, lambda h: let(keep, lambda k: self.shaped(longer, seed, k, h)))
             six = F.when(wider > 0, self.ipv6(full_ipv6(F.regexp_replace(m, "0", "1")), seed)).otherwise(self.ipv6(m, seed))
             return F.when(kind == "ipv4", octets(F.lit(4) + wider)).when(kind == "ipv6", six).when(kind == "card", self.card(longer, seed)).when(kind == "iban", self.iban(longer, seed)).otherwise(shape)
@@ -466,9 +489,10 @@ def _replaced(docs: DataFrame, key: str | None) -> DataFrame:
 
 
 def alone_parts(found: Column) -> Column:
-    """(w, role) of the made names of the persons among a text's matches that may stand alone in it."""
-    parts = F.flatten(F.transform(F.filter(found, lambda m: m.rlike(rf"^(?:{PERSON})$")), made_parts))
-    return F.filter(parts, lambda p: ~F.lower(p["w"]).isin(sorted(set(ANCHORS))) & (F.length(p["w"]) > 2))
+    """(w, role) of the given and made names of the persons among a text's matches that may stand alone in it."""
+    parts = F.flatten(F.transform(F.filter(found, lambda m: m.rlike(rf"^(?:{PERSON})$")), name_parts))
+    named = F.filter(parts, lambda p: ~p["role"].isin("title", "particle", "initial"))
+    return F.filter(named, lambda p: ~F.lower(p["w"]).isin(sorted(set(ANCHORS))) & (F.length(p["w"]) > 2))
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
