@@ -113,7 +113,7 @@ NATIONAL = r"(?<![\d+.,-])01[5-7]\d[ /-]\d{3,4}[ -]?\d{4,5}(?!\d|[.-]\d)|(?<![\d
 #: Numbers with 00 for +: with a separator after the country code, or whole ones of a European code.
 ABROAD = r"(?<![\d+.,-])00(?:[1-9]\d{1,2}[ -]\d{2,4}(?:[ -]?\d{2,4}){1,4}|(?:3[0-469]|4[013-9])\d{9,11})(?!\d|[.-]\d)"
 PHONE = r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+[2-9]\d{0,2}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}(?!\d|\.\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)" + f"|{NATIONAL}|{ABROAD}"
-CARD = r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|3[47]\d{2}(?: \d{6} \d{5}|-\d{6}-\d{5})|(?!00)\d{13,19})(?![\d]|-\d)"
+CARD = r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|3[47]\d{2}(?: \d{6} \d{5}|-\d{6}-\d{5})|\d{13,19})(?![\d]|-\d)"
 IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
 #: Every title and given name begins with a capital or with this letter: other words are passed at once.
 PERSON = (
@@ -158,7 +158,7 @@ def kind_of(m: Column) -> Column:
 
 
 def _kind(m: Column, led: Column) -> Column:
-    card = m.rlike(f"^(?:{CARD})$")
+    card = m.rlike(f"^(?:{CARD})$") & ~m.rlike(f"^(?:{ABROAD})$")
     good = luhn_sum(_digits(m)) % 10 == 0
     out = F.when(card & (good | ~led), F.when(good, F.lit("card")))
     for kind, pattern in KINDS:  # secrets are known by what stands before them: the rest
