@@ -5,15 +5,15 @@ from __future__ import annotations
 from ..config import ocv_curve
 from .queries import SECOND_CUT, TODAY, _columns
 
-_AXIS, _VOLTS = ocv_curve("NMC")
 _W = "OVER (PARTITION BY device_id ORDER BY ts)"
 
 
-def _interp(v: str) -> str:
-    """Inverse lookup of the NMC curve in SQL."""
-    xs, ys = f"{list(_VOLTS)}::DOUBLE[]", f"{list(_AXIS)}::DOUBLE[]"
+def _interp(v: str, chemistry: str = "NMC") -> str:
+    """Inverse lookup of a chemistry's curve in SQL."""
+    axis, volts = ocv_curve(chemistry)
+    xs, ys = f"{list(volts)}::DOUBLE[]", f"{list(axis)}::DOUBLE[]"
     k = f"len(list_filter({xs}, lambda x: x <= {v}))"
-    return f"(CASE WHEN {k} = 0 THEN {_AXIS[0]} WHEN {k} >= {len(_AXIS)} THEN {_AXIS[-1]} ELSE ({ys})[{k}] + ({v} - ({xs})[{k}]) * (({ys})[{k} + 1] - ({ys})[{k}]) / (({xs})[{k} + 1] - ({xs})[{k}]) END)"
+    return f"(CASE WHEN {k} = 0 THEN {axis[0]} WHEN {k} >= {len(axis)} THEN {axis[-1]} ELSE ({ys})[{k}] + ({v} - ({xs})[{k}]) * (({ys})[{k} + 1] - ({ys})[{k}]) / (({xs})[{k} + 1] - ({xs})[{k}]) END)"
 
 
 def _nearest(c: str, q: float) -> str:
@@ -257,6 +257,30 @@ _RAW: dict[str, str] = {
         FROM (SELECT model, {', '.join(f"{_step(lo, hi)} AS {st}, {lo}, {hi}" for _, lo, hi, st in _AXES)} FROM (SELECT model, min(mi)::DOUBLE AS a1, max(mi)::DOUBLE AS b1, min(cap) AS a2, max(cap) AS b2, min(loop_median + 5) AS a3, max(loop_median + 5) AS b3 FROM mm GROUP BY model))""",
     "chart_curves": """SELECT channel, device_id, count(*)::INT AS n, true AS bounded, round(max(cap), 9) AS highest, round(min(cap), 9) AS lowest, min(mi)::DOUBLE AS x0, round(arg_min(cap, mi), 9) AS y0, max(mi)::DOUBLE AS x1, round(arg_max(cap, mi), 9) AS y1
         FROM mm GROUP BY channel, device_id""",
+    "sign_of_dense": """WITH e AS (SELECT device_id % 5 AS device_id, event_id, soc, current FROM t),
+        f AS (SELECT device_id, soc - lag(soc) OVER w AS d, CASE WHEN count(current) OVER (w ROWS 2 PRECEDING) = 3 THEN avg(current) OVER (w ROWS 2 PRECEDING) END AS i3 FROM e WINDOW w AS (PARTITION BY device_id ORDER BY event_id))
+        SELECT device_id, count(*) AS n, round(median(i3), 9) + 0 AS median_i3, round(avg((i3 < 0)::INT), 9) AS frac_negative, avg((i3 < 0)::INT) > 0.8 AS reversed FROM f WHERE d > 0.03 AND i3 IS NOT NULL GROUP BY device_id HAVING count(*) >= 20""",
+    "slopes_of_dense": "SELECT device_id % 5 AS device_id, round(regr_slope(voltage, soc) / 21.0, 9) AS slope FROM t WHERE soc BETWEEN 0.2 AND 0.8 AND abs(current) < 1 GROUP BY 1 HAVING count(*) >= 50 AND regr_slope(voltage, soc) IS NOT NULL",
+    "default_loop_caps": "B1 SELECT model, greatest(800, (floor(coalesce(max(CASE WHEN share <= 0.98 THEN (loop_bin + 1) * 25 END), 0) / 50)::BIGINT + 1) * 50) AS loop_cap FROM bb GROUP BY model",
+    "default_crossing": """WITH u AS (SELECT model, x, y * 0.82::DOUBLE AS y, l FROM ta), e AS (SELECT model, x::DOUBLE AS x, y, lag(x::DOUBLE) OVER w AS px, lag(y) OVER w AS py FROM u WINDOW w AS (PARTITION BY model ORDER BY x)),
+        c AS (SELECT model, arg_min(px + (0.8 - py) / (y - py) * (x - px), x) AS xc FROM e WHERE py <> y AND (py - 0.8) * (y - 0.8) <= 0 GROUP BY model),
+        p AS (SELECT model, x::DOUBLE AS x, l, lead(x::DOUBLE) OVER w AS nx, lead(l) OVER w AS nl, row_number() OVER w AS f FROM u WINDOW w AS (PARTITION BY model ORDER BY x))
+        SELECT model, round(xc, 9) AS x_cross, round(l + coalesce(least(greatest((xc - x) / (nx - x), 0), 1), 0) * (coalesce(nl, l) - l), 9) AS loops_at FROM c JOIN p USING (model) WHERE (x <= xc OR f = 1) AND (nx IS NULL OR xc < nx)""",
+    "nominal_span": """WITH b AS (SELECT channel, device_id, floor(remaining_ah / soc / 0.5) * 0.5 AS bin, count(*) AS n FROM t WHERE soc > 0.05 AND remaining_ah > 0 GROUP BY ALL), s AS (SELECT channel, device_id, min(ts) AS t0, max(ts) AS t1 FROM t GROUP BY ALL)
+        SELECT channel, device_id, arg_max(bin, n * 1000000 - bin) + 0.25 AS c_nom_bms, any_value(t0) AS t0, any_value(t1) AS t1 FROM b JOIN s USING (channel, device_id) GROUP BY ALL""",
+    "anchors_by_model": f"""WITH k0 AS (SELECT *, CASE model WHEN 'm0' THEN 87.6 ELSE 88.2 END::DOUBLE AS vf, CASE model WHEN 'm0' THEN 62.4 ELSE 63.0 END::DOUBLE AS vc, CASE model WHEN 'm0' THEN 24 ELSE 21 END::DOUBLE AS ser,
+            CASE model WHEN 'm2' THEN 36.5 ELSE 40 END * 0.02::DOUBLE AS ra FROM (SELECT *, 'm' || (device_id % 4) AS model FROM cl)),
+        k1 AS (SELECT *, abs(i) < ra AND coalesce(dt <= 21600, true) AS q FROM k0), k2 AS (SELECT *, (q AND NOT coalesce(lag(q) {_W}, false))::INT AS st FROM k1),
+        k3 AS (SELECT *, sum(st) OVER (PARTITION BY device_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM k2),
+        k4 AS (SELECT *, CASE WHEN q THEN sec - min(CASE WHEN q THEN sec END) OVER (PARTITION BY device_id, run) ELSE 0 END AS rest_s FROM k3),
+        k5 AS (SELECT *, q AND rest_s >= 7200 AND NOT coalesce(lead(q) {_W}, false) AS d, lag(i) {_W} AS ip FROM k4),
+        k6 AS (SELECT *, soc > 0.95 AND voltage > vf * 0.99 AND i > 0 AND i < 5 AS a, coalesce(ip > 5, false) AND abs(i) < ra AND soc >= 0.98 AND voltage < vf * 0.99 AS b, soc < 0.1 AND voltage < vc * 1.05 AND i < 0 AS c FROM k5),
+        k7 AS (SELECT *, CASE WHEN b THEN 'SWAP_FULL' WHEN c THEN 'EMPTY_END' WHEN a THEN 'FULL_END' WHEN d THEN 'OCV' ELSE 'NONE' END AS kind,
+            CASE WHEN d THEN least(greatest(CASE model WHEN 'm0' THEN {_interp('voltage / 24.0', 'LFP')} ELSE {_interp('voltage / 21.0')} END, 0.02), 0.98) WHEN a THEN greatest(soc, 0.95) WHEN c THEN greatest(soc, 0.02) WHEN b THEN 1.0 END::DOUBLE AS sa FROM k6),
+        k8 AS (SELECT k7.*, o.c_nom_bms AS own, remaining_ah / sa AS raw FROM k7 LEFT JOIN (SELECT * FROM nom WHERE device_id % 3 > 0) o USING (channel, device_id) WHERE kind <> 'NONE'),
+        k9 AS (SELECT *, coalesce(own, nullif(median(own) FILTER (WHERE sa > 0) OVER (PARTITION BY model), 0), 40) AS nom_, raw * (1 + CASE model WHEN 'm0' THEN 0.005 ELSE 0.0025 END::DOUBLE * (25 - temperature)) AS cap_ FROM k8)
+        SELECT event_id, model, kind AS anchor_type, round(sa, 9) AS soc_anchor, round(nom_, 9) AS c_nom_bms, round(raw, 9) AS capacity_raw, round(cap_, 9) AS capacity_corrected, coalesce(cap_ < nom_ * 0.65 OR cap_ > nom_ * 1.10, false) AS out_of_range,
+            (kind = 'EMPTY_END' AND voltage / ser > CASE model WHEN 'm0' THEN 2.6 ELSE 3.0 END::DOUBLE * 1.25) OR (kind = 'FULL_END' AND voltage / ser < CASE model WHEN 'm0' THEN 3.65 ELSE 4.2 END::DOUBLE * 0.9) AS v_inconsistent FROM k9""",
     "mixed_schemas": """SELECT device_id, count(*) AS n, round(sum(voltage), 9) AS voltage, round(sum(current), 9) AS current, count(CASE WHEN event_id % 3 > 0 THEN temperature END) AS temperatures,
         strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last, max(loop_count) AS loops FROM t GROUP BY device_id""",
     "bucketed_runs": "SELECT device_id, c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE is_rest) AS resting, sum(rest_s)::BIGINT AS rest_s, count(*) FILTER (WHERE run_end) AS ends FROM rr JOIN customer ON device_id = c_custkey GROUP BY ALL",

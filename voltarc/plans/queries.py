@@ -468,6 +468,45 @@ def incremental_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.withColumn("flags", F.array_join("flags", ",")), "event_id", "anchor_type", "soc_anchor", "flags", "c_nom_bms", "capacity_corrected")
 
 
+def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry of five devices, a row every ten minutes: enough for the engine's own thresholds."""
+    return rows(spark, sf_dir).withColumns({"device_id": F.col("device_id") % 5, "ts": F.timestamp_seconds(F.col("event_id") * 600)})
+
+
+def sign_of_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 with the engine's own least number of rises."""
+    return rounded(profile.current_sign(dense(spark, sf_dir)))
+
+
+def slopes_of_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 with the engine's own least number of rows."""
+    return rounded(profile.platform_slope(dense(spark, sf_dir), 21.0))
+
+
+def default_loop_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A40 with the engine's own shortest axis."""
+    return cohort.loop_cap(cohort.by_loops(analysed(spark, sf_dir)))
+
+
+def default_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 with the engine's own line, for curves worn by a further 18 %."""
+    worn = cohort.by_age(analysed(spark, sf_dir)).withColumn("soh_median", F.col("soh_median") * 0.82)
+    return rounded(cohort.crossing_80(settle(worn, "ages"), "age_month"))
+
+
+def nominal_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nominal capacity and the span of a device's rows, from one scan."""
+    return profile.c_nom(rows(spark, sf_dir)).select("channel", "device_id", "c_nom_bms", "t0", "t1")
+
+
+def anchors_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors and capacities with the sheets of two models; a third of the devices take their model's median capacity."""
+    df = clean.run(rows(spark, sf_dir).withColumn("model", F.concat(F.lit("m"), (F.col("device_id") % 4).cast("string"))), SHEETS)
+    nominal = profile.c_nom(df).where("device_id % 3 > 0").select("channel", "device_id", "c_nom_bms")
+    found = capacity.run(anchor.run(df, SHEETS), nominal, SHEETS)
+    return rounded(found, "event_id", "model", "anchor_type", "soc_anchor", "c_nom_bms", "capacity_raw", "capacity_corrected", "out_of_range", "v_inconsistent")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     monthly_weighted_median, weighted_median_by_brand, gap_flags, cleaned, rest_runs, anchor_classify, capacity_points, score_tier_weight, plot_points, monthly_capacity,
     mode_bin, r_statistics, gap_quantiles, sign_and_zero, profile_figures, nominal_capacity, platform_slopes, series_inference, rolling_mad, pava_monthly, leading_trim, soh_series,
@@ -475,4 +514,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     cohort_age, cohort_loops, cohort_stages, fleet_figures, retire_schedule, schedule_quarters, schedule_milestones, retire_outside, loop_caps, crossing_80, worst_mom_drop,
     null_safe_exclusion, row_checks, ocv_interp, sample_mod, bucket_counts, dedup_events, cleaned_nulls, model_check, level_counts, kpis, drift_verdict, loop_axis, model_crossing_80,
     age_ticks, loop_ticks, model_descriptions, bucketed_dedup, bucketed_runs, device_rows, incremental_anchors, monthly_from_weights, mixed_schemas, chart_scales, chart_curves,
+    sign_of_dense, slopes_of_dense, default_loop_caps, default_crossing, nominal_span, anchors_by_model,
 )}
