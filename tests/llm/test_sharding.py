@@ -43,3 +43,16 @@ def test_shard_rows(spark):
     assert all(r.dealt == ((r.text_crc32, r.size) == hot) for r in got)
     assert sorted(map(tuple, S.shard(df.repartition(7)).collect()), key=str) == sorted(map(tuple, got), key=str)
     assert S.shard(df.limit(0)).count() == 0
+    whole, together = S.shard(df, whole_groups=True).collect(), {}
+    for r in whole:
+        together.setdefault((r.text_crc32, r.size), set()).add(r.shard)
+    assert len(whole) == len(rows) and not any(r.dealt for r in whole) and all(len(s) == 1 for s in together.values())
+    for s in range(8):
+        slots = sorted(r.slot for r in whole if r.shard == s)
+        assert slots == list(range(len(slots)))
+    lone = next(iter(together[hot]))
+    others = Counter()
+    for r in whole:
+        others[r.shard] += r.size
+    rest = [n for s, n in others.items() if s != lone]
+    assert max(rest) / min(rest) < 1.02  # the others share the rest

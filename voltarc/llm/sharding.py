@@ -6,7 +6,7 @@ the largest first, to the shard where the dot product of their vector with the r
 units is bounded by the shards alone, so placing them on the driver costs the same at any size.
 
 Defined cases: a null text has size 1 and checksum 0 of no bytes, as the empty one; equal texts share a shard unless
-their group is dealt, which the result tells; repeated rows are rows of one group; texts of any length are measured whole;
+their group is dealt, which the result tells and ``whole_groups`` rules out; repeated rows are rows of one group; texts of any length are measured whole;
 of shards with equal products the first is taken; tokens are counted as words; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -46,13 +46,14 @@ def even_out(units: np.ndarray, at: np.ndarray, shards: int, passes: int = 400)
     """Move or swap units between the fullest and the emptiest shard by bytes, while that brings these nearer.
 
     Of all exchanges that at least halve the gap, or else of those that narrow it, the one that leaves the gaps in tokens
-    and rows smallest is made.
+    and rows smallest is made. A shard with a unit larger than a whole share takes no part: the others share the rest.
     """
     at = at.copy()
     mean = np.maximum(units.sum(0) / shards, 1)
-    for _ in range(passes):
+    level = np.setdiff1d(np.arange(shards), at[units[:, 0] > mean[0]])
+    for _ in range(passes if level.size else 0):
         load = np.stack([np.bincount(at, weights=u, minlength=shards) for u in units.T], 1)
-        high, low = int(load[:, 0].argmax()), int(load[:, 0].argmin())
+        high, low = int(level[load[level, 0].argmax()]), int(level[load[level, 0].argmin()])
         gap = load[high] - load[low]
         a, b = np.flatnonzero(at == high), np.append(np.flatnonzero(at == low), -1)
         if gap[0] <= 1 or not a.size:
@@ -88,10 +89,11 @@ def _bundle(shards: int) -> Column:
     return F.pmod(F.xxhash64("group"), F.lit(shards * BUNDLES_PER_SHARD)).cast("string")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, whole_groups: bool = False) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, dealt) of each row, under the law ``bytes``.
 
-    ``dealt`` marks the rows of a group of equal texts that no shard should hold whole.
+    ``dealt`` marks the rows of a group of equal texts that no shard should hold whole; with ``whole_groups`` every group
+    stays in one shard, however full that gets.
     """
     rows = settle(measured(docs), "measured")
     sums = [F.sum(c).alias(c) for c in ("size", "tokens")] + [F.count("*").alias("rows")]
@@ -101,7 +103,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = rows.groupBy("group").agg(*sums)
     share = F.greatest(*[F.col(c) * F.lit(shards / max(1, whole[c])) for c in ("size", "tokens", "rows")])
     # at most 3 * shards / ALONE_SHARE groups
-    alone = settle(groups.withColumn("share", share).where(F.col("share") > ALONE_SHARE).select("group", (F.col("share") > DEALT_SHARE).alias("dealt")), "alone")
+    alone = settle(groups.withColumn("share", share).where(F.col("share") > ALONE_SHARE).select("group", ((F.col("share") > DEALT_SHARE) & F.lit(not whole_groups)).alias("dealt")), "alone")
     marked = rows.join(F.broadcast(alone), "group", "left")
     piece = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(SLICES)).cast("string")
     unit = F.when(F.col("dealt"), F.concat(F.lit("d"), "group", F.lit("-"), piece)).when(F.col("dealt").isNotNull(), F.concat(F.lit("g"), "group")).otherwise(F.concat(F.lit("b"), _bundle(shards)))
