@@ -27,8 +27,9 @@ def plain_sets(text):
         return (head, *after) if after else None
 
     spots = {chain(k + 1, w) for k, w in enumerate(words) if w in anchors} - {None}
-    for place in range(len(content)):
-        spots.add(("*", *(words[j] for j in content[place : place + S.CHAIN])))
+    for place, k in enumerate(content):
+        if not anchors & set(words[max(0, k - S.GAP) : k]):
+            spots.add(("*", *(words[j] for j in content[place : place + S.CHAIN])))
     if not content and words:
         spots |= {("w", w) for w in words}
     if not words and text:

@@ -1,9 +1,10 @@
 """SpotSigs fingerprints: chains of content words after common-word anchors, compared by Jaccard.
 
 Every common word of a text is an anchor; the next CHAIN content words after it, with the anchor, are a spot signature.
-A text's fingerprint is the set of its signatures, written as sorted hexadecimal words. Every content word of every text
-begins a chain besides, so that lists, headings and other languages have a fingerprint too, and a small edit changes few
-signatures whatever the number of anchors.
+A text's fingerprint is the set of its signatures, written as sorted hexadecimal words. Where anchors are missing, content
+words stand in for them: one that has no anchor among the GAP words before it begins a chain of its own, so that lists,
+headings and other languages have a fingerprint too. The rule looks at no more than the words before, in every text, so an
+edit changes chains near itself alone.
 
 ``near_duplicates`` compares a whole table by ``setjoin``: its size classes partition the sets by length, each set meets its
 own class and the next, and inside a block sets are pruned by length and by the signatures that they can still share. Empty
@@ -30,6 +31,8 @@ from . import _text as X
 from .setjoin import jaccard_components
 
 CHAIN = 2
+#: A content word with no anchor among so many words before it begins a chain too.
+GAP = 12
 #: Documents in a range of doc_id, and the most ranges; a range is a task of its own and streamed, so its size bounds no memory.
 ROWS_A_RANGE = 4000
 MOST_RANGES = 20_000
@@ -69,7 +72,8 @@ def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         after = np.cumsum(~anchor)  # content words up to and with each word
         spots = np.flatnonzero(anchor)
         parts = [_chains(words[spots], doc[spots], after[spots], content, owner)]
-        parts.append(_chains(np.full(owner.size, 7, np.uint64), owner, np.arange(owner.size), content, owner))
+        far = np.flatnonzero(_far(anchor, doc, n))
+        parts.append(_chains(np.full(far.size, 7, np.uint64), doc[far], after[far] - 1, content, owner))
         bare = np.flatnonzero((np.bincount(doc, minlength=n) == 0) & (off[1:] > off[:-1]))
         whole = np.array([int.from_bytes(hashlib.sha256(data[off[k] : off[k + 1]].tobytes()).digest()[:8], "little") for k in bare], np.uint64)
         only = np.flatnonzero((np.bincount(owner, minlength=n) == 0) & (np.bincount(doc, minlength=n) > 0))  # common words alone
@@ -82,6 +86,14 @@ def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(counts)
 
 
+def _far(anchor: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Whether each word is a content word without an anchor among the GAP words of its document before it."""
+    place = np.arange(anchor.size)
+    last = np.maximum.accumulate(np.where(anchor, place, -1))  # place of the last anchor, in whatever document
+    first = np.searchsorted(doc, np.arange(n))[doc]
+    return ~anchor & (last < np.maximum(first, place - GAP))
+
+
 def _chains(head: np.ndarray, doc: np.ndarray, first: np.ndarray, content: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signature of each head with up to CHAIN content words from place ``first`` on, as far as its document goes."""
     sig, any_word = head.copy(), np.zeros(head.size, bool)
