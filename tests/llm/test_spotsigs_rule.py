@@ -67,9 +67,12 @@ def test_words_stand_in_for_missing_anchors():
     words = [f"w{k}" for k in range(200)]
     plain = " ".join(words)
     assert len(plain_sets(plain)) == 200 and likeness(plain, plain.replace(" w70 ", " x ")) > 0.95
-    sparse = with_anchors(14)
+    body = list(words)
+    for k in range(14):
+        body.insert(12 * k + 3, "the")
+    sparse = " ".join(body)
     lost = likeness(sparse, sparse.replace(" the ", " ", 4))
-    assert 0.5 < lost < 0.8  # four of 14 anchors gone, and the words between them stand in
+    assert 0.5 < lost < 0.6  # four of 14 anchors gone, and the words between them stand in
     # an anchor at the head speaks for its neighbourhood alone: the tail is the same in both
     tail = " ".join(words[20:])
     assert likeness("the " + tail, tail) > 0.9
