@@ -192,3 +192,27 @@ def test_texts_that_stay_are_not_shuffled(spark):
         assert S.without_ids(docs, ids.limit(0)).count() == len(rows) and S.without_ids(docs.limit(0), ids).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_shared_passage_alone_sends_no_text_to_the_chunks(spark, monkeypatch):
+    """Sets that meet in a large block only by a passage, less than a link takes, are out before texts are copied."""
+    passage = " ".join(f"p{k}" for k in range(20))
+    rows = [(k, f"{passage} " + " ".join(f"w{k}x{j}" for j in range(20))) for k in range(12)]
+    rows += [(100 + k, rows[k][1] + " more") for k in (3, 7)]
+    monkeypatch.setattr(S, "BLOCK_MEMBERS", 2)
+    dealt, settle = [], S.settle
+
+    def told(df, name="table"):
+        out = settle(df, name)
+        if name == "dealt":
+            dealt.extend(r.set_key for r in out.collect())
+        return out
+
+    monkeypatch.setattr(S, "settle", told)
+    got = S.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), 4, 85)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {k: k - 100 if k >= 100 else k for k, _ in rows}
+    assert len(dealt) == 4
+    monkeypatch.setattr(S, "COMBINE", 40)  # batches of few shingles, so that owners meet in the reducers
+    dealt.clear()
+    S.jaccard_components(spark.createDataFrame(rows[:12], "doc_id bigint, text string"), 4, 85).collect()
+    assert not dealt

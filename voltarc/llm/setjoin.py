@@ -12,8 +12,9 @@
    components of these edges are the blocks, and no link leaves one.
 3. T-occurrence search in each block with DivideSkip: a set needs T shingles in common; its longest inverted lists are
    left aside, the short ones are merged and sets that reach T less the number of long lists are probed in those by binary
-   search. Pairs that are connected already are not probed. A block over the size limit is cut into chunks by hash, and
-   every pair of chunks is a task of its own, after members linked to the block's first sets have been contracted.
+   search. Pairs that are connected already are not probed. A block over the size limit first loses the members of whose
+   shingles too few are found elsewhere in the block. What is left is cut into chunks by hash, and every pair of chunks is
+   a task of its own, after members linked to the block's first sets have been contracted.
 4. Components of the links, and the smallest doc_id of each.
 
 The cost follows the number of shingles and signatures; links are exact but for 64-bit hash collisions. Defined cases:
@@ -483,7 +484,81 @@ def link_sets(docs: DataFrame, sets: DataFrame, sets_of: SetsOf, percent: int, c
     if not blocks_cut:
         return components_of_stars(found)
     cut = settle(inside.join(sent_to_all(large), "block").select("set_key", "doc_id", "n", "block", "chunks"), "members")
-    return components(found.unionByName(large_links(_with_texts(docs, cut), cut, sets_of, percent, blocks_cut)))
+    texts = settle(_with_texts(docs, cut), "texts")
+    near = settle(near_others(texts, cut, sets_of, percent), "near")
+    # those that are left are cut anew
+    sizes = settle(near.groupBy("block").agg(chunks.alias("chunks")), "sizes")
+    near = settle(near.join(sent_to_all(sizes), "block").select("set_key", "n", "block", "chunks"), "near")
+    texts = texts.drop("chunks").join(near.select("block", "set_key", "chunks"), ["block", "set_key"]).select("block", "set_key", "n", "chunks", "text")
+    links = large_links(texts, near, sets_of, percent, blocks_cut)
+    return components(found.unionByName(links))
+
+
+def near_others(texts: DataFrame, members: DataFrame, sets_of: SetsOf, percent: int) -> DataFrame:
+    """The ``members`` (set_key, n, block) that can be linked with another of their block.
+
+    A link takes percent / 100 of a set's shingles, so one of which fewer are found elsewhere in the block has none. Each
+    shingle of ``texts`` (block, set_key, n, chunks, text) is sent once at most, so this grows as the texts do. Shingles that
+    occur twice among COMBINE of them are settled before anything is sent: a task sends one row for each, without its owner.
+    """
+    ship(texts.sparkSession)
+    kinds, names = "h bigint, set_key bigint, n bigint", ["h", "set_key", "n"]
+
+    def rows_of(h: np.ndarray, owner: np.ndarray, met: np.ndarray) -> pa.RecordBatch:
+        """Rows (h, set_key) of shingles, owner 0 if it is counted already, and rows (null, set_key, n) of owners ``met``."""
+        key, n = np.unique(met, return_counts=True)
+        columns = [pa.concat_arrays([pa.array(h), pa.nulls(key.size, pa.int64())]), pa.array(np.concatenate([owner, key])), pa.concat_arrays([pa.nulls(h.size, pa.int64()), pa.array(n.astype(np.int64))])]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
+        pool, owners, held = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            h, owner = np.concatenate(pool), np.concatenate(owners)
+            pool.clear()
+            owners.clear()
+            order = np.lexsort((owner, h))
+            h, owner = h[order], owner[order]
+            first = np.append(True, h[1:] != h[:-1])
+            alone = first & np.append(first[1:], True)
+            return rows_of(h[first], np.where(alone, owner, 0)[first], owner[~alone])
+
+        for batch in batches:
+            block, key = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            found = _sets_of_texts(batch.column(2), key, sets_of)
+            for k, s in enumerate(found):
+                if s is not None and s.size:  # a block's shingles are told from those of others
+                    pool.append(X.mix(s ^ X.mix(block[k : k + 1].view(np.uint64))).view(np.int64))
+                    owners.append(np.full(s.size, key[k]))
+                    held += s.size
+                if held >= COMBINE:
+                    held = 0
+                    yield flush()
+        if pool:
+            yield flush()
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, waiting = None, 0  # the last row's shingle, and its owner while it is the first of its run
+        for batch in batches:
+            h, owner = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            if not h.size:
+                continue
+            same = np.append(last is not None and h[0] == last, h[1:] == h[:-1])
+            shared = same | np.append(same[1:], False)
+            out = [owner[shared & (owner != 0)]]
+            if same[0] and waiting:
+                out.append(np.array([waiting], np.int64))
+            last, waiting = h[-1], 0 if shared[-1] else int(owner[-1])
+            yield rows_of(h[:0], owner[:0], np.concatenate(out))
+
+    sent = settle(texts.select("block", "set_key", "text").mapInArrow(emitted, kinds), "shingles")
+    rows = sent.where("h IS NOT NULL").select("h", "set_key")
+    there = rows.repartition("h").sortWithinPartitions("h").mapInArrow(met, kinds)
+    counted = sent.where("h IS NULL").unionByName(there).groupBy("set_key").agg(F.sum("n").alias("_shared"))
+    found = settle(counted, "shared")
+    unsettle(sent)
+    return members.join(found, "set_key").where(F.col("_shared") * 100 >= F.col("n") * percent).select("set_key", "n", "block")
 
 
 def large_links(texts: DataFrame, members: DataFrame, sets_of: SetsOf, percent: int, n_blocks: int) -> DataFrame:
