@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltarc.functions import series, stats
+from voltarc.operators import trend
 
 
 def test_weighted_median(spark):
@@ -121,3 +122,11 @@ def test_quantiles_by_counting(spark):
     assert ranks.aggregate(df.limit(0), ["k"], wants).collect() == []
     plan = ranks.quantiles(df, ["k"], wants)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan.lower() for x in ("collect_list", "percentile", "median"))
+
+
+def test_ratio_over_an_empty_median_of_zero(spark):
+    """Full over empty is infinite where the empty anchors hold nothing, not missing, and so full_high."""
+    rows = [(d, kind, c) for d, full, empty in ((1, 40.0, 0.0), (2, 0.0, 0.0), (3, 40.0, 41.0), (4, 30.0, 40.0)) for kind, c in (("FULL_END", full), ("EMPTY_END", empty))]
+    got = {r.device_id: (r.ratio, r.verdict) for r in trend.full_vs_empty(spark.createDataFrame(rows, "device_id long, anchor_type string, capacity_corrected double")).collect()}
+    assert got[1] == (float("inf"), "full_high") and np.isnan(got[2][0]) and got[2][1] == "full_high"
+    assert got[3][1] == "ok" and got[4] == (-0.25, "empty_high")

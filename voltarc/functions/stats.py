@@ -44,6 +44,12 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str,
     return summed.groupBy(*keys).agg(F.when(F.max("_tw") > 0, F.min(F.when(F.col("_cw") >= F.col("_tw") * 0.5, F.col("_v")))).otherwise(plain).alias(out))
 
 
+def divided(a: Column, b: Column) -> Column:
+    """a / b as IEEE 754 has it: infinite over zero, NaN for zero over zero."""
+    over_zero = F.when(a == 0, float("nan")).when(a > 0, float("inf")).when(a < 0, float("-inf"))
+    return F.when(b == 0, over_zero).otherwise(F.try_divide(a, b))
+
+
 def ols_slope(y: Column, x: Column, least: int) -> Column:
     """Aggregate: least-squares slope over complete pairs; null under ``least`` of them or if x doesn't vary."""
     return F.when(F.regr_count(y, x) >= least, F.regr_slope(y, x))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.series import month_index, seconds
-from ..functions.stats import guarded_corr, nearest_quantile, ols_r2, ols_slope
+from ..functions.stats import divided, guarded_corr, nearest_quantile, ols_r2, ols_slope
 
 KEYS = ["channel", "device_id"]
 
@@ -99,11 +99,14 @@ def consistency(table: DataFrame, least_months: int = 4, lagging_below: float =
 
 
 def full_vs_empty(scored: DataFrame, least: int = 3, tolerance: float = 0.05) -> DataFrame:
-    """Per device the median capacity at full and at empty anchors; verdict over all devices that have both, if enough."""
+    """Per device the median capacity at full and at empty anchors; verdict over all devices that have both, if enough.
+
+    Over an empty median of zero the ratio is infinite, or NaN if the full one is zero as well; both are full_high.
+    """
     full = F.median(F.when(F.col("anchor_type").isin("FULL_END", "SWAP_FULL"), F.col("capacity_corrected")))
     empty = F.median(F.when(F.col("anchor_type") == "EMPTY_END", F.col("capacity_corrected")))
     d = scored.groupBy("device_id").agg(full.alias("full_median"), empty.alias("empty_median")).where("full_median IS NOT NULL AND empty_median IS NOT NULL")
-    d = d.withColumn("ratio", F.try_divide(F.col("full_median"), F.col("empty_median")) - 1)
+    d = d.withColumn("ratio", divided(F.col("full_median"), F.col("empty_median")) - 1)
     n = d.agg(F.count("*").alias("_n"))
     verdict = F.when(F.abs("ratio") < tolerance, "ok").when(F.col("ratio") > 0, "full_high").otherwise("empty_high")
     return d.crossJoin(F.broadcast(n)).where(F.col("_n") >= least).drop("_n").withColumn("verdict", verdict)  # one row is broadcast
