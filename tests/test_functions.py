@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voltarc.config import load_config
 from voltarc.functions import series, stats
-from voltarc.operators import trend
+from voltarc.operators import retirement, trend
 
 
 def test_weighted_median(spark):
@@ -130,3 +131,12 @@ def test_ratio_over_an_empty_median_of_zero(spark):
     got = {r.device_id: (r.ratio, r.verdict) for r in trend.full_vs_empty(spark.createDataFrame(rows, "device_id long, anchor_type string, capacity_corrected double")).collect()}
     assert got[1] == (float("inf"), "full_high") and np.isnan(got[2][0]) and got[2][1] == "full_high"
     assert got[3][1] == "ok" and got[4] == (-0.25, "empty_high")
+
+
+def test_a_share_that_is_a_tie_is_rounded_up(spark):
+    """R squared of this two-level series is 0.5915 in exact arithmetic; its note says 0.592."""
+    high, low = 36.52290907407408 / 37, 13.008466666666667 / 37
+    months = [("1997-09", high), ("1997-10", high), ("1998-10", high), ("1998-12", high), ("2000-05", high), ("2000-07", low), ("2001-06", low)]
+    table = spark.createDataFrame([("n6", 9383, ym, y) for ym, y in months], "channel string, device_id long, ym string, soh double").coalesce(1)
+    got = retirement.forecast(table, load_config()).first()
+    assert got.r_squared == 0.5915 and got.note.startswith("R²=0.592<0.6")

@@ -61,6 +61,11 @@ def ols_r2(y: Column, x: Column, flat: Column) -> Column:
     return F.when(syy > 0, F.coalesce(1 - (syy - F.try_divide(sxy * sxy, sxx)) / syy, F.lit(0.0))).otherwise(flat)
 
 
+def half_up(c: Column, digits: int) -> Column:
+    """Rounded half up. What is a tie in the numbers themselves may come out just below it as a double: noise goes first."""
+    return F.round(F.round(c, 12), digits)
+
+
 def guarded_corr(x: Column, y: Column, least: int = 4) -> Column:
     """Aggregate: Pearson r; null under ``least`` pairs or if either side's deviation is negligible."""
     sx, sy = F.sqrt(F.regr_sxx(y, x) / F.regr_count(y, x)), F.sqrt(F.regr_syy(y, x) / F.regr_count(y, x))

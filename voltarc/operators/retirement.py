@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.series import month_index, month_text
-from ..functions.stats import ols_r2
+from ..functions.stats import half_up, ols_r2
 
 KEYS = ["channel", "device_id"]
 
@@ -38,10 +38,10 @@ def forecast(table: DataFrame, cfg: Config) -> DataFrame:
     def month(at: Column) -> Column:
         return F.when(enough & falls, month_text(F.rint(F.col("_x") + F.try_divide(at - F.col("_y"), F.col("_m")))))
 
-    r2 = F.col("_r2")
-    low_r2 = F.concat(F.lit("R²="), F.format_string("%s", F.round(r2, 3)), F.lit(f"<{r2_min}，仅供参考"))
+    r2 = F.round("_r2", 12)
+    low_r2 = F.concat(F.lit("R²="), F.format_string("%s", half_up(r2, 3)), F.lit(f"<{r2_min}，仅供参考"))
     note = F.when(~enough, "数据不足").when(~F.coalesce(falls, F.lit(False)), F.when(r2 >= r2_min, "无衰退趋势").otherwise("无衰退趋势（R²低）")).when(r2 < r2_min, low_r2).otherwise("")
     return d.select(
         *KEYS, "soh_latest", health_level(F.col("soh_latest"), r["health_levels"]).alias("health_level"), month(F.lit(line)).alias("predicted_retire_month"),
-        F.when(enough, F.round(r2, 4)).alias("r_squared"), month(F.lit(line) + spread).alias("retire_ci_low"), month(F.lit(line) - spread).alias("retire_ci_high"), note.alias("note"),
+        F.when(enough, half_up(r2, 4)).alias("r_squared"), month(F.lit(line) + spread).alias("retire_ci_low"), month(F.lit(line) - spread).alias("retire_ci_high"), note.alias("note"),
     )

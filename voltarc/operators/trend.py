@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.series import month_index, seconds
-from ..functions.stats import divided, guarded_corr, nearest_quantile, ols_r2, ols_slope
+from ..functions.stats import divided, guarded_corr, half_up, nearest_quantile, ols_r2, ols_slope
 
 KEYS = ["channel", "device_id"]
 
@@ -32,7 +32,7 @@ def without(df: DataFrame, gone: DataFrame) -> DataFrame:
 def decay(soh: DataFrame) -> DataFrame:
     """(channel, device_id, decay_rate_pct_month, r_squared, decay_rate_pct_year) by least squares over month indexes."""
     y, x = F.col("soh"), month_index("ym").cast("double")
-    d = soh.groupBy(*KEYS).agg((F.round(ols_slope(y, x, 3) * 100, 4)).alias("decay_rate_pct_month"), F.when(F.regr_count(y, x) >= 3, F.round(ols_r2(y, x, F.lit(None).cast("double")), 4)).alias("r_squared"))
+    d = soh.groupBy(*KEYS).agg((F.round(ols_slope(y, x, 3) * 100, 4)).alias("decay_rate_pct_month"), F.when(F.regr_count(y, x) >= 3, half_up(ols_r2(y, x, F.lit(None).cast("double")), 4)).alias("r_squared"))
     return d.withColumn("decay_rate_pct_year", F.col("decay_rate_pct_month") * 12)
 
 
@@ -48,7 +48,7 @@ def analysis(soh: DataFrame, cfg: Config) -> DataFrame:
     df = df.where(~((F.col("_n") >= 2) & (F.col("_max") < cfg.get("exclude.soh_low_ratio"))) | F.col("_max").isNull())
     known = (F.col("_c") >= 3) & F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
     r2 = F.when(F.col("_syy") > 0, F.coalesce(1 - (F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))) / F.col("_syy"), F.lit(0.0)))
-    df = df.withColumns({"decay_rate_pct_month": F.when(known, F.round(F.col("_m") * 100, 4)), "r_squared": F.when(known, F.round(r2, 4))})
+    df = df.withColumns({"decay_rate_pct_month": F.when(known, F.round(F.col("_m") * 100, 4)), "r_squared": F.when(known, half_up(r2, 4))})
     return df.withColumn("decay_rate_pct_year", F.col("decay_rate_pct_month") * 12).drop("_n", "_max", "_c", "_sxx", "_sxy", "_syy", "_m")
 
 
