@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from voltarc.config import load_config
 from voltarc.functions import series, stats
 from voltarc.operators import retirement, trend
+from voltarc.plans.queries import nine_digits
 
 
 def test_weighted_median(spark):
@@ -140,3 +142,22 @@ def test_a_share_that_is_a_tie_is_rounded_up(spark):
     table = spark.createDataFrame([("n6", 9383, ym, y) for ym, y in months], "channel string, device_id long, ym string, soh double").coalesce(1)
     got = retirement.forecast(table, load_config()).first()
     assert got.r_squared == 0.5915 and got.note.startswith("R²=0.592<0.6")
+
+
+def test_drift_within_a_day_is_not_a_number(spark):
+    """As the SQL has it: enough anchors, but no slope to tell; fewer than four give no row."""
+    at = datetime(2024, 1, 1)
+    rows = [(1, at + timedelta(hours=k), 40.0 + k) for k in range(4)] + [(2, at + timedelta(days=k), 40.0 + k) for k in range(4)] + [(3, at + timedelta(days=k), 40.0) for k in range(3)]
+    # a slope whose tenth digit tells how it is divided
+    rows += [(4, at + timedelta(days=d), c) for d, c in ((0, 38.87499999999999), (7, 30.21937893141922), (8, 36.830000000000005), (19, 1299.5), (22, 14.989795918367347))]
+    drift = trend.r_drift(spark.createDataFrame(rows, "device_id long, ts timestamp, capacity_raw double"))
+    got = {r.device_id: r.slope for r in drift.collect()}
+    assert set(got) == {1, 2, 4} and np.isnan(got[1]) and got[2] == pytest.approx(30.44) and round(got[4], 9) == 885.024817383
+    assert trend.r_drift_verdict(drift).first().nonneg_share == 1.0
+
+
+def test_nine_digits_are_those_of_the_sql(spark):
+    values = [1788.6036631785, 435.69322362049996, -37.19195525649998, 0.0000000005, -2.5e-10, 1e300, 8e6, float("inf"), float("nan"), None]
+    got = [r.v for r in spark.createDataFrame([(v,) for v in values], "v double").coalesce(1).select(nine_digits(F.col("v")).alias("v")).collect()]
+    want = [duckdb.execute("SELECT round(?::DOUBLE, 9)", [v]).fetchall()[0][0] for v in values]
+    assert str(got) == str(want)

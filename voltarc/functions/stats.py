@@ -52,7 +52,7 @@ def divided(a: Column, b: Column) -> Column:
 
 def ols_slope(y: Column, x: Column, least: int) -> Column:
     """Aggregate: least-squares slope over complete pairs; null under ``least`` of them or if x doesn't vary."""
-    return F.when(F.regr_count(y, x) >= least, F.regr_slope(y, x))
+    return F.when(F.regr_count(y, x) >= least, F.try_divide(F.covar_pop(x, y), F.var_pop(F.when(y.isNotNull(), x))))
 
 
 def ols_r2(y: Column, x: Column, flat: Column) -> Column:

@@ -113,9 +113,10 @@ def full_vs_empty(scored: DataFrame, least: int = 3, tolerance: float = 0.05) ->
 
 
 def r_drift(scored: DataFrame, least: int = 4) -> DataFrame:
-    """(device_id, slope): raw capacity per 30.44 days since the device's first anchor."""
+    """(device_id, slope): raw capacity per 30.44 days since the device's first anchor; NaN if all its anchors lie within a day."""
     day = F.floor((seconds("ts") - F.min(seconds("ts")).over(Window.partitionBy("device_id"))) / 86400) / 30.44
-    return scored.withColumn("_x", day).groupBy("device_id").agg(ols_slope(F.col("capacity_raw"), F.col("_x"), least).alias("slope")).where("slope IS NOT NULL")
+    y, x = F.col("capacity_raw"), F.col("_x")
+    return scored.withColumn("_x", day).groupBy("device_id").agg(F.when(F.regr_count(y, x) >= least, F.coalesce(ols_slope(y, x, least), F.lit(float("nan")))).alias("slope")).where("slope IS NOT NULL")
 
 
 def r_drift_verdict(drift: DataFrame) -> DataFrame:

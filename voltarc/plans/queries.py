@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, Found, ModelParams, load_config, ocv_curve
@@ -63,11 +63,17 @@ def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nine_digits(c: Column) -> Column:
+    """Rounded as the SQL's round() does: of the product with 1e9, ties away from zero; too large, infinite or NaN as it is."""
+    m = c * 1e9
+    return F.when(F.abs(m) < float(1 << 52), F.signum(m) * F.floor(F.abs(m) + 0.5) / 1e9).otherwise(c)
+
+
 def rounded(df: DataFrame, *keep: str) -> DataFrame:
     """The named columns (all if none), doubles rounded to nine digits, no negative zeros: what two engines agree on."""
     names = keep or tuple(df.columns)
     kinds = dict(df.dtypes)
-    return df.select(*[(F.round(c, 9) + 0.0).alias(c) if kinds[c] == "double" else F.col(c) for c in names])
+    return df.select(*[(nine_digits(F.col(c)) + 0.0).alias(c) if kinds[c] == "double" else F.col(c) for c in names])
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
