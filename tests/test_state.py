@@ -174,3 +174,26 @@ def test_bucketed_source_is_dealt_once(spark, tmp_path):
     assert dealt_again(anchor.run(clean.run(pipeline.with_models(raw, None, True), CFG), CFG)) == 0
     nominal = profile.c_nom(raw).select("channel", "device_id", "c_nom_bms")
     assert scored_anchors(raw, nominal, CFG, dealt=True).count() == scored_anchors(raw, nominal, CFG).count() > 0
+
+
+#: Small currents whose sum has another last bit in another order.
+CURRENTS = [0.1, 0.2, 0.3, -0.3, 0.1, 0.3, -0.1, 0.2, 0.3, -0.2, 0.1, 0.3]
+
+
+def steady():
+    return [("s", 1, "c", 1.0, 20.0, 0.5, 70.0, i, 25.0, BEGIN + timedelta(minutes=10 * k)) for k, i in enumerate(CURRENTS)]
+
+
+def offset_in_time():
+    total = 0.0
+    for i in CURRENTS:
+        total += i
+    return total / len(CURRENTS)
+
+
+def test_the_offset_is_summed_in_the_order_of_time(spark):
+    """To the last bit, however the rows lie: the sign of a current at its device's offset hangs on it."""
+    assert sum(CURRENTS[::-1]) / len(CURRENTS) != offset_in_time()
+    for rows in (steady(), steady()[::-1]):
+        got = clean.run(spark.createDataFrame(rows, COLUMNS).coalesce(1), CFG).orderBy("ts").collect()
+        assert [r.current for r in got] == [i - offset_in_time() for i in CURRENTS]

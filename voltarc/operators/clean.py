@@ -39,13 +39,16 @@ def run(df: DataFrame, cfg: Config, turned: DataFrame | None = None, state: Data
     """Raw rows to cleaned rows with invalid_loopnum, invalid_sensor, current_reversed, current_sensor_drift and time_gap.
 
     The zero offset of a device is the mean of its small currents, taken in a window: no join, one exchange on the device
-    that the gap window shares. With ``state`` (see ``state``), what is known of a device's rows before these counts as if
-    they were there; columns that begin with _before carry it on to the anchors.
+    that the gap window shares. They are added in the order of their times: whether a current is above, below or at zero may
+    hang on the last bit of the sum, and the order in which rows come out of a shuffle differs from run to run. With ``state``
+    (see ``state``), what is known of a device's rows before these counts as if they were there; columns that begin with
+    _before carry it on to the anchors.
     """
     df = signed(df, cfg, turned)
     w, before = Window.partitionBy("device_id"), None
+    summed = w.orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if state is None:
-        offset = F.avg(small(cfg)).over(w)
+        offset = F.avg(small(cfg)).over(summed)
     else:
         df = df.join(state.select("device_id", F.struct("n", "total", "last_sec", "last_current", "reversed", "resting").alias("_s")), "device_id", "left")
         df = df.withColumn("_s", as_signed(F.col("_s"), F.col("current_reversed")))
