@@ -197,3 +197,11 @@ def test_the_offset_is_summed_in_the_order_of_time(spark):
     for rows in (steady(), steady()[::-1]):
         got = clean.run(spark.createDataFrame(rows, COLUMNS).coalesce(1), CFG).orderBy("ts").collect()
         assert [r.current for r in got] == [i - offset_in_time() for i in CURRENTS]
+
+
+@pytest.mark.parametrize("cut", [3, 7, 10])
+def test_the_offset_after_a_state_is_that_of_a_whole_run_to_the_bit(spark, cut):
+    parts = [spark.createDataFrame(rows[::-1], COLUMNS).coalesce(1) for rows in (steady()[:2], steady()[2:cut], steady()[cut:])]
+    known = state.after(parts[1], CFG, state=state.after(parts[0], CFG))
+    got = clean.run(parts[2], CFG, state=known).orderBy("ts").collect()
+    assert [r.current for r in got] == [i - offset_in_time() for i in CURRENTS[cut:]]

@@ -35,6 +35,12 @@ def small(cfg: Config) -> Column:
     return F.when(F.abs("_i") <= max(cfg.get("anchor.deadband_a") * 5, 1.0), F.col("_i"))
 
 
+def carried(value: Column, total: Column) -> Column:
+    """``value`` in the order of a device's times, its first one on top of the ``total`` of earlier rows, as one sum has it."""
+    first = F.lag(F.lit(1)).over(Window.partitionBy("device_id").orderBy("ts")).isNull()
+    return F.when(first, F.coalesce(total, F.lit(0.0)) + F.coalesce(value, F.lit(0.0))).otherwise(value)
+
+
 def run(df: DataFrame, cfg: Config, turned: DataFrame | None = None, state: DataFrame | None = None) -> DataFrame:
     """Raw rows to cleaned rows with invalid_loopnum, invalid_sensor, current_reversed, current_sensor_drift and time_gap.
 
@@ -53,7 +59,8 @@ def run(df: DataFrame, cfg: Config, turned: DataFrame | None = None, state: Data
         df = df.join(state.select("device_id", F.struct("n", "total", "last_sec", "last_current", "reversed", "resting").alias("_s")), "device_id", "left")
         df = df.withColumn("_s", as_signed(F.col("_s"), F.col("current_reversed")))
         n = F.count(small(cfg)).over(w) + F.coalesce("_s.n", F.lit(0))
-        offset = (F.coalesce(F.sum(small(cfg)).over(w), F.lit(0.0)) + F.coalesce("_s.total", F.lit(0.0))) / F.nullif(n, F.lit(0))
+        df = df.withColumn("_add", carried(small(cfg), F.col("_s.total")))
+        offset = F.sum("_add").over(summed) / F.nullif(n, F.lit(0))
         before = F.col("_s.last_sec")
     df = df.withColumn("_offset", offset).withColumns({
         "current": F.col("_i") - F.coalesce("_offset", F.lit(0.0)),
@@ -65,7 +72,7 @@ def run(df: DataFrame, cfg: Config, turned: DataFrame | None = None, state: Data
         o = F.coalesce("_offset", F.lit(0.0))
         moved = F.transform("_s.resting", lambda x: F.struct(x["since"].alias("since"), (x["high"] - o).alias("high"), (x["low"] - o).alias("low")))
         df = df.withColumns({"_before_sec": before, "_before_current": F.col("_s.last_current") - o, "_before_resting": moved}).drop("_s")
-    return df.drop("_i", "_offset")
+    return df.drop("_i", "_offset", "_add")
 
 
 def as_signed(s: Column, reversed_: Column) -> Column:
