@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from voltarc.config import load_config
 from voltarc.functions import series, stats
-from voltarc.operators import retirement, trend
+from voltarc.operators import cohort, retirement, trend
 from voltarc.plans.queries import nine_digits
 
 
@@ -88,6 +88,25 @@ def test_nearest_quantile_interpolation_and_months(spark):
     assert all(r.ym == r.b for r in got)
 
 
+def test_forecasts_of_any_year_stay_outside_the_window(spark):
+    texts = ["2024-12", "2024-1", "10113-10", "24000-01", "178956971-01", "3000000000-07", "999-05", "0-01", "-5-03", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "ym string").select(series.month_index("ym", "long")).collect()]
+    assert got == [24300, 24289, 121366, 288001, 2147483653, 36000000007, 11993, 1, -57, None]
+    back = spark.createDataFrame([(k,) for k in got[:-1]], "mi bigint").select(series.month_text(F.col("mi"))).collect()
+    assert [r[0] for r in back] == ["2024-12", "2024-01", *texts[2:-1]]
+    # straight lines that meet 0.8 in years 10083, 20070 (whose first four digits lie in the window) and, too far for an integer, 4166667019
+    falls = {1: 0.4 / 100000, 2: 0.4 / 220000, 3: 8e-12, 4: 0.02}
+    months = [(d, "m", f"2000-{k:02d}", 1.2 - falls[d] * (k - 1), falls[d] * -100, falls[d] * -1200) for d in falls for k in (1, 2, 3, 4, 5)]
+    t = spark.createDataFrame([(d, "c", m, ym, y, a, b) for d, m, ym, y, a, b in months], "device_id bigint, channel string, model string, ym string, soh double, decay_rate_pct_month double, decay_rate_pct_year double")
+    found = cohort.retire_months(retirement.forecast(t, load_config()), t)
+    want = {1: 124001, 2: 244001, 4: 24021}
+    at = {r.device_id: r.retire_mi for r in found.collect()}
+    assert {d: at[d] for d in want} == want and at[3] == pytest.approx(24001 + 0.4 / 8e-12, rel=1e-3)
+    today = 2001 * 12 + 1
+    assert tuple(cohort.outside(found, today).first()) == ("m", 3, 0)
+    assert [(r.mi, r.new_retire, r.ym) for r in cohort.schedule(found, today).collect() if r.new_retire] == [(24021, 1, "2001-09")]
+
+
 def test_trim_crossing_and_mode(spark):
     s = "k string, ym string, v double"
     low = [("a", f"2024-0{m}", v) for m, v in enumerate([0.5, 0.6, 0.95, 0.93], 1)] + [("b", "2024-01", 0.5), ("b", "2024-02", 0.6)] + [("c", "2024-01", 0.95), ("c", "2024-02", 0.5)]

@@ -15,16 +15,17 @@ def seconds(ts: str | Column) -> Column:
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp")) / 1_000_000).cast("long")
 
 
-def month_index(ym: str | Column) -> Column:
-    """'2024-03' -> 2024 * 12 + 3"""
+def month_index(ym: str | Column, kind: str = "int") -> Column:
+    """'2024-03' -> 2024 * 12 + 3; the year is all before the hyphen, since a flat line's forecast may have more digits than four."""
     c = F.col(ym) if isinstance(ym, str) else ym
-    return F.substring(c, 1, 4).cast("int") * 12 + F.substring(c, 6, 2).cast("int")
+    hyphen = F.locate("-", c, 2)  # one at the first place is a sign
+    return F.substring(c, F.lit(1), hyphen - 1).cast(kind) * 12 + F.substring(c, hyphen + 1, F.lit(2)).cast("int")
 
 
 def month_text(index: Column) -> Column:
     """The inverse of month_index; December stays in its year."""
     i = index.cast("long") - 1
-    return F.format_string("%d-%02d", F.floor(i / 12).cast("int"), (F.pmod(i, F.lit(12)) + 1).cast("int"))
+    return F.format_string("%d-%02d", F.floor(i / 12), (F.pmod(i, F.lit(12)) + 1).cast("int"))
 
 
 def gap_flag(df: DataFrame, device: str, ts: str, hours: float, out: str = "time_gap", before: Column | None = None) -> DataFrame:

@@ -94,12 +94,12 @@ def retire_months(forecast: DataFrame, table: DataFrame, line: float = 0.80, r2_
     monthly = F.greatest(F.abs(F.coalesce(F.nullif("_rate", F.lit(0.0)), F.col("_all"))) / 1200, F.lit(1e-6))
     guess = F.when(F.col("_soh") <= line, month_index("_e")).otherwise(month_index("_e") + F.rint((F.col("_soh") - line) / monthly))
     trusted = (F.col("r_squared") >= r2_min) & F.col("predicted_retire_month").isNotNull()
-    return d.select("model", *keys, F.when(trusted, month_index("predicted_retire_month")).otherwise(guess).cast("int").alias("retire_mi"))
+    return d.select("model", *keys, F.when(trusted, month_index("predicted_retire_month", "long")).otherwise(guess).cast("long").alias("retire_mi"))
 
 
 def schedule(months: DataFrame, today: int, window: int = WINDOW_MONTHS) -> DataFrame:
     """(model, mi, ym, new_retire, cum_retire) for every month from ``today`` to a model's last retirement in the window."""
-    inside = months.where(F.col("retire_mi").between(today, today + window - 1))
+    inside = months.where(F.col("retire_mi").between(today, today + window - 1)).withColumn("retire_mi", F.col("retire_mi").try_cast("int"))  # tried: the optimizer may move it ahead of the bounds
     spine = month_spine(inside, "model", F.lit(today), F.max("retire_mi"))
     counts = inside.groupBy("model", F.col("retire_mi").alias("mi")).agg(F.count("*").alias("new_retire"))
     full = spine.join(counts, ["model", "mi"], "left").withColumn("new_retire", F.coalesce("new_retire", F.lit(0)))
