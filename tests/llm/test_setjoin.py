@@ -216,3 +216,37 @@ def test_a_shared_passage_alone_sends_no_text_to_the_chunks(spark, monkeypatch):
     dealt.clear()
     S.jaccard_components(spark.createDataFrame(rows[:12], "doc_id bigint, text string"), 4, 85).collect()
     assert not dealt
+
+
+def test_a_block_grown_together_is_dealt_anew(spark, monkeypatch):
+    """Pairs of near copies that meet others only by passages send their own texts alone, to blocks of their own."""
+    passage = " ".join(f"p{k}" for k in range(20))
+    rows = [(k, f"{passage} " + " ".join(f"w{k}x{j}" for j in range(20))) for k in range(9)]
+    rows += [(100 + k, rows[k][1] + " more") for k in range(0, 9, 2)]
+    monkeypatch.setattr(S, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(S, "BITS_MEMBERS", 5)
+    told, settle = {}, S.settle
+
+    def kept(df, name="table"):
+        told[name] = settle(df, name)
+        return told[name]
+
+    monkeypatch.setattr(S, "settle", kept)
+    got = S.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), 4, 85)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {k: k - 100 if k >= 100 else k for k, _ in rows}
+    assert told["texts"].count() == 10  # those with a near copy
+    assert {r.chunks for r in told["sizes"].collect()} == {1} and told["sizes"].count() == 5
+
+
+def test_long_sets_are_asked_for_a_part_of_their_shingles(spark, monkeypatch):
+    """Sets around LONG find each other, whichever of the two sends all of its shingles."""
+    monkeypatch.setattr(S, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(S, "LONG", 60)
+    rng, rows = random.Random(11), []
+    for k in range(30):
+        words = [f"p{j}" for j in range(12)] + [f"w{k}x{j}" for j in range(30 + 3 * k)]
+        rows.append((k, " ".join(words)))
+        rows.append((100 + k, " ".join(words + [f"t{k}y{j}" for j in range(rng.randrange(1, 14))])))
+    got = S.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 4, 80).collect()
+    want = brute(rows, 4, 80)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((d, *want[d, t]) for d, t in rows)

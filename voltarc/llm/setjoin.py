@@ -12,9 +12,11 @@
    components of these edges are the blocks, and no link leaves one.
 3. T-occurrence search in each block with DivideSkip: a set needs T shingles in common; its longest inverted lists are
    left aside, the short ones are merged and sets that reach T less the number of long lists are probed in those by binary
-   search. Pairs that are connected already are not probed. A block over the size limit first loses the members of whose
-   shingles too few are found elsewhere in the block. What is left is cut into chunks by hash, and every pair of chunks is
-   a task of its own, after members linked to the block's first sets have been contracted.
+   search. Pairs that are connected already are not probed. With the number of texts ever more blocks grow together by
+   chance. Members of blocks over the size limit of whose shingles too few are found elsewhere leave before any text is
+   sent. Those that stay are compared as bit arrays, of two bits or so a shingle, which differ in no more places than their
+   sets do; the components of pairs that may be linked are blocks of their own. What is still large is cut into chunks by
+   hash, and every pair of chunks is a task of its own, after members linked to the block's first sets have been contracted.
 4. Components of the links, and the smallest doc_id of each.
 
 The cost follows the number of shingles and signatures; links are exact but for 64-bit hash collisions. Defined cases:
@@ -61,6 +63,13 @@ COMMON = 1 << 18
 FILTER_BITS_EACH = 16
 FILTER_BITS = 1 << 26
 COMMON_FROM = 16
+#: Sets from this size on are asked for the part SAMPLE / 8 of the hash range alone when it is counted what is found elsewhere.
+LONG = 512
+SAMPLE = 3
+#: Members and bytes of bit arrays in half of a task that compares them; the fewest bits of one, as a power of two.
+BITS_MEMBERS = 8192
+BITS_BYTES = 4 << 20
+LEAST_BITS = 6
 
 
 SetsOf = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -483,32 +492,35 @@ def link_sets(docs: DataFrame, sets: DataFrame, sets_of: SetsOf, percent: int, c
     found = settle(rows.repartition("block").sortWithinPartitions("block", "set_key").mapInArrow(_search(percent, sets_of), "a bigint, b bigint"), "links")
     if not blocks_cut:
         return components_of_stars(found)
-    cut = settle(inside.join(sent_to_all(large), "block").select("set_key", "doc_id", "n", "block", "chunks"), "members")
-    texts = settle(_with_texts(docs, cut), "texts")
-    near = settle(near_others(texts, cut, sets_of, percent), "near")
-    # those that are left are cut anew
+    cut = settle(inside.join(sent_to_all(large), "block").select("set_key", "doc_id", "n", "block"), "members")
+    near = settle(near_others(docs, cut, sets_of, percent), "near")
+    texts = settle(_with_texts(docs, near.withColumn("chunks", F.lit(1))), "texts")
+    # those that are left are dealt to blocks anew
+    apart = settle(components(alike(texts, sets_of, percent)), "apart")
+    near = near.select("set_key", "n").join(apart.select(F.col("id").alias("set_key"), F.col("root").alias("block")), "set_key")
     sizes = settle(near.groupBy("block").agg(chunks.alias("chunks")), "sizes")
-    near = settle(near.join(sent_to_all(sizes), "block").select("set_key", "n", "block", "chunks"), "near")
-    texts = texts.drop("chunks").join(near.select("block", "set_key", "chunks"), ["block", "set_key"]).select("block", "set_key", "n", "chunks", "text")
-    links = large_links(texts, near, sets_of, percent, blocks_cut)
+    near = settle(near.join(sizes, "block").select("set_key", "n", "block", "chunks"), "near")
+    texts = texts.select("set_key", "text").join(near, "set_key").select("block", "set_key", "n", "chunks", "text")
+    links = large_links(texts, near, sets_of, percent, sizes.count())
     return components(found.unionByName(links))
 
 
-def near_others(texts: DataFrame, members: DataFrame, sets_of: SetsOf, percent: int) -> DataFrame:
-    """The ``members`` (set_key, n, block) that can be linked with another of their block.
+def near_others(docs: DataFrame, members: DataFrame, sets_of: SetsOf, percent: int) -> DataFrame:
+    """The ``members`` (set_key, doc_id, n, block) that can be linked with another.
 
-    A link takes percent / 100 of a set's shingles, so one of which fewer are found elsewhere in the block has none. Each
-    shingle of ``texts`` (block, set_key, n, chunks, text) is sent once at most, so this grows as the texts do. Shingles that
-    occur twice among COMBINE of them are settled before anything is sent: a task sends one row for each, without its owner.
+    A link takes percent / 100 of a set's shingles, so one of which more are found nowhere else has none. Each shingle of
+    the members' texts is sent once at most, so this grows as the texts do, and no text is sent. Of sets from LONG on only
+    those in a part of the hash range are asked for, and sets that are too large for a link with a smaller one send no
+    others. Shingles that occur twice among COMBINE of them are settled before anything is sent: a task sends one row for
+    each, without its owner. A few other documents, or other texts of an id, are counted too: then more members stay.
     """
-    ship(texts.sparkSession)
-    kinds, names = "h bigint, set_key bigint, n bigint", ["h", "set_key", "n"]
+    ship(docs.sparkSession)
+    kinds, names = "a bigint, b bigint", ["a", "b"]
+    asked = np.uint64(SAMPLE << 61)
 
-    def rows_of(h: np.ndarray, owner: np.ndarray, met: np.ndarray) -> pa.RecordBatch:
-        """Rows (h, set_key) of shingles, owner 0 if it is counted already, and rows (null, set_key, n) of owners ``met``."""
-        key, n = np.unique(met, return_counts=True)
-        columns = [pa.concat_arrays([pa.array(h), pa.nulls(key.size, pa.int64())]), pa.array(np.concatenate([owner, key])), pa.concat_arrays([pa.nulls(h.size, pa.int64()), pa.array(n.astype(np.int64))])]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+    def rows_of(h: np.ndarray, owner: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """Rows (odd shingle, owner or 0) and rows (set key, n); set keys are even."""
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([h, key])), pa.array(np.concatenate([owner, n.astype(np.int64)]))], names=names)
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         X.begin()
@@ -522,43 +534,128 @@ def near_others(texts: DataFrame, members: DataFrame, sets_of: SetsOf, percent:
             h, owner = h[order], owner[order]
             first = np.append(True, h[1:] != h[:-1])
             alone = first & np.append(first[1:], True)
-            return rows_of(h[first], np.where(alone, owner, 0)[first], owner[~alone])
+            key, at = np.unique(owner, return_inverse=True)
+            n = np.bincount(at, alone)
+            known = key != 0
+            return rows_of(h[first], np.where(alone, owner, 0)[first], key[known], n[known])
 
         for batch in batches:
-            block, key = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            found = _sets_of_texts(batch.column(2), key, sets_of)
-            for k, s in enumerate(found):
-                if s is not None and s.size:  # a block's shingles are told from those of others
-                    pool.append(X.mix(s ^ X.mix(block[k : k + 1].view(np.uint64))).view(np.int64))
-                    owners.append(np.full(s.size, key[k]))
-                    held += s.size
+            for _, _, data, off in X.blocks(X.text_column(batch.column(0))):
+                h, counts = sets_of(data, off)
+                keys = set_keys(h, counts)
+                part = h < asked
+                part_sent = part | np.repeat(counts * percent // 100 < LONG, counts)
+                owner = np.where(part | np.repeat(counts < LONG, counts), np.repeat(keys, counts), 0)
+                pool.append((X.mix(h[part_sent]) | np.uint64(1)).view(np.int64))
+                owners.append(owner[part_sent])
+                held += pool[-1].size
                 if held >= COMBINE:
                     held = 0
                     yield flush()
-        if pool:
+        if held:
             yield flush()
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, waiting = None, 0  # the last row's shingle, and its owner while it is the first of its run
         for batch in batches:
-            h, owner = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            if not h.size:
+            a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            told = (a & 1) == 0
+            h, owner = a[~told], b[~told]
+            found = [np.zeros(0, np.int64)]
+            if h.size:
+                same = np.append(last is not None and h[0] == last, h[1:] == h[:-1])
+                shared = same | np.append(same[1:], False)
+                found.append(owner[shared & (owner != 0)])
+                if same[0] and waiting:
+                    found.append(np.array([waiting], np.int64))
+                last, waiting = h[-1], 0 if shared[-1] else int(owner[-1])
+            key, n = np.unique(np.concatenate(found), return_counts=True)
+            yield rows_of(a[told], b[told], key, -n)
+
+    words, word, hit = id_bits(members)
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text", F.col("doc_id"), word).join(F.broadcast(words), "_word").where(hit).select("text")
+    there = rows.mapInArrow(emitted, kinds).repartition("a").sortWithinPartitions("a").mapInArrow(met, kinds)
+    alone = there.groupBy(F.col("a").alias("set_key")).agg(F.sum("b").alias("_alone"))
+    return members.join(alone, "set_key").where(F.col("_alone") * 100 <= F.col("n") * (100 - percent)).select("set_key", "doc_id", "n", "block")
+
+
+def bit_level(n: int) -> int:
+    """The power of two that a bit array for ``n`` shingles has bits."""
+    return max(LEAST_BITS, (n - 1).bit_length())
+
+
+def alike(texts: DataFrame, sets_of: SetsOf, percent: int) -> DataFrame:
+    """Edges (a, b) between the sets of ``texts`` (block, set_key, n, text); each linked pair is in one of their components.
+
+    The bit arrays of two sets differ in no more places than the sets do in shingles, so a pair whose arrays differ in more
+    than a link allows has none. A set emits arrays of its own length and of those of the larger sets that it can be linked
+    with. Of the pairs of chunks of a block and length each is a task, which gives a forest of the pairs that stay.
+    """
+    ship(texts.sparkSession)
+
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
+        for batch in batches:
+            key = batch.column(1).to_numpy(zero_copy_only=False)
+            row, level, n, bits = [], [], [], []
+            for k, s in enumerate(_sets_of_texts(batch.column(2), key, sets_of)):
+                if s is None or not s.size:
+                    continue
+                for at in range(bit_level(s.size), bit_level(s.size * 100 // percent) + 1):
+                    marks = np.zeros(1 << at, np.uint8)
+                    marks[(s & np.uint64((1 << at) - 1)).astype(np.int64)] = 1
+                    row.append(k)
+                    level.append(at)
+                    n.append(s.size)
+                    bits.append(np.packbits(marks).tobytes())
+            kept = batch.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(level, pa.int32()), kept.column(1), pa.array(n, pa.int64()), pa.array(bits, pa.binary())], names=["block", "level", "set_key", "n", "bits"])
+
+    def forest(keys: list[int], sizes: list[int], bits: list[bytes]) -> pa.RecordBatch:
+        size, once = np.array(sizes, np.int64), np.unique(np.array(keys, np.int64), return_index=True)[1]
+        order = once[np.argsort(size[once], kind="stable")]
+        key, size = np.array(keys, np.int64)[order], size[order]
+        marks = np.frombuffer(b"".join(bits[k] for k in order.tolist()), np.uint64).reshape(key.size, -1)
+        label = np.arange(key.size)
+        smallest = np.searchsorted(size, -(-percent * size // 100))
+        for x in range(1, key.size):
+            low = int(smallest[x])
+            if low >= x or (label[low:x] == label[x]).all():
                 continue
-            same = np.append(last is not None and h[0] == last, h[1:] == h[:-1])
-            shared = same | np.append(same[1:], False)
-            out = [owner[shared & (owner != 0)]]
-            if same[0] and waiting:
-                out.append(np.array([waiting], np.int64))
-            last, waiting = h[-1], 0 if shared[-1] else int(owner[-1])
-            yield rows_of(h[:0], owner[:0], np.concatenate(out))
-
-    sent = settle(texts.select("block", "set_key", "text").mapInArrow(emitted, kinds), "shingles")
-    rows = sent.where("h IS NOT NULL").select("h", "set_key")
-    there = rows.repartition("h").sortWithinPartitions("h").mapInArrow(met, kinds)
-    counted = sent.where("h IS NULL").unionByName(there).groupBy("set_key").agg(F.sum("n").alias("_shared"))
-    found = settle(counted, "shared")
-    unsettle(sent)
-    return members.join(found, "set_key").where(F.col("_shared") * 100 >= F.col("n") * percent).select("set_key", "n", "block")
+            differ = np.bitwise_count(marks[low:x] ^ marks[x]).sum(1, dtype=np.int64)
+            close = low + np.flatnonzero(differ * (100 + percent) <= (size[low:x] + size[x]) * (100 - percent))
+            if close.size and (label[close] != label[x]).any():
+                label[np.isin(label, label[close])] = label[x]
+        lead = key[label]
+        more = lead != key
+        return pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(lead[more])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        X.begin()
+        now, keys, sizes, bits = None, [], [], []
+        for batch in batches:
+            task = list(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
+            for at, key, n, b in zip(task, batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
+                if at != now:
+                    if len(keys) > 1:
+                        yield forest(keys, sizes, bits)
+                    now, keys, sizes, bits = at, [], [], []
+                keys.append(key)
+                sizes.append(n)
+                bits.append(b)
+        if len(keys) > 1:
+            yield forest(keys, sizes, bits)
+
+    made = settle(texts.select("block", "set_key", "text").mapInArrow(emitted, "block bigint, level int, set_key bigint, n bigint, bits binary"), "bits")
+    half = F.greatest(F.ceil(F.count("*") / BITS_MEMBERS), F.ceil(F.sum(F.length("bits")) / BITS_BYTES)).cast("int")
+    halves = settle(made.groupBy("block", "level").agg(half.alias("halves")), "halves")
+    dealt = made.join(halves, ["block", "level"]).withColumn("own", F.pmod(F.xxhash64("set_key"), "halves").cast("int"))
+    others = F.when(F.col("halves") == 1, F.array(F.lit(0))).otherwise(F.expr("filter(sequence(0, halves - 1), s -> s <> own)"))  # pairs of a chunk meet beside any other
+    dealt = dealt.withColumn("other", F.explode(others)).select("block", "level", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "set_key", "n", "bits")
+    task = ["block", "level", "low", "high"]
+    found = settle(dealt.repartition(*task).sortWithinPartitions(*task, "set_key").mapInArrow(run, "a bigint, b bigint"), "alike")
+    unsettle(made)
+    return found
 
 
 def large_links(texts: DataFrame, members: DataFrame, sets_of: SetsOf, percent: int, n_blocks: int) -> DataFrame:
