@@ -163,6 +163,21 @@ def test_a_share_that_is_a_tie_is_rounded_up(spark):
     assert got.r_squared == 0.5915 and got.note.startswith("R²=0.592<0.6")
 
 
+def test_a_share_that_is_a_tie_falls_as_in_the_sql(spark):
+    """R squared is 0.21875 and 0.6 in exact arithmetic; the SQL's last bits put both just below."""
+    flat, high, low = 1.2920477177177179, 1.258234174174174, 0.9657030180180181
+    months = {1: [("1995-01", flat), ("1995-02", flat), ("1997-09", flat), ("1997-11", flat), ("1998-01", 0.7892044444444445)], 2: [("2000-12", high), ("2001-02", low), ("2001-04", low), ("2001-06", low)]}
+    table = spark.createDataFrame([("n", d, "m", ym, y) for d, own in months.items() for ym, y in own], "channel string, device_id long, model string, ym string, soh double").coalesce(1)
+    want = {}
+    for d, own in months.items():
+        pairs = ", ".join(f"({k}, {int(ym[:4]) * 12 + int(ym[5:])}::DOUBLE, {y!r}::DOUBLE)" for k, (ym, y) in enumerate(own))
+        want[d] = duckdb.execute(f"SELECT round(regr_r2(y, x), 4) FROM (SELECT * FROM (VALUES {pairs}) t(k, x, y) ORDER BY k)").fetchall()[0][0]
+    found = {r.device_id: r for r in retirement.forecast(table, load_config()).collect()}
+    assert {d: r.r_squared for d, r in found.items()} == want == {1: 0.2187, 2: 0.6}
+    assert found[2].note.startswith("R²=0.6<0.6")
+    assert {r.device_id: r.r_squared for r in trend.analysis(table, load_config()).collect()} == want
+
+
 def test_drift_within_a_day_is_not_a_number(spark):
     """As the SQL has it: enough anchors, but no slope to tell; fewer than four give no row."""
     at = datetime(2024, 1, 1)

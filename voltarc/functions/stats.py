@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 #: Scale of a median absolute deviation that estimates a standard deviation.
 MAD_SCALE = 1.4826
@@ -55,15 +56,23 @@ def ols_slope(y: Column, x: Column, least: int) -> Column:
     return F.when(F.regr_count(y, x) >= least, F.try_divide(F.covar_pop(x, y), F.var_pop(F.when(y.isNotNull(), x))))
 
 
-def ols_r2(y: Column, x: Column, flat: Column) -> Column:
-    """Aggregate: 1 - SSres / SStot over complete pairs, ``flat`` where y doesn't vary."""
-    syy, sxx, sxy = F.regr_syy(y, x), F.regr_sxx(y, x), F.regr_sxy(y, x)
-    return F.when(syy > 0, F.coalesce(1 - (syy - F.try_divide(sxy * sxy, sxx)) / syy, F.lit(0.0))).otherwise(flat)
+def ols_r2(y: Column, x: Column, flat: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: the share of y's variance that a line explains, over complete pairs; ``flat`` where y doesn't vary.
+
+    It is the squared correlation in the steps of the SQL's regr_r2, to which the last bits belong: the fourth digit may be
+    a tie in the numbers themselves. With ``over``, a window in order, they don't hang on the order of a shuffle either.
+    """
+    own = (lambda c: c) if over is None else (lambda c: c.over(over))
+    a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    sxy, sxx, syy = own(F.covar_pop(x, y)), own(F.covar_pop(a, a)), own(F.covar_pop(b, b))
+    r = F.try_divide(sxy, F.sqrt(sxx) * F.sqrt(syy))
+    return F.when(syy > 0, F.coalesce(r * r, F.lit(0.0))).otherwise(flat)
 
 
 def half_up(c: Column, digits: int) -> Column:
-    """Rounded half up. What is a tie in the numbers themselves may come out just below it as a double: noise goes first."""
-    return F.round(F.round(c, 12), digits)
+    """Rounded as the SQL's round() does: of the product with a power of ten, halves away from zero."""
+    scale = float(10**digits)
+    return F.signum(c) * F.floor(F.abs(c) * scale + 0.5) / scale
 
 
 def guarded_corr(x: Column, y: Column, least: int = 4) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -28,9 +28,10 @@ def forecast(table: DataFrame, cfg: Config) -> DataFrame:
     line, least, r2_min, z = r["soh_retire"], r["min_months"], r["r2_min"], r["ci_z"]
     y, x = F.col("soh"), month_index("ym").cast("double")
     latest = F.max_by("soh", F.when(F.col("soh").isNotNull(), F.col("ym")))
-    d = table.groupBy(*KEYS).agg(
+    timed = Window.partitionBy(*KEYS).orderBy("ym").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = table.withColumn("_r2", ols_r2(y, x, F.lit(0.0), timed)).groupBy(*KEYS).agg(
         latest.alias("soh_latest"), F.regr_count(y, x).alias("_n"), F.regr_slope(y, x).alias("_m"), F.regr_avgx(y, x).alias("_x"), F.regr_avgy(y, x).alias("_y"),
-        ols_r2(y, x, F.lit(0.0)).alias("_r2"), F.greatest(F.regr_syy(y, x) - F.coalesce(F.regr_slope(y, x), F.lit(0.0)) * F.regr_sxy(y, x), F.lit(0.0)).alias("_ss"),
+        F.max("_r2").alias("_r2"), F.greatest(F.regr_syy(y, x) - F.coalesce(F.regr_slope(y, x), F.lit(0.0)) * F.regr_sxy(y, x), F.lit(0.0)).alias("_ss"),
     )
     enough, falls = F.col("_n") >= least, F.col("_m") < -1e-12
     spread = z * F.sqrt(F.col("_ss") / F.greatest(F.col("_n") - 2, F.lit(1)))
@@ -38,7 +39,7 @@ def forecast(table: DataFrame, cfg: Config) -> DataFrame:
     def month(at: Column) -> Column:
         return F.when(enough & falls, month_text(F.rint(F.col("_x") + F.try_divide(at - F.col("_y"), F.col("_m")))))
 
-    r2 = F.round("_r2", 12)
+    r2 = F.col("_r2")
     low_r2 = F.concat(F.lit("R²="), F.format_string("%s", half_up(r2, 3)), F.lit(f"<{r2_min}，仅供参考"))
     note = F.when(~enough, "数据不足").when(~F.coalesce(falls, F.lit(False)), F.when(r2 >= r2_min, "无衰退趋势").otherwise("无衰退趋势（R²低）")).when(r2 < r2_min, low_r2).otherwise("")
     return d.select(

@@ -44,13 +44,12 @@ def analysis(soh: DataFrame, cfg: Config) -> DataFrame:
     g = Window.partitionBy(*KEYS)
     timed = g.orderBy("ym").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # sums of doubles in one order, in every run
     y, x = F.col("soh"), month_index("ym").cast("double")
-    n, sxx, sxy, syy = (f.over(timed) for f in (F.regr_count(y, x), F.regr_sxx(y, x), F.regr_sxy(y, x), F.regr_syy(y, x)))
-    df = soh.withColumns({"_n": F.count("*").over(g), "_max": F.max("soh").over(g), "_c": n, "_sxx": sxx, "_sxy": sxy, "_syy": syy, "_m": F.regr_slope(y, x).over(timed)})
+    r2 = ols_r2(y, x, F.lit(None).cast("double"), timed)
+    df = soh.withColumns({"_n": F.count("*").over(g), "_max": F.max("soh").over(g), "_c": F.regr_count(y, x).over(timed), "_r2": r2, "_m": F.regr_slope(y, x).over(timed)})
     df = df.where(~((F.col("_n") >= 2) & (F.col("_max") < cfg.get("exclude.soh_low_ratio"))) | F.col("_max").isNull())
     known = (F.col("_c") >= 3) & F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
-    r2 = F.when(F.col("_syy") > 0, F.coalesce(1 - (F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))) / F.col("_syy"), F.lit(0.0)))
-    df = df.withColumns({"decay_rate_pct_month": F.when(known, F.round(F.col("_m") * 100, 4)), "r_squared": F.when(known, half_up(r2, 4))})
-    return df.withColumn("decay_rate_pct_year", F.col("decay_rate_pct_month") * 12).drop("_n", "_max", "_c", "_sxx", "_sxy", "_syy", "_m")
+    df = df.withColumns({"decay_rate_pct_month": F.when(known, F.round(F.col("_m") * 100, 4)), "r_squared": F.when(known, half_up(F.col("_r2"), 4))})
+    return df.withColumn("decay_rate_pct_year", F.col("decay_rate_pct_month") * 12).drop("_n", "_max", "_c", "_r2", "_m")
 
 
 def drop_alerts(table: DataFrame, drop: float = 0.05) -> DataFrame:
